@@ -13,12 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+# Text form of timestamps in CSV: full microseconds, so a round trip is exact
+# (Spark's default writes milliseconds only).
+CSV_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+               "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
 
 def read_csv(spark: SparkSession, path: str, header: bool = True,
              schema: StructType | str | None = None) -> DataFrame:
     """Batch CSV scan of a file, folder or glob; all strings unless a schema
     is given (S1, S2)."""
-    reader = spark.read.option("header", header)
+    reader = spark.read.option("header", header).options(**CSV_OPTIONS)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)
@@ -38,7 +43,7 @@ def stream_csv(spark: SparkSession, path: str, schema: StructType | str | None =
     takes files not seen before; the checkpoint of the sink remembers them."""
     if schema is None:
         schema = capture_schema(spark, path, header=header)
-    reader = spark.readStream.schema(schema).option("header", header)
+    reader = spark.readStream.schema(schema).option("header", header).options(**CSV_OPTIONS)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", int(max_files))
     return reader.csv(path)
@@ -80,4 +85,4 @@ def write_csv_files(df: DataFrame, path: str, files: int, header: bool = True,
         out = df.repartition(files, F.col(by))
     else:
         out = df.repartition(files)
-    out.write.mode("append").option("header", header).csv(path)
+    out.write.mode("append").option("header", header).options(**CSV_OPTIONS).csv(path)
