@@ -103,3 +103,24 @@ def json_path(column: str | Column, path: str) -> Column:
     """Text of a JSON path such as ``flow_progress.status``."""
     col = F.col(column) if isinstance(column, str) else column
     return F.get_json_object(col, "$." + path.lstrip("$."))
+
+
+# The report in SQL, over a log table or view, for SQL users. ``details`` is
+# parsed once into a VARIANT and read with path syntax; as in the DataFrame
+# form, the status test sits in the exploded array, not in a WHERE that would
+# be pushed below the parse.
+EXPECTATION_REPORT_SQL = f"""
+SELECT id, timestamp,
+       CAST(d:flow_progress.metrics.num_output_rows AS STRING) AS output_records,
+       CAST(d:flow_progress.data_quality.dropped_records AS STRING) AS dropped_records,
+       CAST(d:flow_progress.status AS STRING) AS status_update,
+       explode(CASE WHEN CAST(d:flow_progress.status AS STRING) = 'COMPLETED'
+                    THEN from_json(to_json(d:flow_progress.data_quality.expectations),
+                                   '{EXPECTATIONS_DDL}') END) AS expectations
+FROM (SELECT id, timestamp, try_parse_json(details) AS d FROM {{log}})
+"""
+
+
+def expectation_report_sql(spark: SparkSession, log_table: str) -> DataFrame:
+    """:func:`expectation_report` written in SQL over a named log (Q5)."""
+    return spark.sql(EXPECTATION_REPORT_SQL.format(log=log_table))

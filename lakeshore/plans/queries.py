@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshore.operators import cdc, eventlog, joins, privacy, quality
-from lakeshore.plans import derived
+from lakeshore.plans import derived, pipeline
 from lakeshore.session import scratch_path
 from lakeshore.sinks import overwrite, versioned
 from lakeshore.sources import files
@@ -128,6 +128,25 @@ def q_pipeline_report(spark, d):
                       "expectations.passed_records", "expectations.failed_records")
 
 
+def q_expectation_report_sql(spark, d):
+    derived.events_as_log(table(spark, d, "events")).createOrReplaceTempView("event_log_raw")
+    rep = eventlog.expectation_report_sql(spark, "event_log_raw")
+    return rep.select("id", "timestamp", "output_records", "dropped_records",
+                      "status_update", "expectations.dataset", "expectations.name",
+                      "expectations.passed_records", "expectations.failed_records")
+
+
+def q_cdc_pipeline(spark, d):
+    """The whole pipeline over ``events`` landed as CSV files; returns gold."""
+    ev = table(spark, d, "events")
+    landing = scratch_path(spark, "landing-cdc")
+    files.write_csv_files(ev, landing, files=6, by="event_id")
+    p = pipeline.CdcPipeline(scratch_path(spark, "cdc"), ev.schema, buckets=8,
+                             prefix="events", max_files=3, **derived.EVENTS_FEED)
+    p.run(spark, landing)
+    return p.gold(spark)
+
+
 # -- privacy -----------------------------------------------------------------
 
 def q_pseudonymize(spark, d):
@@ -283,6 +302,8 @@ QUERIES: dict[str, Query] = {
     "dq_metrics": q_dq_metrics,
     "event_log": q_event_log,
     "expectation_report": q_expectation_report,
+    "expectation_report_sql": q_expectation_report_sql,
+    "cdc_pipeline": q_cdc_pipeline,
     "json_path": q_json_path,
     "pipeline_report": q_pipeline_report,
     "pseudonymize": q_pseudonymize,
@@ -413,6 +434,8 @@ ORACLES: dict[str, str] = {
     "dq_metrics": _DQ_METRICS,
     "event_log": _EVENT_LOG,
     "expectation_report": _EXPECTATION_REPORT,
+    "expectation_report_sql": _EXPECTATION_REPORT,
+    "cdc_pipeline": f"SELECT * FROM ({_SCD2_EVENTS}) WHERE __END_AT IS NULL",
     "json_path": "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events",
     "pipeline_report": _PIPELINE_REPORT,
     "pseudonymize": "SELECT *, sha256(c_name) AS customer_pseudo_id FROM customer",
