@@ -147,6 +147,9 @@ def register_sql_functions(spark: SparkSession, persistent: bool = False,
     kind = "FUNCTION" if persistent else "TEMPORARY FUNCTION"
     spark.sql(f"CREATE OR REPLACE {kind} {name}(text STRING, key STRING) "
               f"RETURNS STRING RETURN {DECRYPT_SQL}")
+    # Key generation for SQL users, e.g.
+    # SELECT ID, new_encryption_key(ID) FROM (SELECT DISTINCT ID FROM t)
+    spark.udf.register("new_encryption_key", new_key)
 
 
 def create_clear_view(spark: SparkSession, table: str, keys_table: str, id_column: str,

@@ -95,3 +95,26 @@ def test_encrypt_not_constant_folded(spark):
         .alias("c"), F.col("id"))
     # literal-only input folds to one constant: the library never encrypts literals
     assert df.select("c").distinct().count() in (1, 3)
+
+
+def test_persistent_function_and_view(spark, people, scratch):
+    from lakeshore.sinks import catalog
+
+    catalog.create_schema(spark, "lk_gdpr")
+    base = scratch("c")
+    versioned.write_version(people, base)
+    keys_path = scratch("k")
+    privacy.store_keys(people, "ID", keys_path)
+    enc_path = versioned.write_version(
+        privacy.encrypt_columns(people, spark.read.parquet(keys_path), "ID", ["EMAIL"]), base)
+    catalog.Dataset("lk_gdpr.customers", enc_path).register(spark)
+    catalog.Dataset("lk_gdpr.keys", keys_path).register(spark)
+    privacy.register_sql_functions(spark, persistent=True, name="lk_gdpr.decrypt_val")
+    privacy.create_clear_view(spark, "lk_gdpr.customers", "lk_gdpr.keys", "ID", ["EMAIL"],
+                              "lk_gdpr.customers_admin", persistent=True,
+                              function="lk_gdpr.decrypt_val")
+    assert {tuple(r) for r in spark.table("lk_gdpr.customers_admin").collect()} == set(SUBJECTS)
+    n = spark.sql("SELECT count(DISTINCT k) FROM "
+                  "(SELECT new_encryption_key(ID) AS k FROM lk_gdpr.keys)").first()[0]
+    assert n == 5
+    catalog.drop_schema(spark, "lk_gdpr", cascade=True)
