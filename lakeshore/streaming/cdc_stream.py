@@ -26,13 +26,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeshore.operators import cdc
 
 BUCKET = "__bucket"
+_SALT = "__salt"
 _DEL = cdc._DEL
 
 
@@ -41,7 +42,8 @@ class ChangeApply:
 
     def __init__(self, state_path: str, keys, sequence_by, scd_type: int | str = 2,
                  apply_as_deletes=None, except_columns: Sequence[str] = (),
-                 buckets: int = 16, quarantine_path: str | None = None):
+                 buckets: int = 16, quarantine_path: str | None = None,
+                 files_per_bucket: int = 1):
         self.state_path = state_path.rstrip("/")
         self.keys = cdc._names(keys)
         self.seq = cdc._names(sequence_by)
@@ -51,19 +53,37 @@ class ChangeApply:
         self.apply_as_deletes = apply_as_deletes
         self.except_columns = tuple(except_columns)
         self.buckets = int(buckets)
+        self.files_per_bucket = max(1, int(files_per_bucket))
         self.quarantine_path = quarantine_path or self.state_path + "_quarantine"
         self.columns: list[str] | None = None
 
     # -- merge ---------------------------------------------------------------
-    def _reduce(self, rows: DataFrame) -> DataFrame:
-        """Collapse change rows (with ``__is_delete``) to state rows."""
-        payload = cdc._payload(rows, self.keys, self.seq)
+    def _reduce(self, rows: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+        """Collapse change rows (with ``__is_delete``) to state rows; ``extra``
+        are grouping columns that are functions of the key (bucket, salt)."""
+        extra = list(extra)
+        payload = [c for c in cdc._payload(rows, self.keys, self.seq) if c not in extra]
         if self.scd_type == "2":
-            return cdc._dedupe(rows, self.keys, self.seq)
-        latest = F.max(F.struct(*[F.col(c) for c in self.seq], F.col(_DEL),
-                                *[F.col(c) for c in payload])).alias("__r")
-        return (rows.groupBy(*self.keys).agg(latest)
-                .select(*self.keys, *[F.col(f"__r.{c}") for c in self.seq + [_DEL] + payload]))
+            group = self.keys + self.seq
+            picked = F.max(F.struct(F.col(_DEL), *[F.col(c) for c in payload])).alias("__r")
+            fields = [_DEL] + payload
+        else:
+            group = list(self.keys)
+            picked = F.max(F.struct(*[F.col(c) for c in self.seq], F.col(_DEL),
+                                    *[F.col(c) for c in payload])).alias("__r")
+            fields = self.seq + [_DEL] + payload
+        return (rows.groupBy(*extra, *group).agg(picked)
+                .select(*extra, *group, *[F.col(f"__r.{c}") for c in fields]))
+
+    def _merge(self, rows: DataFrame) -> DataFrame:
+        """Reduce rows that carry ``__bucket`` with one shuffle whose tasks
+        each hold whole (bucket, salt) groups: the write then makes about
+        ``files_per_bucket`` files per bucket, and a hot key is spread over
+        that many tasks (the salt hashes the whole group key)."""
+        group = self.keys + (self.seq if self.scd_type == "2" else [])
+        salt = F.pmod(F.hash(*[F.col(c) for c in group]), F.lit(self.files_per_bucket))
+        salted = rows.withColumn(_SALT, salt).repartition(F.col(BUCKET), F.col(_SALT))
+        return self._reduce(salted, extra=(BUCKET, _SALT)).drop(_SALT)
 
     def _bucket(self) -> F.Column:
         return F.pmod(F.hash(*[F.col(k) for k in self.keys]), F.lit(self.buckets))
@@ -75,33 +95,42 @@ class ChangeApply:
         return bool(fs.exists(p))
 
     def apply_batch(self, batch: DataFrame, batch_id: int | None = None) -> None:
-        """Merge one batch of change rows into the state (idempotent)."""
+        """Merge one batch of change rows into the state (idempotent).
+
+        Two jobs: a scan of the batch (cached) lists the buckets it touches (at
+        most ``buckets`` values reach the driver) and counts quarantined rows
+        on the way; then the batch and the touched state buckets are reduced
+        in one shuffle and written back. Quarantined rows are written only when
+        there are some, by re-reading the batch."""
         spark = batch.sparkSession
         if self.columns is None:
             self.columns = list(batch.columns)
-        batch = batch.persist()
+        bad_flag = F.lit(False)
+        for c in self.keys + self.seq:
+            bad_flag = bad_flag | F.col(c).isNull()
+        obs = Observation(f"quarantine_{self.state_path}_{batch_id}")
+        observed = batch.observe(obs, F.sum(F.when(bad_flag, 1).otherwise(0)).alias("bad"))
+        valid, _ = cdc.split_changes(observed, self.keys, self.seq, self.apply_as_deletes)
+        # A micro-batch is bounded by the trigger's file/byte limits, so it is
+        # cached for its two uses; a lost executor recomputes it from source.
+        valid = valid.withColumn(BUCKET, self._bucket()).persist()
         try:
-            valid, bad = cdc.split_changes(batch, self.keys, self.seq, self.apply_as_deletes)
-            bad.write.mode("append").parquet(self.quarantine_path)
-            rows = self._reduce(valid).withColumn(BUCKET, self._bucket()).persist()
-            try:
-                # At most ``buckets`` values reach the driver.
-                touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]
-                if not touched:
-                    return
-                merged = rows.drop(BUCKET)
-                if self._state_exists(spark):
-                    old = (spark.read.parquet(self.state_path)
-                           .where(F.col(BUCKET).isin(touched))
-                           .select(*merged.columns))
-                    merged = self._reduce(old.unionByName(merged))
-                (merged.withColumn(BUCKET, self._bucket())
-                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy(BUCKET).parquet(self.state_path))
-            finally:
-                rows.unpersist()
+            touched = [r[0] for r in valid.select(BUCKET).distinct().collect()]
+            if (obs.get.get("bad") or 0) > 0:
+                _, bad = cdc.split_changes(batch, self.keys, self.seq, self.apply_as_deletes)
+                bad.write.mode("append").parquet(self.quarantine_path)
+            if not touched:
+                return
+            merged = valid
+            if self._state_exists(spark):
+                old = (spark.read.parquet(self.state_path)
+                       .where(F.col(BUCKET).isin(touched)))
+                merged = old.unionByName(valid.select(*old.columns))
+            (self._merge(merged)
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(BUCKET).parquet(self.state_path))
         finally:
-            batch.unpersist()
+            valid.unpersist()
 
     # -- stream --------------------------------------------------------------
     def start(self, stream: DataFrame, checkpoint: str, available_now: bool = True,
