@@ -15,7 +15,8 @@ Two physical forms:
 * :func:`replace_where_partitions` rewrites only the partitions the predicate
   selects when it refers to partition columns alone: a dynamic partition
   overwrite of the incoming rows plus removal of selected partitions that
-  receive no rows. Its cost is the size of those partitions, not the table.
+  receive no rows. Its cost is the incoming rows plus a folder listing, not
+  the table.
 """
 
 from __future__ import annotations
@@ -53,15 +54,29 @@ def replace_where_version(base: str, incoming: DataFrame, predicate,
     return versioned.write_version(out, base, table=table, partition_by=partition_by)
 
 
-def _partition_dir(values: dict, partition_cols) -> str:
-    from urllib.parse import quote
+_NULL_DIR = "__HIVE_DEFAULT_PARTITION__"
 
-    parts = []
-    for c in partition_cols:
-        v = values[c]
-        text = "__HIVE_DEFAULT_PARTITION__" if v is None else quote(str(v), safe=" ")
-        parts.append(f"{c}={text}")
-    return "/".join(parts)
+
+def _partition_dirs(spark, path: str, partition_cols) -> list[tuple[list, str]]:
+    """(values as text, folder) of every leaf partition folder under ``path``,
+    read from the folder names (``col=value``, Spark's escaping undone)."""
+    from urllib.parse import unquote
+
+    level = [([], path.rstrip("/"))]
+    for col in partition_cols:
+        nxt = []
+        for values, folder in level:
+            fs, p = versioned._fs(spark, folder)
+            if not fs.exists(p):
+                continue
+            for st in fs.listStatus(p):
+                name = st.getPath().getName()
+                if st.isDirectory() and name.startswith(col + "="):
+                    text = name[len(col) + 1:]
+                    value = None if text == _NULL_DIR else unquote(text)
+                    nxt.append((values + [value], f"{folder}/{name}"))
+        level = nxt
+    return level
 
 
 def replace_where_partitions(path: str, incoming: DataFrame, predicate,
@@ -69,16 +84,25 @@ def replace_where_partitions(path: str, incoming: DataFrame, predicate,
     """In-place replacement of the partitions of a ``partitionBy`` table at
     ``path`` selected by a predicate on partition columns only.
 
-    Returns the partitions that were emptied (selected, no incoming rows)."""
+    The selected partitions are found from the folder names alone (the
+    predicate runs over a small table of partition values, no data file is
+    opened); the incoming rows are written with a dynamic partition overwrite,
+    which replaces exactly the partitions they fall in; selected partitions
+    that received no rows are then removed. Cost: the incoming rows plus a
+    listing, whatever the table's size. Returns the emptied partitions."""
     spark = incoming.sparkSession
     partition_cols = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
     existing = spark.read.parquet(path)
+    types = {f.name: f.dataType for f in existing.schema.fields}
     pred = _pred(predicate)
-    # Only partition columns are read: Spark answers from the folder names and
-    # file footers, no data pages.
-    selected = [r.asDict() for r in
-                existing.select(*partition_cols).where(F.coalesce(pred, F.lit(False)))
-                .distinct().collect()]
+    dirs = _partition_dirs(spark, path, partition_cols)
+    selected = []
+    if dirs:
+        schema = ", ".join(f"`{c}` string" for c in partition_cols) + ", `__dir` string"
+        values = spark.createDataFrame([tuple(v) + (d,) for v, d in dirs], schema)
+        typed = values.select(*[F.col(c).cast(types[c]).alias(c) for c in partition_cols],
+                              "__dir")
+        selected = typed.where(F.coalesce(pred, F.lit(False))).collect()
     obs = Observation("replace_where_partitions")
     keys = F.struct(*[F.col(c) for c in partition_cols])
     staged = checked_incoming(incoming.select(*existing.columns), pred) \
@@ -87,9 +111,13 @@ def replace_where_partitions(path: str, incoming: DataFrame, predicate,
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(path))
     written = {tuple(r[c] for c in partition_cols) for r in (obs.get.get("written") or [])}
-    emptied = [v for v in selected if tuple(v[c] for c in partition_cols) not in written]
-    for v in emptied:
-        fs, p = versioned._fs(spark, f"{path.rstrip('/')}/{_partition_dir(v, partition_cols)}")
+    emptied = []
+    for row in selected:
+        key = tuple(row[c] for c in partition_cols)
+        if key in written:
+            continue
+        fs, p = versioned._fs(spark, row["__dir"])
         if fs.exists(p):
             fs.delete(p, True)
+        emptied.append({c: row[c] for c in partition_cols})
     return emptied

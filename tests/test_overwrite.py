@@ -67,3 +67,26 @@ def test_partition_replacement(spark, existing, scratch):
     assert emptied == [{"p": "b"}]
     got = spark.read.parquet(path).select("id", "p", "v")
     assert sorted(r.id for r in got.collect()) == [4, 9]
+
+
+def test_partition_replacement_escaped_values(spark, scratch):
+    path = scratch("parts2")
+    rows = [(1, "a/b", 1), (2, "c:d", 2), (3, "é x", 3), (4, None, 4), (5, "keep", 5)]
+    spark.createDataFrame(rows, SCHEMA).write.partitionBy("p").parquet(path)
+    incoming = spark.createDataFrame([(9, "c:d", 9)], SCHEMA)
+    emptied = overwrite.replace_where_partitions(
+        path, incoming, "p IN ('a/b', 'c:d', 'é x') OR p IS NULL", "p")
+    assert sorted(e["p"] or "" for e in emptied) == ["", "a/b", "é x"]
+    got = spark.read.parquet(path)
+    assert sorted(r.id for r in got.collect()) == [5, 9]
+
+
+def test_partition_replacement_int_partitions(spark, scratch):
+    path = scratch("parts3")
+    spark.range(20).selectExpr("id", "CAST(id % 4 AS INT) AS b") \
+        .write.partitionBy("b").parquet(path)
+    inc = spark.range(100, 103).selectExpr("id", "1 AS b")
+    emptied = overwrite.replace_where_partitions(path, inc, "b <= 1", "b")
+    assert emptied == [{"b": 0}]
+    got = spark.read.parquet(path)
+    assert got.where("b = 1").count() == 3 and got.count() == 3 + 10
