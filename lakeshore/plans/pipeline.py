@@ -88,3 +88,13 @@ class CdcPipeline:
 
     def report(self, spark: SparkSession) -> DataFrame:
         return eventlog.expectation_report(eventlog.read_log(spark, self.log_path))
+
+    def register_views(self, spark: SparkSession) -> None:
+        """Name every dataset for SQL users: bronze (declared table), the two
+        silver targets, gold and the event log (temp views)."""
+        self.bronze.register(spark)
+        self.scd1.table(spark).createOrReplaceTempView(f"{self.prefix}_silver_scd_type_1")
+        self.scd2.table(spark).createOrReplaceTempView(f"{self.prefix}_silver_scd_type_2")
+        self.gold(spark).createOrReplaceTempView(f"{self.prefix}_gold_scd_type_2")
+        eventlog.read_log(spark, self.log_path).createOrReplaceTempView(
+            f"{self.prefix}_event_log")

@@ -113,6 +113,12 @@ class ChangeApply:
         valid, _ = cdc.split_changes(observed, self.keys, self.seq, self.apply_as_deletes)
         # A micro-batch is bounded by the trigger's file/byte limits, so it is
         # cached for its two uses; a lost executor recomputes it from source.
+        if self.scd_type == "1":
+            # Collapse the batch to one row per key first: the aggregate
+            # combines map-side, so a key holding much of the batch shrinks to
+            # one row per task before any shuffle (the merge's salt is the key
+            # itself for SCD 1 and could not spread it).
+            valid = self._reduce(valid)
         valid = valid.withColumn(BUCKET, self._bucket()).persist()
         try:
             touched = [r[0] for r in valid.select(BUCKET).distinct().collect()]

@@ -1,0 +1,45 @@
+"""The bronze → silver → gold pipeline: re-runs, new files, deletes, report."""
+
+from lakeshore.plans.pipeline import CdcPipeline
+from lakeshore.sources import files
+
+SCHEMA = ("customer_id long, first_name string, city string, operation string, "
+          "ModifiedDate timestamp_ntz")
+
+
+def _rows(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_pipeline_reruns_and_updates(spark, scratch):
+    import datetime as dt
+
+    t = [dt.datetime(2024, 1, d) for d in range(1, 6)]
+    landing = scratch("landing")
+    first = [(1, "ann", "oslo", "INSERT", t[0]), (2, "bob", "rome", "INSERT", t[0]),
+             (1, "ann", "bern", "UPDATE", t[2]), (3, "cy", "nice", "INSERT", t[1])]
+    files.write_csv_files(_rows(spark, first), landing, files=2)
+    p = CdcPipeline(scratch("cdc"), _rows(spark, first).schema, keys=["customer_id"],
+                    sequence_by="ModifiedDate", apply_as_deletes="operation = 'DELETE'",
+                    except_columns=["operation"], buckets=4, prefix="customer")
+    p.run(spark, landing)
+    gold = {(r.customer_id, r.city) for r in p.gold(spark).collect()}
+    assert gold == {(1, "bern"), (2, "rome"), (3, "nice")}
+    # a re-run with no new file changes nothing
+    p.run(spark, landing)
+    assert {(r.customer_id, r.city) for r in p.gold(spark).collect()} == gold
+    # late and delete rows arrive
+    files.write_csv_files(_rows(spark, [(2, None, None, "DELETE", t[3]),
+                                        (1, "ann", "graz", "UPDATE", t[1])]), landing, files=1)
+    p.run(spark, landing)
+    assert {(r.customer_id, r.city) for r in p.gold(spark).collect()} == {(1, "bern"), (3, "nice")}
+    hist = p.scd2.table(spark)
+    assert hist.where("customer_id = 1").count() == 3
+    assert p.scd1.table(spark).count() == 2
+    rep = p.report(spark).collect()
+    assert len(rep) == 3  # one gold flow event per run
+    last = max(rep, key=lambda r: r.timestamp)
+    assert (last.output_records, last.dropped_records) == ("2", "3")
+    p.register_views(spark)
+    assert spark.sql("SELECT count(*) FROM customer_silver_scd_type_2").first()[0] == 5
+    assert spark.sql("SELECT count(*) FROM customer_bronze").first()[0] == 6
