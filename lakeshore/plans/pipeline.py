@@ -33,7 +33,8 @@ RECENT_RECORD = ("recent_record", "__END_AT IS NULL")
 class CdcPipeline:
     def __init__(self, root: str, schema: StructType, keys, sequence_by,
                  apply_as_deletes=None, except_columns: Sequence[str] = (),
-                 buckets: int = 16, prefix: str = "customer", max_files: int | None = None):
+                 compact_every: int = 10, prefix: str = "customer",
+                 max_files: int | None = None):
         self.root = root.rstrip("/")
         self.schema = schema
         self.prefix = prefix
@@ -42,7 +43,7 @@ class CdcPipeline:
                               "incremental change data ingested from the landing folder",
                               {"quality": "bronze"})
         feed = dict(keys=keys, sequence_by=sequence_by, apply_as_deletes=apply_as_deletes,
-                    except_columns=except_columns, buckets=buckets)
+                    except_columns=except_columns, compact_every=compact_every)
         self.scd1 = ChangeApply(f"{self.root}/tables/silver_scd1", scd_type=1, **feed)
         self.scd2 = ChangeApply(f"{self.root}/tables/silver_scd2", scd_type=2, **feed)
         self.gold_base = f"{self.root}/tables/gold_scd2"

@@ -65,7 +65,7 @@ def _stream_apply(spark, d, scd_type) -> cdc_stream.ChangeApply:
         .parquet(landing)
     return cdc_stream.apply_changes_stream(
         stream, scratch_path(spark, f"scd{scd_type}-state"),
-        scratch_path(spark, f"scd{scd_type}-ckpt"), scd_type=scd_type, buckets=8,
+        scratch_path(spark, f"scd{scd_type}-ckpt"), scd_type=scd_type, compact_every=2,
         **derived.EVENTS_FEED)
 
 
@@ -141,7 +141,7 @@ def q_cdc_pipeline(spark, d):
     ev = table(spark, d, "events")
     landing = scratch_path(spark, "landing-cdc")
     files.write_csv_files(ev, landing, files=6, by="event_id")
-    p = pipeline.CdcPipeline(scratch_path(spark, "cdc"), ev.schema, buckets=8,
+    p = pipeline.CdcPipeline(scratch_path(spark, "cdc"), ev.schema,
                              prefix="events", max_files=3, **derived.EVENTS_FEED)
     p.run(spark, landing)
     return p.gold(spark)

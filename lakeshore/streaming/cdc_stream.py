@@ -1,25 +1,26 @@
 """Streaming change apply (T3): SCD type 1 or 2 kept up to date from a
 stream of change rows, equal to the batch form over everything seen so far.
 
-State is a parquet table partitioned by ``__bucket = pmod(hash(K), buckets)``:
-
-* SCD 2 state holds one row per (K, S) with a delete flag. Tombstones stay so
-  that a late row older than a delete is still ordered correctly, and so that a
-  bucket never becomes empty (a dynamic overwrite with no rows would leave the
-  old files in place).
-* SCD 1 state holds one row per K: the change of greatest S, with its flag.
-
-Each micro-batch (``foreachBatch``) dedupes its own rows, reads only the
-buckets it touches, merges, and writes those buckets back with a dynamic
-partition overwrite, which stages its output and replaces the bucket folders at
-job commit. The merge is idempotent (max over a fixed total order), which
-matters because ``foreachBatch`` is at-least-once: a replayed batch changes
-nothing. Rows with a null key or sequence go to a quarantine table.
-
-The public history is a view: the batch SCD 2 window (with its hot-key split)
-over the state. Cost per micro-batch is the size of the touched buckets, so
-choose ``buckets`` so one bucket of state fits a task comfortably (state bytes
-/ buckets ~ 128-512 MB).
+State is log-structured, so a micro-batch costs the size of the batch, not of
+the state, and nothing is ever deleted before its replacement is committed:
+
+* ``log/__batch=<id>/`` — each micro-batch appends its valid change rows
+  (with a delete flag; for SCD 1 first reduced to one row per key, map-side)
+  as its own partition, written by a dynamic partition overwrite, so a replayed
+  batch (``foreachBatch`` is at-least-once) replaces its own earlier attempt;
+* ``base/`` — a compacted state, one row per (K, S) for SCD 2 (tombstones
+  kept, so late rows older than a delete still order correctly) or one row per
+  K for SCD 1, written every ``compact_every`` batches as a new version folder
+  (committed by ``_SUCCESS``) that records the last batch it includes; log
+  partitions up to it are removed only after that commit.
+
+The target is a view: base ∪ log partitions after the base's last batch,
+reduced exactly as the batch operator reduces a change feed (a max over a fixed
+total order, which is idempotent, so duplicates from replays or from a crash
+between compaction and log clean-up change nothing). For SCD 2 that is the
+batch window (one shuffle on the key, hot keys split into chunks); for SCD 1 a
+map-side combined aggregate. Rows with a null key or sequence go to a
+quarantine table.
 """
 
 from __future__ import annotations
@@ -31,9 +32,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeshore.operators import cdc
+from lakeshore.sinks import versioned
 
-BUCKET = "__bucket"
-_SALT = "__salt"
+BATCH = "__batch"
 _DEL = cdc._DEL
 
 
@@ -42,8 +43,7 @@ class ChangeApply:
 
     def __init__(self, state_path: str, keys, sequence_by, scd_type: int | str = 2,
                  apply_as_deletes=None, except_columns: Sequence[str] = (),
-                 buckets: int = 16, quarantine_path: str | None = None,
-                 files_per_bucket: int = 1):
+                 compact_every: int = 10, quarantine_path: str | None = None):
         self.state_path = state_path.rstrip("/")
         self.keys = cdc._names(keys)
         self.seq = cdc._names(sequence_by)
@@ -52,57 +52,35 @@ class ChangeApply:
             raise ValueError(f"scd_type must be 1 or 2, not {scd_type!r}")
         self.apply_as_deletes = apply_as_deletes
         self.except_columns = tuple(except_columns)
-        self.buckets = int(buckets)
-        self.files_per_bucket = max(1, int(files_per_bucket))
+        self.compact_every = int(compact_every)
         self.quarantine_path = quarantine_path or self.state_path + "_quarantine"
+        self.log_path = self.state_path + "/log"
+        self.base_path = self.state_path + "/base"
         self.columns: list[str] | None = None
 
-    # -- merge ---------------------------------------------------------------
-    def _reduce(self, rows: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
-        """Collapse change rows (with ``__is_delete``) to state rows; ``extra``
-        are grouping columns that are functions of the key (bucket, salt)."""
-        extra = list(extra)
-        payload = [c for c in cdc._payload(rows, self.keys, self.seq) if c not in extra]
-        if self.scd_type == "2":
-            group = self.keys + self.seq
-            picked = F.max(F.struct(F.col(_DEL), *[F.col(c) for c in payload])).alias("__r")
-            fields = [_DEL] + payload
-        else:
-            group = list(self.keys)
-            picked = F.max(F.struct(*[F.col(c) for c in self.seq], F.col(_DEL),
-                                    *[F.col(c) for c in payload])).alias("__r")
-            fields = self.seq + [_DEL] + payload
-        return (rows.groupBy(*extra, *group).agg(picked)
-                .select(*extra, *group, *[F.col(f"__r.{c}") for c in fields]))
-
-    def _merge(self, rows: DataFrame) -> DataFrame:
-        """Reduce rows that carry ``__bucket`` with one shuffle whose tasks
-        each hold whole (bucket, salt) groups: the write then makes about
-        ``files_per_bucket`` files per bucket, and a hot key is spread over
-        that many tasks (the salt hashes the whole group key)."""
-        group = self.keys + (self.seq if self.scd_type == "2" else [])
-        salt = F.pmod(F.hash(*[F.col(c) for c in group]), F.lit(self.files_per_bucket))
-        salted = rows.withColumn(_SALT, salt).repartition(F.col(BUCKET), F.col(_SALT))
-        return self._reduce(salted, extra=(BUCKET, _SALT)).drop(_SALT)
-
-    def _bucket(self) -> F.Column:
-        return F.pmod(F.hash(*[F.col(k) for k in self.keys]), F.lit(self.buckets))
-
-    def _state_exists(self, spark: SparkSession) -> bool:
-        from lakeshore.sinks.versioned import _fs
-
-        fs, p = _fs(spark, self.state_path)
-        return bool(fs.exists(p))
+    # -- reduce --------------------------------------------------------------
+    def _reduce_scd1(self, rows: DataFrame) -> DataFrame:
+        """One row per key: the change of greatest (S, delete, payload)."""
+        payload = cdc._payload(rows, self.keys, self.seq)
+        latest = F.max(F.struct(*[F.col(c) for c in self.seq], F.col(_DEL),
+                                *[F.col(c) for c in payload])).alias("__r")
+        return (rows.groupBy(*self.keys).agg(latest)
+                .select(*self.keys, *[F.col(f"__r.{c}") for c in self.seq + [_DEL] + payload]))
 
-    def apply_batch(self, batch: DataFrame, batch_id: int | None = None) -> None:
-        """Merge one batch of change rows into the state (idempotent).
+    def _reduced(self, rows: DataFrame) -> DataFrame:
+        if self.scd_type == "1":
+            return self._reduce_scd1(rows)
+        return cdc._dedupe(rows, self.keys, self.seq)
 
-        Two jobs: a scan of the batch (cached) lists the buckets it touches (at
-        most ``buckets`` values reach the driver) and counts quarantined rows
-        on the way; then the batch and the touched state buckets are reduced
-        in one shuffle and written back. Quarantined rows are written only when
-        there are some, by re-reading the batch."""
+    # -- write ---------------------------------------------------------------
+    def apply_batch(self, batch: DataFrame, batch_id: int | None = None) -> None:
+        """Append one batch of change rows to the state log (idempotent per
+        batch id: a replay replaces its own partition); compact every
+        ``compact_every`` batches. One job in the common case; quarantined
+        rows are counted on the way and written only when there are some."""
         spark = batch.sparkSession
+        if batch_id is None:
+            batch_id = self._next_batch_id(spark)
         if self.columns is None:
             self.columns = list(batch.columns)
         bad_flag = F.lit(False)
@@ -111,73 +89,134 @@ class ChangeApply:
         obs = Observation(f"quarantine_{self.state_path}_{batch_id}")
         observed = batch.observe(obs, F.sum(F.when(bad_flag, 1).otherwise(0)).alias("bad"))
         valid, _ = cdc.split_changes(observed, self.keys, self.seq, self.apply_as_deletes)
-        # A micro-batch is bounded by the trigger's file/byte limits, so it is
-        # cached for its two uses; a lost executor recomputes it from source.
         if self.scd_type == "1":
-            # Collapse the batch to one row per key first: the aggregate
-            # combines map-side, so a key holding much of the batch shrinks to
-            # one row per task before any shuffle (the merge's salt is the key
-            # itself for SCD 1 and could not spread it).
-            valid = self._reduce(valid)
-        valid = valid.withColumn(BUCKET, self._bucket()).persist()
-        try:
-            touched = [r[0] for r in valid.select(BUCKET).distinct().collect()]
-            if (obs.get.get("bad") or 0) > 0:
-                _, bad = cdc.split_changes(batch, self.keys, self.seq, self.apply_as_deletes)
-                bad.write.mode("append").parquet(self.quarantine_path)
-            if not touched:
-                return
-            merged = valid
-            if self._state_exists(spark):
-                old = (spark.read.parquet(self.state_path)
-                       .where(F.col(BUCKET).isin(touched)))
-                merged = old.unionByName(valid.select(*old.columns))
-            (self._merge(merged)
+            # Map-side combined: a key holding much of the batch becomes one
+            # row per task before the shuffle.
+            valid = self._reduce_scd1(valid)
+        else:
+            valid = valid.select(*self.keys, *self.seq, _DEL,
+                                 *cdc._payload(valid, self.keys, self.seq))
+        tag = F.lit(int(batch_id)).cast("long")
+        (valid.withColumn(BATCH, tag)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(BATCH).parquet(self.log_path))
+        if (obs.get.get("bad") or 0) > 0:
+            _, bad = cdc.split_changes(batch, self.keys, self.seq, self.apply_as_deletes)
+            (bad.withColumn(BATCH, tag)
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(BUCKET).parquet(self.state_path))
-        finally:
-            valid.unpersist()
-
-    # -- stream --------------------------------------------------------------
-    def start(self, stream: DataFrame, checkpoint: str, available_now: bool = True,
-              name: str | None = None) -> StreamingQuery:
-        self.columns = list(stream.columns)
-        w = (stream.writeStream.foreachBatch(self.apply_batch)
-             .option("checkpointLocation", checkpoint))
-        if name:
-            w = w.queryName(name)
-        if available_now:
-            w = w.trigger(availableNow=True)
-        return w.start()
+             .partitionBy(BATCH).parquet(self.quarantine_path))
+        if self.compact_every > 0 and (int(batch_id) + 1) % self.compact_every == 0:
+            self.compact(spark)
+
+    def _log_batches(self, spark: SparkSession) -> list[int]:
+        fs, p = versioned._fs(spark, self.log_path)
+        if not fs.exists(p):
+            return []
+        out = []
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith(BATCH + "="):
+                out.append(int(name.split("=", 1)[1]))
+        return sorted(out)
+
+    def _through(self, spark: SparkSession) -> int:
+        return int(versioned.read_meta(spark, self.base_path).get("through_batch", -1))
+
+    def _next_batch_id(self, spark: SparkSession) -> int:
+        seen = self._log_batches(spark)
+        return max([self._through(spark)] + seen) + 1
 
     # -- read ----------------------------------------------------------------
+    def _union(self, spark: SparkSession, upto: int | None = None) -> DataFrame | None:
+        """Base ∪ log partitions after the base's last batch (up to ``upto``),
+        not yet reduced."""
+        parts = []
+        through = -1
+        if versioned.current_path(spark, self.base_path):
+            parts.append(versioned.read_current(spark, self.base_path))
+            through = self._through(spark)
+        if self._log_batches(spark):
+            cond = F.col(BATCH) > F.lit(through)
+            if upto is not None:
+                cond = cond & (F.col(BATCH) <= F.lit(upto))
+            parts.append(spark.read.parquet(self.log_path).where(cond).drop(BATCH))
+        if not parts:
+            return None
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p.select(*out.columns))
+        return out
+
+    def compact(self, spark: SparkSession) -> str | None:
+        """Fold the log into a new base version, then drop the folded log
+        partitions. Safe to interrupt anywhere: until the new version is
+        committed the old base and the log stand; after it, leftover log
+        partitions are ignored (they are at or below the recorded batch)."""
+        batches = self._log_batches(spark)
+        through = self._through(spark)
+        if not batches or batches[-1] <= through:
+            # only leftovers of an interrupted clean-up, if any
+            for b in batches:
+                fs, p = versioned._fs(spark, f"{self.log_path}/{BATCH}={b}")
+                if fs.exists(p):
+                    fs.delete(p, True)
+            return None
+        upto = batches[-1]
+        path = versioned.write_version(self._reduced(self._union(spark, upto)),
+                                       self.base_path, meta={"through_batch": upto})
+        for b in batches:
+            fs, p = versioned._fs(spark, f"{self.log_path}/{BATCH}={b}")
+            if fs.exists(p):
+                fs.delete(p, True)
+        versioned.remove_old_versions(spark, self.base_path, keep=2)
+        return path
+
     def state(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.state_path)
+        """The reduced state (one row per key, or per key and sequence)."""
+        rows = self._union(spark)
+        if rows is None:
+            raise FileNotFoundError(f"no state under {self.state_path}")
+        return self._reduced(rows)
 
     def table(self, spark: SparkSession, **kwargs) -> DataFrame:
         """The target as the batch form would give it: current rows for SCD 1,
         history with ``__START_AT`` / ``__END_AT`` for SCD 2."""
-        cols = self.columns or [c for c in self.state(spark).columns if c not in (BUCKET, _DEL)]
-        state = self.state(spark).select(*cols, _DEL)
+        rows = self._union(spark)
+        if rows is None:
+            raise FileNotFoundError(f"no state under {self.state_path}")
+        cols = self.columns or [c for c in rows.columns if c != _DEL]
         if self.scd_type == "1":
+            state = self._reduce_scd1(rows)
             return cdc._finish(state.where(~F.col(_DEL)), cols, self.except_columns)
-        hist = cdc.scd2(state, self.keys, self.seq, apply_as_deletes=F.col(_DEL),
-                        except_columns=self.except_columns + (_DEL,),
-                        assume_unique=True, **kwargs)
-        return hist
+        # The window operator dedupes (K, S) in the same sort as the lead.
+        return cdc.scd2(rows.select(*cols, _DEL), self.keys, self.seq,
+                        apply_as_deletes=F.col(_DEL),
+                        except_columns=self.except_columns + (_DEL,), **kwargs)
 
     def current(self, spark: SparkSession) -> DataFrame:
         t = self.table(spark)
         return t if self.scd_type == "1" else cdc.current_rows(t)
 
+    # -- stream --------------------------------------------------------------
+    def start(self, stream: DataFrame, checkpoint: str, available_now: bool = True,
+              name: str | None = None) -> StreamingQuery:
+        self.columns = list(stream.columns)
+        w = (stream.writeStream.foreachBatch(self.apply_batch)
+             .option("checkpointLocation", checkpoint))
+        if name:
+            w = w.queryName(name)
+        if available_now:
+            w = w.trigger(availableNow=True)
+        return w.start()
+
 
 def apply_changes_stream(stream: DataFrame, state_path: str, checkpoint: str, keys,
                          sequence_by, scd_type: int | str = 2, apply_as_deletes=None,
-                         except_columns: Sequence[str] = (), buckets: int = 16,
+                         except_columns: Sequence[str] = (), compact_every: int = 10,
                          wait: bool = True) -> ChangeApply:
     """Run a change apply over ``stream`` (availableNow) and return its target."""
     target = ChangeApply(state_path, keys, sequence_by, scd_type, apply_as_deletes,
-                         except_columns, buckets)
+                         except_columns, compact_every)
     q = target.start(stream, checkpoint)
     if wait:
         q.awaitTermination()

@@ -102,7 +102,7 @@ def test_composite_sequence_ties(spark):
 @pytest.mark.parametrize("scd_type", [1, 2])
 def test_stream_batches_equal_batch(spark, scratch, changes, scd_type):
     """Out-of-order batches and a replayed batch give the one-shot result."""
-    target = ChangeApply(scratch("state"), scd_type=scd_type, buckets=4, **FEED)
+    target = ChangeApply(scratch("state"), scd_type=scd_type, compact_every=2, **FEED)
     rows = changes.collect()
     batches = [rows[8:], rows[:4], rows[4:8], rows[:4]]
     for i, b in enumerate(batches):
