@@ -57,6 +57,7 @@ class ChangeApply:
         self.log_path = self.state_path + "/log"
         self.base_path = self.state_path + "/base"
         self.columns: list[str] | None = None
+        self.schema = None
 
     # -- reduce --------------------------------------------------------------
     def _reduce_scd1(self, rows: DataFrame) -> DataFrame:
@@ -83,6 +84,7 @@ class ChangeApply:
             batch_id = self._next_batch_id(spark)
         if self.columns is None:
             self.columns = list(batch.columns)
+            self.schema = batch.schema
         bad_flag = F.lit(False)
         for c in self.keys + self.seq:
             bad_flag = bad_flag | F.col(c).isNull()
@@ -171,19 +173,26 @@ class ChangeApply:
         versioned.remove_old_versions(spark, self.base_path, keep=2)
         return path
 
-    def state(self, spark: SparkSession) -> DataFrame:
-        """The reduced state (one row per key, or per key and sequence)."""
+    def _rows(self, spark: SparkSession) -> DataFrame:
         rows = self._union(spark)
-        if rows is None:
+        if rows is not None:
+            return rows
+        if self.schema is None:
             raise FileNotFoundError(f"no state under {self.state_path}")
-        return self._reduced(rows)
+        # Nothing applied yet (or only quarantined rows): an empty state.
+        empty, _ = cdc.split_changes(spark.createDataFrame([], self.schema), self.keys,
+                                     self.seq, self.apply_as_deletes)
+        return empty.select(*self.keys, *self.seq, _DEL,
+                            *cdc._payload(empty, self.keys, self.seq))
+
+    def state(self, spark: SparkSession) -> DataFrame:
+        """The reduced state (one row per key, or per key and sequence)."""
+        return self._reduced(self._rows(spark))
 
     def table(self, spark: SparkSession, **kwargs) -> DataFrame:
         """The target as the batch form would give it: current rows for SCD 1,
         history with ``__START_AT`` / ``__END_AT`` for SCD 2."""
-        rows = self._union(spark)
-        if rows is None:
-            raise FileNotFoundError(f"no state under {self.state_path}")
+        rows = self._rows(spark)
         cols = self.columns or [c for c in rows.columns if c != _DEL]
         if self.scd_type == "1":
             state = self._reduce_scd1(rows)
@@ -201,6 +210,7 @@ class ChangeApply:
     def start(self, stream: DataFrame, checkpoint: str, available_now: bool = True,
               name: str | None = None) -> StreamingQuery:
         self.columns = list(stream.columns)
+        self.schema = stream.schema
         w = (stream.writeStream.foreachBatch(self.apply_batch)
              .option("checkpointLocation", checkpoint))
         if name:
