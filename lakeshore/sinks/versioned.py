@@ -63,15 +63,34 @@ def read_current(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Small metadata file, written through the Hadoop file system API (no job)."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def read_meta(spark: SparkSession, base: str) -> dict:
     """Metadata stored with the current version ({} when none)."""
     path = current_path(spark, base)
     if path is None:
         return {}
-    fs, p = _fs(spark, path + ".meta")
-    if not fs.exists(p):
-        return {}
-    return json.loads(spark.read.text(path + ".meta").first()[0])
+    text = _read_text(spark, path + ".meta.json")
+    return json.loads(text) if text else {}
 
 
 def write_version(df: DataFrame, base: str, table: str | None = None,
@@ -89,8 +108,7 @@ def write_version(df: DataFrame, base: str, table: str | None = None,
                                       else partition_by))
     if meta is not None:
         # Written first: a version is only current once _SUCCESS exists.
-        spark.createDataFrame([(json.dumps(meta, sort_keys=True),)], "value string") \
-            .coalesce(1).write.mode("overwrite").text(path + ".meta")
+        _write_text(spark, path + ".meta.json", json.dumps(meta, sort_keys=True))
     writer.parquet(path)
     if table:
         register(spark, table, path)
@@ -125,7 +143,7 @@ def remove_old_versions(spark: SparkSession, base: str, keep: int = 2) -> list[s
     for n, _ in dirs:
         if n < cutoff:
             path = version_path(base, n)
-            for target in (path, path + ".meta"):
+            for target in (path, path + ".meta.json"):
                 fs, p = _fs(spark, target)
                 if fs.exists(p):
                     fs.delete(p, True)
