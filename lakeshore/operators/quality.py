@@ -17,6 +17,7 @@ a dataset column as an ordinary (map-side combined) aggregate.
 from __future__ import annotations
 
 import itertools
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -55,11 +56,13 @@ def expect(df: DataFrame, rules, dataset: str = "dataset", action: str = "drop",
     """Apply expectations; returns the result and an ``Observation`` whose
     ``get`` (after the first action on the result) holds, per rule,
     ``passed:<name>`` / ``failed:<name>``, plus ``input_rows`` and
-    ``output_rows``."""
+    ``output_rows``. The counts belong to the first action that runs the
+    result (normally the write of the dataset)."""
     if action not in _ACTIONS:
         raise ValueError(f"action must be one of {_ACTIONS}, not {action!r}")
     rules = _rules(rules)
-    obs = observation or Observation(f"expect_{dataset}_{next(_observation_ids)}")
+    obs = observation or Observation(
+        f"expect_{dataset}_{next(_observation_ids)}_{uuid.uuid4().hex[:8]}")
     ok_all = all_pass(rules)
     metrics = [F.count(F.lit(1)).alias("input_rows")]
     for name, pred in rules:

@@ -39,11 +39,14 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster names it; only when it is unset (tests, the bench) a fresh
-    folder is made and set on the session and the context."""
+    The cluster names it; only when it is unset on a local master (tests, the
+    bench) a fresh folder is made and set on the session and the context. A
+    machine-local folder is useless to a cluster, so there it must be set."""
     sc = spark.sparkContext
     root = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise ValueError(f"set {_CHECKPOINT_KEY} to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="lakeshore-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, root)
     if not sc.getCheckpointDir():

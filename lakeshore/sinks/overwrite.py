@@ -21,6 +21,8 @@ Two physical forms:
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -103,7 +105,7 @@ def replace_where_partitions(path: str, incoming: DataFrame, predicate,
         typed = values.select(*[F.col(c).cast(types[c]).alias(c) for c in partition_cols],
                               "__dir")
         selected = typed.where(F.coalesce(pred, F.lit(False))).collect()
-    obs = Observation("replace_where_partitions")
+    obs = Observation(f"replace_where_partitions_{uuid.uuid4().hex}")
     keys = F.struct(*[F.col(c) for c in partition_cols])
     staged = checked_incoming(incoming.select(*existing.columns), pred) \
         .observe(obs, F.collect_set(keys).alias("written"))

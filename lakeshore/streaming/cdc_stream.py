@@ -25,6 +25,7 @@ quarantine table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -88,7 +89,7 @@ class ChangeApply:
         bad_flag = F.lit(False)
         for c in self.keys + self.seq:
             bad_flag = bad_flag | F.col(c).isNull()
-        obs = Observation(f"quarantine_{self.state_path}_{batch_id}")
+        obs = Observation(f"quarantine_{batch_id}_{uuid.uuid4().hex}")
         observed = batch.observe(obs, F.sum(F.when(bad_flag, 1).otherwise(0)).alias("bad"))
         valid, _ = cdc.split_changes(observed, self.keys, self.seq, self.apply_as_deletes)
         if self.scd_type == "1":
