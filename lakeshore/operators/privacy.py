@@ -44,7 +44,7 @@ def pseudonymize(df: DataFrame, column: str, out: str = "customer_pseudo_id",
     value = F.col(column).cast("string")
     if salt:
         value = F.concat(F.lit(salt), value)
-    return df.withColumn(out, F.sha2(value, 256))
+    return df.withColumn(out, F.sha2(value, 256))  # same as functions.pseudonym
 
 
 @F.pandas_udf(StringType())

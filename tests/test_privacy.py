@@ -118,3 +118,14 @@ def test_persistent_function_and_view(spark, people, scratch):
                   "(SELECT new_encryption_key(ID) AS k FROM lk_gdpr.keys)").first()[0]
     assert n == 5
     catalog.drop_schema(spark, "lk_gdpr", cascade=True)
+
+
+def test_functions_namespace(spark, people):
+    from lakeshore import functions as LF
+
+    got = people.select("ID", LF.pseudonym("EMAIL").alias("p")).collect()
+    want = {r.ID: r.customer_pseudo_id
+            for r in privacy.pseudonymize(people, "EMAIL").collect()}
+    assert all(r.p == want[r.ID] for r in got)
+    LF.register(spark)
+    assert spark.sql("SELECT decrypt_val('', 'x') AS v").first().v == ""
