@@ -43,12 +43,18 @@ def q_gold_current(spark, d):
     return gold
 
 
-def q_history_lookup(spark, d):
-    return derived.events_history(spark, d).where(F.col("user_id") == 89)
+def q_current_between(spark, d):
+    return derived.events_current(spark, d).where(F.col("value").between(10.0, 20.0))
 
 
-def q_current_between(spark, d):
-    return derived.events_current(spark, d).where(F.col("user_id").between(71, 76))
+def q_partition_lookup(spark, d):
+    """Equality on the partition column of a ``partitionBy`` table: only the
+    matching partition folder is read (F1, K2, partition pruning)."""
+    cust = table(spark, d, "customer")
+    path = scratch_path(spark, "customer-by-segment")
+    cust.write.partitionBy("c_mktsegment").parquet(path)
+    return spark.read.parquet(path).where(F.col("c_mktsegment") == "BUILDING") \
+        .select(*cust.columns)
 
 
 def _landed_events(spark, d, files_n=6) -> tuple[str, DataFrame]:
@@ -294,7 +300,7 @@ QUERIES: dict[str, Query] = {
     "scd1_current": q_scd1_current,
     "scd2_composite": q_scd2_composite,
     "gold_current": q_gold_current,
-    "history_lookup": q_history_lookup,
+    "partition_lookup": q_partition_lookup,
     "current_between": q_current_between,
     "scd1_stream": q_scd1_stream,
     "scd2_stream": q_scd2_stream,
@@ -426,8 +432,8 @@ ORACLES: dict[str, str] = {
     "scd1_current": _SCD1_EVENTS,
     "scd2_composite": _SCD2_ORDERS,
     "gold_current": f"SELECT * FROM ({_SCD2_EVENTS}) WHERE __END_AT IS NULL",
-    "history_lookup": f"SELECT * FROM ({_SCD2_EVENTS}) WHERE user_id = 89",
-    "current_between": f"SELECT * FROM ({_SCD1_EVENTS}) WHERE user_id BETWEEN 71 AND 76",
+    "partition_lookup": "SELECT * FROM customer WHERE c_mktsegment = 'BUILDING'",
+    "current_between": f"SELECT * FROM ({_SCD1_EVENTS}) WHERE value BETWEEN 10.0 AND 20.0",
     "scd1_stream": _SCD1_EVENTS,
     "scd2_stream": _SCD2_EVENTS,
     "expect_or_drop": "SELECT * FROM lineitem WHERE coalesce(l_discount <= 0.05, false)",

@@ -114,3 +114,19 @@ def test_stream_batches_equal_batch(spark, scratch, changes, scd_type):
         sorted(map(tuple, want.collect()), key=repr)
     # the two bad rows sit in batch 0 only
     assert spark.read.parquet(target.quarantine_path).count() == 2
+
+
+def test_point_lookup_of_history_is_pushed_to_the_scan(spark):
+    """One key's history; the key filter reaches the parquet scan through
+    the window (the window is partitioned by the key)."""
+    import contextlib
+    import io
+
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    hist = cdc.scd2(ev, ["user_id"], ["ts"], "event_type = 'error'")
+    one = hist.where(F.col("user_id") == 7)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        one.explain()
+    assert "EqualTo(user_id,7)" in buf.getvalue()
+    assert one.count() == hist.where("user_id = 7").count() > 0
