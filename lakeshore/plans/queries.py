@@ -57,22 +57,23 @@ def q_partition_lookup(spark, d):
         .select(*cust.columns)
 
 
-def _landed_events(spark, d, files_n=6) -> tuple[str, DataFrame]:
-    """Land ``events`` as parquet files in random key order for a stream."""
-    events = table(spark, d, "events")
-    landing = scratch_path(spark, "landing-events")
-    events.repartition(files_n, F.col("event_id")).write.parquet(landing)
-    return landing, events
-
-
-def _stream_apply(spark, d, scd_type) -> cdc_stream.ChangeApply:
-    landing, events = _landed_events(spark, d)
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2) \
+def _landed(spark, d, name, by, files_n=6) -> tuple[str, DataFrame]:
+    """Land a table as parquet files in random key order for a stream."""
+    src = table(spark, d, name)
+    landing = scratch_path(spark, f"landing-{name}")
+    src.repartition(files_n, F.col(by)).write.parquet(landing)
+    return landing, src
+
+
+def _stream_apply(spark, d, scd_type, name="events", by="event_id",
+                  feed=derived.EVENTS_FEED) -> cdc_stream.ChangeApply:
+    landing, src = _landed(spark, d, name, by)
+    stream = spark.readStream.schema(src.schema).option("maxFilesPerTrigger", 2) \
         .parquet(landing)
     return cdc_stream.apply_changes_stream(
-        stream, scratch_path(spark, f"scd{scd_type}-state"),
-        scratch_path(spark, f"scd{scd_type}-ckpt"), scd_type=scd_type, compact_every=2,
-        **derived.EVENTS_FEED)
+        stream, scratch_path(spark, f"{name}-scd{scd_type}-state"),
+        scratch_path(spark, f"{name}-scd{scd_type}-ckpt"), scd_type=scd_type,
+        compact_every=2, **feed)
 
 
 def q_scd1_stream(spark, d):
@@ -83,6 +84,10 @@ def q_scd2_stream(spark, d):
     return _stream_apply(spark, d, 2).table(spark)
 
 
+def q_scd2_composite_stream(spark, d):
+    return _stream_apply(spark, d, 2, "orders", "o_orderkey", derived.ORDERS_FEED).table(spark)
+
+
 # -- quality and event log ---------------------------------------------------
 
 def q_expect_or_drop(spark, d):
@@ -304,6 +309,7 @@ QUERIES: dict[str, Query] = {
     "current_between": q_current_between,
     "scd1_stream": q_scd1_stream,
     "scd2_stream": q_scd2_stream,
+    "scd2_composite_stream": q_scd2_composite_stream,
     "expect_or_drop": q_expect_or_drop,
     "dq_metrics": q_dq_metrics,
     "event_log": q_event_log,
@@ -436,6 +442,7 @@ ORACLES: dict[str, str] = {
     "current_between": f"SELECT * FROM ({_SCD1_EVENTS}) WHERE value BETWEEN 10.0 AND 20.0",
     "scd1_stream": _SCD1_EVENTS,
     "scd2_stream": _SCD2_EVENTS,
+    "scd2_composite_stream": _SCD2_ORDERS,
     "expect_or_drop": "SELECT * FROM lineitem WHERE coalesce(l_discount <= 0.05, false)",
     "dq_metrics": _DQ_METRICS,
     "event_log": _EVENT_LOG,
