@@ -172,8 +172,7 @@ def encrypt_table(base: str, keys: DataFrame, id_column: str, columns,
     """Encrypt the current version of a versioned table into its next version
     (the read-transform-overwrite of G4 + K4). Refuses a second pass over a
     column that is already encrypted."""
-    from lakeshore.sinks import versioned as v
-
+    v = versioned
     spark = keys.sparkSession
     columns = [columns] if isinstance(columns, str) else list(columns)
     meta = v.read_meta(spark, base)

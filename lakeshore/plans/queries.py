@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshore.operators import cdc, eventlog, joins, privacy, quality
+from lakeshore.operators import eventlog, joins, privacy, quality
 from lakeshore.plans import derived, pipeline
 from lakeshore.session import scratch_path
 from lakeshore.sinks import overwrite, versioned
@@ -126,7 +126,6 @@ def q_pipeline_report(spark, d):
     base = scratch_path(spark, "gold")
     versioned.write_version(gold, base)
     got = obs.get
-    name, _ = derived.RECENT_RECORD
     exps = quality.observed_expectations(obs, [derived.RECENT_RECORD], "gold")
     log_path = scratch_path(spark, "event-log")
     eventlog.append_events(eventlog.flow_event(spark, "gold", "COMPLETED",

@@ -130,3 +130,25 @@ def test_point_lookup_of_history_is_pushed_to_the_scan(spark):
         one.explain()
     assert "EqualTo(user_id,7)" in buf.getvalue()
     assert one.count() == hist.where("user_id = 7").count() > 0
+
+
+def test_hot_key_split_under_sampling(spark):
+    """A key holding about a third of the rows, split from a real sample
+    (fraction < 1), equals the unsplit window."""
+    n = 30_000
+    df = (spark.range(n)
+          .select(F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 500 + 2)
+                  .alias("customer_id"),
+                  F.concat(F.lit("c"), F.col("id").cast("string")).alias("city"),
+                  F.when(F.col("id") % 11 == 0, F.lit("DELETE")).otherwise(F.lit("UPDATE"))
+                  .alias("operation"),
+                  (F.col("id") * 7 % n).alias("seq")))
+    plain = cdc.scd2(df, rows_per_task=None, **FEED)
+    split = cdc.scd2(df, rows_per_task=1_000, **FEED)
+    cols = ["customer_id", "seq", "__START_AT", "__END_AT"]
+    assert split.select(*cols).exceptAll(plain.select(*cols)).count() == 0
+    assert plain.select(*cols).exceptAll(split.select(*cols)).count() == 0
+    splits, m = cdc._hot_key_splits(
+        cdc.split_changes(df, ["customer_id"], ["seq"], "operation = 'DELETE'")[0],
+        ["customer_id"], ["seq"], 1_000)
+    assert splits is not None and m >= 5
