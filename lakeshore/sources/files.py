@@ -38,14 +38,22 @@ def capture_schema(spark: SparkSession, path: str, header: bool = True,
 
 
 def stream_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
-               header: bool = True, max_files: int | None = None) -> DataFrame:
+               header: bool = True, max_files: int | None = None,
+               archive_dir: str | None = None) -> DataFrame:
     """Incremental CSV source over a folder (S5, S6, T1): each micro-batch
-    takes files not seen before; the checkpoint of the sink remembers them."""
+    takes files not seen before; the checkpoint of the sink remembers them.
+
+    The source lists the folder every micro-batch, so a landing folder that
+    only grows makes listing ever slower; ``archive_dir`` moves files out once
+    their batch is committed (Spark's ``cleanSource=archive``), which keeps the
+    listing to what has not been ingested yet."""
     if schema is None:
         schema = capture_schema(spark, path, header=header)
     reader = spark.readStream.schema(schema).option("header", header).options(**CSV_OPTIONS)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", int(max_files))
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return reader.csv(path)
 
 

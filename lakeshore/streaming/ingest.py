@@ -35,13 +35,15 @@ def start_append(stream: DataFrame, target_path: str, checkpoint: str,
 
 def ingest_csv(spark: SparkSession, source_dir: str, target_path: str, checkpoint: str,
                schema=None, header: bool = True, max_files: int | None = None,
-               table: str | None = None, wait: bool = True) -> StreamingQuery:
+               table: str | None = None, wait: bool = True,
+               archive_dir: str | None = None) -> StreamingQuery:
     """CSV folder → parquet table, incrementally (the bronze step).
 
     With ``wait`` the call returns once all files present are ingested; only
     then is ``table`` registered over the target, so a reader never sees a
     table the stream has not written yet."""
-    stream = stream_csv(spark, source_dir, schema=schema, header=header, max_files=max_files)
+    stream = stream_csv(spark, source_dir, schema=schema, header=header, max_files=max_files,
+                        archive_dir=archive_dir)
     q = start_append(stream, target_path, checkpoint, available_now=True,
                      name=table)
     if wait:

@@ -86,3 +86,14 @@ def test_dataset_declaration(spark, scratch):
     catalog.drop_table(spark, "lk_test.people")
     assert spark.read.parquet(ds.path).count() == 15  # external: files stay
     catalog.drop_schema(spark, "lk_test", cascade=True)
+
+
+def test_ingest_archives_processed_files(spark, scratch):
+    landing, target, ckpt, archive = scratch("land"), scratch("t"), scratch("c"), scratch("a")
+    files.write_csv_files(files.people(spark, 30), landing, files=3)
+    ingest.ingest_csv(spark, landing, target, ckpt, max_files=1, archive_dir=archive)
+    assert spark.read.parquet(target).count() == 30
+    # committed files leave the landing folder (the last batch's files go
+    # when the next batch commits, so at most one batch's files remain)
+    remaining = [f for f in spark.read.option("header", True).csv(landing).inputFiles()]
+    assert len(remaining) <= 1
