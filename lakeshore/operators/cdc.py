@@ -31,6 +31,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 START_AT = "__START_AT"
 END_AT = "__END_AT"
@@ -74,11 +75,39 @@ def _payload(df: DataFrame, keys, seq) -> list[str]:
     return [c for c in df.columns if c.lower() not in skip]
 
 
+def _has_map(dt: DataType) -> bool:
+    if isinstance(dt, MapType):
+        return True
+    if isinstance(dt, ArrayType):
+        return _has_map(dt.elementType)
+    if isinstance(dt, StructType):
+        return any(_has_map(f.dataType) for f in dt.fields)
+    return False
+
+
+def _orderable(df: DataFrame, name: str) -> Column:
+    """The column as a sort key: maps are not orderable in Spark, so a column
+    holding one is compared through its JSON text."""
+    if _has_map(df.schema[name].dataType):
+        return F.to_json(F.col(name))
+    return F.col(name)
+
+
+def latest_of(df: DataFrame, cols: Sequence[str]) -> Column:
+    """Aggregate: the struct of ``cols`` of the greatest row, ordered by
+    ``cols`` in turn (nulls lowest). ``max(struct)`` when every column is
+    orderable, else ``max_by`` with map columns compared as JSON text."""
+    value = F.struct(*[F.col(c) for c in cols])
+    if any(_has_map(df.schema[c].dataType) for c in cols):
+        return F.max_by(value, F.struct(*[_orderable(df, c).alias(c) for c in cols]))
+    return F.max(value)
+
+
 def _dedupe(valid: DataFrame, keys, seq) -> DataFrame:
     """One row per (K, S): a delete wins, then the greatest payload. The
     aggregate combines map-side, so replayed copies never reach the shuffle."""
     payload = _payload(valid, keys, seq)
-    picked = F.max(F.struct(F.col(_DEL), *[F.col(c) for c in payload])).alias("__r")
+    picked = latest_of(valid, [_DEL] + payload).alias("__r")
     return (valid.groupBy(*keys, *seq).agg(picked)
             .select(*keys, *seq, *[F.col(f"__r.{c}") for c in [_DEL] + payload]))
 
@@ -89,8 +118,7 @@ def scd1(source: DataFrame, keys, sequence_by, apply_as_deletes=None,
     keys, seq = _names(keys), _names(sequence_by)
     valid, _ = split_changes(source, keys, seq, apply_as_deletes)
     payload = _payload(valid, keys, seq)
-    latest = F.max(F.struct(*[F.col(c) for c in seq], F.col(_DEL),
-                            *[F.col(c) for c in payload])).alias("__r")
+    latest = latest_of(valid, seq + [_DEL] + payload).alias("__r")
     out = (valid.groupBy(*keys).agg(latest)
            .where(~F.col(f"__r.{_DEL}"))
            .select(*keys, *[F.col(f"__r.{c}") for c in seq + payload]))
@@ -144,11 +172,11 @@ def _chunk_index(splits: Column, seq_value: Column, max_splits: int) -> Column:
     return pos
 
 
-def _latest_first(keys, seq, payload) -> list[Column]:
+def _latest_first(df: DataFrame, payload) -> list[Column]:
     """Order inside one (K, S): a delete first, then the greatest payload
-    (nulls last), the same total order as ``max(struct(...))`` in
+    (nulls last), the same total order as :func:`latest_of` in
     :func:`_dedupe`."""
-    return [F.col(_DEL).desc()] + [F.col(c).desc() for c in payload]
+    return [F.col(_DEL).desc()] + [_orderable(df, c).desc() for c in payload]
 
 
 def scd2(source: DataFrame, keys, sequence_by, apply_as_deletes=None,
@@ -185,7 +213,7 @@ def scd2(source: DataFrame, keys, sequence_by, apply_as_deletes=None,
 
     staged = staged.repartition(*[F.col(c) for c in part])
     if not assume_unique:
-        w_dup = Window.partitionBy(*part, *seq).orderBy(*_latest_first(keys, seq, payload))
+        w_dup = Window.partitionBy(*part, *seq).orderBy(*_latest_first(staged, payload))
         staged = (staged.withColumn("__rn", F.row_number().over(w_dup))
                   .where(F.col("__rn") == 1).drop("__rn"))
     w = Window.partitionBy(*part).orderBy(*seq)

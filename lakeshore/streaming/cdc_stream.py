@@ -64,8 +64,7 @@ class ChangeApply:
     def _reduce_scd1(self, rows: DataFrame) -> DataFrame:
         """One row per key: the change of greatest (S, delete, payload)."""
         payload = cdc._payload(rows, self.keys, self.seq)
-        latest = F.max(F.struct(*[F.col(c) for c in self.seq], F.col(_DEL),
-                                *[F.col(c) for c in payload])).alias("__r")
+        latest = cdc.latest_of(rows, self.seq + [_DEL] + payload).alias("__r")
         return (rows.groupBy(*self.keys).agg(latest)
                 .select(*self.keys, *[F.col(f"__r.{c}") for c in self.seq + [_DEL] + payload]))
 
