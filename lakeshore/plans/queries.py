@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshore.operators import eventlog, joins, privacy, quality
-from lakeshore.plans import derived, pipeline
+from lakeshore.plans import derived, pipeline, privacy_flow
 from lakeshore.session import scratch_path
 from lakeshore.sinks import overwrite, versioned
 from lakeshore.sources import files
@@ -201,16 +201,12 @@ def q_encrypt_hides(spark, d):
 
 
 def q_admin_view(spark, d):
-    cust = table(spark, d, "customer")
-    base = scratch_path(spark, "customer-v")
-    versioned.write_version(cust, base, table="customer_raw")
-    keys = _keys(spark, d)
-    keys.createOrReplaceTempView("customer_keys")
-    privacy.encrypt_table(base, keys, "c_custkey", ["c_name"], table="customer_raw")
-    privacy.register_sql_functions(spark)
-    privacy.create_clear_view(spark, "customer_raw", "customer_keys", "c_custkey",
-                              ["c_name"], "customer_admin")
-    return spark.table("customer_admin")
+    """The whole privacy flow over ``customer``: pseudonym, keys, encrypted
+    table version, decrypting admin view; returns the admin view."""
+    out = privacy_flow.protect(spark, table(spark, d, "customer"),
+                               scratch_path(spark, "gdpr"), "customer_protected",
+                               "c_custkey", ["c_name"], pseudonym_of="c_name")
+    return spark.table(out.clear_view)
 
 
 # -- joins, aggregates, projections ------------------------------------------
@@ -457,7 +453,7 @@ ORACLES: dict[str, str] = {
     "encrypt_roundtrip": "SELECT * FROM customer",
     "encrypt_hides": ("SELECT CAST(0 AS BIGINT) AS n_same, count(*) AS n_rows, "
                       "count(*) AS n_distinct_cipher FROM customer"),
-    "admin_view": "SELECT * FROM customer",
+    "admin_view": "SELECT *, sha256(c_name) AS customer_pseudo_id FROM customer",
     "star_join": ("SELECT c.*, n.n_name FROM customer c "
                   "JOIN nation n ON c.c_nationkey = n.n_nationkey"),
     "join_broadcast": _JOIN_OC,

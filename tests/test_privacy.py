@@ -129,3 +129,18 @@ def test_functions_namespace(spark, people):
     assert all(r.p == want[r.ID] for r in got)
     LF.register(spark)
     assert spark.sql("SELECT decrypt_val('', 'x') AS v").first().v == ""
+
+
+def test_protect_flow_rerun_refused(spark, people, scratch):
+    from lakeshore.plans import privacy_flow
+
+    root = scratch("flow")
+    out = privacy_flow.protect(spark, people, root, "cust_p", "ID", ["EMAIL"],
+                               pseudonym_of="EMAIL")
+    clear = {(r.ID, r.EMAIL) for r in spark.table(out.clear_view).collect()}
+    assert clear == set(SUBJECTS)
+    masked = {r.EMAIL for r in spark.table(out.table).collect()}
+    assert not masked & {e for _, e in SUBJECTS if e}
+    assert "customer_pseudo_id" in spark.table(out.table).columns
+    with pytest.raises(ValueError, match="already encrypted"):
+        privacy.encrypt_table(out.base, spark.table(out.keys_view), "ID", ["EMAIL"])
