@@ -64,9 +64,10 @@ def flow_event(spark: SparkSession, dataset: str, status: str, output_rows: int,
         details_json(F.col("status"), F.col("out"), F.col("dropped"), exp_col).alias("details"))
 
 
-def append_events(events: DataFrame, log_path: str) -> None:
-    """Append events to the log table (parquet)."""
-    events.select(*LOG_COLUMNS).write.mode("append").parquet(log_path)
+def append_events(events: DataFrame, log_path: str, files: int = 1) -> None:
+    """Append events to the log table (parquet). Flow events come a few per
+    pipeline run, so each append is one small file."""
+    events.select(*LOG_COLUMNS).coalesce(files).write.mode("append").parquet(log_path)
 
 
 def read_log(spark: SparkSession, log_path: str) -> DataFrame:
