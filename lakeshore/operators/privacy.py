@@ -66,15 +66,31 @@ def subject_keys(df: DataFrame, id_column: str, existing: DataFrame | None = Non
     return ids.withColumn(key_column, new_key(F.col(id_column)))
 
 
+def read_keys(spark: SparkSession, key_path: str, id_column: str,
+              key_column: str = KEY_COLUMN) -> DataFrame:
+    """The key table, one key per subject.
+
+    Appends from two writers racing on a new subject could store two keys for
+    it; every reader picks the same one (earliest written, then smallest), and
+    since encryption only ever uses keys read back this way, data is never
+    encrypted with the other. The aggregate hash-partitions by the subject id,
+    which is the partitioning the encryption join needs anyway."""
+    raw = spark.read.parquet(key_path)
+    pick = F.min_by(F.col(key_column), F.struct(F.col("created_at"), F.col(key_column)))
+    return raw.groupBy(id_column).agg(pick.alias(key_column))
+
+
 def store_keys(df: DataFrame, id_column: str, key_path: str,
                key_column: str = KEY_COLUMN) -> DataFrame:
     """Append keys for subjects of ``df`` that have none to the key table at
     ``key_path`` and return the stored table (read back, so fixed)."""
     spark = df.sparkSession
     fs, p = versioned._fs(spark, key_path)
-    existing = spark.read.parquet(key_path) if fs.exists(p) else None
-    subject_keys(df, id_column, existing, key_column).write.mode("append").parquet(key_path)
-    return spark.read.parquet(key_path)
+    existing = read_keys(spark, key_path, id_column, key_column) if fs.exists(p) else None
+    (subject_keys(df, id_column, existing, key_column)
+     .withColumn("created_at", F.current_timestamp())
+     .write.mode("append").parquet(key_path))
+    return read_keys(spark, key_path, id_column, key_column)
 
 
 def _key_bytes(key: Column) -> Column:

@@ -6,7 +6,9 @@ its ``_SUCCESS`` marker; a failed or lost job leaves a folder without the marker
 which readers ignore and the next write skips over. So a read-transform-write of
 the same table never reads and overwrites one folder (which would delete the
 input first), a reader that already resolved a version keeps it, and a crash
-mid-write leaves the previous version current.
+mid-write leaves the previous version current. Version numbers are reserved
+by creating a claim file exclusively, so concurrent writers get distinct
+folders (the last committed one is current).
 
 The catalog name is a view over the current version folder; re-pointing the
 view after the write is the commit visible to SQL users. A schema change in the
@@ -93,6 +95,20 @@ def read_meta(spark: SparkSession, base: str) -> dict:
     return json.loads(text) if text else {}
 
 
+def _claim(spark: SparkSession, base: str, n: int, attempts: int = 100) -> int:
+    """Reserve version number ``n`` (or the next free one) by creating its
+    claim file exclusively, so two writers never pick the same folder."""
+    for k in range(n, n + attempts):
+        fs, p = _fs(spark, f"{version_path(base, k)}.claim")
+        try:
+            fs.create(p, False).close()
+            return k
+        except Exception as e:  # FileAlreadyExistsException from the JVM
+            if "AlreadyExists" not in str(e) and "already exists" not in str(e):
+                raise
+    raise RuntimeError(f"could not claim a version under {base}")
+
+
 def write_version(df: DataFrame, base: str, table: str | None = None,
                   partition_by=None, meta: dict | None = None) -> str:
     """Write ``df`` as the next version of ``base`` and re-point ``table``.
@@ -100,7 +116,7 @@ def write_version(df: DataFrame, base: str, table: str | None = None,
     Returns the new version's path."""
     spark = df.sparkSession
     existing = _version_dirs(spark, base)
-    n = (existing[-1][0] + 1) if existing else 1
+    n = _claim(spark, base, (existing[-1][0] + 1) if existing else 1)
     path = version_path(base, n)
     writer = df.write.mode("errorifexists")
     if partition_by:
@@ -143,7 +159,7 @@ def remove_old_versions(spark: SparkSession, base: str, keep: int = 2) -> list[s
     for n, _ in dirs:
         if n < cutoff:
             path = version_path(base, n)
-            for target in (path, path + ".meta.json"):
+            for target in (path, path + ".meta.json", path + ".claim"):
                 fs, p = _fs(spark, target)
                 if fs.exists(p):
                     fs.delete(p, True)

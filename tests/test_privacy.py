@@ -144,3 +144,22 @@ def test_protect_flow_rerun_refused(spark, people, scratch):
     assert "customer_pseudo_id" in spark.table(out.table).columns
     with pytest.raises(ValueError, match="already encrypted"):
         privacy.encrypt_table(out.base, spark.table(out.keys_view), "ID", ["EMAIL"])
+
+
+def test_duplicate_keys_resolve_to_one(spark, people, scratch):
+    path = scratch("dupkeys")
+    # two writers racing: both append a key for subject 1
+    for _ in range(2):
+        privacy.subject_keys(people.where("ID = '1'"), "ID").withColumn(
+            "created_at", F.current_timestamp()).write.mode("append").parquet(path)
+    assert spark.read.parquet(path).count() == 2
+    k1 = privacy.read_keys(spark, path, "ID").collect()
+    k2 = privacy.read_keys(spark, path, "ID").collect()
+    assert len(k1) == 1 and k1 == k2
+
+
+def test_concurrent_version_claims(spark, scratch):
+    base = scratch("claims")
+    a = versioned._claim(spark, base, 1)
+    b = versioned._claim(spark, base, 1)
+    assert (a, b) == (1, 2)
