@@ -183,6 +183,28 @@ def create_clear_view(spark: SparkSession, table: str, keys_table: str, id_colum
               f"LEFT JOIN {keys_table} k ON t.`{id_column}` = k.`{id_column}`")
 
 
+def create_masked_and_clear_views(spark: SparkSession, table: str, keys_table: str,
+                                  id_column: str, columns, schema: str | None = None,
+                                  persistent: bool = False) -> tuple[str, str]:
+    """Two views over one encrypted table (G8): ``<table>_masked`` as stored
+    (cipher text) for ordinary readers and ``<table>_admin`` decrypted, both in
+    ``schema`` when given. Returns their names."""
+    prefix = f"{schema}." if schema else ""
+    base_name = table.split(".")[-1]
+    masked, clear = f"{prefix}{base_name}_masked", f"{prefix}{base_name}_admin"
+    kind = "VIEW" if persistent else "TEMPORARY VIEW"
+    if schema and persistent:
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+    if not persistent:
+        masked, clear = masked.replace(".", "_"), clear.replace(".", "_")
+    spark.sql(f"CREATE OR REPLACE {kind} {masked} AS SELECT * FROM {table}")
+    fn = f"{schema}.decrypt_val" if (schema and persistent) else "decrypt_val"
+    register_sql_functions(spark, persistent=persistent, name=fn)
+    create_clear_view(spark, table, keys_table, id_column, columns, clear,
+                      persistent=persistent, function=fn)
+    return masked, clear
+
+
 def encrypt_table(base: str, keys: DataFrame, id_column: str, columns,
                   table: str | None = None, key_column: str = KEY_COLUMN) -> str:
     """Encrypt the current version of a versioned table into its next version

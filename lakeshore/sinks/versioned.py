@@ -131,6 +131,10 @@ def write_version(df: DataFrame, base: str, table: str | None = None,
     return path
 
 
+# The name the blueprint uses for a read-transform-overwrite (K4).
+overwrite_version = write_version
+
+
 def register(spark: SparkSession, table: str, path: str, persistent: bool = False) -> None:
     """Point a catalog name at a parquet folder (K6, K9): a temp view by default,
     a persistent view when the session has a persistent catalog."""

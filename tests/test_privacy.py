@@ -163,3 +163,13 @@ def test_concurrent_version_claims(spark, scratch):
     a = versioned._claim(spark, base, 1)
     b = versioned._claim(spark, base, 1)
     assert (a, b) == (1, 2)
+
+
+def test_masked_and_clear_views(spark, people, scratch):
+    keys = privacy.store_keys(people, "ID", scratch("k"))
+    keys.createOrReplaceTempView("mc_keys")
+    privacy.encrypt_columns(people, keys, "ID", ["EMAIL"]).createOrReplaceTempView("mc_cust")
+    masked, clear = privacy.create_masked_and_clear_views(spark, "mc_cust", "mc_keys", "ID",
+                                                          ["EMAIL"])
+    assert {tuple(r) for r in spark.table(clear).collect()} == set(SUBJECTS)
+    assert spark.table(masked).where("EMAIL = 'a@x.org'").count() == 0
