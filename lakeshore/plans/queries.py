@@ -209,6 +209,18 @@ def q_admin_view(spark, d):
     return spark.table(out.clear_view)
 
 
+def q_sql_decrypt(spark, d):
+    """Decryption from SQL with the ``decrypt_val`` function over the
+    protected table and its keys (G6), as a SQL user writes it."""
+    out = privacy_flow.protect(spark, table(spark, d, "customer"),
+                               scratch_path(spark, "gdpr-sql"), "customer_sql",
+                               "c_custkey", ["c_name"], pseudonym_of="c_name")
+    return spark.sql(f"""
+        SELECT a.c_custkey AS ID, decrypt_val(a.c_name, e.encryption_key) AS email,
+               a.customer_pseudo_id
+        FROM {out.table} AS a INNER JOIN {out.keys_view} AS e ON e.c_custkey = a.c_custkey""")
+
+
 # -- joins, aggregates, projections ------------------------------------------
 
 def q_star_join(spark, d):
@@ -319,6 +331,7 @@ QUERIES: dict[str, Query] = {
     "encrypt_roundtrip": q_encrypt_roundtrip,
     "encrypt_hides": q_encrypt_hides,
     "admin_view": q_admin_view,
+    "sql_decrypt": q_sql_decrypt,
     "star_join": q_star_join,
     "join_broadcast": q_join_broadcast,
     "join_sortmerge": q_join_sortmerge,
@@ -454,6 +467,8 @@ ORACLES: dict[str, str] = {
     "encrypt_hides": ("SELECT CAST(0 AS BIGINT) AS n_same, count(*) AS n_rows, "
                       "count(*) AS n_distinct_cipher FROM customer"),
     "admin_view": "SELECT *, sha256(c_name) AS customer_pseudo_id FROM customer",
+    "sql_decrypt": ("SELECT c_custkey AS ID, c_name AS email, sha256(c_name) AS customer_pseudo_id "
+                    "FROM customer"),
     "star_join": ("SELECT c.*, n.n_name FROM customer c "
                   "JOIN nation n ON c.c_nationkey = n.n_nationkey"),
     "join_broadcast": _JOIN_OC,
