@@ -34,7 +34,7 @@ class CdcPipeline:
     def __init__(self, root: str, schema: StructType, keys, sequence_by,
                  apply_as_deletes=None, except_columns: Sequence[str] = (),
                  compact_every: int = 10, prefix: str = "customer",
-                 max_files: int | None = None):
+                 max_files: int | None = None, materialize: bool = True):
         self.root = root.rstrip("/")
         self.schema = schema
         self.prefix = prefix
@@ -47,6 +47,12 @@ class CdcPipeline:
         self.scd1 = ChangeApply(f"{self.root}/tables/silver_scd1", scd_type=1, **feed)
         self.scd2 = ChangeApply(f"{self.root}/tables/silver_scd2", scd_type=2, **feed)
         self.gold_base = f"{self.root}/tables/gold_scd2"
+        # Silver targets are views over their state; with ``materialize`` each
+        # run also writes them as table versions, so the window over the whole
+        # history runs once per run, not once per reader.
+        self.materialize = materialize
+        self.silver_bases = {"silver_scd1": f"{self.root}/tables/silver_scd1_table",
+                             "silver_scd2": f"{self.root}/tables/silver_scd2_table"}
         self.log_path = f"{self.root}/system/events"
 
     def _ckpt(self, name: str) -> str:
@@ -74,7 +80,10 @@ class CdcPipeline:
             if sq.exception() is not None:
                 raise sq.exception()
             self._event(spark, f"{self.prefix}_{name}", self._rows(sq))
-        gold, obs = quality.expect_or_drop(self.scd2.table(spark), *RECENT_RECORD,
+            if self.materialize:
+                versioned.write_version(target.table(spark), self.silver_bases[name])
+                versioned.remove_old_versions(spark, self.silver_bases[name], keep=2)
+        gold, obs = quality.expect_or_drop(self.silver(spark, 2), *RECENT_RECORD,
                                            dataset=f"{self.prefix}_gold")
         path = versioned.write_version(gold, self.gold_base)
         got = obs.get
@@ -84,6 +93,15 @@ class CdcPipeline:
                                                   f"{self.prefix}_gold"))
         return path
 
+    def silver(self, spark: SparkSession, scd_type: int) -> DataFrame:
+        """The silver SCD 1 table or SCD 2 history (materialized version when
+        there is one, else the view over the state)."""
+        name, target = (("silver_scd1", self.scd1) if scd_type == 1
+                        else ("silver_scd2", self.scd2))
+        if self.materialize and versioned.current_path(spark, self.silver_bases[name]):
+            return versioned.read_current(spark, self.silver_bases[name])
+        return target.table(spark)
+
     def gold(self, spark: SparkSession) -> DataFrame:
         return versioned.read_current(spark, self.gold_base)
 
@@ -94,8 +112,8 @@ class CdcPipeline:
         """Name every dataset for SQL users: bronze (declared table), the two
         silver targets, gold and the event log (temp views)."""
         self.bronze.register(spark)
-        self.scd1.table(spark).createOrReplaceTempView(f"{self.prefix}_silver_scd_type_1")
-        self.scd2.table(spark).createOrReplaceTempView(f"{self.prefix}_silver_scd_type_2")
+        self.silver(spark, 1).createOrReplaceTempView(f"{self.prefix}_silver_scd_type_1")
+        self.silver(spark, 2).createOrReplaceTempView(f"{self.prefix}_silver_scd_type_2")
         self.gold(spark).createOrReplaceTempView(f"{self.prefix}_gold_scd_type_2")
         eventlog.read_log(spark, self.log_path).createOrReplaceTempView(
             f"{self.prefix}_event_log")
