@@ -159,17 +159,21 @@ def _hot_key_splits(valid: DataFrame, keys, seq, rows_per_task: int):
     return table, max(len(r[_SPLITS]) for r in rows)
 
 
-def _chunk_index(splits: Column, seq_value: Column, max_splits: int) -> Column:
-    """Number of split points <= the row's sequence: a binary search written as
-    log2(max_splits) comparisons, so it stays a JVM expression."""
+def _with_chunk(df: DataFrame, seq_value: Column, max_splits: int) -> DataFrame:
+    """Add ``__chunk`` = number of split points <= the row's sequence: a binary
+    search over the sorted ``__splits`` array, one comparison per step, so it
+    stays a JVM expression with log2(max_splits) steps.
+
+    Each step is its own projection of the running position: written as one
+    nested expression, every step would refer to the previous one twice and
+    the tree would double in size per step."""
     steps = max(1, math.ceil(math.log2(max_splits + 1)))
-    pos = F.lit(0)
-    size = F.size(splits)
+    out = df.withColumn(_CHUNK, F.lit(0)).withColumn("__size", F.size(F.col(_SPLITS)))
     for i in reversed(range(steps)):
-        cand = pos + F.lit(1 << i)
-        ok = (cand <= size) & (F.try_element_at(splits, cand) <= seq_value)
-        pos = F.when(ok, cand).otherwise(pos)
-    return pos
+        cand = F.col(_CHUNK) + F.lit(1 << i)
+        ok = (cand <= F.col("__size")) & (F.try_element_at(F.col(_SPLITS), cand) <= seq_value)
+        out = out.withColumn(_CHUNK, F.when(ok, cand).otherwise(F.col(_CHUNK)))
+    return out.withColumn(_CHUNK, F.coalesce(F.col(_CHUNK), F.lit(0))).drop("__size")
 
 
 def _latest_first(df: DataFrame, payload) -> list[Column]:
@@ -207,8 +211,7 @@ def scd2(source: DataFrame, keys, sequence_by, apply_as_deletes=None,
         # so it is broadcast; non-hot keys find no row and stay in chunk 0.
         seq_value = F.struct(*[F.col(c) for c in seq])
         with_splits = valid.join(F.broadcast(splits), keys, "left")
-        chunk = _chunk_index(F.col(_SPLITS), seq_value, max_splits)
-        staged = with_splits.withColumn(_CHUNK, F.coalesce(chunk, F.lit(0)))
+        staged = _with_chunk(with_splits, seq_value, max_splits)
         part = list(keys) + [_CHUNK]
 
     staged = staged.repartition(*[F.col(c) for c in part])
