@@ -17,8 +17,13 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
     """Session for tests and the bench. On a cluster, build the session with the
     cluster's own settings and only call :func:`checkpoint_root` on it."""
     parts = shuffle_partitions or (int(cpus) if str(cpus).isdigit() else 8)
+    builder = SparkSession.builder
+    event_log = os.environ.get("LAKESHORE_EVENT_LOG")
+    if event_log:  # stage and task times, read with tools/stage_times.py
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                   .config("spark.eventLog.dir", event_log))
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
