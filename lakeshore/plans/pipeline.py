@@ -108,12 +108,36 @@ class CdcPipeline:
     def report(self, spark: SparkSession) -> DataFrame:
         return eventlog.expectation_report(eventlog.read_log(spark, self.log_path))
 
-    def register_views(self, spark: SparkSession) -> None:
+    def register_views(self, spark: SparkSession, schema: str | None = None) -> None:
         """Name every dataset for SQL users: bronze (declared table), the two
-        silver targets, gold and the event log (temp views)."""
+        silver targets, gold and the event log.
+
+        Without ``schema`` they are temp views. With it they are persistent
+        views in that schema carrying a comment and a ``quality`` property
+        (bronze / silver / gold), as the pipeline's dataset declarations do;
+        the silver and gold views point at the current materialized versions
+        and are re-pointed by each call."""
         self.bronze.register(spark)
-        self.silver(spark, 1).createOrReplaceTempView(f"{self.prefix}_silver_scd_type_1")
-        self.silver(spark, 2).createOrReplaceTempView(f"{self.prefix}_silver_scd_type_2")
-        self.gold(spark).createOrReplaceTempView(f"{self.prefix}_gold_scd_type_2")
+        names = {"silver_scd1": f"{self.prefix}_silver_scd_type_1",
+                 "silver_scd2": f"{self.prefix}_silver_scd_type_2",
+                 "gold": f"{self.prefix}_gold_scd_type_2"}
+        if schema is None or not self.materialize:
+            self.silver(spark, 1).createOrReplaceTempView(names["silver_scd1"])
+            self.silver(spark, 2).createOrReplaceTempView(names["silver_scd2"])
+            self.gold(spark).createOrReplaceTempView(names["gold"])
+        else:
+            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+            paths = {"silver_scd1": versioned.current_path(spark, self.silver_bases["silver_scd1"]),
+                     "silver_scd2": versioned.current_path(spark, self.silver_bases["silver_scd2"]),
+                     "gold": versioned.current_path(spark, self.gold_base)}
+            comments = {"silver_scd1": "silver data - SCD type 1",
+                        "silver_scd2": "silver data - SCD type 2",
+                        "gold": "gold data: current rows of the SCD type 2 history"}
+            for key, view in names.items():
+                quality_tag = "gold" if key == "gold" else "silver"
+                spark.sql(f"CREATE OR REPLACE VIEW {schema}.{view} "
+                          f"COMMENT '{comments[key]}' "
+                          f"TBLPROPERTIES ('quality' = '{quality_tag}') "
+                          f"AS SELECT * FROM parquet.`{paths[key]}`")
         eventlog.read_log(spark, self.log_path).createOrReplaceTempView(
             f"{self.prefix}_event_log")

@@ -43,3 +43,10 @@ def test_pipeline_reruns_and_updates(spark, scratch):
     p.register_views(spark)
     assert spark.sql("SELECT count(*) FROM customer_silver_scd_type_2").first()[0] == 5
     assert spark.sql("SELECT count(*) FROM customer_bronze").first()[0] == 6
+
+    from lakeshore.sinks import catalog
+
+    p.register_views(spark, schema="lk_pipe")
+    assert catalog.table_properties(spark, "lk_pipe.customer_gold_scd_type_2")["quality"] == "gold"
+    assert spark.table("lk_pipe.customer_silver_scd_type_1").count() == 2
+    catalog.drop_schema(spark, "lk_pipe", cascade=True)
