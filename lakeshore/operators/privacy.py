@@ -114,13 +114,17 @@ def decrypt_value(value: Column, key: Column, strict: bool = False) -> Column:
 
 
 def _with_keys(df: DataFrame, keys: DataFrame, id_column: str, key_column: str,
-               strategy: str) -> DataFrame:
+               strategy: str, require: bool) -> DataFrame:
+    """``df`` with its subject's key as ``__key``. With ``require``, a row
+    whose subject has no key, or that has no subject id at all, fails the job
+    (lazily, in the same pass): encrypting it would either lose or leak it."""
     k = keys.select(F.col(id_column), F.col(key_column).alias("__key"))
     joined = joins.join(df, k, id_column, "left", strategy=strategy)
-    missing = F.col("__key").isNull() & F.col(id_column).isNotNull()
-    return joined.where(F.when(missing, F.raise_error(
-        F.concat(F.lit(f"no encryption key for {id_column} = "),
-                 F.col(id_column).cast("string")))).otherwise(F.lit(True)))
+    if not require:
+        return joined
+    who = F.coalesce(F.col(id_column).cast("string"), F.lit("NULL"))
+    return joined.where(F.when(F.col("__key").isNull(), F.raise_error(
+        F.concat(F.lit(f"no encryption key for {id_column} = "), who))).otherwise(F.lit(True)))
 
 
 def encrypt_columns(df: DataFrame, keys: DataFrame, id_column: str, columns,
@@ -131,7 +135,7 @@ def encrypt_columns(df: DataFrame, keys: DataFrame, id_column: str, columns,
     is a shuffled merge join by default; pass ``strategy="auto"`` to broadcast
     it behind the bounded size check when it is small."""
     columns = [columns] if isinstance(columns, str) else list(columns)
-    j = _with_keys(df, keys, id_column, key_column, strategy)
+    j = _with_keys(df, keys, id_column, key_column, strategy, require=True)
     out = [encrypt_value(F.col(c), F.col("__key")).alias(c)
            if c.lower() in {x.lower() for x in columns} else F.col(c) for c in df.columns]
     return j.select(*out)
@@ -140,9 +144,10 @@ def encrypt_columns(df: DataFrame, keys: DataFrame, id_column: str, columns,
 def decrypt_columns(df: DataFrame, keys: DataFrame, id_column: str, columns,
                     key_column: str = KEY_COLUMN, strict: bool = False,
                     strategy: str = "merge") -> DataFrame:
-    """Decrypt ``columns`` with each subject's key."""
+    """Decrypt ``columns`` with each subject's key (G5). A row without a key
+    decrypts to null, or fails the job when ``strict``."""
     columns = [columns] if isinstance(columns, str) else list(columns)
-    j = _with_keys(df, keys, id_column, key_column, strategy)
+    j = _with_keys(df, keys, id_column, key_column, strategy, require=strict)
     low = {x.lower() for x in columns}
     out = [decrypt_value(F.col(c), F.col("__key"), strict).alias(c)
            if c.lower() in low else F.col(c) for c in df.columns]

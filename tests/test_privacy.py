@@ -173,3 +173,11 @@ def test_masked_and_clear_views(spark, people, scratch):
                                                           ["EMAIL"])
     assert {tuple(r) for r in spark.table(clear).collect()} == set(SUBJECTS)
     assert spark.table(masked).where("EMAIL = 'a@x.org'").count() == 0
+
+
+def test_null_subject_id_fails_encryption(spark, scratch):
+    df = spark.createDataFrame([("1", "a@x.org"), (None, "b@x.org")], "ID string, EMAIL string")
+    keys = privacy.store_keys(df, "ID", scratch("k"))
+    assert keys.count() == 1
+    with pytest.raises(Exception, match="no encryption key for ID = NULL"):
+        privacy.encrypt_columns(df, keys, "ID", ["EMAIL"]).collect()
