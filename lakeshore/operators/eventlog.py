@@ -64,14 +64,71 @@ def flow_event(spark: SparkSession, dataset: str, status: str, output_rows: int,
         details_json(F.col("status"), F.col("out"), F.col("dropped"), exp_col).alias("details"))
 
 
+_APPEND = "__append"
+
+
 def append_events(events: DataFrame, log_path: str, files: int = 1) -> None:
-    """Append events to the log table (parquet). Flow events come a few per
-    pipeline run, so each append is one small file."""
-    events.select(*LOG_COLUMNS).coalesce(files).write.mode("append").parquet(log_path)
+    """Append events to the log (parquet). Each append is its own small
+    partition folder ``tail/__append=<time>_<id>``; :func:`compact_log` folds
+    them into one table version so the folder count stays small."""
+    import time
+
+    tag = f"{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
+    (events.select(*LOG_COLUMNS).coalesce(files)
+     .write.mode("append").parquet(f"{log_path.rstrip('/')}/tail/{_APPEND}={tag}"))
+
+
+def _tail_parts(spark: SparkSession, log_path: str) -> list[str]:
+    from lakeshore.sinks import versioned
+
+    fs, p = versioned._fs(spark, f"{log_path.rstrip('/')}/tail")
+    if not fs.exists(p):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)
+                  if st.isDirectory() and st.getPath().getName().startswith(_APPEND + "="))
 
 
 def read_log(spark: SparkSession, log_path: str) -> DataFrame:
-    return spark.read.parquet(log_path)
+    """The whole log: the compacted base version plus the appends it does not
+    hold yet."""
+    from lakeshore.sinks import versioned
+
+    base = f"{log_path.rstrip('/')}/base"
+    folded = set(versioned.read_meta(spark, base).get("appends", []))
+    parts = [f"{log_path.rstrip('/')}/tail/{n}" for n in _tail_parts(spark, log_path)
+             if n not in folded]
+    frames = []
+    if versioned.current_path(spark, base):
+        frames.append(versioned.read_current(spark, base).select(*LOG_COLUMNS))
+    if parts:
+        frames.append(spark.read.parquet(*parts).select(*LOG_COLUMNS))
+    if not frames:
+        raise FileNotFoundError(f"no events under {log_path}")
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def compact_log(spark: SparkSession, log_path: str, files: int = 1) -> str | None:
+    """Fold all appends into a new base version (recording which), then
+    remove the folded append folders. Safe to interrupt: readers skip appends
+    the current base already holds."""
+    from lakeshore.sinks import versioned
+
+    base = f"{log_path.rstrip('/')}/base"
+    parts = _tail_parts(spark, log_path)
+    if not parts:
+        return None
+    folded = read_log(spark, log_path)  # base + unfolded tails listed now
+    done = sorted(set(versioned.read_meta(spark, base).get("appends", [])) | set(parts))
+    path = versioned.write_version(folded.coalesce(files), base, meta={"appends": done})
+    for name in parts:
+        fs, p = versioned._fs(spark, f"{log_path.rstrip('/')}/tail/{name}")
+        if fs.exists(p):
+            fs.delete(p, True)
+    versioned.remove_old_versions(spark, base, keep=2)
+    return path
 
 
 def ordered_log(log: DataFrame) -> DataFrame:

@@ -34,7 +34,8 @@ class CdcPipeline:
     def __init__(self, root: str, schema: StructType, keys, sequence_by,
                  apply_as_deletes=None, except_columns: Sequence[str] = (),
                  compact_every: int = 10, prefix: str = "customer",
-                 max_files: int | None = None, materialize: bool = True):
+                 max_files: int | None = None, materialize: bool = True,
+                 log_compact_after: int = 100):
         self.root = root.rstrip("/")
         self.schema = schema
         self.prefix = prefix
@@ -51,6 +52,7 @@ class CdcPipeline:
         # run also writes them as table versions, so the window over the whole
         # history runs once per run, not once per reader.
         self.materialize = materialize
+        self.log_compact_after = int(log_compact_after)
         self.silver_bases = {"silver_scd1": f"{self.root}/tables/silver_scd1_table",
                              "silver_scd2": f"{self.root}/tables/silver_scd2_table"}
         self.log_path = f"{self.root}/system/events"
@@ -91,6 +93,9 @@ class CdcPipeline:
                     got["input_rows"] - got["output_rows"],
                     quality.observed_expectations(obs, [RECENT_RECORD],
                                                   f"{self.prefix}_gold"))
+        # Each event is one small folder; fold them once there are many.
+        if len(eventlog._tail_parts(spark, self.log_path)) >= self.log_compact_after:
+            eventlog.compact_log(spark, self.log_path)
         return path
 
     def silver(self, spark: SparkSession, scd_type: int) -> DataFrame:

@@ -21,7 +21,8 @@ def test_pipeline_reruns_and_updates(spark, scratch):
     files.write_csv_files(_rows(spark, first), landing, files=2)
     p = CdcPipeline(scratch("cdc"), _rows(spark, first).schema, keys=["customer_id"],
                     sequence_by="ModifiedDate", apply_as_deletes="operation = 'DELETE'",
-                    except_columns=["operation"], compact_every=2, prefix="customer")
+                    except_columns=["operation"], compact_every=2, prefix="customer",
+                    log_compact_after=8)
     p.run(spark, landing)
     gold = {(r.customer_id, r.city) for r in p.gold(spark).collect()}
     assert gold == {(1, "bern"), (2, "rome"), (3, "nice")}

@@ -72,3 +72,18 @@ def test_malformed_details_yield_no_row(spark):
 def test_json_path(spark):
     df = spark.createDataFrame([('{"a": {"b": 3}}',)], "j string")
     assert df.select(eventlog.json_path("j", "a.b")).first()[0] == "3"
+
+
+def test_log_compaction(spark, scratch):
+    log = scratch("log")
+    for i in range(3):
+        eventlog.append_events(eventlog.flow_event(spark, "d", "COMPLETED", i), log)
+    assert eventlog.read_log(spark, log).count() == 3
+    assert eventlog.compact_log(spark, log)
+    assert eventlog._tail_parts(spark, log) == []
+    eventlog.append_events(eventlog.flow_event(spark, "d", "COMPLETED", 9), log)
+    assert eventlog.read_log(spark, log).count() == 4
+    eventlog.compact_log(spark, log)
+    got = sorted(int(r.o) for r in eventlog.read_log(spark, log).selectExpr(
+        "get_json_object(details, '$.flow_progress.metrics.num_output_rows') AS o").collect())
+    assert got == [0, 1, 2, 9]
