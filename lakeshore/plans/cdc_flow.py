@@ -30,7 +30,7 @@ from lakeshore.streaming.ingest import start_append
 RECENT_RECORD = ("recent_record", "__END_AT IS NULL")
 
 
-class CdcPipeline:
+class CdcFlow:
     def __init__(self, root: str, schema: StructType, keys, sequence_by,
                  apply_as_deletes=None, except_columns: Sequence[str] = (),
                  compact_every: int = 10, prefix: str = "customer",

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshore.operators import eventlog, joins, privacy, quality
-from lakeshore.plans import derived, pipeline, privacy_flow
+from lakeshore.plans import cdc_flow, derived, privacy_flow
 from lakeshore.session import scratch_path
 from lakeshore.sinks import overwrite, versioned
 from lakeshore.sources import files
@@ -118,7 +118,7 @@ def q_json_path(spark, d):
     return ev.select("event_id", eventlog.json_path("props", "k").alias("k"))
 
 
-def q_pipeline_report(spark, d):
+def q_gold_quality_report(spark, d):
     """bronze → silver SCD 2 → clean (expect_or_drop) → gold, the flow event
     of the gold write appended to an event log, and the report read from it."""
     history = derived.events_history(spark, d)
@@ -146,12 +146,12 @@ def q_expectation_report_sql(spark, d):
                       "expectations.passed_records", "expectations.failed_records")
 
 
-def q_cdc_pipeline(spark, d):
+def q_cdc_flow(spark, d):
     """The whole pipeline over ``events`` landed as CSV files; returns gold."""
     ev = table(spark, d, "events")
     landing = scratch_path(spark, "landing-cdc")
     files.write_csv_files(ev, landing, files=6, by="event_id")
-    p = pipeline.CdcPipeline(scratch_path(spark, "cdc"), ev.schema,
+    p = cdc_flow.CdcFlow(scratch_path(spark, "cdc"), ev.schema,
                              prefix="events", max_files=3, **derived.EVENTS_FEED)
     p.run(spark, landing)
     return p.gold(spark)
@@ -322,9 +322,9 @@ QUERIES: dict[str, Query] = {
     "event_log": q_event_log,
     "expectation_report": q_expectation_report,
     "expectation_report_sql": q_expectation_report_sql,
-    "cdc_pipeline": q_cdc_pipeline,
+    "cdc_flow": q_cdc_flow,
     "json_path": q_json_path,
-    "pipeline_report": q_pipeline_report,
+    "gold_quality_report": q_gold_quality_report,
     "pseudonymize": q_pseudonymize,
     "ordered_limit": q_ordered_limit,
     "subject_keys": q_subject_keys,
@@ -422,7 +422,7 @@ FROM lineitem GROUP BY l_returnflag"""
 _DQ_METRICS = "\nUNION ALL".join(_DQ_PART.format(name=n, pred=p)
                                  for n, p in derived.LINEITEM_RULES.items())
 
-_PIPELINE_REPORT = f"""
+_GOLD_QUALITY_REPORT = f"""
 WITH h AS ({_SCD2_EVENTS})
 SELECT CAST(count_if(__END_AT IS NULL) AS VARCHAR) AS output_records,
        CAST(count_if(__END_AT IS NOT NULL) AS VARCHAR) AS dropped_records,
@@ -456,9 +456,9 @@ ORACLES: dict[str, str] = {
     "event_log": _EVENT_LOG,
     "expectation_report": _EXPECTATION_REPORT,
     "expectation_report_sql": _EXPECTATION_REPORT,
-    "cdc_pipeline": f"SELECT * FROM ({_SCD2_EVENTS}) WHERE __END_AT IS NULL",
+    "cdc_flow": f"SELECT * FROM ({_SCD2_EVENTS}) WHERE __END_AT IS NULL",
     "json_path": "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events",
-    "pipeline_report": _PIPELINE_REPORT,
+    "gold_quality_report": _GOLD_QUALITY_REPORT,
     "pseudonymize": "SELECT *, sha256(c_name) AS customer_pseudo_id FROM customer",
     "ordered_limit": ("SELECT *, sha256(c_name) AS customer_pseudo_id FROM customer "
                       "ORDER BY c_custkey LIMIT 5"),

@@ -1,6 +1,6 @@
 """The bronze → silver → gold pipeline: re-runs, new files, deletes, report."""
 
-from lakeshore.plans.pipeline import CdcPipeline
+from lakeshore.plans.cdc_flow import CdcFlow
 from lakeshore.sources import files
 
 SCHEMA = ("customer_id long, first_name string, city string, operation string, "
@@ -11,7 +11,7 @@ def _rows(spark, rows):
     return spark.createDataFrame(rows, SCHEMA)
 
 
-def test_pipeline_reruns_and_updates(spark, scratch):
+def test_cdc_flow_reruns_and_updates(spark, scratch):
     import datetime as dt
 
     t = [dt.datetime(2024, 1, d) for d in range(1, 6)]
@@ -19,7 +19,7 @@ def test_pipeline_reruns_and_updates(spark, scratch):
     first = [(1, "ann", "oslo", "INSERT", t[0]), (2, "bob", "rome", "INSERT", t[0]),
              (1, "ann", "bern", "UPDATE", t[2]), (3, "cy", "nice", "INSERT", t[1])]
     files.write_csv_files(_rows(spark, first), landing, files=2)
-    p = CdcPipeline(scratch("cdc"), _rows(spark, first).schema, keys=["customer_id"],
+    p = CdcFlow(scratch("cdc"), _rows(spark, first).schema, keys=["customer_id"],
                     sequence_by="ModifiedDate", apply_as_deletes="operation = 'DELETE'",
                     except_columns=["operation"], compact_every=2, prefix="customer",
                     log_compact_after=8)
