@@ -119,8 +119,8 @@ def q_json_path(spark, d):
 
 
 def q_gold_quality_report(spark, d):
-    """bronze → silver SCD 2 → clean (expect_or_drop) → gold, the flow event
-    of the gold write appended to an event log, and the report read from it."""
+    """silver SCD 2 → clean (expect_or_drop) → gold, the flow event of the
+    gold write appended to an event log, and the report read back from it."""
     history = derived.events_history(spark, d)
     gold, obs = derived.clean_and_gold(history)
     base = scratch_path(spark, "gold")
@@ -147,12 +147,12 @@ def q_expectation_report_sql(spark, d):
 
 
 def q_cdc_flow(spark, d):
-    """The whole pipeline over ``events`` landed as CSV files; returns gold."""
+    """The whole CDC flow over ``events`` landed as CSV files; returns gold."""
     ev = table(spark, d, "events")
     landing = scratch_path(spark, "landing-cdc")
     files.write_csv_files(ev, landing, files=6, by="event_id")
     p = cdc_flow.CdcFlow(scratch_path(spark, "cdc"), ev.schema,
-                             prefix="events", max_files=3, **derived.EVENTS_FEED)
+                         prefix="events", max_files=3, **derived.EVENTS_FEED)
     p.run(spark, landing)
     return p.gold(spark)
 
