@@ -208,7 +208,9 @@ class ChangeApply:
 
     # -- stream --------------------------------------------------------------
     def start(self, stream: DataFrame, checkpoint: str, available_now: bool = True,
-              name: str | None = None) -> StreamingQuery:
+              name: str | None = None, processing_time: str | None = None) -> StreamingQuery:
+        """Run the apply over ``stream``: ``availableNow`` (take what is there,
+        then stop) by default, or continuously every ``processing_time``."""
         self.columns = list(stream.columns)
         self.schema = stream.schema
         w = (stream.writeStream.foreachBatch(self.apply_batch)
@@ -217,6 +219,8 @@ class ChangeApply:
             w = w.queryName(name)
         if available_now:
             w = w.trigger(availableNow=True)
+        elif processing_time:
+            w = w.trigger(processingTime=processing_time)
         return w.start()
 
 
