@@ -128,12 +128,13 @@ def _with_keys(df: DataFrame, keys: DataFrame, id_column: str, key_column: str,
 
 
 def encrypt_columns(df: DataFrame, keys: DataFrame, id_column: str, columns,
-                    key_column: str = KEY_COLUMN, strategy: str = "merge") -> DataFrame:
+                    key_column: str = KEY_COLUMN, strategy: str = "auto") -> DataFrame:
     """Encrypt ``columns`` of each row with its subject's key.
 
-    The key table has one row per subject and grows with the data, so the join
-    is a shuffled merge join by default; pass ``strategy="auto"`` to broadcast
-    it behind the bounded size check when it is small."""
+    The key table has one row per subject. With ``auto`` it is broadcast when
+    a bounded count proves it small (then the data side is not shuffled at
+    all, which matters when many rows share few subjects), else both sides are
+    shuffled into a merge join, where AQE splits a hot subject's partition."""
     columns = [columns] if isinstance(columns, str) else list(columns)
     j = _with_keys(df, keys, id_column, key_column, strategy, require=True)
     out = [encrypt_value(F.col(c), F.col("__key")).alias(c)
@@ -143,7 +144,7 @@ def encrypt_columns(df: DataFrame, keys: DataFrame, id_column: str, columns,
 
 def decrypt_columns(df: DataFrame, keys: DataFrame, id_column: str, columns,
                     key_column: str = KEY_COLUMN, strict: bool = False,
-                    strategy: str = "merge") -> DataFrame:
+                    strategy: str = "auto") -> DataFrame:
     """Decrypt ``columns`` with each subject's key (G5). A row without a key
     decrypts to null, or fails the job when ``strict``."""
     columns = [columns] if isinstance(columns, str) else list(columns)
