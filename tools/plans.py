@@ -33,8 +33,11 @@ GUIDE = """Reading guide (what to look for, and why it holds at 100 TB):
 * `partition_lookup`: `PartitionFilters` on the scan: only the selected
   partition folder is listed and read.
 * `join_broadcast`, `star_join`: broadcast of the checked small side only.
-  `join_sortmerge`, `encrypt_roundtrip`: both sides hash-partitioned on the
-  join key (AQE splits a skewed key's partition at run time).
+  `join_sortmerge`: both sides hash-partitioned on the join key (AQE splits a
+  skewed key's partition at run time). `encrypt_roundtrip`: the key table is
+  read as one key per subject (one aggregate shuffle on the subject id) and
+  broadcast because the bounded count proved it small; above the bound the
+  same join is a merge join on that partitioning.
 * `expectation_report`: the one exchange is the round-robin `spread` of the
   single-row-group test file over the cores; on real inputs (many splits) it
   is skipped and the plan has none.
