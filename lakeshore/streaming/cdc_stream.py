@@ -4,15 +4,16 @@ stream of change rows, equal to the batch form over everything seen so far.
 State is log-structured, so a micro-batch costs the size of the batch, not of
 the state, and nothing is ever deleted before its replacement is committed:
 
-* ``log/__batch=<id>/`` — each micro-batch appends its valid change rows
-  (with a delete flag; for SCD 1 first reduced to one row per key, map-side)
-  as its own partition, written by a dynamic partition overwrite, so a replayed
-  batch (``foreachBatch`` is at-least-once) replaces its own earlier attempt;
+* ``log/__batch=<id>_<writer>/`` — each micro-batch appends its valid change
+  rows (with a delete flag; for SCD 1 first reduced to one row per key,
+  map-side) as its own partition, written by a dynamic partition overwrite, so
+  a replayed batch (``foreachBatch`` is at-least-once) replaces its own earlier
+  attempt, and several streams may feed one target;
 * ``base/`` — a compacted state, one row per (K, S) for SCD 2 (tombstones
   kept, so late rows older than a delete still order correctly) or one row per
-  K for SCD 1, written every ``compact_every`` batches as a new version folder
-  (committed by ``_SUCCESS``) that records the last batch it includes; log
-  partitions up to it are removed only after that commit.
+  K for SCD 1, written once ``compact_every`` log partitions have piled up, as
+  a new version folder (committed by ``_SUCCESS``) that records the partitions
+  it folded; those are removed only after that commit.
 
 The target is a view: base ∪ log partitions after the base's last batch,
 reduced exactly as the batch operator reduces a change feed (a max over a fixed
@@ -25,6 +26,7 @@ quarantine table.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Sequence
 
@@ -44,7 +46,8 @@ class ChangeApply:
 
     def __init__(self, state_path: str, keys, sequence_by, scd_type: int | str = 2,
                  apply_as_deletes=None, except_columns: Sequence[str] = (),
-                 compact_every: int = 10, quarantine_path: str | None = None):
+                 compact_every: int = 10, quarantine_path: str | None = None,
+                 writer: str | None = None):
         self.state_path = state_path.rstrip("/")
         self.keys = cdc._names(keys)
         self.seq = cdc._names(sequence_by)
@@ -59,6 +62,8 @@ class ChangeApply:
         self.base_path = self.state_path + "/base"
         self.columns: list[str] | None = None
         self.schema = None
+        self.writer = writer or uuid.uuid4().hex[:8]
+        self._auto_batch = 0
 
     # -- reduce --------------------------------------------------------------
     def _reduce_scd1(self, rows: DataFrame) -> DataFrame:
@@ -74,14 +79,19 @@ class ChangeApply:
         return cdc._dedupe(rows, self.keys, self.seq)
 
     # -- write ---------------------------------------------------------------
+    def _part(self, batch_id: int) -> str:
+        return f"{int(batch_id):012d}_{self.writer}"
+
     def apply_batch(self, batch: DataFrame, batch_id: int | None = None) -> None:
-        """Append one batch of change rows to the state log (idempotent per
-        batch id: a replay replaces its own partition); compact every
-        ``compact_every`` batches. One job in the common case; quarantined
-        rows are counted on the way and written only when there are some."""
+        """Append one batch of change rows to the state log as the partition
+        ``<batch id>_<writer>``: a replay of the batch by the same query
+        replaces its own partition, and several queries (writers) feeding one
+        target never touch each other's. Compacts once ``compact_every``
+        partitions have piled up. One job in the common case; quarantined rows
+        are counted on the way and written only when there are some."""
         spark = batch.sparkSession
         if batch_id is None:
-            batch_id = self._next_batch_id(spark)
+            batch_id, self._auto_batch = self._auto_batch, self._auto_batch + 1
         if self.columns is None:
             self.columns = list(batch.columns)
             self.schema = batch.schema
@@ -98,7 +108,7 @@ class ChangeApply:
         else:
             valid = valid.select(*self.keys, *self.seq, _DEL,
                                  *cdc._payload(valid, self.keys, self.seq))
-        tag = F.lit(int(batch_id)).cast("long")
+        tag = F.lit(self._part(batch_id))
         (valid.withColumn(BATCH, tag)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BATCH).parquet(self.log_path))
@@ -107,70 +117,63 @@ class ChangeApply:
             (bad.withColumn(BATCH, tag)
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(BATCH).parquet(self.quarantine_path))
-        if self.compact_every > 0 and (int(batch_id) + 1) % self.compact_every == 0:
+        if self.compact_every > 0 and len(self._log_parts(spark)) >= self.compact_every:
             self.compact(spark)
 
-    def _log_batches(self, spark: SparkSession) -> list[int]:
+    def _log_parts(self, spark: SparkSession) -> list[str]:
+        """Names of the log partitions (``<batch>_<writer>``) on disk."""
         fs, p = versioned._fs(spark, self.log_path)
         if not fs.exists(p):
             return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith(BATCH + "="):
-                out.append(int(name.split("=", 1)[1]))
-        return sorted(out)
-
-    def _through(self, spark: SparkSession) -> int:
-        return int(versioned.read_meta(spark, self.base_path).get("through_batch", -1))
+        return sorted(st.getPath().getName().split("=", 1)[1] for st in fs.listStatus(p)
+                      if st.isDirectory() and st.getPath().getName().startswith(BATCH + "="))
 
-    def _next_batch_id(self, spark: SparkSession) -> int:
-        seen = self._log_batches(spark)
-        return max([self._through(spark)] + seen) + 1
+    def _folded(self, spark: SparkSession) -> set[str]:
+        return set(versioned.read_meta(spark, self.base_path).get("folded", []))
 
     # -- read ----------------------------------------------------------------
-    def _union(self, spark: SparkSession, upto: int | None = None) -> DataFrame | None:
-        """Base ∪ log partitions after the base's last batch (up to ``upto``),
-        not yet reduced."""
-        parts = []
-        through = -1
-        if versioned.current_path(spark, self.base_path):
-            parts.append(versioned.read_current(spark, self.base_path))
-            through = self._through(spark)
-        if self._log_batches(spark):
-            cond = F.col(BATCH) > F.lit(through)
-            if upto is not None:
-                cond = cond & (F.col(BATCH) <= F.lit(upto))
-            parts.append(spark.read.parquet(self.log_path).where(cond).drop(BATCH))
-        if not parts:
+    def _union(self, spark: SparkSession, parts: list[str] | None = None
+               ) -> DataFrame | None:
+        """Base ∪ the log partitions it does not hold (or ``parts``), not yet
+        reduced. A partition read twice changes nothing: the reduce is an
+        idempotent max, which is what makes every crash point safe."""
+        frames = []
+        has_base = versioned.current_path(spark, self.base_path) is not None
+        if has_base:
+            frames.append(versioned.read_current(spark, self.base_path))
+        if parts is None:
+            folded = self._folded(spark) if has_base else set()
+            parts = [n for n in self._log_parts(spark) if n not in folded]
+        if parts:
+            paths = [f"{self.log_path}/{BATCH}={n}" for n in parts]
+            frames.append(spark.read.option("basePath", self.log_path).parquet(*paths)
+                          .drop(BATCH))
+        if not frames:
             return None
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p.select(*out.columns))
+        out = frames[0]
+        for f in frames[1:]:
+            out = out.unionByName(f.select(*out.columns))
         return out
 
     def compact(self, spark: SparkSession) -> str | None:
         """Fold the log into a new base version, then drop the folded log
         partitions. Safe to interrupt anywhere: until the new version is
-        committed the old base and the log stand; after it, leftover log
-        partitions are ignored (they are at or below the recorded batch)."""
-        batches = self._log_batches(spark)
-        through = self._through(spark)
-        if not batches or batches[-1] <= through:
-            # only leftovers of an interrupted clean-up, if any
-            for b in batches:
-                fs, p = versioned._fs(spark, f"{self.log_path}/{BATCH}={b}")
-                if fs.exists(p):
-                    fs.delete(p, True)
-            return None
-        upto = batches[-1]
-        path = versioned.write_version(self._reduced(self._union(spark, upto)),
-                                       self.base_path, meta={"through_batch": upto})
-        for b in batches:
-            fs, p = versioned._fs(spark, f"{self.log_path}/{BATCH}={b}")
+        committed the old base and the log stand; after it, leftover folded
+        partitions are skipped by readers (and would be harmless if read)."""
+        parts = self._log_parts(spark)
+        folded = self._folded(spark)
+        fresh = [n for n in parts if n not in folded]
+        if fresh:
+            path = versioned.write_version(self._reduced(self._union(spark, fresh)),
+                                           self.base_path, meta={"folded": fresh})
+        else:
+            path = None
+        for n in parts:
+            fs, p = versioned._fs(spark, f"{self.log_path}/{BATCH}={n}")
             if fs.exists(p):
                 fs.delete(p, True)
-        versioned.remove_old_versions(spark, self.base_path, keep=2)
+        if path:
+            versioned.remove_old_versions(spark, self.base_path, keep=2)
         return path
 
     def _rows(self, spark: SparkSession) -> DataFrame:
@@ -213,6 +216,8 @@ class ChangeApply:
         then stop) by default, or continuously every ``processing_time``."""
         self.columns = list(stream.columns)
         self.schema = stream.schema
+        # Stable per query (its checkpoint), distinct between queries.
+        self.writer = hashlib.sha1(checkpoint.encode("utf-8")).hexdigest()[:8]
         w = (stream.writeStream.foreachBatch(self.apply_batch)
              .option("checkpointLocation", checkpoint))
         if name:
