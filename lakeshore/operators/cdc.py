@@ -51,6 +51,22 @@ def _names(cols) -> list[str]:
     return list(cols)
 
 
+def with_sequence(source: DataFrame, sequence_by) -> tuple[DataFrame, list[str]]:
+    """Column names of the sequence. A sequence given as a Column expression
+    (``col("ModifiedDate")``, ``to_timestamp(...)``) is added as a hidden
+    column ``__seq<i>``, which output never shows."""
+    items = [sequence_by] if isinstance(sequence_by, (str, Column)) else list(sequence_by)
+    names = []
+    for i, item in enumerate(items):
+        if isinstance(item, Column):
+            name = f"__seq{i}"
+            source = source.withColumn(name, item)
+            names.append(name)
+        else:
+            names.append(item)
+    return source, names
+
+
 def _delete_flag(apply_as_deletes) -> Column:
     if apply_as_deletes is None:
         return F.lit(False)
@@ -115,14 +131,16 @@ def _dedupe(valid: DataFrame, keys, seq) -> DataFrame:
 def scd1(source: DataFrame, keys, sequence_by, apply_as_deletes=None,
          except_columns: Sequence[str] = ()) -> DataFrame:
     """Current state per key (SCD type 1)."""
-    keys, seq = _names(keys), _names(sequence_by)
+    visible = source.columns
+    source, seq = with_sequence(source, sequence_by)
+    keys = _names(keys)
     valid, _ = split_changes(source, keys, seq, apply_as_deletes)
     payload = _payload(valid, keys, seq)
     latest = latest_of(valid, seq + [_DEL] + payload).alias("__r")
     out = (valid.groupBy(*keys).agg(latest)
            .where(~F.col(f"__r.{_DEL}"))
            .select(*keys, *[F.col(f"__r.{c}") for c in seq + payload]))
-    return _finish(out, source.columns, except_columns)
+    return _finish(out, visible, except_columns)
 
 
 def _finish(df: DataFrame, source_cols, except_columns, extra=()) -> DataFrame:
@@ -194,7 +212,9 @@ def scd2(source: DataFrame, keys, sequence_by, apply_as_deletes=None,
     partitioning, and the dedupe sort already gives the order ``lead`` needs.
     ``rows_per_task=None`` turns the hot-key split off (one window task per
     key); ``assume_unique`` skips the dedupe when (K, S) is known unique."""
-    keys, seq = _names(keys), _names(sequence_by)
+    visible = source.columns
+    source, seq = with_sequence(source, sequence_by)
+    keys = _names(keys)
     valid, _ = split_changes(source, keys, seq, apply_as_deletes)
     payload = _payload(valid, keys, seq)
     first = seq[0]
@@ -229,7 +249,7 @@ def scd2(source: DataFrame, keys, sequence_by, apply_as_deletes=None,
         hist = hist.drop(_SPLITS, _CHUNK)
 
     out = hist.where(~F.col(_DEL)).withColumn(START_AT, F.col(first))
-    return _finish(out, source.columns, except_columns, extra=(START_AT, END_AT))
+    return _finish(out, visible, except_columns, extra=(START_AT, END_AT))
 
 
 def apply_changes(source: DataFrame, keys, sequence_by, scd_type: int | str = 1,

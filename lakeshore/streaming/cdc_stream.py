@@ -30,7 +30,7 @@ import hashlib
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -50,7 +50,13 @@ class ChangeApply:
                  writer: str | None = None):
         self.state_path = state_path.rstrip("/")
         self.keys = cdc._names(keys)
-        self.seq = cdc._names(sequence_by)
+        # A sequence given as a Column expression becomes a hidden column.
+        self.seq_spec = sequence_by
+        items = ([sequence_by] if isinstance(sequence_by, (str, Column))
+                 else list(sequence_by))
+        self.seq = [f"__seq{i}" if isinstance(it, Column) else it
+                    for i, it in enumerate(items)]
+        self.hidden = [n for n, it in zip(self.seq, items) if isinstance(it, Column)]
         self.scd_type = str(scd_type)
         if self.scd_type not in ("1", "2"):
             raise ValueError(f"scd_type must be 1 or 2, not {scd_type!r}")
@@ -95,6 +101,7 @@ class ChangeApply:
         if self.columns is None:
             self.columns = list(batch.columns)
             self.schema = batch.schema
+        batch, _ = cdc.with_sequence(batch, self.seq_spec)
         bad_flag = F.lit(False)
         for c in self.keys + self.seq:
             bad_flag = bad_flag | F.col(c).isNull()
@@ -114,7 +121,7 @@ class ChangeApply:
          .partitionBy(BATCH).parquet(self.log_path))
         if (obs.get.get("bad") or 0) > 0:
             _, bad = cdc.split_changes(batch, self.keys, self.seq, self.apply_as_deletes)
-            (bad.withColumn(BATCH, tag)
+            (bad.drop(*self.hidden).withColumn(BATCH, tag)
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(BATCH).parquet(self.quarantine_path))
         if self.compact_every > 0 and len(self._log_parts(spark)) >= self.compact_every:
@@ -183,8 +190,8 @@ class ChangeApply:
         if self.schema is None:
             raise FileNotFoundError(f"no state under {self.state_path}")
         # Nothing applied yet (or only quarantined rows): an empty state.
-        empty, _ = cdc.split_changes(spark.createDataFrame([], self.schema), self.keys,
-                                     self.seq, self.apply_as_deletes)
+        src, _ = cdc.with_sequence(spark.createDataFrame([], self.schema), self.seq_spec)
+        empty, _ = cdc.split_changes(src, self.keys, self.seq, self.apply_as_deletes)
         return empty.select(*self.keys, *self.seq, _DEL,
                             *cdc._payload(empty, self.keys, self.seq))
 
@@ -196,14 +203,14 @@ class ChangeApply:
         """The target as the batch form would give it: current rows for SCD 1,
         history with ``__START_AT`` / ``__END_AT`` for SCD 2."""
         rows = self._rows(spark)
-        cols = self.columns or [c for c in rows.columns if c != _DEL]
+        cols = self.columns or [c for c in rows.columns if c not in [_DEL] + self.hidden]
         if self.scd_type == "1":
             state = self._reduce_scd1(rows)
             return cdc._finish(state.where(~F.col(_DEL)), cols, self.except_columns)
         # The window operator dedupes (K, S) in the same sort as the lead.
-        return cdc.scd2(rows.select(*cols, _DEL), self.keys, self.seq,
+        return cdc.scd2(rows.select(*cols, *self.hidden, _DEL), self.keys, self.seq,
                         apply_as_deletes=F.col(_DEL),
-                        except_columns=self.except_columns + (_DEL,), **kwargs)
+                        except_columns=self.except_columns + (_DEL, *self.hidden), **kwargs)
 
     def current(self, spark: SparkSession) -> DataFrame:
         t = self.table(spark)

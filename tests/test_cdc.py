@@ -210,3 +210,27 @@ def test_two_streams_feed_one_target(spark, scratch):
     got = targets[-1].table(spark)
     assert sorted(map(tuple, got.collect()), key=repr) == \
         sorted(map(tuple, want.collect()), key=repr)
+
+
+@pytest.mark.parametrize("scd_type", [1, 2])
+def test_sequence_as_column_expression(spark, scratch, scd_type):
+    """sequence_by given as a Column (here: a text date parsed to a timestamp,
+    so ordering is by time, not by text) in batch and stream forms."""
+    rows = [(1, "a", "U", "2024-01-09 00:00:00"), (1, "b", "U", "2024-01-10 00:00:00"),
+            (2, "c", "U", "2024-01-02 00:00:00"), (2, None, "D", "2024-01-03 00:00:00")]
+    df = spark.createDataFrame(rows, "customer_id long, city string, operation string, "
+                                     "ModifiedDate string")
+    seq = F.to_timestamp("ModifiedDate")
+    feed = dict(keys=["customer_id"], sequence_by=seq,
+                apply_as_deletes="operation = 'D'", except_columns=["operation"])
+    out = cdc.apply_changes(df, scd_type=scd_type, **feed)
+    assert not [c for c in out.columns if c.startswith("__seq")]
+    target = ChangeApply(scratch("s"), scd_type=scd_type, **feed)
+    target.apply_batch(df.where("customer_id = 2"), 0)
+    target.apply_batch(df.where("customer_id = 1"), 1)
+    got = target.table(spark)
+    assert got.columns == out.columns
+    assert sorted(map(tuple, got.collect()), key=repr) == \
+        sorted(map(tuple, out.collect()), key=repr)
+    if scd_type == 1:
+        assert [(r.customer_id, r.city) for r in out.collect()] == [(1, "b")]
