@@ -254,8 +254,17 @@ def scd2(source: DataFrame, keys, sequence_by, apply_as_deletes=None,
 
 def apply_changes(source: DataFrame, keys, sequence_by, scd_type: int | str = 1,
                   apply_as_deletes=None, except_columns: Sequence[str] = (),
+                  stored_as_scd_type: int | str | None = None,
+                  except_column_list: Sequence[str] | None = None,
                   **kwargs) -> DataFrame:
-    """Declared change apply: SCD type 1 or 2 of a change feed (batch form)."""
+    """Declared change apply: SCD type 1 or 2 of a change feed (batch form).
+
+    ``stored_as_scd_type`` and ``except_column_list`` are accepted as the
+    declarative-pipeline spellings of ``scd_type`` and ``except_columns``."""
+    if stored_as_scd_type is not None:
+        scd_type = stored_as_scd_type
+    if except_column_list is not None:
+        except_columns = except_column_list
     if str(scd_type) == "1":
         return scd1(source, keys, sequence_by, apply_as_deletes, except_columns)
     if str(scd_type) == "2":
