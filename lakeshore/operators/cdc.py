@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
+# The validity columns of an SCD 2 history.
 START_AT = "__START_AT"
 END_AT = "__END_AT"
 _DEL = "__is_delete"

@@ -23,6 +23,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Fixed values (the event-log contract): the expectations element type, and
+# the log's columns in order.
 EXPECTATIONS_DDL = ("array<struct<dataset: string, failed_records: bigint, "
                     "name: string, passed_records: bigint>>")
 DETAILS_DDL = (

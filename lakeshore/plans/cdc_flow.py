@@ -27,6 +27,7 @@ from lakeshore.sources.files import stream_csv
 from lakeshore.streaming.cdc_stream import ChangeApply
 from lakeshore.streaming.ingest import start_append
 
+# The clean step's expectation (name, predicate).
 RECENT_RECORD = ("recent_record", "__END_AT IS NULL")
 
 

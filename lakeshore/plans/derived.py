@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshore.operators import cdc, eventlog, quality
+from lakeshore.plans import cdc_flow
 from lakeshore.sources.tables import spread, table
 
 # Fixed stand-in mapping of the change feeds.
@@ -22,8 +23,9 @@ ORDERS_FEED = dict(keys=["o_custkey"], sequence_by=["o_orderdate", "o_orderkey"]
 # Fixed stand-in quality rules on lineitem, per dataset l_returnflag.
 LINEITEM_RULES = {"valid_discount": "l_discount <= 0.05", "positive_quantity": "l_quantity > 0"}
 
-# The clean step of the pipeline: keep open versions only.
-RECENT_RECORD = ("recent_record", "__END_AT IS NULL")
+# The clean step of the flow: keep open versions only (same fixed values as
+# cdc_flow.RECENT_RECORD).
+RECENT_RECORD = cdc_flow.RECENT_RECORD
 
 
 def events_history(spark: SparkSession, data_dir: str, **kwargs) -> DataFrame:
