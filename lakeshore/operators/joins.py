@@ -2,11 +2,12 @@
 
 ``broadcast`` ships the small side to every task and skips the shuffle of the
 large side; it is only safe when the small side is bounded. The check here is
-a bounded count: ``small.limit(max_rows + 1).count()`` stops reading after
-``max_rows + 1`` rows, so checking a side that turns out to be huge costs a few
-partitions, not a scan. Above the bound the join falls back to a shuffled
-sort-merge join (both sides partitioned on the key; AQE splits skewed
-partitions at run time).
+a bounded count: ``small.limit(max_rows + 1).count()`` takes at most
+``max_rows + 1`` rows from each partition of the small side's plan (for a plain
+scan, row counts come from file footers), and never touches the large side.
+For a small side that is itself an aggregate the aggregate runs once for the
+check. Above the bound the join falls back to a shuffled sort-merge join (both
+sides partitioned on the key; AQE splits skewed partitions at run time).
 """
 
 from __future__ import annotations
