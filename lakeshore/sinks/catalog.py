@@ -60,7 +60,10 @@ class Dataset:
         if df is not None:
             schema = "(" + ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
                                      for f in df.schema.fields) + ")"
-        parts = f" PARTITIONED BY ({', '.join(self.partition_by)})" if self.partition_by else ""
+        # Without a column list Spark infers the columns, partition columns
+        # included, from the files; PARTITIONED BY needs the list.
+        parts = (f" PARTITIONED BY ({', '.join(self.partition_by)})"
+                 if self.partition_by and schema else "")
         sql = (f"CREATE TABLE IF NOT EXISTS {self.name} {schema} USING parquet{parts} "
                f"LOCATION {_q(self.path)}")
         if self.comment:
@@ -69,7 +72,7 @@ class Dataset:
             sql += f" TBLPROPERTIES ({props})"
         spark.sql(sql)
         if self.partition_by:
-            spark.sql(f"MSCK REPAIR TABLE {self.name}")
+            spark.sql(f"MSCK REPAIR TABLE {self.name}")  # pick up new partition folders
 
     def write(self, df: DataFrame, mode: str = "append") -> None:
         """Write ``df`` to the dataset's location and make sure it is declared."""

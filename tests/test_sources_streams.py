@@ -104,3 +104,15 @@ def test_ingest_archives_processed_files(spark, scratch):
     while not archived() and time.time() < deadline:
         time.sleep(0.5)
     assert archived()
+
+
+def test_partitioned_dataset_declaration(spark, scratch):
+    catalog.create_schema(spark, "lk_part")
+    ds = catalog.Dataset("lk_part.people", scratch("pp"), "people by country",
+                         {"quality": "silver"}, partition_by=("Country",))
+    ds.write(files.people(spark, 60))
+    t = ds.read(spark)
+    assert t.count() == 60
+    assert t.where("Country = 'UK'").count() == files.people(spark, 60).where(
+        "Country = 'UK'").count()
+    catalog.drop_schema(spark, "lk_part", cascade=True)
