@@ -234,3 +234,14 @@ def test_sequence_as_column_expression(spark, scratch, scd_type):
         sorted(map(tuple, out.collect()), key=repr)
     if scd_type == 1:
         assert [(r.customer_id, r.city) for r in out.collect()] == [(1, "b")]
+
+
+def test_change_apply_state_and_current(spark, scratch, changes):
+    t2 = ChangeApply(scratch("s2"), scd_type=2, **FEED)
+    t2.apply_batch(changes, 0)
+    assert {(r["customer_id"], r["city"]) for r in t2.current(spark).collect()} == SCD1
+    # state keeps tombstones: one row per (key, sequence), deletes included
+    assert t2.state(spark).where("__is_delete").count() == 3
+    t1 = ChangeApply(scratch("s1"), scd_type=1, **FEED)
+    t1.apply_batch(changes, 0)
+    assert {(r["customer_id"], r["city"]) for r in t1.current(spark).collect()} == SCD1

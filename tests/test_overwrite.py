@@ -90,3 +90,13 @@ def test_partition_replacement_int_partitions(spark, scratch):
     assert emptied == [{"b": 0}]
     got = spark.read.parquet(path)
     assert got.where("b = 1").count() == 3 and got.count() == 3 + 10
+
+
+def test_register_current_and_partitioned_version(spark, existing, scratch):
+    base = scratch("pv")
+    versioned.write_version(existing, base, partition_by="p")
+    incoming = spark.createDataFrame([(9, "a", 9)], SCHEMA)
+    overwrite.replace_where_version(base, incoming, "p = 'a'", partition_by="p")
+    path = versioned.register_current(spark, "pv_current", base)
+    assert path.endswith("v00000002")
+    assert sorted(r.id for r in spark.table("pv_current").collect()) == [3, 4, 9]

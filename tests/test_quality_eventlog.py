@@ -87,3 +87,12 @@ def test_log_compaction(spark, scratch):
     got = sorted(int(r.o) for r in eventlog.read_log(spark, log).selectExpr(
         "get_json_object(details, '$.flow_progress.metrics.num_output_rows') AS o").collect())
     assert got == [0, 1, 2, 9]
+
+
+def test_column_predicates_and_partition_helpers(spark, rows):
+    from lakeshore.operators import partitioning
+
+    kept, obs = quality.expect(rows, [("low", F.col("d") <= 0.05)], action="drop")
+    assert kept.count() == 2 and obs.get["failed:low"] == 2
+    r = partitioning.repartition_by_distinct(rows, "id", by_column=True)
+    assert partitioning.num_partitions(r) == 4
