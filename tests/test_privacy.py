@@ -181,3 +181,23 @@ def test_null_subject_id_fails_encryption(spark, scratch):
     assert keys.count() == 1
     with pytest.raises(Exception, match="no encryption key for ID = NULL"):
         privacy.encrypt_columns(df, keys, "ID", ["EMAIL"]).collect()
+
+
+def test_masked_and_clear_views_persistent(spark, people, scratch):
+    from lakeshore.sinks import catalog
+
+    catalog.create_schema(spark, "lk_mc")
+    keys_path = scratch("k")
+    keys = privacy.store_keys(people, "ID", keys_path)
+    enc_path = scratch("enc")
+    privacy.encrypt_columns(people, keys, "ID", ["EMAIL"]).write.parquet(enc_path)
+    catalog.Dataset("lk_mc.cust", enc_path).register(spark)
+    catalog.Dataset("lk_mc.keys_raw", keys_path).register(spark)
+    spark.sql("CREATE OR REPLACE VIEW lk_mc.keys AS SELECT ID, "
+              "min_by(encryption_key, struct(created_at, encryption_key)) AS encryption_key "
+              "FROM lk_mc.keys_raw GROUP BY ID")
+    masked, clear = privacy.create_masked_and_clear_views(
+        spark, "lk_mc.cust", "lk_mc.keys", "ID", ["EMAIL"], schema="lk_mc", persistent=True)
+    assert (masked, clear) == ("lk_mc.cust_masked", "lk_mc.cust_admin")
+    assert {tuple(r) for r in spark.table(clear).collect()} == set(SUBJECTS)
+    catalog.drop_schema(spark, "lk_mc", cascade=True)

@@ -116,3 +116,19 @@ def test_partitioned_dataset_declaration(spark, scratch):
     assert t.where("Country = 'UK'").count() == files.people(spark, 60).where(
         "Country = 'UK'").count()
     catalog.drop_schema(spark, "lk_part", cascade=True)
+
+
+def test_shuffle_hash_join_and_partitioned_stream_append(spark, scratch):
+    o = spark.read.parquet(f"{SF001}/orders.parquet")
+    c = spark.read.parquet(f"{SF001}/customer.parquet") \
+        .withColumnRenamed("c_custkey", "o_custkey")
+    sh = joins.join(o, c, "o_custkey", strategy="shuffle_hash")
+    assert joins.join_strategy(sh) == "ShuffledHashJoin"
+    assert sh.count() == o.count()
+    landing, target = scratch("land"), scratch("t")
+    files.write_csv_files(files.people(spark, 40), landing, files=2)
+    stream = files.stream_csv(spark, landing)
+    q = ingest.start_append(stream, target, scratch("ck"), partition_by="Country")
+    q.awaitTermination()
+    got = spark.read.parquet(target)
+    assert got.count() == 40 and "Country" in got.columns
