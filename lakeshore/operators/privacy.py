@@ -80,6 +80,16 @@ def read_keys(spark: SparkSession, key_path: str, id_column: str,
     return raw.groupBy(id_column).agg(pick.alias(key_column))
 
 
+def register_keys_view(spark: SparkSession, view: str, key_path: str, id_column: str,
+                       key_column: str = KEY_COLUMN, persistent: bool = False) -> None:
+    """:func:`read_keys` as a SQL view over the key table's folder, so views
+    (also persistent ones) can join one key per subject."""
+    kind = "VIEW" if persistent else "TEMPORARY VIEW"
+    spark.sql(f"CREATE OR REPLACE {kind} {view} AS SELECT `{id_column}`, "
+              f"min_by(`{key_column}`, struct(created_at, `{key_column}`)) AS `{key_column}` "
+              f"FROM parquet.`{key_path}` GROUP BY `{id_column}`")
+
+
 def store_keys(df: DataFrame, id_column: str, key_path: str,
                key_column: str = KEY_COLUMN) -> DataFrame:
     """Append keys for subjects of ``df`` that have none to the key table at

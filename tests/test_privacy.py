@@ -192,10 +192,7 @@ def test_masked_and_clear_views_persistent(spark, people, scratch):
     enc_path = scratch("enc")
     privacy.encrypt_columns(people, keys, "ID", ["EMAIL"]).write.parquet(enc_path)
     catalog.Dataset("lk_mc.cust", enc_path).register(spark)
-    catalog.Dataset("lk_mc.keys_raw", keys_path).register(spark)
-    spark.sql("CREATE OR REPLACE VIEW lk_mc.keys AS SELECT ID, "
-              "min_by(encryption_key, struct(created_at, encryption_key)) AS encryption_key "
-              "FROM lk_mc.keys_raw GROUP BY ID")
+    privacy.register_keys_view(spark, "lk_mc.keys", keys_path, "ID", persistent=True)
     masked, clear = privacy.create_masked_and_clear_views(
         spark, "lk_mc.cust", "lk_mc.keys", "ID", ["EMAIL"], schema="lk_mc", persistent=True)
     assert (masked, clear) == ("lk_mc.cust_masked", "lk_mc.cust_admin")
