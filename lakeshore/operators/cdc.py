@@ -158,24 +158,31 @@ def _hot_key_splits(valid: DataFrame, keys, seq, rows_per_task: int):
     least that many sampled rows is hot and every ``_SAMPLES_PER_CHUNK``-th
     sampled sequence value of it becomes a split point. The result holds about
     ``total_rows / rows_per_task`` entries, so it is collected and broadcast.
+    The same pass notices a hot group of copies (one (K, S) repeated about
+    ``rows_per_task`` times), which no sequence split can divide.
 
-    Returns ``(splits_df, max_splits)`` or ``(None, 0)`` when no key is hot."""
+    Returns ``(splits_df or None, max_splits, hot_copies)``."""
     fraction = min(1.0, _SAMPLES_PER_CHUNK / float(rows_per_task))
     seq_struct = F.struct(*[F.col(c) for c in seq])
     sample = valid.select(*keys, seq_struct.alias("__s")).sample(fraction=fraction, seed=17)
     by_key = Window.partitionBy(*keys)
     ranked = (sample.withColumn("__n", F.count(F.lit(1)).over(by_key))
               .where(F.col("__n") >= _SAMPLES_PER_CHUNK)
+              .withColumn("__c", F.count(F.lit(1)).over(Window.partitionBy(*keys, "__s")))
               .withColumn("__rn", F.row_number().over(by_key.orderBy("__s"))))
+    # A run of >= _SAMPLES_PER_CHUNK equal sequence values holds a multiple of
+    # _SAMPLES_PER_CHUNK in its row numbers, so the kept rows see its count.
     splits = (ranked.where(F.col("__rn") % _SAMPLES_PER_CHUNK == 0)
               .groupBy(*keys)
-              .agg(F.array_sort(F.array_distinct(F.collect_list("__s"))).alias(_SPLITS)))
+              .agg(F.array_sort(F.array_distinct(F.collect_list("__s"))).alias(_SPLITS),
+                   F.max("__c").alias("__copies")))
     rows = splits.collect()
     if not rows:
-        return None, 0
+        return None, 0, False
+    hot_copies = any(r["__copies"] >= _SAMPLES_PER_CHUNK for r in rows)
     spark = valid.sparkSession
-    table = spark.createDataFrame(rows, splits.schema)
-    return table, max(len(r[_SPLITS]) for r in rows)
+    table = spark.createDataFrame([r[:-1] for r in rows], splits.drop("__copies").schema)
+    return table, max(len(r[_SPLITS]) for r in rows), hot_copies
 
 
 def _with_chunk(df: DataFrame, seq_value: Column, max_splits: int) -> DataFrame:
@@ -220,9 +227,15 @@ def scd2(source: DataFrame, keys, sequence_by, apply_as_deletes=None,
     payload = _payload(valid, keys, seq)
     first = seq[0]
 
-    splits, max_splits = (None, 0)
+    splits, max_splits, hot_copies = (None, 0, False)
     if rows_per_task:
-        splits, max_splits = _hot_key_splits(valid, keys, seq, rows_per_task)
+        splits, max_splits, hot_copies = _hot_key_splits(valid, keys, seq, rows_per_task)
+    if hot_copies and not assume_unique:
+        # One (K, S) copied about rows_per_task times or more: collapse the
+        # copies first with an aggregate that combines map-side (each task
+        # keeps one per group before the shuffle); the window dedupe is then
+        # a no-op on already unique rows.
+        valid = _dedupe(valid, keys, seq)
 
     if splits is None:
         part = list(keys)

@@ -148,10 +148,10 @@ def test_hot_key_split_under_sampling(spark):
     cols = ["customer_id", "seq", "__START_AT", "__END_AT"]
     assert split.select(*cols).exceptAll(plain.select(*cols)).count() == 0
     assert plain.select(*cols).exceptAll(split.select(*cols)).count() == 0
-    splits, m = cdc._hot_key_splits(
+    splits, m, copies = cdc._hot_key_splits(
         cdc.split_changes(df, ["customer_id"], ["seq"], "operation = 'DELETE'")[0],
         ["customer_id"], ["seq"], 1_000)
-    assert splits is not None and m >= 5
+    assert splits is not None and m >= 5 and not copies
 
 
 def test_map_payload(spark):
@@ -245,3 +245,19 @@ def test_change_apply_state_and_current(spark, scratch, changes):
     t1 = ChangeApply(scratch("s1"), scd_type=1, **FEED)
     t1.apply_batch(changes, 0)
     assert {(r["customer_id"], r["city"]) for r in t1.current(spark).collect()} == SCD1
+
+
+def test_hot_group_of_copies(spark):
+    """One (K, S) copied thousands of times (a replayed file, say) is
+    detected by the sample and collapsed map-side; result equals the plain
+    window."""
+    base = [(1, f"c{i}", "UPDATE", i) for i in range(200)]
+    copies = [(1, "z", "UPDATE", 50)] * 5000
+    df = spark.createDataFrame(base + copies, SCHEMA)
+    valid = cdc.split_changes(df, ["customer_id"], ["seq"], "operation = 'DELETE'")[0]
+    _, _, hot = cdc._hot_key_splits(valid, ["customer_id"], ["seq"], 64)
+    assert hot
+    plain = cdc.scd2(df, rows_per_task=None, **FEED)
+    split = cdc.scd2(df, rows_per_task=64, **FEED)
+    assert _scd2_set(split) == _scd2_set(plain)
+    assert split.count() == 200
