@@ -112,10 +112,12 @@ def read_log(spark: SparkSession, log_path: str) -> DataFrame:
     return out
 
 
-def compact_log(spark: SparkSession, log_path: str, files: int = 1) -> str | None:
+def compact_log(spark: SparkSession, log_path: str) -> str | None:
     """Fold all appends into a new base version (recording which), then
     remove the folded append folders. Safe to interrupt: readers skip appends
-    the current base already holds."""
+    the current base already holds. The rewrite is rebalanced by adaptive
+    execution into files of the advisory partition size, however large the
+    log has grown (no single-task funnel)."""
     from lakeshore.sinks import versioned
 
     base = f"{log_path.rstrip('/')}/base"
@@ -124,7 +126,7 @@ def compact_log(spark: SparkSession, log_path: str, files: int = 1) -> str | Non
         return None
     folded = read_log(spark, log_path)  # base + unfolded tails listed now
     done = sorted(set(versioned.read_meta(spark, base).get("appends", [])) | set(parts))
-    path = versioned.write_version(folded.coalesce(files), base, meta={"appends": done})
+    path = versioned.write_version(folded.hint("rebalance"), base, meta={"appends": done})
     for name in parts:
         fs, p = versioned._fs(spark, f"{log_path.rstrip('/')}/tail/{name}")
         if fs.exists(p):
