@@ -69,15 +69,18 @@ def flow_event(spark: SparkSession, dataset: str, status: str, output_rows: int,
 _APPEND = "__append"
 
 
-def append_events(events: DataFrame, log_path: str, files: int = 1) -> None:
+def append_events(events: DataFrame, log_path: str, files: int | None = None) -> None:
     """Append events to the log (parquet). Each append is its own small
-    partition folder ``tail/__append=<time>_<id>``; :func:`compact_log` folds
-    them into one table version so the folder count stays small."""
+    partition folder ``tail/__append=<time>_<id>`` (a one-row flow event is one
+    file); :func:`compact_log` folds them into one table version so the folder
+    count stays small."""
     import time
 
     tag = f"{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
-    (events.select(*LOG_COLUMNS).coalesce(files)
-     .write.mode("append").parquet(f"{log_path.rstrip('/')}/tail/{_APPEND}={tag}"))
+    out = events.select(*LOG_COLUMNS)
+    if files:
+        out = out.coalesce(files)
+    (out.write.mode("append").parquet(f"{log_path.rstrip('/')}/tail/{_APPEND}={tag}"))
 
 
 def _tail_parts(spark: SparkSession, log_path: str) -> list[str]:
