@@ -21,7 +21,9 @@ large share of all rows would make that window one huge task, so keys above
 ``rows_per_task`` (found from a small sample of the key and sequence columns)
 are split into chunks at sampled sequence values; the window runs on
 (K, chunk), and the last row of a chunk takes the head of the next chunk,
-which is the split point itself.
+which is the split point itself. When the sample shows a hot group of copies
+(one (K, S) repeated that often), the copies are first collapsed by a
+map-side combined aggregate, since no split point can divide them.
 """
 
 from __future__ import annotations
