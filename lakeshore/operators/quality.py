@@ -57,12 +57,16 @@ def expect(df: DataFrame, rules, dataset: str = "dataset", action: str = "drop",
     ``get`` (after the first action on the result) holds, per rule,
     ``passed:<name>`` / ``failed:<name>``, plus ``input_rows`` and
     ``output_rows``. The counts belong to the first action that runs the
-    result (normally the write of the dataset)."""
+    result (normally the write of the dataset). For a streaming DataFrame the
+    second value is the metric name instead; read the counts with
+    :func:`progress_expectations` from the query's progress."""
     if action not in _ACTIONS:
         raise ValueError(f"action must be one of {_ACTIONS}, not {action!r}")
     rules = _rules(rules)
-    obs = observation or Observation(
-        f"expect_{dataset}_{next(_observation_ids)}_{uuid.uuid4().hex[:8]}")
+    name = f"expect_{dataset}_{next(_observation_ids)}_{uuid.uuid4().hex[:8]}"
+    # A stream reports the counts per micro-batch in its progress
+    # (``observedMetrics[name]``); see :func:`progress_expectations`.
+    obs = name if df.isStreaming else (observation or Observation(name))
     ok_all = all_pass(rules)
     metrics = [F.count(F.lit(1)).alias("input_rows")]
     for name, pred in rules:
@@ -97,6 +101,25 @@ def observed_expectations(obs: Observation, rules, dataset: str) -> list[dict]:
             for name, _ in _rules(rules)]
 
 
+def progress_expectations(progress: list, name: str, rules, dataset: str) -> tuple[dict, list]:
+    """Counts of a streaming :func:`expect`, summed over the micro-batches in
+    ``progress`` (``query.recentProgress``). Returns ``(totals, records)``:
+    totals hold ``input_rows`` / ``output_rows``, records are the per-rule
+    expectation records for the event log."""
+    totals: dict = {}
+    for p in progress:
+        row = (p.get("observedMetrics") or {}).get(name)
+        if row is None:
+            continue
+        for k, v in row.asDict().items():
+            totals[k] = totals.get(k, 0) + int(v or 0)
+    records = [{"dataset": dataset, "name": n,
+                "passed_records": totals.get(f"passed:{n}", 0),
+                "failed_records": totals.get(f"failed:{n}", 0)} for n, _ in _rules(rules)]
+    return {"input_rows": totals.get("input_rows", 0),
+            "output_rows": totals.get("output_rows", 0)}, records
+
+
 def quality_counts(df: DataFrame, rules, dataset_col: str | None = None,
                    dataset: str = "dataset") -> DataFrame:
     """Pass/fail counts per (dataset, expectation) as a DataFrame (Q2, A4).

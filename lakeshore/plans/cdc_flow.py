@@ -36,7 +36,7 @@ class CdcFlow:
                  apply_as_deletes=None, except_columns: Sequence[str] = (),
                  compact_every: int = 10, prefix: str = "customer",
                  max_files: int | None = None, materialize: bool = True,
-                 log_compact_after: int = 100):
+                 log_compact_after: int = 100, bronze_rules=None):
         self.root = root.rstrip("/")
         self.schema = schema
         self.prefix = prefix
@@ -54,6 +54,8 @@ class CdcFlow:
         # history runs once per run, not once per reader.
         self.materialize = materialize
         self.log_compact_after = int(log_compact_after)
+        # Expectations on the bronze stream (drop), counted per micro-batch.
+        self.bronze_rules = bronze_rules
         self.silver_bases = {"silver_scd1": f"{self.root}/tables/silver_scd1_table",
                              "silver_scd2": f"{self.root}/tables/silver_scd2_table"}
         self.log_path = f"{self.root}/system/events"
@@ -71,11 +73,20 @@ class CdcFlow:
 
     def run(self, spark: SparkSession, landing: str) -> str:
         """One run of every step; returns the gold version path."""
-        q = start_append(stream_csv(spark, landing, schema=self.schema,
-                                    max_files=self.max_files),
-                         self.bronze.path, self._ckpt("bronze"))
+        stream = stream_csv(spark, landing, schema=self.schema, max_files=self.max_files)
+        if self.bronze_rules:
+            stream, metric = quality.expect(stream, self.bronze_rules, dataset=self.bronze.name)
+        q = start_append(stream, self.bronze.path, self._ckpt("bronze"))
         q.awaitTermination()
-        self._event(spark, self.bronze.name, self._rows(q))
+        if q.exception() is not None:
+            raise q.exception()
+        if self.bronze_rules:
+            totals, records = quality.progress_expectations(
+                q.recentProgress, metric, self.bronze_rules, self.bronze.name)
+            self._event(spark, self.bronze.name, totals["output_rows"],
+                        totals["input_rows"] - totals["output_rows"], records)
+        else:
+            self._event(spark, self.bronze.name, self._rows(q))
         for name, target in (("silver_scd1", self.scd1), ("silver_scd2", self.scd2)):
             src = spark.readStream.schema(self.schema).parquet(self.bronze.path)
             sq = target.start(src, self._ckpt(name))

@@ -51,3 +51,24 @@ def test_cdc_flow_reruns_and_updates(spark, scratch):
     assert catalog.table_properties(spark, "lk_pipe.customer_gold_scd_type_2")["quality"] == "gold"
     assert spark.table("lk_pipe.customer_silver_scd_type_1").count() == 2
     catalog.drop_schema(spark, "lk_pipe", cascade=True)
+
+
+def test_bronze_expectations_on_the_stream(spark, scratch):
+    import datetime as dt
+
+    t = dt.datetime(2024, 1, 1)
+    rows = [(1, "ann", "oslo", "INSERT", t), (None, "x", "nowhere", "INSERT", t),
+            (2, "bob", "rome", "INSERT", t)]
+    landing = scratch("landing")
+    files.write_csv_files(_rows(spark, rows), landing, files=2)
+    p = CdcFlow(scratch("cdc"), _rows(spark, rows).schema, keys=["customer_id"],
+                sequence_by="ModifiedDate", apply_as_deletes="operation = 'DELETE'",
+                except_columns=["operation"], prefix="c2", max_files=1,
+                bronze_rules={"valid_id": "customer_id IS NOT NULL"})
+    p.run(spark, landing)
+    assert spark.read.parquet(p.bronze.path).count() == 2
+    rep = {r.expectations.dataset: r for r in p.report(spark).collect()}
+    b = rep["c2_bronze"]
+    assert (b.expectations.passed_records, b.expectations.failed_records) == (2, 1)
+    assert (b.output_records, b.dropped_records) == ("2", "1")
+    assert {r.customer_id for r in p.gold(spark).collect()} == {1, 2}
