@@ -273,6 +273,20 @@ def q_stream_ingest(spark, d):
     return spark.table("events_bronze")
 
 
+def q_stream_expect(spark, d):
+    """Expectation on a stream: events landed as CSV, rows failing
+    ``value <= 40`` dropped per micro-batch on their way to the table."""
+    ev = table(spark, d, "events")
+    landing = scratch_path(spark, "landing-expect")
+    files.write_csv_files(ev, landing, files=6, by="event_id")
+    stream = files.stream_csv(spark, landing, schema=ev.schema, max_files=2)
+    kept, _ = quality.expect(stream, {"small_value": "value <= 40"}, dataset="events_bronze")
+    target = scratch_path(spark, "bronze-expect")
+    ingest.start_append(kept, target, scratch_path(spark, "bronze-expect-ckpt")) \
+        .awaitTermination()
+    return spark.read.parquet(target)
+
+
 def q_stream_count(spark, d):
     return q_stream_ingest(spark, d).agg(F.count(F.lit(1)).alias("n"))
 
@@ -340,6 +354,7 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": q_csv_roundtrip,
     "stream_ingest": q_stream_ingest,
     "stream_count": q_stream_count,
+    "stream_expect": q_stream_expect,
     "replace_where": q_replace_where,
     "replace_where_version": q_replace_where_version,
     "replace_where_partitions": q_replace_where_partitions,
@@ -482,6 +497,7 @@ ORACLES: dict[str, str] = {
     "csv_roundtrip": "SELECT * FROM customer",
     "stream_ingest": "SELECT * FROM events",
     "stream_count": "SELECT count(*) AS n FROM events",
+    "stream_expect": "SELECT * FROM events WHERE coalesce(value <= 40, false)",
     "replace_where": _REPLACED,
     "replace_where_version": _REPLACED,
     "replace_where_partitions": """
