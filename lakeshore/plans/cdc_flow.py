@@ -1,4 +1,4 @@
-"""The change-data pipeline: bronze → silver (SCD 1, SCD 2) → clean → gold,
+"""The change-data flow: bronze → silver (SCD 1, SCD 2) → clean → gold,
 with an event log and its expectation report (T5, C3, K11, Q2, Q3).
 
 Every step is a plain Spark job; a run takes what has landed and stops
@@ -6,8 +6,10 @@ Every step is a plain Spark job; a run takes what has landed and stops
 failure: the stream checkpoints skip work already committed, the silver merge
 is idempotent, and gold is written as a new version.
 
-* bronze: CSV files of change rows → parquet, incrementally;
-* silver: a stream over bronze applied as SCD 1 and as SCD 2 (state tables);
+* bronze: CSV files of change rows → parquet, incrementally, optionally
+  dropping rows that fail ``bronze_rules`` (counted per micro-batch);
+* silver: a stream over bronze applied as SCD 1 and as SCD 2 (state tables),
+  materialized as table versions once per run;
 * clean + gold: ``expect_or_drop(recent_record: __END_AT IS NULL)`` over the
   SCD 2 history, written as the gold version; counts come from the same pass;
 * every step appends a ``flow_progress`` event to the log.
@@ -32,6 +34,8 @@ RECENT_RECORD = ("recent_record", "__END_AT IS NULL")
 
 
 class CdcFlow:
+    """Declared datasets of the flow under ``root`` and one-shot runs of it."""
+
     def __init__(self, root: str, schema: StructType, keys, sequence_by,
                  apply_as_deletes=None, except_columns: Sequence[str] = (),
                  compact_every: int = 10, prefix: str = "customer",
