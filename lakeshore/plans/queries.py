@@ -118,6 +118,14 @@ def q_json_path(spark, d):
     return ev.select("event_id", eventlog.json_path("props", "k").alias("k"))
 
 
+def q_explode_json(spark, d):
+    """``from_json`` of the props text into a map and ``explode`` of it: one
+    row per (event, property); null or malformed text yields no row (X4, X5)."""
+    ev = table(spark, d, "events")
+    props = F.from_json("props", "map<string, bigint>")
+    return ev.select("event_id", F.explode(props).alias("prop_key", "prop_value"))
+
+
 def q_gold_quality_report(spark, d):
     """silver SCD 2 → clean (expect_or_drop) → gold, the flow event of the
     gold write appended to an event log, and the report read back from it."""
@@ -338,6 +346,7 @@ QUERIES: dict[str, Query] = {
     "expectation_report_sql": q_expectation_report_sql,
     "cdc_flow": q_cdc_flow,
     "json_path": q_json_path,
+    "explode_json": q_explode_json,
     "gold_quality_report": q_gold_quality_report,
     "pseudonymize": q_pseudonymize,
     "ordered_limit": q_ordered_limit,
@@ -473,6 +482,9 @@ ORACLES: dict[str, str] = {
     "expectation_report_sql": _EXPECTATION_REPORT,
     "cdc_flow": f"SELECT * FROM ({_SCD2_EVENTS}) WHERE __END_AT IS NULL",
     "json_path": "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events",
+    "explode_json": ("SELECT e.event_id, j.prop_key, "
+                     "CAST(json_extract(e.props, '$.' || j.prop_key) AS BIGINT) AS prop_value "
+                     "FROM events e, unnest(json_keys(e.props)) AS j(prop_key)"),
     "gold_quality_report": _GOLD_QUALITY_REPORT,
     "pseudonymize": "SELECT *, sha256(c_name) AS customer_pseudo_id FROM customer",
     "ordered_limit": ("SELECT *, sha256(c_name) AS customer_pseudo_id FROM customer "
