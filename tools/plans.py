@@ -15,7 +15,8 @@ from lakeshore.session import local_session  # noqa: E402
 NAMES = ["scd2_history", "scd1_current", "scd2_composite", "gold_current",
          "expect_or_drop", "dq_metrics", "expectation_report", "pseudonymize",
          "encrypt_roundtrip", "join_broadcast", "join_sortmerge", "star_join",
-         "replace_where", "partition_lookup", "current_between"]
+         "replace_where", "partition_lookup", "current_between", "scd2_stream",
+         "admin_view", "explode_json"]
 
 
 GUIDE = """Reading guide (what to look for, and why it holds at 100 TB):
@@ -38,6 +39,10 @@ GUIDE = """Reading guide (what to look for, and why it holds at 100 TB):
   read as one key per subject (one aggregate shuffle on the subject id) and
   broadcast because the bounded count proved it small; above the bound the
   same join is a merge join on that partitioning.
+* `scd2_stream`: the streaming target read back: base version ∪ log
+  partitions, then the same single-shuffle window as `scd2_history`.
+* `admin_view`: the SQL view: protected table left-joined with the key view
+  (one key per subject, an aggregate) and decrypted by the SQL function.
 * `expectation_report`: the one exchange is the round-robin `spread` of the
   single-row-group test file over the cores; on real inputs (many splits) it
   is skipped and the plan has none.
