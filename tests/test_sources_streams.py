@@ -132,3 +132,12 @@ def test_shuffle_hash_join_and_partitioned_stream_append(spark, scratch):
     q.awaitTermination()
     got = spark.read.parquet(target)
     assert got.count() == 40 and "Country" in got.columns
+
+
+def test_spread_only_when_few_partitions(spark):
+    from lakeshore.sources.tables import spread
+
+    few = spark.range(100, numPartitions=1)
+    many = spark.range(100, numPartitions=64)
+    assert spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread(many) is many
