@@ -141,3 +141,11 @@ def test_spread_only_when_few_partitions(spark):
     many = spark.range(100, numPartitions=64)
     assert spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert spread(many) is many
+
+
+def test_broadcast_byte_bound(spark):
+    wide = spark.range(1000).selectExpr("id", "repeat('x', 1000) AS pad")
+    assert joins.fits_broadcast(wide)
+    assert not joins.fits_broadcast(wide, max_bytes=100_000)
+    j = joins.join(spark.range(10), wide, "id", max_broadcast_bytes=100_000)
+    assert joins.join_strategy(j) == "SortMergeJoin"
