@@ -4,13 +4,14 @@ names, order-insensitive value hash), as the driver checks at sf0.01."""
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from lakeshore.plans.queries import ORACLES, QUERIES
 from lakeshore.sources.tables import TABLES
 from tools.check_oracles import digest
 
 from conftest import SF001
 
-NAMES = sorted(queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +23,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLES) == set(QUERIES)
 
 
 def test_entry_smoke(spark):
@@ -33,8 +34,8 @@ def test_entry_smoke(spark):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    got = queries()[name](spark, SF001).toPandas()
-    want = con.execute(oracle_sql()[name]).df()
+    got = QUERIES[name](spark, SF001).toPandas()
+    want = con.execute(ORACLES[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
     assert digest(got) == digest(want)
