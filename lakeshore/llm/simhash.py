@@ -110,19 +110,17 @@ def links(nodes: DataFrame, radius: int) -> DataFrame:
     tiles = written(_tiles(nodes), "tiles")
     steps = [s for s in itertools.product(range(-radius, radius + 1), repeat=4)
              if sum(map(abs, s)) <= radius and s >= (0, 0, 0, 0)]
-    spark = tiles.sparkSession
-    moves = spark.createDataFrame([(*s,) for s in steps], "s0 int, s1 int, s2 int, s3 int")
+    moves = F.array(*[F.struct(*[F.lit(x).alias(f"s{i}") for i, x in enumerate(s)]) for s in steps])
     there = F.broadcast(tiles.select(F.col("cell").alias("to")).distinct())  # at most 17^4 rows
     p = [F.floor(F.col("cell") / 17 ** (3 - i)).cast("int") % 17 for i in range(4)]
     pairs = tiles.select("cell", "tile").distinct()
-    q = [p[i] + F.col(f"s{i}") for i in range(4)]
+    q = [p[i] + F.col(f"move.s{i}") for i in range(4)]
     ok = F.lit(True)
     for x in q:
         ok = ok & x.between(0, 16)
     # which tile meets which cell: narrow rows; the tiles themselves follow by joins
-    meet = (pairs.join(F.broadcast(moves)).where(ok)
-            .select(F.col("cell").alias("cell"), F.col("tile").alias("tile"),
-                    (((q[0] * 17 + q[1]) * 17 + q[2]) * 17 + q[3]).alias("to"))
+    meet = (pairs.withColumn("move", F.explode(moves)).where(ok)
+            .select("cell", "tile", (((q[0] * 17 + q[1]) * 17 + q[2]) * 17 + q[3]).alias("to"))
             .join(there, "to"))
     left = meet.join(tiles.select("cell", "tile", F.col("fps").alias("a")), ["cell", "tile"])
     right = tiles.select(F.col("cell").alias("to"), F.col("tile").alias("to_tile"), F.col("fps").alias("b"))

@@ -12,7 +12,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
+from pyspark.sql.types import DataType, StructType
 
 #: Bytes of text that one numpy pass takes; temporaries are about 40 times as large.
 PASS_BYTES = 2 << 20
@@ -137,7 +138,7 @@ def passes(buf: np.ndarray, offsets: np.ndarray,
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]],
-                schema: str, rows: int = BATCH_ROWS) -> DataFrame:
+                schema: str | StructType, rows: int = BATCH_ROWS) -> DataFrame:
     """``mapInArrow`` of ``fn`` over slices of at most ``rows`` rows."""
     def run(batches):
         for b in batches:
@@ -147,7 +148,10 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.Record
     return df.mapInArrow(run, schema)
 
 
-def plain(df: DataFrame, **columns: str) -> DataFrame:
-    """Only the named columns under fixed names: extra columns, whatever their
-    names, never meet the operator's own."""
-    return df.select(*[F.col(f"`{src}`").alias(name) for name, src in columns.items()])
+def schema_with(rest: DataType, before: str, after: str) -> StructType:
+    """A schema with a ``rest`` struct of any column names between two DDL lists."""
+    out = StructType(list(StructType.fromDDL(before).fields)) if before else StructType()
+    out = out.add("rest", rest)
+    for field in StructType.fromDDL(after).fields if after else ():
+        out = out.add(field)
+    return out
