@@ -8,8 +8,8 @@ blocks that hold phrases of all documents:
    windows have equal anchors, and runs of neighbouring windows share one. Anchors
    alone, in blocks by hash, show which phrases occur in several documents.
 2. Only those phrases (runs of windows with one anchor) go to the block of their
-   anchor, which is indexed by (anchor, window hash), 128 bits, with the smallest
-   document that has it.
+   anchor, which is indexed by (anchor code, window hash), 96 bits, with the
+   smallest document that has it.
 3. In each block a document's phrases are parsed greedily into the longest factors
    whose windows all stand in an earlier document.
 4. A document's factors from all blocks are joined at their boundaries: each
@@ -44,6 +44,16 @@ BATCH = 2048
 ASK, KNOWN, TELL = 0, 1, 2
 
 
+def _code(anchor: np.ndarray) -> np.ndarray:
+    """32 bits of an anchor, apart from those that choose its block. Step 1 may ask
+    for a phrase too many, never for one too few."""
+    return (tk.mix(anchor) >> np.uint64(32)).astype(np.uint32)
+
+
+def _bucket(ids: np.ndarray, n_blocks: int) -> np.ndarray:
+    return (tk.mix(ids.view(np.uint64)) % np.uint64(n_blocks)).astype(np.int64)
+
+
 class _Windows:
     """Windows of k words of the documents in one buffer: start (word index in the
     document), document, anchor; ``words`` for the rest."""
@@ -110,19 +120,40 @@ def _column(table: pa.Table, name: str, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(table[name].to_pylist()), dtype=dtype)
 
 
-def _by_doc(ids: np.ndarray, th: np.ndarray, arrays: list[np.ndarray], schema: pa.Schema) -> pa.Table:
-    """One row per document: (doc_id, th, the arrays side by side as bytes)."""
-    order = np.lexsort((th, ids))
-    ids, th = ids[order], th[order]
-    runs = _first_of_runs(ids, th)
-    ends = np.append(runs, len(ids))[1:]
-    flat = np.stack([a[order] for a in arrays], axis=1) if len(arrays) > 1 else arrays[0][order]
+_ANSWER = pa.schema([("bucket", pa.int32()), ("found", pa.binary())])
+_FOUND = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("found", pa.binary())])
+
+
+def _answers(rows: np.ndarray, n_blocks: int) -> pa.Table:
+    """One row per bucket of documents: a block's answers (a record per answer, with
+    ``doc`` and ``th``) go back in as many rows as there are buckets."""
+    bucket = _bucket(np.ascontiguousarray(rows["doc"]), n_blocks)
+    order = np.argsort(bucket, kind="stable")
+    bucket, rows = bucket[order], rows[order]
+    runs = _first_of_runs(bucket)
+    ends = np.append(runs, len(bucket))[1:]
     return pa.Table.from_arrays(
-        [pa.array(ids[runs]), pa.array(th[runs]),
-         pa.array([flat[s:e].tobytes() for s, e in zip(runs, ends)], pa.binary())], schema=schema)
+        [pa.array(bucket[runs].astype(np.int32)),
+         pa.array([rows[s:e].tobytes() for s, e in zip(runs, ends)], pa.binary())], schema=_ANSWER)
+
 
+def _gather(answers: DataFrame, kind: np.dtype) -> DataFrame:
+    """(doc_id, th, found) per document: the values of its answers from all blocks."""
+    values = [n for n in kind.names if n not in ("doc", "th")]
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = np.frombuffer(b"".join(table["found"].to_pylist()), dtype=kind)
+        ids, th = rows["doc"], rows["th"]
+        order = np.lexsort((th, ids))
+        ids, th = ids[order], th[order]
+        flat = np.stack([rows[v][order] for v in values], axis=1)
+        runs = _first_of_runs(ids, th)
+        ends = np.append(runs, len(ids))[1:]
+        return pa.Table.from_arrays(
+            [pa.array(ids[runs]), pa.array(th[runs]),
+             pa.array([flat[s:e].tobytes() for s, e in zip(runs, ends)], pa.binary())], schema=_FOUND)
 
-_ANSWER = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("found", pa.binary())])
+    return answers.groupBy("bucket").applyInArrow(run, "doc_id long, th long, found binary")
 
 
 def _int64(column) -> np.ndarray:
@@ -158,33 +189,38 @@ def _anchors(docs: DataFrame, k: int, n_blocks: int) -> DataFrame:
         spread = np.full(len(i), hash((int(i[0]), int(a[0]))) % n_blocks)
         for kind, rows, where in ((ASK, ~shared, block), (KNOWN, shared, spread), (TELL, tell, block)):
             if rows.any():
-                yield _rows(where[rows], kind, {"doc_ids": i[rows], "ths": t[rows], "anchors": a[rows]})
+                yield _rows(where[rows], kind, {"doc_ids": i[rows], "ths": t[rows],
+                                                "anchors": _code(a[rows])})
 
     return tk.map_batches(docs, run, "block int, kind int, doc_ids binary, ths binary, anchors binary",
                           rows=BATCH)
 
 
-def _shared_anchors(rows: DataFrame) -> DataFrame:
-    """(doc_id, th, found): anchors of a document that stand in others as well."""
+_SHARED = np.dtype([("doc", "<i8"), ("th", "<i8"), ("code", "<u4")])
+
+
+def _shared_anchors(rows: DataFrame, n_blocks: int) -> DataFrame:
+    """(bucket, found): anchors of documents that stand in others as well."""
     def run(table: pa.Table) -> pa.Table:
         kind = table["kind"].to_numpy()
         part = lambda mask: table.filter(pa.array(mask))
         known, rest = part(kind == KNOWN), part(kind != KNOWN)
-        i, t, a = (_column(rest, c, d) for c, d in (("doc_ids", "i8"), ("ths", "i8"), ("anchors", "u8")))
+        i, t, a = (_column(rest, c, d) for c, d in (("doc_ids", "i8"), ("ths", "i8"), ("anchors", "u4")))
         sizes = np.array([len(x) // 8 for x in rest["doc_ids"].to_pylist()], dtype=np.int64)
         ask = np.repeat(kind[kind != KNOWN] == ASK, sizes)
         low, high = _least((a,), i)
         hit = ask & (low != high)
         # an asker alone here may still meet a teller with its own id: ids tell them apart
-        i = np.concatenate([i[hit], _column(known, "doc_ids", "i8")])
-        t = np.concatenate([t[hit], _column(known, "ths", "i8")])
-        a = np.concatenate([a[hit], _column(known, "anchors", "u8")])
-        return _by_doc(i, t, [a], _ANSWER)
+        n = int(hit.sum())
+        out = np.empty(n + len(_column(known, "anchors", "u4")), dtype=_SHARED)
+        for field, name, mine, kind_ in (("doc", "doc_ids", i, "i8"), ("th", "ths", t, "i8"), ("code", "anchors", a, "u4")):
+            out[field][:n], out[field][n:] = mine[hit], _column(known, name, kind_)
+        return _answers(out, n_blocks)
 
-    return rows.groupBy("block").applyInArrow(run, "doc_id long, th long, found binary")
+    return rows.groupBy("block").applyInArrow(run, "bucket int, found binary")
 
 
-_RUN = np.dtype([("doc", "<u4"), ("pos", "<u4"), ("n", "<u4"), ("anchor", "<u8")])
+_RUN = np.dtype([("doc", "<u2"), ("pos", "<u4"), ("n", "<u4"), ("anchor", "<u4")])
 
 
 def _phrases(docs: DataFrame, k: int, n_blocks: int) -> DataFrame:
@@ -194,16 +230,18 @@ def _phrases(docs: DataFrame, k: int, n_blocks: int) -> DataFrame:
         unpack = zstandard.ZstdDecompressor().decompress
         ids, th = _int64(batch.column(0)), _int64(batch.column(1))
         texts = [unpack(z) for z in batch.column(2).to_pylist()]
-        shared = [np.frombuffer(b"".join(x), dtype="u8") for x in batch.column(3).to_pylist()]
+        shared = [np.frombuffer(x, dtype="u4").astype(np.uint64) for x in batch.column(3).to_pylist()]
         offsets = np.concatenate([[0], np.cumsum([len(x) for x in texts])])
         buf = np.frombuffer(b"".join(texts), dtype=np.uint8)
         parts = []
         for i, j, b, o in tk.passes(buf, offsets):
             w = _Windows(b, o, k)
             salt = np.uint64(0x9E3779B97F4A7C15)
-            want = np.concatenate([tk.mix(s + np.uint64(d) * salt) for d, s in enumerate(shared[i:j])])
+            salts = np.arange(j - i, dtype=np.uint64) * salt
+            want = np.concatenate([tk.mix(s + x) for x, s in zip(salts, shared[i:j])])
             # a superset: a clash of hashes only asks for a window too many
-            is_in = np.isin(tk.mix(w.anchor + w.doc.astype(np.uint64) * salt), want)
+            code = _code(w.anchor).astype(np.uint64)
+            is_in = np.isin(tk.mix(code + w.doc.astype(np.uint64) * salt), want)
             parts.append((w.doc[is_in] + i, w.pos[is_in], w.anchor[is_in], w.hashes()[is_in]))
         if not parts:
             return
@@ -222,13 +260,13 @@ def _phrases(docs: DataFrame, k: int, n_blocks: int) -> DataFrame:
                 new[1:] |= y[1:] != y[:-1]
             start = np.flatnonzero(new)
             n = np.diff(np.append(start, len(x)))
-            block = ((y[start] % np.uint64(n_blocks)) if kind == ASK
-                     else tk.mix(ids[x[start]].view(np.uint64)) % np.uint64(n_blocks)).astype(np.int64)
+            block = ((y[start] % np.uint64(n_blocks)).astype(np.int64) if kind == ASK
+                     else _bucket(ids[x[start]], n_blocks))
             order = np.argsort(block, kind="stable")
             block, start, n = block[order], start[order], n[order]
             runs = np.empty(len(start), dtype=_RUN)
-            runs["pos"], runs["n"], runs["anchor"] = p[start], n, y[start]
-            row, ends = _first_of_runs(block), None
+            runs["pos"], runs["n"], runs["anchor"] = p[start], n, _code(y[start])
+            row = _first_of_runs(block)
             ends = np.append(row, len(block))[1:]
             cols = [[], [], [], []]
             for s, e in zip(row, ends):
@@ -248,8 +286,11 @@ def _phrases(docs: DataFrame, k: int, n_blocks: int) -> DataFrame:
                           rows=BATCH)
 
 
-def _factors(rows: DataFrame) -> DataFrame:
-    """(doc_id, th, found): factors (first window, number of windows) as pairs."""
+_FACTOR = np.dtype([("doc", "<i8"), ("th", "<i8"), ("pos", "<u4"), ("n", "<u4")])
+
+
+def _factors(rows: DataFrame, n_blocks: int) -> DataFrame:
+    """(bucket, found): factors of documents (first window, number of windows)."""
     def load(table: pa.Table):
         docs = [np.frombuffer(x, "i8").reshape(-1, 2) for x in table["docs"].to_pylist()]
         runs = [np.frombuffer(x, _RUN) for x in table["runs"].to_pylist()]
@@ -277,37 +318,36 @@ def _factors(rows: DataFrame) -> DataFrame:
         start = np.flatnonzero(new)
         last = np.append(start, len(x))[1:] - 1
         known_pairs, known = load(table.filter(pa.array(kind == KNOWN)))
-        return _by_doc(np.concatenate([x[start], known_pairs[:, 0]]),
-                       np.concatenate([t[start], known_pairs[:, 1]]),
-                       [np.concatenate([p[start], known["pos"].astype(np.int64)]),
-                        np.concatenate([(p[last] - p[start] + 1) if len(start) else p[start],
-                                        known["n"].astype(np.int64)])], _ANSWER)
+        out = np.empty(len(start) + len(known), dtype=_FACTOR)
+        m = len(start)
+        out["doc"][:m], out["th"][:m], out["pos"][:m], out["n"][:m] = x[start], t[start], p[start], p[last] - p[start] + 1
+        out["doc"][m:], out["th"][m:], out["pos"][m:], out["n"][m:] = *known_pairs.T, known["pos"], known["n"]
+        return _answers(out, n_blocks)
 
-    return rows.groupBy("block").applyInArrow(run, "doc_id long, th long, found binary")
+    return rows.groupBy("block").applyInArrow(run, "bucket int, found binary")
 
 
-def _gather(found: DataFrame) -> DataFrame:
-    return found.groupBy("doc_id", "th").agg(F.collect_list("found").alias("found"))
-
-
-def _cut(text: bytes, found: list[bytes] | None, k: int):
-    """(kept words, n_words, n_removed, spans [start, end) in words)."""
+def _cut(text: bytes, found: bytes | None, k: int):
+    """(kept text, n_words, n_removed, spans [start, end) in words). What is cut
+    reaches from its first word to the next kept word; all else stays as it is."""
     raw = np.frombuffer(text, dtype=np.uint8)
     w = tk.Words(raw, np.array([0, len(raw)]), tk.NOT_SPACE)
     edge = np.zeros(len(w) + 1, dtype=np.int64)
     if found:
-        pairs = np.concatenate([np.frombuffer(x, "i8").reshape(-1, 2) for x in found])
+        pairs = np.frombuffer(found, "u4").reshape(-1, 2).astype(np.int64)
         np.add.at(edge, pairs[:, 0], 1)
         np.add.at(edge, pairs[:, 0] + pairs[:, 1] + k - 1, -1)  # n windows cover n + k - 1 words
     gone = np.cumsum(edge)[:-1] > 0
     turn = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
-    words = [text[s:e] for s, e in zip(w.starts[~gone].tolist(), w.ends[~gone].tolist())]
-    return b" ".join(words), len(w), int(gone.sum()), turn.reshape(-1, 2).tolist()
+    bound = np.append(w.starts, len(text))
+    spans = turn.reshape(-1, 2)
+    at = np.concatenate([[0], bound[spans].ravel(), [len(text)]]).reshape(-1, 2)
+    return (b"".join(text[s:e] for s, e in at.tolist()), len(w), int(gone.sum()), spans.tolist())
 
 
 def dedup_substrings(docs: DataFrame, k: int = 13, id_col: str = "doc_id", text_col: str = "text",
                      carry: list[str] | None = None) -> DataFrame:
-    """One row per document: doc_id, kept (its kept words joined by one space),
+    """One row per document: doc_id, kept (its text without the removed words),
     n_words, n_removed, spans (removed words, array of [start, end)), and ``rest``,
     a struct of the ``carry`` columns."""
     n_blocks = blocks(docs)
@@ -316,7 +356,7 @@ def dedup_substrings(docs: DataFrame, k: int = 13, id_col: str = "doc_id", text_
                       F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
                       F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in carry or []]).alias("rest"))
     sources = src.where("doc_id is not null").select("doc_id", "th", "text")
-    shared = _gather(_shared_anchors(_anchors(sources, k, n_blocks)))
+    shared = _gather(_shared_anchors(_anchors(sources, k, n_blocks), n_blocks), _SHARED)
 
     def pack(batch: pa.RecordBatch):
         press = zstandard.ZstdCompressor(level=1).compress
@@ -328,8 +368,9 @@ def dedup_substrings(docs: DataFrame, k: int = 13, id_col: str = "doc_id", text_
     packed = tk.map_batches(src, pack, tk.schema_with(rest, "doc_id long, th long, z binary", ""))
     held = written(packed.join(shared, ["doc_id", "th"], "left"), "phrases", "uncompressed")
     asking = held.where("found is not null").select("doc_id", "th", "z", "found")
-    factors = _gather(_factors(_phrases(asking, k, n_blocks)))
-    final = held.drop("found").join(factors, ["doc_id", "th"], "left")
+    factors = _gather(_factors(_phrases(asking, k, n_blocks), n_blocks), _FACTOR)
+    final = (held.where("found is not null").drop("found").join(factors, ["doc_id", "th"], "left")
+             .unionByName(held.where("found is null")))
 
     def cut(batch: pa.RecordBatch):
         unpack = zstandard.ZstdDecompressor().decompress
@@ -348,8 +389,13 @@ def dedup_substrings(docs: DataFrame, k: int = 13, id_col: str = "doc_id", text_
 def op2_substring_dedup(spark, sf_dir: str) -> DataFrame:
     """Words of every document that stay when repeated 13-word passages go."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return dedup_substrings(docs, k=13).select(
-        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+    return dedup_substrings(docs, k=13).select("doc_id", "n_words", "n_removed", words_sha256("kept"))
+
+
+def words_sha256(column: str):
+    """Digest of a text's words joined by one space each."""
+    joined = F.trim(F.regexp_replace(column, r"[\x20\x09-\x0D]+", " "))
+    return F.sha2(joined, 256).alias("kept_sha256")
 
 
 #: Every 13-word window with the smallest document that has it.

@@ -96,18 +96,24 @@ def test_components_long_chain(spark):
 @pytest.mark.parametrize("batch", [2048, 3])
 def test_substrings_odd(odd, pairs, batch, monkeypatch):
     monkeypatch.setattr(substrings, "BATCH", batch)
-    from pyspark.sql import functions as F
-    out = substrings.dedup_substrings(odd).withColumn("sha", F.sha2("kept", 256))
-    got = brute.rows_of(out, "doc_id", "n_words", "n_removed", "sha")
+    out = substrings.dedup_substrings(odd).select("*", substrings.words_sha256("kept"))
+    got = brute.rows_of(out, "doc_id", "n_words", "n_removed", "kept_sha256")
     assert got == none_first(brute.substrings(pairs))
 
 
 @pytest.mark.parametrize("k", [3, 5, 13])
 def test_substrings_table(spark, table, k):
-    from pyspark.sql import functions as F
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    out = substrings.dedup_substrings(docs, k=k).withColumn("sha", F.sha2("kept", 256))
-    assert brute.rows_of(out, "doc_id", "n_words", "n_removed", "sha") == none_first(brute.substrings(table, k))
+    out = substrings.dedup_substrings(docs, k=k).select("*", substrings.words_sha256("kept"))
+    assert brute.rows_of(out, "doc_id", "n_words", "n_removed", "kept_sha256") == none_first(brute.substrings(table, k))
+
+
+def test_substrings_keep_the_layout():
+    text = "  a b\n\nc  d e\tf "
+    factor = np.array([[1, 1]], dtype="u4").tobytes()  # one window of 3 words from word 1
+    assert substrings._cut(text.encode(), factor, 3) == (b"  a e\tf ", 6, 3, [[1, 4]])
+    assert substrings._cut(text.encode(), None, 3) == (text.encode(), 6, 0, [])
+    assert substrings._cut(b"x y z", np.array([[0, 1]], dtype="u4").tobytes(), 3)[0] == b""
 
 
 # 3 ----------------------------------------------------------------------------
