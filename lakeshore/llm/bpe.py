@@ -23,7 +23,7 @@ import os
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeshore.llm import textkit as tk
 
@@ -369,14 +369,14 @@ def decode_documents(rows: DataFrame, vocabulary: str | None = None, ids_col: st
     return out.select(*[F.col(f"rest.`{c}`") for c in names], F.col("text").alias(text_col))
 
 
-def digests(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of documents."""
-    coded = decode_documents(encode_documents(docs, keep=[id_col]))
+def digest_columns() -> list[Column]:
+    """n_tokens, ids_sha256 and decoded_sha256 of the columns ids and decoded."""
     listed = F.regexp_replace(F.to_json("ids"), r"[\[\]]", "")
-    return coded.select(id_col, F.size("ids").cast("long").alias("n_tokens"),
-                        F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return [F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),
+            F.sha2("decoded", 256).alias("decoded_sha256")]
 
 
 def op5_bpe_roundtrip(spark, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
-    return digests(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return decode_documents(encode_documents(docs, keep=["doc_id"])).select("doc_id", *digest_columns())

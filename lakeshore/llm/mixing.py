@@ -112,22 +112,22 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST, block: int = BLOCK,
     """One row per document: doc_id, size, source_size, target, taken (words the mix
     takes, repeats counted), and ``rest``, the ``carry`` column."""
     spark = docs.sparkSession
-    src = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
-                      F.col(f"`{source_col}`").alias("source"),
-                      word_count(F.col(f"`{text_col}`")).alias("size"),
-                      # equal rows are told apart by nothing, and need not be
-                      F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("h"),
-                      (carry if carry is not None else F.lit(None).cast("int")).alias("rest"))
-    sized = written(src, "sized")
-    table = written(targets(sized, weights, most), "targets")
+    sized = docs.select(F.monotonically_increasing_id().alias("rid"),
+                        F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+                        F.col(f"`{source_col}`").alias("source"),
+                        word_count(F.col(f"`{text_col}`")).alias("size"),
+                        # equal rows are told apart by nothing, and need not be
+                        F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("h"),
+                        (carry if carry is not None else F.lit(0)).alias("rest"))
+    sized = written(sized, "sized")
+    rows = sized.drop("rest")
+    table = written(targets(rows, weights, most), "targets")
     slots = schedule(spark, table, block, most)
     uses = slots.groupBy("n", "block").agg(F.count("*").alias("times"))
-    places = F.broadcast(table.select("n", F.col("source").alias("s"), "source_size", "target"))
-    line = (sized.join(places, F.col("source").eqNullSafe(F.col("s"))).drop("s", "source")
-            .withColumn("bucket", F.pmod("h", F.lit(BUCKETS)))
-            .withColumn("rid", F.monotonically_increasing_id()))
-    line = written(line, "line")
-    line = written(_running(line.drop("rest"), ["n"], "bucket", ["h", "doc_id", "rid"], F.col("size"), "at"), "at")
+    places = table.select("n", F.col("source").alias("s"), "source_size", "target")
+    line = (rows.join(places, F.col("source").eqNullSafe(F.col("s"))).drop("s", "source")
+            .withColumn("bucket", F.pmod("h", F.lit(BUCKETS))))
+    line = written(_running(line, ["n"], "bucket", ["h", "doc_id", "rid"], F.col("size"), "at"), "line")
     first, last = F.floor(F.col("at") / block), F.floor((F.col("at") + F.col("size") - 1) / block)
     cuts = (line.where("size > 0").select("rid", "n", "at", "size", F.explode(F.sequence(first, last)).alias("block"))
             .select("rid", "n", "block",
@@ -135,10 +135,15 @@ def mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST, block: int = BLOCK,
                      - F.greatest("at", F.col("block") * block)).alias("words")))
     taken = (cuts.join(uses, ["n", "block"]).groupBy("rid")
              .agg(F.sum(F.col("words") * F.col("times")).alias("taken")))
-    return line.join(taken, "rid", "left").select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
+    out = line.select("rid", "doc_id", "size", "source_size", "target").join(taken, "rid", "left")
+    if carry is not None:  # whole rows meet their numbers only at the end
+        out = out.join(sized.select("rid", "rest"), "rid")
+    else:
+        out = out.withColumn("rest", F.lit(0))
+    return out.select("doc_id", "size", "source_size", "target",
+                      F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "rest")
 
 
 def op9_source_mix(spark, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
-    return mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return mix(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("rest")
