@@ -18,6 +18,7 @@ as they are.
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 
@@ -31,8 +32,10 @@ VOCABULARY = "byte_bpe_50k.json"
 #: A cut every so many bytes, on average; the hash sees the last 8 bytes.
 CHUNK_BYTES = 1024
 #: Bounds of the worker's caches: pieces, and bytes of chunks.
-CACHE_PIECES, CACHE_BYTES = 300_000, 24 << 20
+CACHE_PIECES, CACHE_BYTES = 200_000, 8 << 20
 LONG_PIECE = 128
+#: Bytes of new pieces that go to the library as one text.
+RUN_BYTES = 4096
 
 _SPACES = ~tk.NOT_SPACE
 _PLAIN = np.zeros(256, dtype=bool)
@@ -96,6 +99,7 @@ class Pieces:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.id_bytes = np.array([len(b) for b in token_bytes(path)], dtype=np.int64)
         self._clear()
 
     def _clear(self):
@@ -111,19 +115,45 @@ class Pieces:
         texts = [t.decode("utf-8", "replace") for t in texts]
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _add(self, pieces: list[bytes]) -> list[int]:
-        places = []
-        for ids in self.library(pieces):
-            while self.used + len(ids) > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-            if self.count == len(self.at):
-                self.at = np.concatenate([self.at, np.zeros_like(self.at)])
-                self.size = np.concatenate([self.size, np.zeros_like(self.size)])
-            self.pool[self.used:self.used + len(ids)] = ids
-            self.at[self.count], self.size[self.count] = self.used, len(ids)
-            self.used += len(ids)
-            places.append(self.count)
-            self.count += 1
+    def each(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """ids of all pieces, one after the other, and the number of each. Pieces
+        that may stand side by side (cuts between them are safe) go to the library
+        as one text; the bytes of the ids say where each ends."""
+        length = np.array([len(p) for p in pieces], dtype=np.int64)
+        ends = np.cumsum(length)
+        buf = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+        # runs of pieces with safe cuts between them, of bounded length
+        cut = ~safe_cuts(buf)[ends[:-1]] if len(pieces) > 1 else np.zeros(0, bool)
+        cut |= ends[:-1] // RUN_BYTES != ends[1:] // RUN_BYTES
+        last = np.append(np.flatnonzero(cut), len(pieces) - 1)
+        first = np.append(0, last[:-1] + 1)
+        begin = ends - length
+        data = buf.tobytes()
+        coded = self.library([data[s:e] for s, e in zip(begin[first].tolist(), ends[last].tolist())])
+        ids = np.fromiter(itertools.chain.from_iterable(coded), dtype=np.uint32, count=sum(map(len, coded)))
+        reach = np.concatenate([[0], np.cumsum(self.id_bytes[ids])])
+        stop = np.searchsorted(reach, ends)
+        if len(reach) and (reach[np.minimum(stop, len(reach) - 1)] != ends).any():
+            coded = self.library(pieces)  # bytes that are no text: one by one
+            return (np.fromiter(itertools.chain.from_iterable(coded), dtype=np.uint32),
+                    np.array([len(c) for c in coded], dtype=np.int64))
+        return ids, np.diff(np.concatenate([[0], stop]))
+
+    def _add(self, pieces: list[bytes]) -> range:
+        if not pieces:
+            return range(0)
+        ids, size = self.each(pieces)
+        while self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        while self.count + len(size) > len(self.at):
+            self.at = np.concatenate([self.at, np.zeros_like(self.at)])
+            self.size = np.concatenate([self.size, np.zeros_like(self.size)])
+        places = range(self.count, self.count + len(size))
+        self.pool[self.used:self.used + len(ids)] = ids
+        self.at[places.start:places.stop] = self.used + np.cumsum(size) - size
+        self.size[places.start:places.stop] = size
+        self.used += len(ids)
+        self.count += len(size)
         return places
 
     def encode(self, buf: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,6 +161,7 @@ class Pieces:
         the number of ids of each."""
         if self.count > CACHE_PIECES or self.used > 16 * CACHE_PIECES:
             self._clear()
+            tk.give_back_memory()
         offsets = np.append(begins, len(buf)).astype(np.int64)
         column = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(begins), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(buf))])
@@ -198,6 +229,7 @@ class Chunks:
         if self.held > CACHE_BYTES:
             kept = {t: self.known[t] for t in set(texts) if t in self.known}
             self.known, self.held = kept, sum(map(len, kept))
+            tk.give_back_memory()
         if new:
             flat = np.frombuffer(b"".join(new), dtype=np.uint8)
             size = np.array([len(t) for t in new])
@@ -210,7 +242,8 @@ class Chunks:
             p = np.append(np.searchsorted(starts, first), len(starts))
             t = np.concatenate([[0], np.cumsum(count)])[p]
             for k, text in enumerate(new):
-                self.known[text] = _Chunk(ids[t[k]:t[k + 1]], length[p[k]:p[k + 1]], count[p[k]:p[k + 1]])
+                self.known[text] = _Chunk(*(x.astype(np.uint32) for x in (  # copies: no big array stays for a slice
+                    ids[t[k]:t[k + 1]], length[p[k]:p[k + 1]], count[p[k]:p[k + 1]])))
             self.held += len(flat)
         return [self.known[t] for t in texts]
 
@@ -225,8 +258,8 @@ class Chunks:
         chunks = self._chunks(buf, begins)
         # all pieces of the buffer as the chunks have them
         ids = np.concatenate([c.ids for c in chunks])
-        length = np.concatenate([c.bytes for c in chunks])
-        size = np.concatenate([c.sizes for c in chunks])
+        length = np.concatenate([c.bytes for c in chunks]).astype(np.int64)
+        size = np.concatenate([c.sizes for c in chunks]).astype(np.int64)
         first_byte = np.concatenate([[0], np.cumsum(length)])
         first_id = np.concatenate([[0], np.cumsum(size)])
         doc_piece = np.searchsorted(first_byte, offsets)  # the first piece of each document
@@ -305,9 +338,11 @@ def _chunker(path: str, every: int) -> Chunks:
 
 
 def encode_documents(docs: DataFrame, vocabulary: str | None = None, text_col: str = "text",
-                     ids_col: str = "ids", every: int = CHUNK_BYTES, keep: list[str] | None = None) -> DataFrame:
-    """The ``keep`` columns (all by default) and the array of ids of the text. One
-    narrow pass, no shuffle."""
+                     ids_col: str = "ids", every: int = CHUNK_BYTES, keep: list[str] | None = None,
+                     decoded_col: str | None = None) -> DataFrame:
+    """The ``keep`` columns (all by default) and the array of ids of the text, with
+    ``decoded_col`` also the text that the ids decode to. One narrow pass, no
+    shuffle."""
     path = vocabulary_path(vocabulary)
 
     def run(batch: pa.RecordBatch):
@@ -320,14 +355,18 @@ def encode_documents(docs: DataFrame, vocabulary: str | None = None, text_col: s
             counts.append(n)
         ends = np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype(np.int32)
         ids = pa.array(np.concatenate(flat).astype(np.int32) if flat else np.zeros(0, np.int32))
-        yield pa.RecordBatch.from_arrays([batch.column(1), pa.ListArray.from_arrays(pa.array(ends), ids)],
-                                         ["rest", "ids"])
+        out = [batch.column(1), pa.ListArray.from_arrays(pa.array(ends), ids)]
+        if decoded_col:
+            out.append(decode(out[1], path))
+        yield pa.RecordBatch.from_arrays(out, ["rest", "ids", "text"][:len(out)])
 
     names = keep if keep is not None else docs.columns
     src = docs.select(F.col(f"`{text_col}`").alias("text"),
                       F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in names]).alias("rest"))
-    out = tk.map_batches(src, run, tk.schema_with(src.schema["rest"].dataType, "", "ids array<int>"))
-    return out.select(*[F.col(f"rest.`{c}`") for c in names], F.col("ids").alias(ids_col))
+    more = "ids array<int>" + (", text string" if decoded_col else "")
+    out = tk.map_batches(src, run, tk.schema_with(src.schema["rest"].dataType, "", more))
+    return out.select(*[F.col(f"rest.`{c}`") for c in names], F.col("ids").alias(ids_col),
+                      *([F.col("text").alias(decoded_col)] if decoded_col else []))
 
 
 def token_bytes(path: str) -> list[bytes]:
@@ -346,21 +385,24 @@ def token_bytes(path: str) -> list[bytes]:
     return out
 
 
+def decode(ids: pa.ListArray, path: str) -> pa.Array:
+    """Texts of lists of ids."""
+    if ("bytes", path) not in _WORKER:
+        _WORKER["bytes", path] = token_bytes(path)
+    table = _WORKER["bytes", path]
+    ends = ids.offsets.to_pylist()
+    flat = ids.values.to_numpy(zero_copy_only=False)
+    return pa.array([b"".join(map(table.__getitem__, flat[s:e].tolist())).decode("utf-8", "replace")
+                     for s, e in zip(ends[:-1], ends[1:])], pa.string())
+
+
 def decode_documents(rows: DataFrame, vocabulary: str | None = None, ids_col: str = "ids",
                      text_col: str = "decoded") -> DataFrame:
     """All columns and the text of the ids (null ids give an empty text)."""
     path = vocabulary_path(vocabulary)
 
     def run(batch: pa.RecordBatch):
-        if ("bytes", path) not in _WORKER:
-            _WORKER["bytes", path] = token_bytes(path)
-        table = _WORKER["bytes", path]
-        ids = batch.column(0)
-        flat = ids.values.to_numpy(zero_copy_only=False).tolist()
-        ends = ids.offsets.to_pylist()
-        texts = [b"".join(map(table.__getitem__, flat[s:e])).decode("utf-8", "replace")
-                 for s, e in zip(ends[:-1], ends[1:])]
-        yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(texts, pa.string())], ["rest", "text"])
+        yield pa.RecordBatch.from_arrays([batch.column(1), decode(batch.column(0), path)], ["rest", "text"])
 
     names = rows.columns
     src = rows.select(F.coalesce(F.col(f"`{ids_col}`"), F.array().cast("array<int>")).alias("ids"),
@@ -379,4 +421,4 @@ def digest_columns() -> list[Column]:
 def op5_bpe_roundtrip(spark, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return decode_documents(encode_documents(docs, keep=["doc_id"])).select("doc_id", *digest_columns())
+    return encode_documents(docs, keep=["doc_id"], decoded_col="decoded").select("doc_id", *digest_columns())

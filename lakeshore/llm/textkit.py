@@ -8,6 +8,7 @@ belong to words in all classes used here, so bytes and code points agree.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -148,6 +149,16 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.Record
     return df.mapInArrow(run, schema)
 
 
+def give_back_memory() -> None:
+    """Return freed memory to the system: long-lived workers otherwise keep the
+    most that they ever held."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library: nothing to trim
+
+
 def schema_with(rest: DataType, before: str, after: str) -> StructType:
     """A schema with a ``rest`` struct of any column names between two DDL lists."""
     out = StructType(list(StructType.fromDDL(before).fields)) if before else StructType()
