@@ -10,10 +10,13 @@ keeps the declaration valid.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakeshore.sinks import versioned
+
 
 def _q(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -75,15 +78,39 @@ class Dataset:
             spark.sql(f"MSCK REPAIR TABLE {self.name}")  # pick up new partition folders
 
     def write(self, df: DataFrame, mode: str = "append") -> None:
-        """Write ``df`` to the dataset's location and make sure it is declared."""
-        w = df.write.mode(mode)
+        """Write ``df`` to the dataset's location and make sure it is declared.
+
+        An overwrite is written beside the location and then takes its place, so
+        ``df`` may read the dataset itself: the old files stay until the new ones
+        are complete. (On a store without renames, use a versioned table.)"""
+        spark = df.sparkSession
+        replace = mode == "overwrite"
+        target = f"{self.path.rstrip('/')}__new-{uuid.uuid4().hex[:8]}" if replace else self.path
+        w = df.write.mode("errorifexists" if replace else mode)
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)
-        w.parquet(self.path)
-        spark = df.sparkSession
+        w.parquet(target)
+        if replace:
+            self._swap(spark, target)
         self.register(spark)
         spark.catalog.refreshTable(self.name)
 
+    def _swap(self, spark: SparkSession, fresh: str) -> None:
+        """Put the folder ``fresh`` in the dataset's place; a step that fails leaves
+        the old or the new folder complete."""
+        fs, new = versioned._fs(spark, fresh)
+        _, here = versioned._fs(spark, self.path)
+        _, old = versioned._fs(spark, f"{fresh}.old")
+        had = fs.exists(here)
+        if had and not fs.rename(here, old):
+            raise OSError(f"cannot move {self.path} aside")
+        if not fs.rename(new, here):
+            if had:
+                fs.rename(old, here)
+            raise OSError(f"cannot move {fresh} to {self.path}")
+        if had:
+            fs.delete(old, True)
+
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.table(self.name)
 

@@ -21,9 +21,7 @@ Two physical forms:
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeshore.sinks import versioned
@@ -47,10 +45,17 @@ def replace_where(existing: DataFrame, incoming: DataFrame, predicate) -> DataFr
 
 
 def replace_where_version(base: str, incoming: DataFrame, predicate,
-                          table: str | None = None, partition_by=None) -> str:
+                          table: str | None = None, partition_by=None,
+                          encrypted: bool = False) -> str:
     """Apply :func:`replace_where` to the current version of ``base`` and
-    commit the result as the next version."""
+    commit the result as the next version, which keeps the metadata. A table
+    with encrypted columns takes only rows that the caller says are encrypted
+    (``encrypted=True``): clear rows among them would stay clear."""
     spark = incoming.sparkSession
+    hidden = versioned.read_meta(spark, base).get("encrypted", [])
+    if hidden and not encrypted:
+        raise ValueError(f"columns {hidden} are encrypted: encrypt the incoming rows, "
+                         "then pass encrypted=True")
     existing = versioned.read_current(spark, base)
     out = replace_where(existing, incoming.select(*existing.columns), predicate)
     return versioned.write_version(out, base, table=table, partition_by=partition_by)
@@ -90,36 +95,45 @@ def replace_where_partitions(path: str, incoming: DataFrame, predicate,
     predicate runs over a small table of partition values, no data file is
     opened); the incoming rows are written with a dynamic partition overwrite,
     which replaces exactly the partitions they fall in; selected partitions
-    that received no rows are then removed. Cost: the incoming rows plus a
+    whose files are still those of before are then removed. Cost: the incoming rows plus a
     listing, whatever the table's size. Returns the emptied partitions."""
     spark = incoming.sparkSession
     partition_cols = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
     existing = spark.read.parquet(path)
     types = {f.name: f.dataType for f in existing.schema.fields}
+    given = {f.name: f.dataType for f in incoming.schema.fields}
     pred = _pred(predicate)
+    # Folder names are text; Spark guesses a type when it reads them ("2024" is
+    # an int). The incoming rows know the real one, so the predicate sees the
+    # same type on both sides, and folders are compared as folders.
     dirs = _partition_dirs(spark, path, partition_cols)
     selected = []
     if dirs:
         schema = ", ".join(f"`{c}` string" for c in partition_cols) + ", `__dir` string"
         values = spark.createDataFrame([tuple(v) + (d,) for v, d in dirs], schema)
-        typed = values.select(*[F.col(c).cast(types[c]).alias(c) for c in partition_cols],
+        typed = values.select(*[F.col(c).cast(given[c]).alias(c) for c in partition_cols],
                               "__dir")
         selected = typed.where(F.coalesce(pred, F.lit(False))).collect()
-    obs = Observation(f"replace_where_partitions_{uuid.uuid4().hex}")
-    keys = F.struct(*[F.col(c) for c in partition_cols])
-    staged = checked_incoming(incoming.select(*existing.columns), pred) \
-        .observe(obs, F.collect_set(keys).alias("written"))
-    (staged.write.mode("overwrite")
+    before = {row["__dir"]: _file_names(spark, row["__dir"]) for row in selected}
+    staged = incoming.select(*[F.col(c) if c in partition_cols else F.col(c).cast(types[c]).alias(c)
+                               for c in existing.columns])
+    (checked_incoming(staged, pred).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(path))
-    written = {tuple(r[c] for c in partition_cols) for r in (obs.get.get("written") or [])}
     emptied = []
     for row in selected:
-        key = tuple(row[c] for c in partition_cols)
-        if key in written:
+        # A folder that this write filled has new files and none of the old ones.
+        if _file_names(spark, row["__dir"]) != before[row["__dir"]]:
             continue
         fs, p = versioned._fs(spark, row["__dir"])
         if fs.exists(p):
             fs.delete(p, True)
         emptied.append({c: row[c] for c in partition_cols})
     return emptied
+
+
+def _file_names(spark, folder: str) -> set[str]:
+    fs, p = versioned._fs(spark, folder)
+    if not fs.exists(p):
+        return set()
+    return {st.getPath().getName() for st in fs.listStatus(p)}

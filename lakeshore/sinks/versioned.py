@@ -23,6 +23,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 _VERSION = re.compile(r"^v(\d{8})$")
+_NUMBERED = re.compile(r"^v(\d{8})(?:\.claim)?$")
 
 
 def _fs(spark: SparkSession, path: str):
@@ -95,28 +96,68 @@ def read_meta(spark: SparkSession, base: str) -> dict:
     return json.loads(text) if text else {}
 
 
-def _claim(spark: SparkSession, base: str, n: int, attempts: int = 100) -> int:
-    """Reserve version number ``n`` (or the next free one) by creating its
-    claim file exclusively, so two writers never pick the same folder."""
-    for k in range(n, n + attempts):
-        fs, p = _fs(spark, f"{version_path(base, k)}.claim")
-        try:
-            fs.create(p, False).close()
-            return k
-        except Exception as e:  # FileAlreadyExistsException from the JVM
-            if "AlreadyExists" not in str(e) and "already exists" not in str(e):
-                raise
-    raise RuntimeError(f"could not claim a version under {base}")
+def try_claim(spark: SparkSession, base: str, n: int) -> bool:
+    """Reserve version number ``n`` by creating its claim file exclusively;
+    False when another writer has it."""
+    fs, p = _fs(spark, f"{version_path(base, n)}.claim")
+    try:
+        fs.create(p, False).close()
+        return True
+    except Exception as e:  # FileAlreadyExistsException from the JVM
+        if "AlreadyExists" not in str(e) and "already exists" not in str(e):
+            raise
+        return False
+
+
+def last_number(spark: SparkSession, base: str) -> int:
+    """The highest version number that was ever claimed or written (0: none).
+    Claims of writers that died count, so they are stepped over at once."""
+    fs, p = _fs(spark, base)
+    if not fs.exists(p):
+        return 0
+    numbers = [int(m.group(1)) for st in fs.listStatus(p)
+               if (m := _NUMBERED.match(st.getPath().getName()))]
+    return max(numbers, default=0)
+
+
+def _claim(spark: SparkSession, base: str, n: int) -> int:
+    """Reserve version number ``n``, or the next free one."""
+    while not try_claim(spark, base, n):
+        n = max(n, last_number(spark, base)) + 1
+    return n
+
+
+def give_up(spark: SparkSession, base: str, n: int) -> None:
+    """Remove an uncommitted version and its claim, so its number is free."""
+    path = version_path(base, n)
+    for target in (path, path + ".meta.json", path + ".claim"):
+        fs, p = _fs(spark, target)
+        if fs.exists(p):
+            fs.delete(p, True)
+
+
+def claim_age(spark: SparkSession, base: str, n: int) -> float | None:
+    """Seconds since version ``n`` was claimed; None when it is not."""
+    import time
+
+    fs, p = _fs(spark, f"{version_path(base, n)}.claim")
+    if not fs.exists(p):
+        return None
+    return time.time() - fs.getFileStatus(p).getModificationTime() / 1000
 
 
 def write_version(df: DataFrame, base: str, table: str | None = None,
-                  partition_by=None, meta: dict | None = None) -> str:
+                  partition_by=None, meta: dict | None = None, number: int | None = None) -> str:
     """Write ``df`` as the next version of ``base`` and re-point ``table``.
 
-    Returns the new version's path."""
+    ``meta`` is stored with the version; None carries over what the current
+    version has, so a rewrite never forgets, say, which columns are encrypted.
+    ``number`` is a version number that the caller has claimed. Returns the new
+    version's path."""
     spark = df.sparkSession
-    existing = _version_dirs(spark, base)
-    n = _claim(spark, base, (existing[-1][0] + 1) if existing else 1)
+    if meta is None:
+        meta = read_meta(spark, base) or None
+    n = number or _claim(spark, base, last_number(spark, base) + 1)
     path = version_path(base, n)
     writer = df.write.mode("errorifexists")
     if partition_by:
@@ -131,10 +172,6 @@ def write_version(df: DataFrame, base: str, table: str | None = None,
     return path
 
 
-# The name the blueprint uses for a read-transform-overwrite (K4).
-overwrite_version = write_version
-
-
 def register(spark: SparkSession, table: str, path: str, persistent: bool = False) -> None:
     """Point a catalog name at a parquet folder (K6, K9): a temp view by default,
     a persistent view when the session has a persistent catalog."""

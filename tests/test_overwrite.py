@@ -100,3 +100,43 @@ def test_register_current_and_partitioned_version(spark, existing, scratch):
     path = versioned.register_current(spark, "pv_current", base)
     assert path.endswith("v00000002")
     assert sorted(r.id for r in spark.table("pv_current").collect()) == [3, 4, 9]
+
+
+@pytest.mark.parametrize("values", [("2023", "2024", "2025"), ("007", "7", "x1")])
+def test_partition_replacement_of_digit_like_text(spark, scratch, values):
+    """Partition values that Spark reads back as numbers: the rows written stay, the
+    partition without rows goes, the others are left alone."""
+    first, second, third = values
+    path = scratch("digits")
+    schema = "id string, year string"
+    spark.createDataFrame([("1", first), ("2", second), ("3", third)], schema) \
+        .write.partitionBy("year").parquet(path)
+    incoming = spark.createDataFrame([("9", second)], schema)
+    emptied = overwrite.replace_where_partitions(
+        path, incoming, F.col("year").isin(first, second), "year")
+    assert emptied == [{"year": first}]
+    got = spark.read.option("basePath", path).schema(schema).parquet(path)
+    assert sorted(map(tuple, got.collect())) == sorted([("9", second), ("3", third)])
+
+
+def test_dataset_overwrite_of_itself(spark, scratch):
+    from lakeshore.sinks.catalog import Dataset
+
+    d = Dataset("lk_self", scratch("self"))
+    d.write(spark.range(10))
+    d.write(d.read(spark).where("id < 4"), mode="overwrite")
+    assert sorted(r.id for r in d.read(spark).collect()) == [0, 1, 2, 3]
+    with pytest.raises(Exception):  # a failing write leaves what was there
+        d.write(d.read(spark).where(F.raise_error(F.lit("no")).isNull()), mode="overwrite")
+    assert d.read(spark).count() == 4
+    spark.sql("DROP TABLE lk_self")
+
+
+def test_replace_keeps_metadata_and_refuses_clear_rows(spark, existing, scratch):
+    base = scratch("meta")
+    versioned.write_version(existing, base, meta={"encrypted": ["v"]})
+    incoming = spark.createDataFrame([(9, "a", 9)], SCHEMA)
+    with pytest.raises(ValueError, match="encrypted"):
+        overwrite.replace_where_version(base, incoming, "p = 'a'")
+    overwrite.replace_where_version(base, incoming, "p = 'a'", encrypted=True)
+    assert versioned.read_meta(spark, base) == {"encrypted": ["v"]}
