@@ -68,38 +68,66 @@ def subject_keys(df: DataFrame, id_column: str, existing: DataFrame | None = Non
 
 def read_keys(spark: SparkSession, key_path: str, id_column: str,
               key_column: str = KEY_COLUMN) -> DataFrame:
-    """The key table, one key per subject.
-
-    Appends from two writers racing on a new subject could store two keys for
-    it; every reader picks the same one (earliest written, then smallest), and
-    since encryption only ever uses keys read back this way, data is never
-    encrypted with the other. The aggregate hash-partitions by the subject id,
-    which is the partitioning the encryption join needs anyway."""
-    raw = spark.read.parquet(key_path)
-    pick = F.min_by(F.col(key_column), F.struct(F.col("created_at"), F.col(key_column)))
-    return raw.groupBy(id_column).agg(pick.alias(key_column))
+    """The key table, one key per subject: a plain scan of the committed parts
+    (see :func:`store_keys`), so a join with it needs no aggregate and adaptive
+    execution can split a hot subject."""
+    paths = [versioned.version_path(key_path, n) for n in versioned.versions(spark, key_path)]
+    if not paths:
+        raise FileNotFoundError(f"no key table under {key_path}")
+    return spark.read.parquet(*paths).select(id_column, key_column)
 
 
 def register_keys_view(spark: SparkSession, view: str, key_path: str, id_column: str,
                        key_column: str = KEY_COLUMN, persistent: bool = False) -> None:
-    """:func:`read_keys` as a SQL view over the key table's folder, so views
-    (also persistent ones) can join one key per subject."""
+    """:func:`read_keys` as a SQL view over the parts of the key table's folder,
+    later ones included, so views (also persistent ones) can join one key per
+    subject."""
     kind = "VIEW" if persistent else "TEMPORARY VIEW"
-    spark.sql(f"CREATE OR REPLACE {kind} {view} AS SELECT `{id_column}`, "
-              f"min_by(`{key_column}`, struct(created_at, `{key_column}`)) AS `{key_column}` "
-              f"FROM parquet.`{key_path}` GROUP BY `{id_column}`")
+    spark.sql(f"CREATE OR REPLACE {kind} {view} AS SELECT `{id_column}`, `{key_column}` "
+              f"FROM parquet.`{key_path.rstrip('/')}/v????????`")
+
+
+#: Seconds to wait for another writer's part, and after which its claim is dead.
+KEY_WAIT, KEY_STALE = 600.0, 24 * 3600.0
 
 
 def store_keys(df: DataFrame, id_column: str, key_path: str,
                key_column: str = KEY_COLUMN) -> DataFrame:
-    """Append keys for subjects of ``df`` that have none to the key table at
-    ``key_path`` and return the stored table (read back, so fixed)."""
+    """Add keys for subjects of ``df`` that have none to the key table at
+    ``key_path`` and return the stored table (read back, so fixed).
+
+    The table is a row of numbered parts, each holding only new subjects. A
+    writer claims the next number and computes its subjects against *all* parts
+    before it, which are committed by then; a part can so never repeat a subject
+    of another, whoever started first. A writer that finds the number claimed
+    waits for that part. A claim that its writer left behind is removed, with what
+    it wrote, once it is ``KEY_STALE`` seconds old."""
+    import time
+
     spark = df.sparkSession
-    fs, p = versioned._fs(spark, key_path)
-    existing = read_keys(spark, key_path, id_column, key_column) if fs.exists(p) else None
-    (subject_keys(df, id_column, existing, key_column)
-     .withColumn("created_at", F.current_timestamp())
-     .write.mode("append").parquet(key_path))
+    deadline = time.time() + KEY_WAIT
+    while True:
+        done = versioned.versions(spark, key_path)
+        number = (done[-1] if done else 0) + 1
+        if versioned.try_claim(spark, key_path, number):
+            break
+        age = versioned.claim_age(spark, key_path, number)
+        if age is not None and age > KEY_STALE:
+            versioned.give_up(spark, key_path, number)
+        elif time.time() > deadline:
+            raise TimeoutError(f"another writer holds part {number} of {key_path}")
+        else:
+            time.sleep(0.2)
+    try:
+        if versioned.versions(spark, key_path) != done:
+            raise RuntimeError(f"part {number} of {key_path} was committed twice")
+        existing = read_keys(spark, key_path, id_column, key_column) if done else None
+        fresh = subject_keys(df, id_column, existing, key_column)
+        versioned.write_version(fresh.withColumn("created_at", F.current_timestamp()),
+                                key_path, meta={}, number=number)
+    except Exception:
+        versioned.give_up(spark, key_path, number)
+        raise
     return read_keys(spark, key_path, id_column, key_column)
 
 
@@ -141,10 +169,10 @@ def encrypt_columns(df: DataFrame, keys: DataFrame, id_column: str, columns,
                     key_column: str = KEY_COLUMN, strategy: str = "auto") -> DataFrame:
     """Encrypt ``columns`` of each row with its subject's key.
 
-    The key table has one row per subject. With ``auto`` it is broadcast when
-    a bounded count proves it small (then the data side is not shuffled at
-    all, which matters when many rows share few subjects), else both sides are
-    shuffled into a merge join, where AQE splits a hot subject's partition."""
+    The key table has one row per subject. With ``auto`` Spark chooses the join:
+    a small key table is broadcast; else both sides are shuffled into a merge
+    join, where adaptive execution can split a hot subject's partition, since
+    nothing stands between the exchanges and the join."""
     columns = [columns] if isinstance(columns, str) else list(columns)
     j = _with_keys(df, keys, id_column, key_column, strategy, require=True)
     out = [encrypt_value(F.col(c), F.col("__key")).alias(c)
@@ -221,20 +249,30 @@ def create_masked_and_clear_views(spark: SparkSession, table: str, keys_table: s
     return masked, clear
 
 
+def refuse_encrypted(spark: SparkSession, base: str, columns) -> set[str]:
+    """The encrypted columns of a versioned table; fails if one of ``columns`` is
+    among them."""
+    done = {c.lower() for c in versioned.read_meta(spark, base).get("encrypted", [])}
+    again = [c for c in columns if c.lower() in done]
+    if again:
+        raise ValueError(f"already encrypted: {again}")
+    return done
+
+
 def encrypt_table(base: str, keys: DataFrame, id_column: str, columns,
                   table: str | None = None, key_column: str = KEY_COLUMN) -> str:
     """Encrypt the current version of a versioned table into its next version
     (the read-transform-overwrite of G4 + K4). Refuses a second pass over a
-    column that is already encrypted."""
+    column that is already encrypted. Earlier versions, which hold clear text, are
+    removed once the encrypted one is committed and ``table`` points at it."""
     v = versioned
     spark = keys.sparkSession
     columns = [columns] if isinstance(columns, str) else list(columns)
+    done = refuse_encrypted(spark, base, columns)
     meta = v.read_meta(spark, base)
-    done = {c.lower() for c in meta.get("encrypted", [])}
-    again = [c for c in columns if c.lower() in done]
-    if again:
-        raise ValueError(f"already encrypted: {again}")
     current = v.read_current(spark, base)
     out = encrypt_columns(current, keys, id_column, columns, key_column)
     meta = dict(meta, encrypted=sorted(done | {c.lower() for c in columns}))
-    return v.write_version(out, base, table=table, meta=meta)
+    path = v.write_version(out, base, table=table, meta=meta)
+    v.remove_old_versions(spark, base, keep=1)
+    return path

@@ -1,10 +1,11 @@
-"""The privacy flow end to end: pseudonymise → store → key every subject →
-encrypt the personal columns in place (a new table version) → a decrypting
-admin view beside the encrypted table (G1-G8, K4, K10).
-
-Re-runnable: keys are only made for subjects without one, and a column that is
-already encrypted is never encrypted again, so a second run over the same
-table is refused instead of destroying data.
+"""The privacy flow end to end: pseudonymise → key every subject → encrypt the
+personal columns → store → a decrypting admin view beside the encrypted table
+(G1-G8, K4, K10).
+
+Columns are encrypted before the first write, so no file of the table ever holds
+them in clear. Keys are only made for subjects without one; a table that has
+been protected is refused, whatever rows come in, since encrypting cipher text
+would destroy it.
 """
 
 from __future__ import annotations
@@ -34,11 +35,12 @@ def protect(spark: SparkSession, raw: DataFrame, root: str, name: str, id_column
     pii = [pii_columns] if isinstance(pii_columns, str) else list(pii_columns)
     out = ProtectedTable(table=name, clear_view=f"{name}_admin", keys_view=f"{name}_keys",
                          base=f"{root}/{name}", key_path=f"{root}/{name}_keys")
+    privacy.refuse_encrypted(spark, out.base, pii)
     df = privacy.pseudonymize(raw, pseudonym_of, salt=salt) if pseudonym_of else raw
-    versioned.write_version(df, out.base, table=out.table)
     keys = privacy.store_keys(df, id_column, out.key_path)
     keys.createOrReplaceTempView(out.keys_view)
-    privacy.encrypt_table(out.base, keys, id_column, pii, table=out.table)
+    versioned.write_version(privacy.encrypt_columns(df, keys, id_column, pii), out.base,
+                            table=out.table, meta={"encrypted": sorted(c.lower() for c in pii)})
     privacy.register_sql_functions(spark)
     privacy.create_clear_view(spark, out.table, out.keys_view, id_column, pii, out.clear_view)
     return out

@@ -106,9 +106,9 @@ def test_persistent_function_and_view(spark, people, scratch):
     keys_path = scratch("k")
     privacy.store_keys(people, "ID", keys_path)
     enc_path = versioned.write_version(
-        privacy.encrypt_columns(people, spark.read.parquet(keys_path), "ID", ["EMAIL"]), base)
+        privacy.encrypt_columns(people, privacy.read_keys(spark, keys_path, "ID"), "ID", ["EMAIL"]), base)
     catalog.Dataset("lk_gdpr.customers", enc_path).register(spark)
-    catalog.Dataset("lk_gdpr.keys", keys_path).register(spark)
+    privacy.register_keys_view(spark, "lk_gdpr.keys", keys_path, "ID", persistent=True)
     privacy.register_sql_functions(spark, persistent=True, name="lk_gdpr.decrypt_val")
     privacy.create_clear_view(spark, "lk_gdpr.customers", "lk_gdpr.keys", "ID", ["EMAIL"],
                               "lk_gdpr.customers_admin", persistent=True,
@@ -144,18 +144,79 @@ def test_protect_flow_rerun_refused(spark, people, scratch):
     assert "customer_pseudo_id" in spark.table(out.table).columns
     with pytest.raises(ValueError, match="already encrypted"):
         privacy.encrypt_table(out.base, spark.table(out.keys_view), "ID", ["EMAIL"])
+    for raw in (people, spark.table(out.table)):  # the flow itself, clear or protected rows
+        with pytest.raises(ValueError, match="already encrypted"):
+            privacy_flow.protect(spark, raw, root, "cust_p", "ID", ["EMAIL"])
+    # no file of the table, whatever its version, holds a clear value
+    texts = spark.read.parquet(f"{out.base}/v????????")
+    seen = {v for r in texts.collect() for v in r if v is not None}
+    assert not seen & {e for _, e in SUBJECTS if e}
 
 
-def test_duplicate_keys_resolve_to_one(spark, people, scratch):
-    path = scratch("dupkeys")
-    # two writers racing: both append a key for subject 1
-    for _ in range(2):
-        privacy.subject_keys(people.where("ID = '1'"), "ID").withColumn(
-            "created_at", F.current_timestamp()).write.mode("append").parquet(path)
-    assert spark.read.parquet(path).count() == 2
-    k1 = privacy.read_keys(spark, path, "ID").collect()
-    k2 = privacy.read_keys(spark, path, "ID").collect()
-    assert len(k1) == 1 and k1 == k2
+def test_encrypt_table_removes_clear_versions(spark, people, scratch):
+    base = scratch("clear")
+    versioned.write_version(people, base)
+    versioned.write_version(people, base)
+    keys = privacy.store_keys(people, "ID", scratch("k"))
+    privacy.encrypt_table(base, keys, "ID", ["EMAIL"])
+    texts = spark.read.parquet(f"{base}/v????????")
+    assert texts.where("EMAIL IN ('a@x.org', 'b@x.org')").count() == 0
+    assert versioned.read_meta(spark, base) == {"encrypted": ["email"]}
+
+
+def test_racing_key_writers_agree(spark, people, scratch, monkeypatch):
+    """A second writer that comes while the first holds the claim waits for its
+    part; no subject gets two keys, whoever started first."""
+    import threading
+
+    path, got = scratch("race"), {}
+    hold, started = threading.Event(), threading.Event()
+    write = versioned.write_version
+
+    def slow(df, base, **kw):
+        started.set()
+        hold.wait(30)
+        return write(df, base, **kw)
+
+    def run(name):
+        got[name] = {r.ID: r.encryption_key for r in privacy.store_keys(people, "ID", path).collect()}
+
+    monkeypatch.setattr(versioned, "write_version", slow)
+    first = threading.Thread(target=run, args=("first",))
+    first.start()
+    started.wait(30)
+    second = threading.Thread(target=run, args=("second",))
+    second.start()
+    second.join(1)
+    assert second.is_alive()
+    hold.set()
+    first.join(60)
+    second.join(60)
+    assert got["first"] == got["second"] and len(got["first"]) == 5
+    assert privacy.read_keys(spark, path, "ID").count() == 5
+
+
+def test_hot_subject_can_be_split(spark, people, scratch):
+    """Nothing stands between the exchanges and the join with the key table, so
+    adaptive execution splits a subject that has most rows."""
+    keys = privacy.store_keys(people, "ID", scratch("hotkeys"))
+    rows = spark.range(60_000).selectExpr(
+        "CASE WHEN id % 50 > 0 THEN '1' ELSE cast(id % 5 + 1 AS string) END AS ID",
+        "concat('mail', id, '@x.org') AS EMAIL").repartition(8)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        enc = privacy.encrypt_columns(rows, keys, "ID", ["EMAIL"], strategy="merge")
+        assert len(enc.collect()) == 60_000
+        assert "skew=true" in enc._jdf.queryExecution().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_concurrent_version_claims(spark, scratch):
@@ -163,6 +224,9 @@ def test_concurrent_version_claims(spark, scratch):
     a = versioned._claim(spark, base, 1)
     b = versioned._claim(spark, base, 1)
     assert (a, b) == (1, 2)
+    assert not versioned.try_claim(spark, base, 2) and versioned.claim_age(spark, base, 2) < 60
+    versioned.give_up(spark, base, 2)
+    assert versioned.try_claim(spark, base, 2)
 
 
 def test_masked_and_clear_views(spark, people, scratch):
