@@ -12,23 +12,21 @@ an optional delete predicate D. Order is by S, never by arrival:
   where ``__END_AT`` is the next sequence value of K over *all* changes,
   deletes included; a delete so closes the open version and opens none.
 
-Plan shape. SCD 1 is one aggregate on K: ``max(struct(S, ...))`` combines
-map-side, so a hot key or a flood of replayed copies shrinks to one row per
-map task before the shuffle. SCD 2 needs the next S per key, i.e. an ordered
-window on K: rows are shuffled once on K, and the (K, S) dedupe and the
-``lead`` run as two windows on that one partitioning and sort. A key holding a
-large share of all rows would make that window one huge task, so keys above
-``rows_per_task`` (found from a small sample of the key and sequence columns)
-are split into chunks at sampled sequence values; the window runs on
-(K, chunk), and the last row of a chunk takes the head of the next chunk,
-which is the split point itself. When the sample shows a hot group of copies
-(one (K, S) repeated that often), the copies are first collapsed by a
-map-side combined aggregate, since no split point can divide them.
+Plan shape. Building either form runs no job. SCD 1 ranks the changes of a key
+and keeps the first; Spark limits the rank inside each task before the shuffle
+(``WindowGroupLimit``), so a hot key or a flood of replayed copies shrinks to one
+row per task. SCD 2 first does the same per (K, S), which collapses copies before
+any shuffle, then needs the next S per key, i.e. an ordered window on K. A key
+holding a large share of all rows would make that window one huge task, so keys
+above ``rows_per_task`` (found in the same plan from a small sample of the key and
+sequence columns) are split into chunks at sampled sequence values; the window runs
+on (K, chunk), and the last row of a chunk takes the head of the next chunk, which
+is the split point itself, looked up before the shuffle. Filters on the key reach
+the scan; a lookup of a few keys passes ``rows_per_task=None`` and samples nothing.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -41,6 +39,7 @@ END_AT = "__END_AT"
 _DEL = "__is_delete"
 _CHUNK = "__chunk"
 _SPLITS = "__splits"
+_NEXT = "__next"
 
 # Rows of one key above which the SCD 2 window is split (per window task).
 DEFAULT_ROWS_PER_TASK = 20_000_000
@@ -131,6 +130,13 @@ def _dedupe(valid: DataFrame, keys, seq) -> DataFrame:
             .select(*keys, *seq, *[F.col(f"__r.{c}") for c in [_DEL] + payload]))
 
 
+def _first_per(df: DataFrame, part: Sequence[str], order: list[Column]) -> DataFrame:
+    """The first row of each group. The rank filter lets Spark keep one row per
+    group and task before the shuffle."""
+    w = Window.partitionBy(*part).orderBy(*order)
+    return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
+
+
 def scd1(source: DataFrame, keys, sequence_by, apply_as_deletes=None,
          except_columns: Sequence[str] = ()) -> DataFrame:
     """Current state per key (SCD type 1)."""
@@ -139,10 +145,8 @@ def scd1(source: DataFrame, keys, sequence_by, apply_as_deletes=None,
     keys = _names(keys)
     valid, _ = split_changes(source, keys, seq, apply_as_deletes)
     payload = _payload(valid, keys, seq)
-    latest = latest_of(valid, seq + [_DEL] + payload).alias("__r")
-    out = (valid.groupBy(*keys).agg(latest)
-           .where(~F.col(f"__r.{_DEL}"))
-           .select(*keys, *[F.col(f"__r.{c}") for c in seq + payload]))
+    order = [F.col(c).desc() for c in seq] + _latest_first(valid, payload)
+    out = _first_per(valid, keys, order).where(~F.col(_DEL))
     return _finish(out, visible, except_columns)
 
 
@@ -152,56 +156,42 @@ def _finish(df: DataFrame, source_cols, except_columns, extra=()) -> DataFrame:
     return df.select(*cols)
 
 
-def _hot_key_splits(valid: DataFrame, keys, seq, rows_per_task: int):
-    """Sampled split points for keys with more than about ``rows_per_task`` rows.
+def _hot_key_splits(valid: DataFrame, keys, seq, rows_per_task: int) -> DataFrame:
+    """Sampled split points for keys with more than about ``rows_per_task`` rows:
+    (keys, ``__splits``), lazily, as part of the caller's plan.
 
     One pass over the key and sequence columns only: a Bernoulli sample of
     about ``_SAMPLES_PER_CHUNK`` rows per ``rows_per_task`` rows; a key with at
     least that many sampled rows is hot and every ``_SAMPLES_PER_CHUNK``-th
-    sampled sequence value of it becomes a split point. The result holds about
-    ``total_rows / rows_per_task`` entries, so it is collected and broadcast.
-    The same pass notices a hot group of copies (one (K, S) repeated about
-    ``rows_per_task`` times), which no sequence split can divide.
-
-    Returns ``(splits_df or None, max_splits, hot_copies)``."""
+    sampled sequence value of it becomes a split point. The result holds at most
+    ``total rows / rows_per_task`` points (50,000 for 10^12 rows)."""
     fraction = min(1.0, _SAMPLES_PER_CHUNK / float(rows_per_task))
     seq_struct = F.struct(*[F.col(c) for c in seq])
     sample = valid.select(*keys, seq_struct.alias("__s")).sample(fraction=fraction, seed=17)
-    by_key = Window.partitionBy(*keys)
-    ranked = (sample.withColumn("__n", F.count(F.lit(1)).over(by_key))
-              .where(F.col("__n") >= _SAMPLES_PER_CHUNK)
-              .withColumn("__c", F.count(F.lit(1)).over(Window.partitionBy(*keys, "__s")))
-              .withColumn("__rn", F.row_number().over(by_key.orderBy("__s"))))
-    # A run of >= _SAMPLES_PER_CHUNK equal sequence values holds a multiple of
-    # _SAMPLES_PER_CHUNK in its row numbers, so the kept rows see its count.
-    splits = (ranked.where(F.col("__rn") % _SAMPLES_PER_CHUNK == 0)
-              .groupBy(*keys)
-              .agg(F.array_sort(F.array_distinct(F.collect_list("__s"))).alias(_SPLITS),
-                   F.max("__c").alias("__copies")))
-    rows = splits.collect()
-    if not rows:
-        return None, 0, False
-    hot_copies = any(r["__copies"] >= _SAMPLES_PER_CHUNK for r in rows)
-    spark = valid.sparkSession
-    table = spark.createDataFrame([r[:-1] for r in rows], splits.drop("__copies").schema)
-    return table, max(len(r[_SPLITS]) for r in rows), hot_copies
-
-
-def _with_chunk(df: DataFrame, seq_value: Column, max_splits: int) -> DataFrame:
-    """Add ``__chunk`` = number of split points <= the row's sequence: a binary
-    search over the sorted ``__splits`` array, one comparison per step, so it
-    stays a JVM expression with log2(max_splits) steps.
-
-    Each step is its own projection of the running position: written as one
-    nested expression, every step would refer to the previous one twice and
-    the tree would double in size per step."""
-    steps = max(1, math.ceil(math.log2(max_splits + 1)))
-    out = df.withColumn(_CHUNK, F.lit(0)).withColumn("__size", F.size(F.col(_SPLITS)))
-    for i in reversed(range(steps)):
+    ranked = sample.withColumn("__rn", F.row_number().over(
+        Window.partitionBy(*keys).orderBy("__s")))
+    return (ranked.where(F.col("__rn") % _SAMPLES_PER_CHUNK == 0).groupBy(*keys)
+            .agg(F.array_sort(F.array_distinct(F.collect_list("__s"))).alias(_SPLITS)))
+
+
+#: Steps of the search for a row's chunk: 2^16 split points of one key.
+_STEPS = 16
+
+
+def _with_chunk(df: DataFrame, seq_value: Column, first: str) -> DataFrame:
+    """Add ``__chunk`` = number of split points <= the row's sequence, and
+    ``__next`` = the head of the chunk after it, and drop ``__splits``, so that a
+    row carries two values through the shuffle and not the list. A binary search
+    over the sorted array, one projection per step (as one nested expression, each
+    step would hold the previous one twice); keys without splits skip it."""
+    out = df.withColumn(_CHUNK, F.lit(0)).withColumn("__size", F.coalesce(F.size(F.col(_SPLITS)), F.lit(0)))
+    for i in reversed(range(_STEPS)):
         cand = F.col(_CHUNK) + F.lit(1 << i)
         ok = (cand <= F.col("__size")) & (F.try_element_at(F.col(_SPLITS), cand) <= seq_value)
         out = out.withColumn(_CHUNK, F.when(ok, cand).otherwise(F.col(_CHUNK)))
-    return out.withColumn(_CHUNK, F.coalesce(F.col(_CHUNK), F.lit(0))).drop("__size")
+    out = out.withColumn(_CHUNK, F.coalesce(F.col(_CHUNK), F.lit(0)))
+    out = out.withColumn(_NEXT, F.try_element_at(F.col(_SPLITS), F.col(_CHUNK) + 1)[first])
+    return out.drop("__size", _SPLITS)
 
 
 def _latest_first(df: DataFrame, payload) -> list[Column]:
@@ -217,9 +207,8 @@ def scd2(source: DataFrame, keys, sequence_by, apply_as_deletes=None,
          assume_unique: bool = False) -> DataFrame:
     """Full history per key (SCD type 2) with ``__START_AT`` / ``__END_AT``.
 
-    One shuffle: rows are hash-partitioned on K (plus the chunk of a hot key);
-    the (K, S) dedupe window and the ``lead`` window both run on that
-    partitioning, and the dedupe sort already gives the order ``lead`` needs.
+    Two shuffles: the (K, S) dedupe, which keeps one copy per task before it, and
+    the ``lead`` window on K (plus the chunk of a hot key).
     ``rows_per_task=None`` turns the hot-key split off (one window task per
     key); ``assume_unique`` skips the dedupe when (K, S) is known unique."""
     visible = source.columns
@@ -228,42 +217,20 @@ def scd2(source: DataFrame, keys, sequence_by, apply_as_deletes=None,
     valid, _ = split_changes(source, keys, seq, apply_as_deletes)
     payload = _payload(valid, keys, seq)
     first = seq[0]
-
-    splits, max_splits, hot_copies = (None, 0, False)
+    part = list(keys)
+    staged = valid if assume_unique else _first_per(
+        valid, part + seq, _latest_first(valid, payload))
     if rows_per_task:
-        splits, max_splits, hot_copies = _hot_key_splits(valid, keys, seq, rows_per_task)
-    if hot_copies and not assume_unique:
-        # One (K, S) copied about rows_per_task times or more: collapse the
-        # copies first with an aggregate that combines map-side (each task
-        # keeps one per group before the shuffle); the window dedupe is then
-        # a no-op on already unique rows.
-        valid = _dedupe(valid, keys, seq)
-
-    if splits is None:
-        part = list(keys)
-        staged = valid
-    else:
-        # The split table is bounded (<= total rows / rows_per_task entries),
-        # so it is broadcast; non-hot keys find no row and stay in chunk 0.
-        seq_value = F.struct(*[F.col(c) for c in seq])
-        with_splits = valid.join(F.broadcast(splits), keys, "left")
-        staged = _with_chunk(with_splits, seq_value, max_splits)
-        part = list(keys) + [_CHUNK]
-
-    staged = staged.repartition(*[F.col(c) for c in part])
-    if not assume_unique:
-        w_dup = Window.partitionBy(*part, *seq).orderBy(*_latest_first(staged, payload))
-        staged = (staged.withColumn("__rn", F.row_number().over(w_dup))
-                  .where(F.col("__rn") == 1).drop("__rn"))
-    w = Window.partitionBy(*part).orderBy(*seq)
-    end = F.lead(first).over(w)
-    if splits is not None:
-        next_head = F.try_element_at(F.col(_SPLITS), F.col(_CHUNK) + 1)[first]
-        end = F.coalesce(end, next_head)
+        # At most total rows / rows_per_task points: bounded, so broadcast; other
+        # keys find no row and stay in chunk 0.
+        splits = _hot_key_splits(valid, keys, seq, rows_per_task)
+        staged = _with_chunk(staged.join(F.broadcast(splits), keys, "left"),
+                             F.struct(*[F.col(c) for c in seq]), first)
+        part.append(_CHUNK)
+    end = F.lead(first).over(Window.partitionBy(*part).orderBy(*seq))
+    if rows_per_task:
+        end = F.coalesce(end, F.col(_NEXT))
     hist = staged.withColumn(END_AT, end)
-    if splits is not None:
-        hist = hist.drop(_SPLITS, _CHUNK)
-
     out = hist.where(~F.col(_DEL)).withColumn(START_AT, F.col(first))
     return _finish(out, visible, except_columns, extra=(START_AT, END_AT))
 

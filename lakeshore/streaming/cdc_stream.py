@@ -8,12 +8,17 @@ the state, and nothing is ever deleted before its replacement is committed:
   rows (with a delete flag; for SCD 1 first reduced to one row per key,
   map-side) as its own partition, written by a dynamic partition overwrite, so
   a replayed batch (``foreachBatch`` is at-least-once) replaces its own earlier
-  attempt, and several streams may feed one target;
+  attempt, and several streams may feed one target. The writer is an id kept in
+  the stream's checkpoint: a restart goes on under it, a new checkpoint (also
+  one at the same path) makes a new one, whose batch 0 is not the old batch 0;
 * ``base/`` — a compacted state, one row per (K, S) for SCD 2 (tombstones
   kept, so late rows older than a delete still order correctly) or one row per
   K for SCD 1, written once ``compact_every`` log partitions have piled up, as
   a new version folder (committed by ``_SUCCESS``) that records the partitions
-  it folded; those are removed only after that commit.
+  it folded; those are removed only after that commit. A compaction claims the
+  number after the base it read before it reads it, so of two that started from
+  one base only one can commit, and the other gives up;
+* ``columns.json`` — the column order of the feed, for readers in other sessions.
 
 The target is a view: base ∪ log partitions after the base's last batch,
 reduced exactly as the batch operator reduces a change feed (a max over a fixed
@@ -26,7 +31,7 @@ quarantine table.
 
 from __future__ import annotations
 
-import hashlib
+import json
 import uuid
 from collections.abc import Sequence
 
@@ -38,6 +43,8 @@ from lakeshore.operators import cdc
 from lakeshore.sinks import versioned
 
 BATCH = "__batch"
+#: Seconds after which a compaction that was claimed but not committed is dead.
+STALE_CLAIM = 24 * 3600
 _DEL = cdc._DEL
 
 
@@ -68,8 +75,10 @@ class ChangeApply:
         self.base_path = self.state_path + "/base"
         self.columns: list[str] | None = None
         self.schema = None
-        self.writer = writer or uuid.uuid4().hex[:8]
+        self.writer = writer or uuid.uuid4().hex
         self._auto_batch = 0
+        #: {batch id: (rows read, rows quarantined)} of this object's batches.
+        self.counts: dict[int, tuple[int, int]] = {}
 
     # -- reduce --------------------------------------------------------------
     def _reduce_scd1(self, rows: DataFrame) -> DataFrame:
@@ -101,12 +110,14 @@ class ChangeApply:
         if self.columns is None:
             self.columns = list(batch.columns)
             self.schema = batch.schema
+        self._store_columns(spark)
         batch, _ = cdc.with_sequence(batch, self.seq_spec)
         bad_flag = F.lit(False)
         for c in self.keys + self.seq:
             bad_flag = bad_flag | F.col(c).isNull()
         obs = Observation(f"quarantine_{batch_id}_{uuid.uuid4().hex}")
-        observed = batch.observe(obs, F.sum(F.when(bad_flag, 1).otherwise(0)).alias("bad"))
+        observed = batch.observe(obs, F.count(F.lit(1)).alias("rows"),
+                                 F.sum(F.when(bad_flag, 1).otherwise(0)).alias("bad"))
         valid, _ = cdc.split_changes(observed, self.keys, self.seq, self.apply_as_deletes)
         if self.scd_type == "1":
             # Map-side combined: a key holding much of the batch becomes one
@@ -119,7 +130,9 @@ class ChangeApply:
         (valid.withColumn(BATCH, tag)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BATCH).parquet(self.log_path))
-        if (obs.get.get("bad") or 0) > 0:
+        n_rows, n_bad = int(obs.get.get("rows") or 0), int(obs.get.get("bad") or 0)
+        self.counts[int(batch_id)] = (n_rows, n_bad)  # a replay counts once
+        if n_bad > 0:
             _, bad = cdc.split_changes(batch, self.keys, self.seq, self.apply_as_deletes)
             (bad.drop(*self.hidden).withColumn(BATCH, tag)
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -135,6 +148,20 @@ class ChangeApply:
         return sorted(st.getPath().getName().split("=", 1)[1] for st in fs.listStatus(p)
                       if st.isDirectory() and st.getPath().getName().startswith(BATCH + "="))
 
+    def _store_columns(self, spark: SparkSession) -> None:
+        path = f"{self.state_path}/columns.json"
+        if not self._stored and versioned._read_text(spark, path) is None:
+            versioned._write_text(spark, path, json.dumps(self.columns))
+        self._stored = True
+
+    _stored = False
+
+    def _column_order(self, spark: SparkSession) -> list[str] | None:
+        """The feed's columns in order: as stored with the state, so that every
+        session shows the same."""
+        text = versioned._read_text(spark, f"{self.state_path}/columns.json")
+        return json.loads(text) if text else self.columns
+
     def _folded(self, spark: SparkSession) -> set[str]:
         return set(versioned.read_meta(spark, self.base_path).get("folded", []))
 
@@ -166,15 +193,42 @@ class ChangeApply:
         """Fold the log into a new base version, then drop the folded log
         partitions. Safe to interrupt anywhere: until the new version is
         committed the old base and the log stand; after it, leftover folded
-        partitions are skipped by readers (and would be harmless if read)."""
-        parts = self._log_parts(spark)
-        folded = self._folded(spark)
-        fresh = [n for n in parts if n not in folded]
-        if fresh:
-            path = versioned.write_version(self._reduced(self._union(spark, fresh)),
-                                           self.base_path, meta={"folded": fresh})
-        else:
-            path = None
+        partitions are skipped by readers (and would be harmless if read).
+
+        Several streams may compact: the number after the base is claimed before
+        the base is read, so a base is the parent of one committed version only;
+        who finds it claimed leaves the work to the other (None). A claim older
+        than ``STALE_CLAIM`` seconds belongs to a writer that died and is stepped
+        over; should it live, its version is older than the current one, and it
+        removes nothing."""
+        done = versioned.versions(spark, self.base_path)
+        parent = done[-1] if done else 0
+        number = parent + 1
+        while not versioned.try_claim(spark, self.base_path, number):
+            age = versioned.claim_age(spark, self.base_path, number)
+            if age is None or age < STALE_CLAIM:
+                return None
+            number += 1
+        try:
+            now = versioned.versions(spark, self.base_path)
+            if (now[-1] if now else 0) != parent:  # committed before our claim
+                versioned.give_up(spark, self.base_path, number)
+                return None
+            parts = self._log_parts(spark)
+            folded = self._folded(spark)
+            fresh = [n for n in parts if n not in folded]
+            if fresh:
+                path = versioned.write_version(
+                    self._reduced(self._union(spark, fresh)), self.base_path,
+                    meta={"folded": fresh, "parent": parent}, number=number)
+            else:
+                versioned.give_up(spark, self.base_path, number)
+                path = None
+        except Exception:
+            versioned.give_up(spark, self.base_path, number)
+            raise
+        if path and versioned.current_path(spark, self.base_path) != path:
+            return path  # a newer base holds all of it; the log is its owner's
         for n in parts:
             fs, p = versioned._fs(spark, f"{self.log_path}/{BATCH}={n}")
             if fs.exists(p):
@@ -203,7 +257,8 @@ class ChangeApply:
         """The target as the batch form would give it: current rows for SCD 1,
         history with ``__START_AT`` / ``__END_AT`` for SCD 2."""
         rows = self._rows(spark)
-        cols = self.columns or [c for c in rows.columns if c not in [_DEL] + self.hidden]
+        cols = self._column_order(spark) or [c for c in rows.columns
+                                             if c not in [_DEL] + self.hidden]
         if self.scd_type == "1":
             state = self._reduce_scd1(rows)
             return cdc._finish(state.where(~F.col(_DEL)), cols, self.except_columns)
@@ -223,8 +278,11 @@ class ChangeApply:
         then stop) by default, or continuously every ``processing_time``."""
         self.columns = list(stream.columns)
         self.schema = stream.schema
-        # Stable per query (its checkpoint), distinct between queries.
-        self.writer = hashlib.sha1(checkpoint.encode("utf-8")).hexdigest()[:8]
+        # Kept in the checkpoint: goes on with it, and goes with it.
+        spark = stream.sparkSession
+        path = f"{checkpoint.rstrip('/')}/change_apply_writer"
+        self.writer = versioned._read_text(spark, path) or uuid.uuid4().hex
+        versioned._write_text(spark, path, self.writer)
         w = (stream.writeStream.foreachBatch(self.apply_batch)
              .option("checkpointLocation", checkpoint))
         if name:

@@ -1,6 +1,7 @@
 """Change apply: the inline edge cases of FIXTURES.md, batch and stream."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import Window
@@ -148,10 +149,35 @@ def test_hot_key_split_under_sampling(spark):
     cols = ["customer_id", "seq", "__START_AT", "__END_AT"]
     assert split.select(*cols).exceptAll(plain.select(*cols)).count() == 0
     assert plain.select(*cols).exceptAll(split.select(*cols)).count() == 0
-    splits, m, copies = cdc._hot_key_splits(
+    splits = cdc._hot_key_splits(
         cdc.split_changes(df, ["customer_id"], ["seq"], "operation = 'DELETE'")[0],
-        ["customer_id"], ["seq"], 1_000)
-    assert splits is not None and m >= 5 and not copies
+        ["customer_id"], ["seq"], 1_000).collect()
+    assert splits and max(len(r[cdc._SPLITS]) for r in splits) >= 5
+
+
+def test_building_runs_no_job_and_splits_stay_home(spark, changes):
+    """No job before an action; no split list goes through the window's shuffle; a
+    key filter reaches the source."""
+    import contextlib
+    import io
+
+    group = "cdc-build"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        hist = cdc.scd2(changes, rows_per_task=64, **FEED)
+        cdc.scd1(changes, **FEED)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        hist.explain()
+    plan = text.getvalue()
+    exchange = next(i for i, line in enumerate(plan.splitlines()) if "Exchange hashpartitioning" in line)
+    below = plan.splitlines()[exchange + 1]
+    # the list is looked up there, and is no column of what is shuffled
+    assert not re.search(rf"[\[ ]{cdc._SPLITS}#\d+(,|\])", below), below
+    assert "WindowGroupLimit" in plan
 
 
 def test_map_payload(spark):
@@ -254,10 +280,88 @@ def test_hot_group_of_copies(spark):
     base = [(1, f"c{i}", "UPDATE", i) for i in range(200)]
     copies = [(1, "z", "UPDATE", 50)] * 5000
     df = spark.createDataFrame(base + copies, SCHEMA)
-    valid = cdc.split_changes(df, ["customer_id"], ["seq"], "operation = 'DELETE'")[0]
-    _, _, hot = cdc._hot_key_splits(valid, ["customer_id"], ["seq"], 64)
-    assert hot
     plain = cdc.scd2(df, rows_per_task=None, **FEED)
     split = cdc.scd2(df, rows_per_task=64, **FEED)
     assert _scd2_set(split) == _scd2_set(plain)
     assert split.count() == 200
+
+
+def _stream(spark, df, landing, **options):
+    return spark.readStream.schema(df.schema).options(**options).parquet(landing)
+
+
+def _equal(got, want):
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect()), key=repr) == \
+        sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_checkpoint_reset_at_the_same_path(spark, scratch):
+    """A stream started anew with a fresh checkpoint at the old path: its batch 0
+    is not taken for the old one, before and after a compaction."""
+    from lakeshore.sinks import versioned
+    from lakeshore.streaming.cdc_stream import apply_changes_stream
+
+    state, ckpt = scratch("state"), scratch("ckpt")
+    rows = [(k % 4, f"c{k}", "UPDATE", k) for k in range(20)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for part in ("seq < 10", "seq >= 10"):
+        landing = scratch("land")
+        df.where(part).coalesce(1).write.parquet(landing)
+        fs, p = versioned._fs(spark, ckpt)
+        if fs.exists(p):
+            fs.delete(p, True)
+        target = apply_changes_stream(_stream(spark, df, landing), state, ckpt, scd_type=2,
+                                      compact_every=1, **FEED)
+    want = cdc.apply_changes(df, scd_type=2, **FEED)
+    _equal(target.table(spark), want)
+    target.compact(spark)
+    # a reader of another session sees the same rows and columns
+    _equal(ChangeApply(state, scd_type=2, **FEED).table(spark), want)
+
+
+def test_two_writers_compact(spark, scratch, monkeypatch):
+    """B compacts between A's read and A's commit: A gives up, nothing is lost."""
+    from lakeshore.sinks import versioned
+
+    state = scratch("state")
+    rows = [(k, f"c{k}", "UPDATE", k) for k in range(6)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    a = ChangeApply(state, scd_type=2, compact_every=0, **FEED)
+    b = ChangeApply(state, scd_type=2, compact_every=0, **FEED)
+    a.apply_batch(df.where("seq < 2"), 0)
+    a.compact(spark)
+    a.apply_batch(df.where("seq = 2"), 1)
+    b.apply_batch(df.where("seq > 2"), 0)
+    union, seen = ChangeApply._union, []
+
+    def between(self, *args):
+        out = union(self, *args)
+        if self is a and not seen:
+            seen.append(b.compact(spark))
+        return out
+
+    monkeypatch.setattr(ChangeApply, "_union", between)
+    a.compact(spark)
+    monkeypatch.undo()
+    assert seen == [None]  # the base was claimed
+    b.compact(spark)
+    want = cdc.apply_changes(df, scd_type=2, **FEED)
+    _equal(ChangeApply(state, scd_type=2, **FEED).table(spark), want)
+    # a claim of a dead writer is stepped over
+    a.apply_batch(df.where("seq = 5"), 9)
+    n = versioned.versions(spark, a.base_path)[-1] + 1
+    assert versioned.try_claim(spark, a.base_path, n)
+    assert a.compact(spark) is None
+    monkeypatch.setattr("lakeshore.streaming.cdc_stream.STALE_CLAIM", -1)
+    assert a.compact(spark).endswith(f"{n + 1:08d}")
+    _equal(ChangeApply(state, scd_type=2, **FEED).table(spark), want)
+
+
+def test_versions_step_over_many_dead_claims(spark, scratch):
+    from lakeshore.sinks import versioned
+
+    base = scratch("dead")
+    for n in range(1, 130):
+        assert versioned.try_claim(spark, base, n)
+    assert versioned.write_version(spark.range(3), base).endswith("v00000130")
