@@ -18,6 +18,7 @@ text once per path.
 from __future__ import annotations
 
 import datetime as _dt
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,8 +50,13 @@ def flow_event(spark: SparkSession, dataset: str, status: str, output_rows: int,
                dropped_records: int = 0, expectations: list[dict] | None = None,
                message: str | None = None, level: str = "INFO",
                timestamp: _dt.datetime | None = None) -> DataFrame:
-    """One ``flow_progress`` event as a one-row DataFrame, ready to append."""
-    ts = timestamp or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    """One ``flow_progress`` event as a one-row DataFrame, ready to append. A
+    timestamp without a zone is UTC, whatever the driver's zone; ``sequence`` is
+    the time it was made in nanoseconds as text of fixed width, so events of one
+    instant keep their order."""
+    ts = timestamp or _dt.datetime.now(_dt.timezone.utc)
+    if ts.tzinfo is None:
+        ts = ts.replace(tzinfo=_dt.timezone.utc)
     exp = expectations or []
     row = spark.createDataFrame(
         [(str(uuid.uuid4()), ts, status, int(output_rows), int(dropped_records), exp)],
@@ -59,7 +65,7 @@ def flow_event(spark: SparkSession, dataset: str, status: str, output_rows: int,
     exp_col = F.when(F.size("exp") > 0, F.col("exp"))
     return row.select(
         "id", "timestamp",
-        F.lit(None).cast("string").alias("sequence"),
+        F.lit(f"{time.time_ns():020d}").alias("sequence"),
         F.lit("flow_progress").alias("event_type"),
         F.lit(message or f"Flow '{dataset}' is {status}.").alias("message"),
         F.lit(level).alias("level"),
@@ -74,8 +80,6 @@ def append_events(events: DataFrame, log_path: str, files: int | None = None) ->
     partition folder ``tail/__append=<time>_<id>`` (a one-row flow event is one
     file); :func:`compact_log` folds them into one table version so the folder
     count stays small."""
-    import time
-
     tag = f"{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
     out = events.select(*LOG_COLUMNS)
     if files:
@@ -128,8 +132,8 @@ def compact_log(spark: SparkSession, log_path: str) -> str | None:
     if not parts:
         return None
     folded = read_log(spark, log_path)  # base + unfolded tails listed now
-    done = sorted(set(versioned.read_meta(spark, base).get("appends", [])) | set(parts))
-    path = versioned.write_version(folded.hint("rebalance"), base, meta={"appends": done})
+    # those listed now, folded before or not; names of folders long gone are let go
+    path = versioned.write_version(folded.hint("rebalance"), base, meta={"appends": parts})
     for name in parts:
         fs, p = versioned._fs(spark, f"{log_path.rstrip('/')}/tail/{name}")
         if fs.exists(p):

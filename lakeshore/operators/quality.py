@@ -17,11 +17,13 @@ a dataset column as an ordinary (map-side combined) aggregate.
 from __future__ import annotations
 
 import itertools
+import threading
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 _ACTIONS = ("drop", "warn", "fail")
 _observation_ids = itertools.count()
@@ -58,14 +60,14 @@ def expect(df: DataFrame, rules, dataset: str = "dataset", action: str = "drop",
     ``passed:<name>`` / ``failed:<name>``, plus ``input_rows`` and
     ``output_rows``. The counts belong to the first action that runs the
     result (normally the write of the dataset). For a streaming DataFrame the
-    second value is the metric name instead; read the counts with
-    :func:`progress_expectations` from the query's progress."""
+    second value is the metric name instead; :class:`StreamCounts` adds the
+    counts of its micro-batches up."""
     if action not in _ACTIONS:
         raise ValueError(f"action must be one of {_ACTIONS}, not {action!r}")
     rules = _rules(rules)
     name = f"expect_{dataset}_{next(_observation_ids)}_{uuid.uuid4().hex[:8]}"
     # A stream reports the counts per micro-batch in its progress
-    # (``observedMetrics[name]``); see :func:`progress_expectations`.
+    # (``observedMetrics[name]``); see :class:`StreamCounts`.
     obs = name if df.isStreaming else (observation or Observation(name))
     ok_all = all_pass(rules)
     metrics = [F.count(F.lit(1)).alias("input_rows")]
@@ -101,23 +103,67 @@ def observed_expectations(obs: Observation, rules, dataset: str) -> list[dict]:
             for name, _ in _rules(rules)]
 
 
-def progress_expectations(progress: list, name: str, rules, dataset: str) -> tuple[dict, list]:
-    """Counts of a streaming :func:`expect`, summed over the micro-batches in
-    ``progress`` (``query.recentProgress``). Returns ``(totals, records)``:
-    totals hold ``input_rows`` / ``output_rows``, records are the per-rule
-    expectation records for the event log."""
-    totals: dict = {}
-    for p in progress:
-        row = (p.get("observedMetrics") or {}).get(name)
-        if row is None:
-            continue
-        for k, v in row.asDict().items():
-            totals[k] = totals.get(k, 0) + int(v or 0)
-    records = [{"dataset": dataset, "name": n,
-                "passed_records": totals.get(f"passed:{n}", 0),
-                "failed_records": totals.get(f"failed:{n}", 0)} for n, _ in _rules(rules)]
-    return {"input_rows": totals.get("input_rows", 0),
-            "output_rows": totals.get("output_rows", 0)}, records
+class StreamCounts(StreamingQueryListener):
+    """Adds up every micro-batch of one streaming query: rows read, and the counts
+    of a streaming :func:`expect`. (``query.recentProgress`` holds only the last
+    batches.) Attach before the start, ``wait`` after the end::
+
+        with StreamCounts(spark, metric) as counts:
+            q = start(...)
+            q.awaitTermination()
+            counts.wait(q)
+    """
+
+    def __init__(self, spark: SparkSession, metric: str | None = None):
+        self.spark, self.metric = spark, metric
+        self.batches: dict[str, dict[int, dict]] = {}
+        self.ended: dict[str, threading.Event] = {}
+        self._lock = threading.Lock()
+
+    def __enter__(self) -> StreamCounts:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.spark.streams.removeListener(self)
+
+    def _end(self, run: str) -> threading.Event:
+        with self._lock:
+            return self.ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        counts = {"rows": int(p.numInputRows)}
+        row = (p.observedMetrics or {}).get(self.metric) if self.metric else None
+        if row is not None:
+            counts |= {k: int(v or 0) for k, v in row.asDict().items()}
+        self.batches.setdefault(str(p.runId), {})[int(p.batchId)] = counts
+
+    def onQueryTerminated(self, event) -> None:
+        self._end(str(event.runId)).set()
+
+    def wait(self, query, seconds: float = 600.0) -> dict[str, int]:
+        """Totals of ``query``, which has ended. Its end is reported after all its
+        batches."""
+        if not self._end(str(query.runId)).wait(seconds):
+            raise TimeoutError("the end of the streaming query was not reported")
+        totals: dict[str, int] = {}
+        for counts in self.batches.get(str(query.runId), {}).values():
+            for k, v in counts.items():
+                totals[k] = totals.get(k, 0) + v
+        return totals
+
+
+def stream_expectations(totals: Mapping[str, int], rules, dataset: str) -> list[dict]:
+    """Totals of :class:`StreamCounts` → expectation records for the event log."""
+    return [{"dataset": dataset, "name": n, "passed_records": totals.get(f"passed:{n}", 0),
+             "failed_records": totals.get(f"failed:{n}", 0)} for n, _ in _rules(rules)]
 
 
 def quality_counts(df: DataFrame, rules, dataset_col: str | None = None,

@@ -10,16 +10,22 @@ is idempotent, and gold is written as a new version.
   dropping rows that fail ``bronze_rules`` (counted per micro-batch);
 * silver: a stream over bronze applied as SCD 1 and as SCD 2 (state tables),
   materialized as table versions once per run;
-* clean + gold: ``expect_or_drop(recent_record: __END_AT IS NULL)`` over the
-  SCD 2 history, written as the gold version; counts come from the same pass;
-* every step appends a ``flow_progress`` event to the log.
+* clean: ``expect_or_drop(recent_record: __END_AT IS NULL)`` over the SCD 2
+  history, a view;
+* gold: the clean rows, written as a version; counts come from the same pass;
+* every step appends a ``flow_progress`` event to the log, ``FAILED`` ones too.
+
+A silver table is rewritten only when a run brought changes for it.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakeshore.operators import eventlog, quality
@@ -67,53 +73,95 @@ class CdcFlow:
     def _ckpt(self, name: str) -> str:
         return f"{self.root}/checkpoints/{name}"
 
-    def _event(self, spark, dataset, rows, dropped=0, expectations=None):
-        eventlog.append_events(eventlog.flow_event(spark, dataset, "COMPLETED", rows, dropped,
-                                                   expectations), self.log_path)
+    def _event(self, spark, dataset, rows, dropped=0, expectations=None, status="COMPLETED",
+               message=None):
+        eventlog.append_events(
+            eventlog.flow_event(spark, dataset, status, rows, dropped, expectations, message,
+                                level="ERROR" if status == "FAILED" else "INFO"), self.log_path)
+
+    @contextmanager
+    def _step(self, spark, dataset):
+        """A step that fails leaves a ``FAILED`` event."""
+        try:
+            yield
+        except Exception as e:
+            self._event(spark, dataset, 0, status="FAILED",
+                        message=f"Flow '{dataset}' is FAILED: {str(e)[:500]}")
+            raise
 
     @staticmethod
-    def _rows(q) -> int:
-        return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
+    def _finished(query) -> None:
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise query.exception()
 
     def run(self, spark: SparkSession, landing: str) -> str:
         """One run of every step; returns the gold version path."""
+        with self._step(spark, self.bronze.name):
+            self._bronze(spark, landing)
+        for name, target in (("silver_scd1", self.scd1), ("silver_scd2", self.scd2)):
+            with self._step(spark, f"{self.prefix}_{name}"):
+                self._silver(spark, name, target)
+        with self._step(spark, f"{self.prefix}_gold"):
+            path = self._gold(spark)
+        # Each event is one small folder; fold them once there are many.
+        if len(eventlog._tail_parts(spark, self.log_path)) >= self.log_compact_after:
+            eventlog.compact_log(spark, self.log_path)
+        return path
+
+    def _bronze(self, spark: SparkSession, landing: str) -> None:
         stream = stream_csv(spark, landing, schema=self.schema, max_files=self.max_files)
+        metric = None
         if self.bronze_rules:
             stream, metric = quality.expect(stream, self.bronze_rules, dataset=self.bronze.name)
-        q = start_append(stream, self.bronze.path, self._ckpt("bronze"))
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise q.exception()
+        with quality.StreamCounts(spark, metric) as counts:
+            q = start_append(stream, self.bronze.path, self._ckpt("bronze"))
+            self._finished(q)
+            totals = counts.wait(q)
         if self.bronze_rules:
-            totals, records = quality.progress_expectations(
-                q.recentProgress, metric, self.bronze_rules, self.bronze.name)
-            self._event(spark, self.bronze.name, totals["output_rows"],
-                        totals["input_rows"] - totals["output_rows"], records)
+            kept, read = totals.get("output_rows", 0), totals.get("input_rows", 0)
+            self._event(spark, self.bronze.name, kept, read - kept, quality.stream_expectations(
+                totals, self.bronze_rules, self.bronze.name))
         else:
-            self._event(spark, self.bronze.name, self._rows(q))
-        for name, target in (("silver_scd1", self.scd1), ("silver_scd2", self.scd2)):
-            src = spark.readStream.schema(self.schema).parquet(self.bronze.path)
-            sq = target.start(src, self._ckpt(name))
-            sq.awaitTermination()
-            if sq.exception() is not None:
-                raise sq.exception()
-            self._event(spark, f"{self.prefix}_{name}", self._rows(sq))
-            if self.materialize:
-                versioned.write_version(target.table(spark), self.silver_bases[name])
-                versioned.remove_old_versions(spark, self.silver_bases[name], keep=2)
-        gold, obs = quality.expect_or_drop(self.silver(spark, 2), *RECENT_RECORD,
-                                           dataset=f"{self.prefix}_gold")
-        path = versioned.write_version(gold, self.gold_base)
+            self._event(spark, self.bronze.name, totals.get("rows", 0))
+
+    def _silver(self, spark: SparkSession, name: str, target: ChangeApply) -> None:
+        """Apply what is new in bronze. The event's rows are those of the table
+        that was written (of the feed, if none is), its dropped records the rows
+        put into quarantine in this run."""
+        src = spark.readStream.schema(self.schema).parquet(self.bronze.path)
+        target.counts.clear()
+        self._finished(target.start(src, self._ckpt(name)))
+        read = sum(n for n, _ in target.counts.values())
+        dropped = sum(bad for _, bad in target.counts.values())
+        rows = read - dropped
+        base = self.silver_bases[name]
+        if self.materialize and (target.counts or versioned.current_path(spark, base) is None):
+            obs = Observation(f"{name}_{uuid.uuid4().hex}")
+            table = target.table(spark).observe(obs, F.count(F.lit(1)).alias("rows"))
+            versioned.write_version(table, base, meta={})
+            versioned.remove_old_versions(spark, base, keep=2)
+            rows = obs.get["rows"]
+        elif self.materialize:
+            rows = versioned.read_current(spark, base).count()
+        self._event(spark, f"{self.prefix}_{name}", rows, dropped)
+
+    def _gold(self, spark: SparkSession) -> str:
+        gold, obs = self.clean(spark)
+        path = versioned.write_version(gold, self.gold_base, meta={})
+        versioned.remove_old_versions(spark, self.gold_base, keep=2)
         got = obs.get
         self._event(spark, f"{self.prefix}_gold", got["output_rows"],
                     got["input_rows"] - got["output_rows"],
                     quality.observed_expectations(obs, [RECENT_RECORD],
                                                   f"{self.prefix}_gold"))
-        # Each event is one small folder; fold them once there are many.
-        if len(eventlog._tail_parts(spark, self.log_path)) >= self.log_compact_after:
-            eventlog.compact_log(spark, self.log_path)
         return path
 
+    def clean(self, spark: SparkSession):
+        """The clean step: open rows of the SCD 2 history, and their counts."""
+        return quality.expect_or_drop(self.silver(spark, 2), *RECENT_RECORD,
+                                      dataset=f"{self.prefix}_gold")
+
     def silver(self, spark: SparkSession, scd_type: int) -> DataFrame:
         """The silver SCD 1 table or SCD 2 history (materialized version when
         there is one, else the view over the state)."""
@@ -142,23 +190,28 @@ class CdcFlow:
         names = {"silver_scd1": f"{self.prefix}_silver_scd_type_1",
                  "silver_scd2": f"{self.prefix}_silver_scd_type_2",
                  "gold": f"{self.prefix}_gold_scd_type_2"}
+        clean = f"{self.prefix}_clean_scd_type_2"
         if schema is None or not self.materialize:
             self.silver(spark, 1).createOrReplaceTempView(names["silver_scd1"])
             self.silver(spark, 2).createOrReplaceTempView(names["silver_scd2"])
+            self.silver(spark, 2).where(RECENT_RECORD[1]).createOrReplaceTempView(clean)
             self.gold(spark).createOrReplaceTempView(names["gold"])
         else:
             spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
             paths = {"silver_scd1": versioned.current_path(spark, self.silver_bases["silver_scd1"]),
                      "silver_scd2": versioned.current_path(spark, self.silver_bases["silver_scd2"]),
                      "gold": versioned.current_path(spark, self.gold_base)}
-            comments = {"silver_scd1": "silver data - SCD type 1",
-                        "silver_scd2": "silver data - SCD type 2",
-                        "gold": "gold data: current rows of the SCD type 2 history"}
+            comments = {"silver_scd1": "one row per customer, the latest change",
+                        "silver_scd2": "every version of a customer with its validity",
+                        "gold": "versions that are valid now, stored"}
             for key, view in names.items():
                 quality_tag = "gold" if key == "gold" else "silver"
                 spark.sql(f"CREATE OR REPLACE VIEW {schema}.{view} "
                           f"COMMENT '{comments[key]}' "
                           f"TBLPROPERTIES ('quality' = '{quality_tag}') "
                           f"AS SELECT * FROM parquet.`{paths[key]}`")
+            spark.sql(f"CREATE OR REPLACE VIEW {schema}.{clean} "
+                      "COMMENT 'versions that are valid now, over the silver history' "
+                      f"AS SELECT * FROM {schema}.{names['silver_scd2']} WHERE {RECENT_RECORD[1]}")
         eventlog.read_log(spark, self.log_path).createOrReplaceTempView(
             f"{self.prefix}_event_log")

@@ -1,5 +1,10 @@
 """The bronze → silver → gold pipeline: re-runs, new files, deletes, report."""
 
+import json
+
+import pytest
+
+from lakeshore.operators import eventlog
 from lakeshore.plans.cdc_flow import CdcFlow
 from lakeshore.sources import files
 
@@ -68,7 +73,49 @@ def test_bronze_expectations_on_the_stream(spark, scratch):
     p.run(spark, landing)
     assert spark.read.parquet(p.bronze.path).count() == 2
     rep = {r.expectations.dataset: r for r in p.report(spark).collect()}
+    silver = {r["message"].split("'")[1]: json.loads(r["details"])["flow_progress"]
+              for r in eventlog.read_log(spark, p.log_path).collect()}
+    assert silver["c2_silver_scd1"]["metrics"]["num_output_rows"] == p.silver(spark, 1).count()
+    assert silver["c2_silver_scd2"]["metrics"]["num_output_rows"] == p.silver(spark, 2).count()
     b = rep["c2_bronze"]
     assert (b.expectations.passed_records, b.expectations.failed_records) == (2, 1)
     assert (b.output_records, b.dropped_records) == ("2", "1")
     assert {r.customer_id for r in p.gold(spark).collect()} == {1, 2}
+
+
+def test_counts_of_more_batches_than_progress_keeps(spark, scratch):
+    """Six micro-batches with a progress buffer of two; quarantined rows are
+    dropped records; a failing step leaves an event."""
+    import datetime as dt
+
+    t = dt.datetime(2024, 1, 1)
+    rows = [(k if k % 10 else None, f"n{k}", "oslo", "INSERT", t) for k in range(120)]
+    landing = scratch("landing")
+    files.write_csv_files(_rows(spark, rows).repartition(6), landing, files=6)
+    p = CdcFlow(scratch("cdc"), _rows(spark, rows).schema, keys=["customer_id"],
+                sequence_by="ModifiedDate", prefix="c3", max_files=1,
+                bronze_rules={"odd": "customer_id IS NULL OR customer_id % 2 = 1"})
+    old = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        p.run(spark, landing)
+        p.run(spark, landing)
+        p.run(spark, landing)
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", old)
+    from lakeshore.sinks import versioned
+
+    log = [(r["message"].split("'")[1], json.loads(r["details"])["flow_progress"])
+           for r in eventlog.ordered_log(eventlog.read_log(spark, p.log_path)).collect()]
+    bronze = [d for n, d in log if n == "c3_bronze"][0]
+    kept = spark.read.parquet(p.bronze.path).count()
+    assert (bronze["metrics"]["num_output_rows"], bronze["data_quality"]["dropped_records"]) == (kept, 120 - kept)
+    silver = [d for n, d in log if n == "c3_silver_scd2"][0]
+    assert silver["metrics"]["num_output_rows"] == p.silver(spark, 2).count() == 60
+    assert silver["data_quality"]["dropped_records"] == 12  # null keys
+    assert len(versioned.versions(spark, p.gold_base)) == 2  # older ones are removed
+    assert eventlog.read_log(spark, p.log_path).where("sequence IS NULL").count() == 0
+    with pytest.raises(Exception):
+        p.run(spark, scratch("no such folder"))
+    last = eventlog.read_log(spark, p.log_path).orderBy("sequence").collect()[-1]
+    assert json.loads(last["details"])["flow_progress"]["status"] == "FAILED" and last["level"] == "ERROR"

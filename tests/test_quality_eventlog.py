@@ -96,3 +96,22 @@ def test_column_predicates_and_partition_helpers(spark, rows):
     assert kept.count() == 2 and obs.get["failed:low"] == 2
     r = partitioning.repartition_by_distinct(rows, "id", by_column=True)
     assert partitioning.num_partitions(r) == 4
+
+
+def test_event_time_is_utc_whatever_the_zone(spark, monkeypatch):
+    import datetime as dt
+    import time
+
+    from lakeshore.operators import eventlog
+
+    at = dt.datetime(2024, 5, 1, 12, 30, tzinfo=dt.timezone.utc)
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        for value in (at, at.replace(tzinfo=None), at.astimezone(dt.timezone(dt.timedelta(hours=9)))):
+            event = eventlog.flow_event(spark, "d", "COMPLETED", 1, timestamp=value)
+            assert event.selectExpr("unix_micros(timestamp) AS t").first()["t"] == int(at.timestamp()) * 10**6
+            assert event.first()["sequence"]
+    finally:
+        monkeypatch.undo()
+        time.tzset()
