@@ -1,68 +1,53 @@
 """Equi-joins with an explicit, checked strategy.
 
 ``broadcast`` ships the small side to every task and skips the shuffle of the
-large side; it is only safe when the small side is bounded. The check here is
-a bounded count and measure: over ``small.limit(max_rows + 1)`` (at most
-``max_rows + 1`` rows from each partition of the small side's plan) one job
-counts the rows and sums the length of their values as text, and never
-touches the large side.
-For a small side that is itself an aggregate the aggregate runs once for the
-check. Above the bound the join falls back to a shuffled sort-merge join (both
-sides partitioned on the key; AQE splits skewed partitions at run time).
+large side; it is only safe when the small side is bounded. The size is Spark's
+own estimate of the planned small side, which costs no job: file sizes for a
+scan, and what follows from them for filters and aggregates. Above the bound no hint is given: both sides are then partitioned on the key, and adaptive
+execution still turns the join into a broadcast if the small side, once
+shuffled, proves small, and splits skewed partitions if not.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Bounds on a broadcast side: rows, and bytes as measured by the length of
-# each row's values as text (close to the in-memory size for strings, above it
-# for numbers), far below the 8 GB broadcast ceiling and executor memory.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+#: Estimated bytes up to which a broadcast is hinted: files are compressed, so the
+#: rows may take some ten times that in memory, far below an executor's share.
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 STRATEGIES = ("auto", "broadcast", "merge", "shuffle_hash")
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                   max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and about ``max_bytes``
-    bytes (values measured as text). One bounded job: at most ``max_rows + 1`` rows are read per
-    partition, counted and measured together."""
-    width = F.lit(0)
-    for c in df.columns:  # every type casts to text, nested ones included
-        width = width + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
-    stats = (df.limit(max_rows + 1)
-             .agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes"))
-             .first())
-    return stats["n"] <= max_rows and (stats["bytes"] or 0) <= max_bytes
+def planned_bytes(df: DataFrame) -> int:
+    """Spark's size estimate of ``df`` in bytes; plans only, runs no job."""
+    stats = df._jdf.queryExecution().optimizedPlan().stats()
+    return int(str(stats.sizeInBytes()))
+
+
+def fits_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """True when the plan of ``df`` is estimated at no more than ``max_bytes``."""
+    return planned_bytes(df) <= max_bytes
 
 
 def join(left: DataFrame, right: DataFrame, on, how: str = "inner",
-         strategy: str = "auto", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-         max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+         strategy: str = "auto", max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Join ``left`` with ``right``; ``right`` is the side considered for broadcast.
 
-    * ``auto``: broadcast ``right`` when its size is proven small, else merge;
-    * ``broadcast``: same check, but a side over the bound raises instead of
-      silently broadcasting an unbounded table;
+    * ``auto``: no hint, Spark chooses by sizes, at run time too;
+    * ``broadcast``: hint it when the side fits, else as ``auto``;
     * ``merge`` / ``shuffle_hash``: shuffled join via a hint.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, not {strategy!r}")
-    if strategy in ("auto", "broadcast") and how not in ("right", "full", "full_outer",
-                                                         "right_outer", "outer"):
-        if fits_broadcast(right, max_broadcast_rows, max_broadcast_bytes):
-            return left.join(right.hint("broadcast"), on, how)
-        if strategy == "broadcast":
-            raise ValueError(f"broadcast side exceeds {max_broadcast_rows} rows "
-                             f"or {max_broadcast_bytes} bytes")
-        return left.join(right.hint("merge"), on, how)
     if strategy == "broadcast":
-        raise ValueError(f"cannot broadcast the right side of a {how} join")
-    hint = "shuffle_hash" if strategy == "shuffle_hash" else "merge"
-    return left.join(right.hint(hint), on, how)
+        if how in ("right", "full", "full_outer", "right_outer", "outer"):
+            raise ValueError(f"cannot broadcast the right side of a {how} join")
+        if fits_broadcast(right, max_broadcast_bytes):
+            return left.join(right.hint("broadcast"), on, how)
+    if strategy in ("auto", "broadcast"):
+        return left.join(right, on, how)
+    return left.join(right.hint(strategy), on, how)
 
 
 def join_strategy(df: DataFrame) -> str:

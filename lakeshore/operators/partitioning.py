@@ -23,5 +23,6 @@ def repartition_by_distinct(df: DataFrame, column: str, by_column: bool = False)
 
 
 def num_partitions(df: DataFrame) -> int:
-    """Partitions of the planned result; plans only, runs no job (R2)."""
+    """Partitions of the result (R2). Adaptive execution decides them while it
+    runs, so this runs the shuffles of ``df``; a plain scan runs nothing."""
     return df.rdd.getNumPartitions()

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lakeshore.operators import cdc, eventlog, quality
 from lakeshore.plans import cdc_flow
-from lakeshore.sources.tables import spread, table
+from lakeshore.sources.tables import table
 
 # Fixed stand-in mapping of the change feeds.
 EVENTS_FEED = dict(keys=["user_id"], sequence_by=["ts"],
@@ -47,7 +47,7 @@ def events_as_log(events: DataFrame) -> DataFrame:
 
     ``k`` is parsed in its own projection, which the optimizer keeps (it is
     used several times), so the JSON text is read once per row."""
-    base = spread(events).select(
+    base = events.select(
         "event_id", "ts", "event_type",
         F.get_json_object("props", "$.k").cast("long").alias("k"),
         F.when(F.col("event_type").isin("purchase", "click"), F.lit("COMPLETED"))

@@ -8,15 +8,16 @@ below the session's ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshore.operators import eventlog, joins, privacy, quality
+from lakeshore.operators import eventlog, joins, partitioning, privacy, quality
 from lakeshore.plans import cdc_flow, derived, privacy_flow
 from lakeshore.session import scratch_path
-from lakeshore.sinks import overwrite, versioned
+from lakeshore.sinks import catalog, overwrite, versioned
 from lakeshore.sources import files
 from lakeshore.sources.tables import table
 from lakeshore.streaming import cdc_stream, ingest
@@ -47,6 +48,32 @@ def q_current_between(spark, d):
     return derived.events_current(spark, d).where(F.col("value").between(10.0, 20.0))
 
 
+#: A subject of the change feed, and a range of them.
+_KEY, _KEYS = 7, (10, 20)
+
+
+def q_history_point_lookup(spark, d):
+    """One key's history: the key filter reaches the scan, and a lookup needs no
+    sample for hot keys (C5)."""
+    return derived.events_history(spark, d, rows_per_task=None).where(F.col("user_id") == _KEY)
+
+
+def q_current_key_range(spark, d):
+    """Gold rows of a range of keys, in order (F2 on the key, O1)."""
+    history = derived.events_history(spark, d, rows_per_task=None)
+    return (history.where(F.col("user_id").between(*_KEYS) & F.col("__END_AT").isNull())
+            .orderBy("user_id"))
+
+
+def q_clean_view(spark, d):
+    """The clean step as a named view over the silver history (T5, K9)."""
+    derived.events_history(spark, d).createOrReplaceTempView("events_silver_scd2")
+    name, predicate = cdc_flow.RECENT_RECORD
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW events_clean AS "
+              f"SELECT * FROM events_silver_scd2 WHERE {predicate}")
+    return spark.table("events_clean")
+
+
 def q_partition_lookup(spark, d):
     """Equality on the partition column of a ``partitionBy`` table: only the
     matching partition folder is read (F1, K2, partition pruning)."""
@@ -217,6 +244,23 @@ def q_admin_view(spark, d):
     return spark.table(out.clear_view)
 
 
+def q_persistent_admin_view(spark, d):
+    """The catalog route: a schema, external tables over the encrypted files and
+    the keys, a stored function and a stored decrypting view (K6-K8, K10, G7, U4)."""
+    cust = table(spark, d, "customer")
+    schema = f"lk_{uuid.uuid4().hex}"
+    catalog.create_schema(spark, schema)
+    keys_path, data_path = scratch_path(spark, "keys"), scratch_path(spark, "customer-enc")
+    keys = privacy.store_keys(cust, "c_custkey", keys_path)
+    privacy.encrypt_columns(cust, keys, "c_custkey", ["c_name"]).write.parquet(data_path)
+    catalog.Dataset(f"{schema}.customer", data_path, "customers, names encrypted").register(spark)
+    privacy.register_keys_view(spark, f"{schema}.keys", keys_path, "c_custkey", persistent=True)
+    _, clear = privacy.create_masked_and_clear_views(
+        spark, f"{schema}.customer", f"{schema}.keys", "c_custkey", ["c_name"], schema=schema,
+        persistent=True)
+    return spark.table(clear)
+
+
 def q_sql_decrypt(spark, d):
     """Decryption from SQL with the ``decrypt_val`` function over the
     protected table and its keys (G6), as a SQL user writes it."""
@@ -295,6 +339,27 @@ def q_stream_expect(spark, d):
     return spark.read.parquet(target)
 
 
+def _customer_csv(spark, d) -> tuple[str, list[str]]:
+    cols = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
+    path = scratch_path(spark, "customer-text")
+    files.write_csv_files(table(spark, d, "customer").select(*cols), path, files=4, by="c_custkey")
+    return path, cols
+
+
+def q_csv_strings(spark, d):
+    """CSV without a schema: every column is text."""
+    path, _ = _customer_csv(spark, d)
+    return files.read_csv(spark, path, header=True)
+
+
+def q_stream_inferred(spark, d):
+    """A stream whose schema is captured from the files that have landed."""
+    path, _ = _customer_csv(spark, d)
+    target = scratch_path(spark, "bronze-inferred")
+    ingest.ingest_csv(spark, path, target, scratch_path(spark, "bronze-inferred-ckpt"), max_files=2)
+    return spark.read.parquet(target)
+
+
 def q_stream_count(spark, d):
     return q_stream_ingest(spark, d).agg(F.count(F.lit(1)).alias("n"))
 
@@ -329,7 +394,68 @@ def q_replace_where_partitions(spark, d):
     return spark.read.parquet(path).select(*cust.columns)
 
 
+def _orders_csv(spark, d) -> DataFrame:
+    """Orders as text from CSV, with the year as a column of digits."""
+    path = scratch_path(spark, "orders-text")
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority",
+                                         F.date_format("o_orderdate", "yyyy").alias("year"))
+    files.write_csv_files(o, path, files=4, by="o_orderkey")
+    return files.read_csv(spark, path, header=True)
+
+
+def _late(orders: DataFrame, year: str) -> DataFrame:
+    return orders.where(F.col("year") == year).withColumn("o_orderpriority", F.lit("LATE"))
+
+
+def q_replace_where_csv_partitions(spark, d):
+    """Partitions of digits held as text: one replaced, one emptied (K3)."""
+    orders = _orders_csv(spark, d)
+    path = scratch_path(spark, "orders-years")
+    orders.write.partitionBy("year").parquet(path)
+    overwrite.replace_where_partitions(path, _late(orders, "1996"), "year IN ('1996', '1997')", "year")
+    return spark.read.parquet(path).select(
+        "o_orderkey", "o_custkey", "o_orderpriority", F.col("year").cast("string").alias("year"))
+
+
+def q_partitioned_table_flow(spark, d):
+    """Distinct count, repartition by it, partitioned write, declared table, replace
+    (R1, K2, K6, K11, R3)."""
+    orders = _orders_csv(spark, d)
+    spread = partitioning.repartition_by_distinct(orders, "year", by_column=True)
+    path = scratch_path(spark, "orders-flow")
+    dataset = catalog.Dataset(f"orders_{uuid.uuid4().hex}", path, "orders by year",
+                              {"quality": "bronze"}, partition_by=("year",))
+    dataset.write(spread)
+    overwrite.replace_where_partitions(path, _late(orders, "1998"), "year = '1998'", "year")
+    dataset.register(spark)
+    spark.catalog.refreshTable(dataset.name)
+    return dataset.read(spark).select(
+        "o_orderkey", "o_custkey", "o_orderpriority", F.col("year").cast("string").alias("year"))
+
+
+def q_bronze_quality_report(spark, d):
+    """Expectations on a stream of six micro-batches, in the event log (Q2, Q5)."""
+    ev = table(spark, d, "events")
+    landing = scratch_path(spark, "landing-quality")
+    files.write_csv_files(ev, landing, files=6, by="event_id")
+    p = cdc_flow.CdcFlow(scratch_path(spark, "cdc-quality"), ev.schema, prefix="q", max_files=1,
+                         bronze_rules={"small_value": "value <= 40"}, **derived.EVENTS_FEED)
+    p._bronze(spark, landing)
+    return p.report(spark).select("output_records", "dropped_records", "status_update",
+                                  "expectations.dataset", "expectations.name",
+                                  "expectations.passed_records", "expectations.failed_records")
+
+
 QUERIES: dict[str, Query] = {
+    "history_point_lookup": q_history_point_lookup,
+    "current_key_range": q_current_key_range,
+    "clean_view": q_clean_view,
+    "persistent_admin_view": q_persistent_admin_view,
+    "csv_strings": q_csv_strings,
+    "stream_inferred": q_stream_inferred,
+    "replace_where_csv_partitions": q_replace_where_csv_partitions,
+    "partitioned_table_flow": q_partitioned_table_flow,
+    "bronze_quality_report": q_bronze_quality_report,
     "scd2_history": q_scd2_history,
     "scd1_current": q_scd1_current,
     "scd2_composite": q_scd2_composite,
@@ -465,7 +591,36 @@ _JOIN_OC = """
 SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, c.c_name, c.c_mktsegment
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey"""
 
+_CUSTOMER_TEXT = """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+       c_mktsegment FROM customer"""
+
+_ORDERS_TEXT = """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+       {priority} AS o_orderpriority, strftime(o_orderdate, '%Y') AS year
+FROM orders WHERE {where}"""
+
 ORACLES: dict[str, str] = {
+    "history_point_lookup": f"SELECT * FROM ({_SCD2_EVENTS}) WHERE user_id = {_KEY}",
+    "current_key_range": (f"SELECT * FROM ({_SCD2_EVENTS}) WHERE __END_AT IS NULL "
+                          f"AND user_id BETWEEN {_KEYS[0]} AND {_KEYS[1]}"),
+    "clean_view": f"SELECT * FROM ({_SCD2_EVENTS}) WHERE __END_AT IS NULL",
+    "persistent_admin_view": "SELECT * FROM customer",
+    "csv_strings": _CUSTOMER_TEXT,
+    "stream_inferred": _CUSTOMER_TEXT,
+    "replace_where_csv_partitions": _ORDERS_TEXT.format(
+        priority="CASE WHEN year(o_orderdate) = 1996 THEN 'LATE' ELSE o_orderpriority END",
+        where="year(o_orderdate) <> 1997"),
+    "partitioned_table_flow": _ORDERS_TEXT.format(
+        priority="CASE WHEN year(o_orderdate) = 1998 THEN 'LATE' ELSE o_orderpriority END",
+        where="true"),
+    "bronze_quality_report": """
+SELECT CAST(count_if(value <= 40) AS VARCHAR) AS output_records,
+       CAST(count(*) - count_if(value <= 40) AS VARCHAR) AS dropped_records,
+       'COMPLETED' AS status_update, 'q_bronze' AS dataset, 'small_value' AS name,
+       CAST(count_if(value <= 40) AS BIGINT) AS passed_records,
+       CAST(count(*) - count_if(value <= 40) AS BIGINT) AS failed_records
+FROM events""",
     "scd2_history": _SCD2_EVENTS,
     "scd1_current": _SCD1_EVENTS,
     "scd2_composite": _SCD2_ORDERS,
@@ -502,7 +657,11 @@ ORACLES: dict[str, str] = {
     "join_sortmerge": _JOIN_OC,
     "distinct_count": ("SELECT count(*) AS n_distinct FROM "
                        "(SELECT DISTINCT c_mktsegment FROM customer)"),
-    "people": ("SELECT c_custkey AS id, '' AS Name, "
+    "people": ("SELECT c_custkey AS id, (SELECT upper(n[1]) || n[2:] FROM (SELECT "
+               "list_extract(s, CAST(c_custkey % 10 AS INT) + 1) || "
+               "list_extract(s, CAST(c_custkey // 10 % 10 AS INT) + 1) || "
+               "list_extract(s, CAST(c_custkey // 100 % 10 AS INT) + 1) AS n FROM (SELECT "
+               "['an', 'bel', 'cor', 'da', 'el', 'fin', 'gus', 'ha', 'ir', 'jo'] AS s))) AS Name, "
                "CAST(10 + ((c_custkey * 7919) % 51) AS INTEGER) AS Age, "
                "list_extract(['USA', 'UK', 'Australia', 'Canada', 'India', 'dummy'], "
                "CAST(((c_custkey * 31 + 7) % 6) + 1 AS INTEGER)) AS Country FROM customer"),

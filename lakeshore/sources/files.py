@@ -61,20 +61,26 @@ def stream_csv(spark: SparkSession, path: str, schema: StructType | str | None =
 PEOPLE_MIN_AGE = 10
 PEOPLE_MAX_AGE = 60
 PEOPLE_COUNTRIES = ("USA", "UK", "Australia", "Canada", "India", "dummy")
+#: Names are three of these.
+PEOPLE_SYLLABLES = ("an", "bel", "cor", "da", "el", "fin", "gus", "ha", "ir", "jo")
 
 
 def people_from_ids(ids: DataFrame, id_column: str = "id") -> DataFrame:
     """People rows (Name, Age, Country) derived deterministically from ids
     (S10, X7): arithmetic on the id instead of a driver-side random generator,
     so the rows are reproducible, computed where the ids live, and checkable.
-    ``Name`` is empty, as in the producer this mirrors."""
+    ``Name`` is made of syllables by the digits of the id."""
     i = F.col(id_column).cast("long")
     span = PEOPLE_MAX_AGE - PEOPLE_MIN_AGE + 1
     age = (F.lit(PEOPLE_MIN_AGE) + F.pmod(i * F.lit(7919), F.lit(span))).cast("int")
     countries = F.array(*[F.lit(c) for c in PEOPLE_COUNTRIES])
     country = F.element_at(countries, (F.pmod(i * F.lit(31) + F.lit(7),
                                               F.lit(len(PEOPLE_COUNTRIES))) + 1).cast("int"))
-    return ids.select(F.col(id_column).alias("id"), F.lit("").alias("Name"),
+    syllables = F.array(*[F.lit(s) for s in PEOPLE_SYLLABLES])
+    n = len(PEOPLE_SYLLABLES)
+    pick = lambda k: F.element_at(syllables, (F.pmod(F.floor(i / n ** k), F.lit(n)) + 1).cast("int"))
+    name = F.initcap(F.concat(pick(0), pick(1), pick(2)))
+    return ids.select(F.col(id_column).alias("id"), name.alias("Name"),
                       age.alias("Age"), country.alias("Country"))
 
 

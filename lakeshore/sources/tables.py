@@ -18,14 +18,3 @@ def register_views(spark: SparkSession, data_dir: str, names=TABLES) -> None:
     """Expose the tables as temp views for SQL (K9)."""
     for name in names:
         table(spark, data_dir, name).createOrReplaceTempView(name)
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster's cores when its scan yields fewer
-    partitions than there are cores, before CPU-heavy per-row work (JSON,
-    hashing, encryption). A large input already has many more file splits
-    than cores, so there this is a no-op and adds no shuffle."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want)
