@@ -108,10 +108,10 @@ def learn(docs: DataFrame, size: int = SIZE, fit_docs: int = FIT_DOCS, id_col: s
     named = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
                         F.col(f"`{lang_col}`").alias("lang")).where("lang is not null and text is not null")
     least = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # ids only: the texts follow by a join with at most fit_docs rows a language
+    # ids only, at most fit_docs rows a language: bounded, so broadcast to the texts
     chosen = (named.select("doc_id", "lang").withColumn("n", F.row_number().over(least))
               .where(F.col("n") <= fit_docs).select("doc_id", "lang").distinct())
-    texts = named.join(chosen, ["doc_id", "lang"]).select("lang", "text")
+    texts = named.join(F.broadcast(chosen), ["doc_id", "lang"]).select("lang", "text")
 
     def run(batch: pa.RecordBatch):
         langs = batch.column(0).dictionary_encode()
