@@ -33,7 +33,7 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("LAKESHORE_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("LAKESHORE_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
