@@ -231,8 +231,8 @@ OP8_SQL = """
 WITH RECURSIVE v AS (
   SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, e -> e IS NULL OR NOT isfinite(e))) = 0
-    AND len(list_filter(embedding, e -> e <> 0)) > 0),
+    AND len([e FOR e IN embedding IF e IS NULL OR NOT isfinite(e)]) = 0
+    AND len([e FOR e IN embedding IF e <> 0]) > 0),
 links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
   WHERE list_dot_product(a.x, b.x)
