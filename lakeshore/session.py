@@ -3,6 +3,7 @@ shared checkpoint folder every write-heavy operator works under."""
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -59,6 +60,25 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_scratch: list = []
+
+
+def _remove_scratch() -> None:
+    """At the driver's end: delete what :func:`scratch_path` named, if it is there."""
+    while _scratch:
+        fs, path = _scratch.pop()
+        try:
+            fs.delete(path, True)
+        except Exception:  # the JVM has gone: nothing can be done from here
+            _scratch.clear()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique path under the shared checkpoint folder, deleted when the
+    driver's Python ends (results that read it are lazy, so not before)."""
+    if not _scratch:
+        atexit.register(_remove_scratch)
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    _scratch.append((where.getFileSystem(spark._jsc.hadoopConfiguration()), where))
+    return path
