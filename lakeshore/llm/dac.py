@@ -42,7 +42,7 @@ MAGIC, VERSION = b"DACT", 1
 HEADER = struct.Struct("<4sIQQII")
 RANK_BITS = 512
 #: Tokens of a file, about; a longer document is a file of its own.
-FILE_TOKENS = 1 << 22
+FILE_TOKENS = 1 << 21
 
 
 def pack_level(ids: np.ndarray) -> tuple[list[tuple[np.ndarray, np.ndarray, np.ndarray]], int]:
