@@ -107,9 +107,15 @@ def learn(docs: DataFrame, size: int = SIZE, fit_docs: int = FIT_DOCS, id_col: s
     with a label; at most ``fit_docs`` of each language are read."""
     named = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
                         F.col(f"`{lang_col}`").alias("lang")).where("lang is not null and text is not null")
-    least = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    least = Window.partitionBy("lang").orderBy("h", "doc_id")
+    # a hash threshold leaves some four times fit_docs ids of each language, however
+    # many there are; the least of them are taken
+    ids = named.select("doc_id", "lang", F.xxhash64("doc_id").bitwiseAND(F.lit((1 << 40) - 1)).alias("h"))
+    sizes = ids.groupBy("lang").agg(F.count("*").alias("size"))  # a row per language
+    few = ids.join(F.broadcast(sizes), "lang").where(
+        F.col("h") / float(1 << 40) * F.col("size") < 4.0 * fit_docs + 100)
     # ids only, at most fit_docs rows a language: bounded, so broadcast to the texts
-    chosen = (named.select("doc_id", "lang").withColumn("n", F.row_number().over(least))
+    chosen = (few.withColumn("n", F.row_number().over(least))
               .where(F.col("n") <= fit_docs).select("doc_id", "lang").distinct())
     texts = named.join(F.broadcast(chosen), ["doc_id", "lang"]).select("lang", "text")
 
