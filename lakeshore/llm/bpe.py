@@ -32,7 +32,7 @@ VOCABULARY = "byte_bpe_50k.json"
 #: A cut every so many bytes, on average; the hash sees the last 8 bytes.
 CHUNK_BYTES = 1024
 #: Bounds of the worker's caches: pieces, and bytes of chunks.
-CACHE_PIECES, CACHE_BYTES = 600_000, 8 << 20
+CACHE_PIECES, CACHE_BYTES = 400_000, 6 << 20
 LONG_PIECE = 128
 #: Bytes of new pieces that go to the library as one text.
 RUN_BYTES = 4096

@@ -31,6 +31,8 @@ UNKNOWN = "und"
 SIZE = 400
 #: Labelled documents that a profile is learned from, at most, per language.
 FIT_DOCS = 1500
+#: Bytes of text at once: three n-grams a letter, eight bytes each, several times.
+PASS_BYTES = 1 << 19
 _BITS = 21
 _SPACE = 0x20
 
@@ -123,7 +125,7 @@ def learn(docs: DataFrame, size: int = SIZE, fit_docs: int = FIT_DOCS, id_col: s
         langs = batch.column(0).dictionary_encode()
         index = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         buf, offsets = _lowered(batch.column(1))
-        for i, j, b, o in tk.passes(buf, offsets):
+        for i, j, b, o in tk.passes(buf, offsets, PASS_BYTES):
             of, key, count = _counts(b, o)
             lang = index[i:j][of]
             order = np.lexsort((key, lang))
@@ -182,7 +184,7 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], size: int = SIZE,
 
     def run(batch: pa.RecordBatch):
         buf, offsets = _lowered(batch.column(0))
-        parts = [nearest(b, o) for _, _, b, o in tk.passes(buf, offsets)]
+        parts = [nearest(b, o) for _, _, b, o in tk.passes(buf, offsets, PASS_BYTES)]
         best = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int64)
         score = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0)
         yield pa.RecordBatch.from_arrays(

@@ -145,6 +145,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.Record
         for b in batches:
             for i in range(0, b.num_rows, rows):
                 yield from fn(b.slice(i, rows))
+            give_back_memory()
 
     return df.mapInArrow(run, schema)
 
