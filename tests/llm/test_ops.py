@@ -376,6 +376,33 @@ def test_quality_bands(spark):
     assert got == {1: False, 2: True, 3: False}
 
 
+def test_quality_noise_at_each_length(spark):
+    import random
+    import string
+    rng = random.Random(4)
+    alphabets = {"base64": string.ascii_letters + string.digits + "+/", "hex": "0123456789abcdef",
+                 "letters": string.ascii_lowercase, "greek": "".join(map(chr, range(0x3b1, 0x3ca)))}
+    least = {"base64": 600, "hex": 1400, "letters": 1400, "greek": 1400}
+    syllables = {"clean": "ba con der ing tion lo mi ra se the un ver wa ly",
+                 "multi-byte": "ба кон дер ние ция ло ми ра се то ун вер ва ли"}
+    def word(name):
+        return "".join(rng.choice(syllables[name].split()) for _ in range(rng.randrange(1, 4)))
+    def text(name, n):
+        if name in syllables:  # half of the words are common ones
+            common = [word(name) for _ in range(60)]
+            words = [rng.choice(common) if rng.random() < 0.5 else word(name) for _ in range(n // 2)]
+        else:
+            words = ["".join(rng.choice(alphabets[name]) for _ in range(10)) for _ in range(n // 10 + 1)]
+        return " ".join(words).encode()[:n].decode(errors="ignore")
+    cases = [(name, n) for name in (*alphabets, *syllables) for n in (600, 1100, 1400, 1800, 3000, 5000, 20000, 60000)
+             if n >= least.get(name, 0)]
+    rows = [(k, text(*case)) for k, case in enumerate(cases)]
+    got = {cases[r["doc_id"]]: (r["base_failed"], r["kept"]) for r in quality.quality_rules(
+        spark.createDataFrame(rows, "doc_id long, text string")).where("n_words >= 50").collect()}
+    assert {name for name, _ in got} == {*alphabets, *syllables}
+    assert [c for c, (_, kept) in got.items() if kept != (c[0] in syllables)] == [], got
+
+
 # all --------------------------------------------------------------------------
 
 def test_empty_tables(spark, odd):
