@@ -40,6 +40,7 @@ _DEL = "__is_delete"
 _CHUNK = "__chunk"
 _SPLITS = "__splits"
 _NEXT = "__next"
+_FROM, _TO, _BASE = "__from", "__to", "__base"
 
 # Rows of one key above which the SCD 2 window is split (per window task).
 DEFAULT_ROWS_PER_TASK = 20_000_000
@@ -158,7 +159,9 @@ def _finish(df: DataFrame, source_cols, except_columns, extra=()) -> DataFrame:
 
 def _hot_key_splits(valid: DataFrame, keys, seq, rows_per_task: int) -> DataFrame:
     """Sampled split points for keys with more than about ``rows_per_task`` rows:
-    (keys, ``__splits``), lazily, as part of the caller's plan.
+    (keys, ``__from``, ``__to``, ``__base``, ``__splits``), lazily, as part of the
+    caller's plan. A key's points stand in pages of ``_PAGE``: a page has those of its
+    rows' range [``__from``, ``__to``) and the number of points before it.
 
     One pass over the key and sequence columns only: a Bernoulli sample of
     about ``_SAMPLES_PER_CHUNK`` rows per ``rows_per_task`` rows; a key with at
@@ -170,17 +173,36 @@ def _hot_key_splits(valid: DataFrame, keys, seq, rows_per_task: int) -> DataFram
     sample = valid.select(*keys, seq_struct.alias("__s")).sample(fraction=fraction, seed=17)
     ranked = sample.withColumn("__rn", F.row_number().over(
         Window.partitionBy(*keys).orderBy("__s")))
-    return (ranked.where(F.col("__rn") % _SAMPLES_PER_CHUNK == 0).groupBy(*keys)
-            .agg(F.array_sort(F.array_distinct(F.collect_list("__s"))).alias(_SPLITS)))
+    every = (ranked.where(F.col("__rn") % _SAMPLES_PER_CHUNK == 0).groupBy(*keys)
+             .agg(F.array_sort(F.collect_set("__s")).alias("__all")))
+    paged = every.withColumn(_BASE, F.explode(F.sequence(F.lit(0), F.size("__all") - 1, F.lit(_PAGE))))
+    return paged.select(
+        *keys, F.when(F.col(_BASE) > 0, F.try_element_at("__all", F.col(_BASE) + 1)).alias(_FROM),
+        F.try_element_at("__all", F.col(_BASE) + 1 + _PAGE).alias(_TO), _BASE,
+        F.slice("__all", F.col(_BASE) + 1, F.lit(_PAGE)).alias(_SPLITS))
 
 
-#: Steps of the search for a row's chunk: 2^16 split points of one key.
+#: Steps of the search for a row's chunk in its page, and the split points that they
+#: reach. (Twice the steps make a method that the JVM leaves uncompiled.)
 _STEPS = 16
+_PAGE = (1 << _STEPS) - 1
+
+
+def _with_page(df: DataFrame, pages: DataFrame, keys, seq_value: Column) -> DataFrame:
+    """Each row with the page of split points that its sequence falls in, if its key
+    has any; nearly every key with split points has one page."""
+    names = [f"__key{i}" for i in range(len(keys))]
+    pages = pages.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], _FROM, _TO, _BASE, _SPLITS)
+    here = ((F.col(_FROM).isNull() | (F.col(_FROM) <= seq_value))
+            & (F.col(_TO).isNull() | (seq_value < F.col(_TO))))
+    for k, n in zip(keys, names):
+        here = (F.col(k) == F.col(n)) & here
+    return df.join(F.broadcast(pages), here, "left").drop(*names, _FROM)
 
 
 def _with_chunk(df: DataFrame, seq_value: Column, first: str) -> DataFrame:
     """Add ``__chunk`` = number of split points <= the row's sequence, and
-    ``__next`` = the head of the chunk after it, and drop ``__splits``, so that a
+    ``__next`` = the head of the chunk after it, and drop the page, so that a
     row carries two values through the shuffle and not the list. A binary search
     over the sorted array, one projection per step (as one nested expression, each
     step would hold the previous one twice); keys without splits skip it."""
@@ -190,8 +212,9 @@ def _with_chunk(df: DataFrame, seq_value: Column, first: str) -> DataFrame:
         ok = (cand <= F.col("__size")) & (F.try_element_at(F.col(_SPLITS), cand) <= seq_value)
         out = out.withColumn(_CHUNK, F.when(ok, cand).otherwise(F.col(_CHUNK)))
     out = out.withColumn(_CHUNK, F.coalesce(F.col(_CHUNK), F.lit(0)))
-    out = out.withColumn(_NEXT, F.try_element_at(F.col(_SPLITS), F.col(_CHUNK) + 1)[first])
-    return out.drop("__size", _SPLITS)
+    out = out.withColumn(_NEXT, F.coalesce(F.try_element_at(F.col(_SPLITS), F.col(_CHUNK) + 1), F.col(_TO))[first])
+    out = out.withColumn(_CHUNK, F.col(_CHUNK) + F.coalesce(F.col(_BASE), F.lit(0)))
+    return out.drop("__size", _SPLITS, _TO, _BASE)
 
 
 def _latest_first(df: DataFrame, payload) -> list[Column]:
@@ -224,8 +247,8 @@ def scd2(source: DataFrame, keys, sequence_by, apply_as_deletes=None,
         # At most total rows / rows_per_task points: bounded, so broadcast; other
         # keys find no row and stay in chunk 0.
         splits = _hot_key_splits(valid, keys, seq, rows_per_task)
-        staged = _with_chunk(staged.join(F.broadcast(splits), keys, "left"),
-                             F.struct(*[F.col(c) for c in seq]), first)
+        at = F.struct(*[F.col(c) for c in seq])
+        staged = _with_chunk(_with_page(staged, splits, keys, at), at, first)
         part.append(_CHUNK)
     end = F.lead(first).over(Window.partitionBy(*part).orderBy(*seq))
     if rows_per_task:

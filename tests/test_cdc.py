@@ -68,6 +68,28 @@ def test_scd2_hot_key_split_equals_plain(spark):
     assert len(_scd2_set(plain)) == 38 + 400 - len(range(0, 400, 7))
 
 
+def test_scd2_more_than_65536_split_points(spark, monkeypatch):
+    monkeypatch.setattr(cdc, "_SAMPLES_PER_CHUNK", 1)  # with rows_per_task=1, every row is a split point
+    n = 70_000
+    feed = spark.range(n, numPartitions=4).selectExpr("1L AS k", "id * 10 AS seq")
+    pages = cdc._hot_key_splits(feed, ["k"], ["seq"], 1)
+    rows = [-1, 0, 655_339, 655_340, 655_349, 655_350, 655_360, 655_375, 10 * n - 1]
+    df = spark.createDataFrame([(1, r) for r in rows] + [(2, 5)], "k long, seq long")
+    at = F.struct("seq")
+    got = cdc._with_chunk(cdc._with_page(df, pages, ["k"], at), at, "seq").select("k", "seq", cdc._CHUNK, cdc._NEXT)
+    want = [(1, r, r // 10 + 1, (r // 10 + 1) * 10 if r // 10 + 1 < n else None) for r in rows]
+    assert sorted(map(tuple, got.collect())) == [*want, (2, 5, 0, None)]
+
+
+@pytest.mark.parametrize("n", [7, 8, 40])
+def test_scd2_more_split_points_than_a_search_reaches(spark, monkeypatch, n):
+    monkeypatch.setattr(cdc, "_SAMPLES_PER_CHUNK", 1)
+    monkeypatch.setattr(cdc, "_STEPS", 3)
+    monkeypatch.setattr(cdc, "_PAGE", 7, raising=False)
+    df = spark.range(n).selectExpr("1L AS customer_id", "'a' AS city", "'UPDATE' AS operation", "id AS seq")
+    assert _scd2_set(cdc.scd2(df, rows_per_task=1, **FEED)) == {(1, "a", i, i + 1 if i + 1 < n else None) for i in range(n)}
+
+
 def test_quarantine(changes):
     valid, bad = cdc.split_changes(changes, ["customer_id"], ["seq"], "operation = 'DELETE'")
     assert bad.count() == 2
