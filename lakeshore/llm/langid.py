@@ -31,6 +31,10 @@ UNKNOWN = "und"
 SIZE = 400
 #: Labelled documents that a profile is learned from, at most, per language.
 FIT_DOCS = 1500
+#: A language's limit is this much of the score at this quantile of its own documents.
+#: On sf0.1 all documents are above the limits (0.37 to 0.42); two other languages and
+#: random letters score 0.15 to 0.34.
+LOW_SHARE, MARGIN = 0.01, 0.7
 #: Bytes of text at once: three n-grams a letter, eight bytes each, several times.
 PASS_BYTES = 1 << 19
 _BITS = 21
@@ -103,10 +107,8 @@ def _lowered(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return tk.texts_of(pc.utf8_lower(column.cast(pa.large_string())))
 
 
-def learn(docs: DataFrame, size: int = SIZE, fit_docs: int = FIT_DOCS, id_col: str = "doc_id",
-          text_col: str = "text", lang_col: str = "lang") -> dict[str, list[int]]:
-    """{language: its n-gram keys, most frequent first} from the rows of ``docs``
-    with a label; at most ``fit_docs`` of each language are read."""
+def _training(docs: DataFrame, fit_docs: int, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """(lang, text) of the labelled documents that are learned from."""
     named = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
                         F.col(f"`{lang_col}`").alias("lang")).where("lang is not null and text is not null")
     least = Window.partitionBy("lang").orderBy("h", "doc_id")
@@ -119,7 +121,14 @@ def learn(docs: DataFrame, size: int = SIZE, fit_docs: int = FIT_DOCS, id_col: s
     # ids only, at most fit_docs rows a language: bounded, so broadcast to the texts
     chosen = (few.withColumn("n", F.row_number().over(least))
               .where(F.col("n") <= fit_docs).select("doc_id", "lang").distinct())
-    texts = named.join(F.broadcast(chosen), ["doc_id", "lang"]).select("lang", "text")
+    return named.join(F.broadcast(chosen), ["doc_id", "lang"]).select("lang", "text")
+
+
+def learn(docs: DataFrame, size: int = SIZE, fit_docs: int = FIT_DOCS, id_col: str = "doc_id",
+          text_col: str = "text", lang_col: str = "lang") -> dict[str, list[int]]:
+    """{language: its n-gram keys, most frequent first} from the rows of ``docs``
+    with a label; at most ``fit_docs`` of each language are read."""
+    texts = _training(docs, fit_docs, id_col, text_col, lang_col)
 
     def run(batch: pa.RecordBatch):
         langs = batch.column(0).dictionary_encode()
@@ -198,6 +207,15 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], size: int = SIZE,
     return out.select(*[F.col(f"rest.`{c}`") for c in names_of], "lang_pred", "score")
 
 
+def limits(docs: DataFrame, profiles: dict[str, list[int]], size: int = SIZE, fit_docs: int = FIT_DOCS,
+           id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, float]:
+    """{language: the score below which a text is not taken to be in it}: ``MARGIN``
+    of the score that all but ``LOW_SHARE`` of the documents it was learned from reach."""
+    scored = predict(_training(docs, fit_docs, id_col, text_col, lang_col), profiles, size)
+    low = scored.where("lang = lang_pred").groupBy("lang").agg(F.percentile_approx("score", LOW_SHARE).alias("low"))
+    return {lang: MARGIN * score for lang, score in low.collect()}
+
+
 def held_out(id_col: str = "doc_id"):
     """The documents that nothing is learned from: crc32 of the id as text, mod 4, is 2."""
     return F.coalesce(F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary")) % 4 == 2, F.lit(False))

@@ -41,6 +41,24 @@ def test_language_keeps_clean_documents(stages):
         assert (row in kept) == any(c.isalpha() for c in row[1] or "")
 
 
+def test_language_rejects_what_was_not_learned(spark):
+    import random
+    import string
+    rng = random.Random(2)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    finnish = ("kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki "
+               "ja omatunto ja heidän on toimittava toisiaan kohtaan veljeyden hengessä").split()
+    gibberish = lambda: "".join(rng.choice(string.ascii_lowercase) for _ in range(rng.randrange(2, 10)))
+    bad = [" ".join(w() for _ in range(n)) for n in (10, 30, 100, 500)
+           for w in (lambda: rng.choice(finnish), gibberish)]
+    clean = [(lang, " ".join(text.split()[:n])) for lang, text in docs.where("lang is not null and n_chars > 800")
+             .orderBy("doc_id").limit(20).select("lang", "text").collect() for n in (5, 10, 40)]
+    rows = [(10**6 + i, t, None, "x", len(t)) for i, t in enumerate([*bad, *[t for _, t in clean]])]
+    found = cp.language_id(spark, docs.unionByName(spark.createDataFrame(rows, docs.schema)), SF)
+    kept = {r[0] - 10**6 for r in found.where(f"doc_id >= {10**6}").select("doc_id").collect()}
+    assert kept == set(range(len(bad), len(rows)))
+
+
 def test_near_dedup_keeps_one_of_each_group(stages):
     docs, found = stages["simhash_dedup"]
     groups = brute.simhash_components(plain(docs))
