@@ -354,6 +354,24 @@ def test_mixing(spark, odd, which):
     assert {r["taken"] for r in mixing.mix(docs.where("text is null")).collect()} <= {0}
 
 
+def test_license_with_a_word_put_in(spark):
+    rows, want = [], []
+    for label, text in licenses.TEMPLATES.items():
+        words = text.split()
+        at = 2 if label.startswith("cc-") else len(words) // 2
+        rows.append(" ".join(["some", "text", *words[:at], "the", *words[at:], "goes", "on"]))
+        want.append(label)
+    # a word put into the name makes another license
+    rows += ["licensed under cc by nd 4 0", "licensed under the cc by nc 4 0", "licensed under cc by nc sa 4 0",
+             "licensed under", "under the cc by 4 0"]
+    want += ["", "cc-by-nc-4.0", "", "", ""]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r["doc_id"]: set(filter(None, r["labels"].split(","))) - {*licenses.BASE.values()}
+           for r in licenses.license_scan(docs).collect()}
+    got[want.index("gpl-header")].discard("lgpl")  # both name the software foundation
+    assert [got[k] for k in range(len(rows))] == [{x} - {""} for x in want]
+
+
 # 10 ---------------------------------------------------------------------------
 
 @pytest.mark.parametrize("which", ["odd", "table"])
