@@ -209,8 +209,8 @@ def _shared_anchors(rows: DataFrame, n_blocks: int) -> DataFrame:
         sizes = np.array([len(x) // 8 for x in rest["doc_ids"].to_pylist()], dtype=np.int64)
         ask = np.repeat(kind[kind != KNOWN] == ASK, sizes)
         low, high = _least((a,), i)
-        hit = ask & (low != high)
-        # an asker alone here may still meet a teller with its own id: ids tell them apart
+        # a teller's batch has the anchor under two ids, one of which is not the asker's
+        hit = ask & ((low != high) | np.isin(a, a[~ask]))
         n = int(hit.sum())
         out = np.empty(n + len(_column(known, "anchors", "u4")), dtype=_SHARED)
         for field, name, mine, kind_ in (("doc", "doc_ids", i, "i8"), ("th", "ths", t, "i8"), ("code", "anchors", a, "u4")):

@@ -116,6 +116,22 @@ def test_substrings_keep_the_layout():
     assert substrings._cut(b"x y z", np.array([[0, 1]], dtype="u4").tobytes(), 3)[0] == b""
 
 
+def test_substrings_of_a_repeated_id_in_another_batch(spark):
+    import random
+    rng = random.Random(6)
+    some = lambda n: ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
+    def anchor(words):
+        raw = np.frombuffer(" ".join(words).encode(), dtype=np.uint8)
+        return substrings._Windows(raw, np.array([0, len(raw)]), 13).anchor[0]
+    passage = some(13)
+    near = next(x for i in range(2000) for x in [some(4) + passage[i % 9:i % 9 + 5] + some(4)] if anchor(x) == anchor(passage))
+    rows = [(i, " ".join(w)) for i, w in ((5, passage), (5, near), (6, passage))]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2), "doc_id long, text string")
+    assert docs.rdd.glom().map(len).collect() == [1, 2]
+    got = sorted((r["doc_id"], r["n_removed"]) for r in substrings.dedup_substrings(docs).collect())
+    assert got == [(5, 0), (5, 0), (6, 13)]
+
+
 # 3 ----------------------------------------------------------------------------
 
 def test_language_held_out_accuracy(spark):
