@@ -1,8 +1,9 @@
-"""Substring dedup by relative Lempel-Ziv parsing (operator 2).
+"""Substring dedup by exact window lookup in reference blocks (operator 2).
 
 A word is removed if a window of ``k`` consecutive words that covers it also
-starts in a document with a smaller id. Documents are factored against reference
-blocks that hold phrases of all documents:
+starts in a document with a smaller id. The windows are looked up in reference
+blocks that hold phrases of all documents; this stands in for a relative Lempel-Ziv
+parse, since no source's text or position is needed to tell which words go:
 
 1. Each window has an *anchor*, the smallest hash of its 5-word grams; equal
    windows have equal anchors, and runs of neighbouring windows share one. Anchors
@@ -10,8 +11,8 @@ blocks that hold phrases of all documents:
 2. Only those phrases (runs of windows with one anchor) go to the block of their
    anchor, which is indexed by (anchor code, window hash), 96 bits, with the
    smallest document that has it.
-3. In each block a document's phrases are parsed greedily into the longest factors
-   whose windows all stand in an earlier document.
+3. In each block a document's consecutive windows that stand in an earlier document
+   (not always the same one) are joined into factors.
 4. A document's factors from all blocks are joined at their boundaries: each
    window was looked up in the one block that can hold it, also those across two
    factors, so touching factors together cover exactly the words to remove.
