@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from lakeshore.llm import (bpe, chat, dac, langid, licenses, mixing, quality, simhash, substrings,
-                           vectors)
+from lakeshore.llm import (bpe, chat, dac, langid, licenses, mixing, negatives, quality, simhash,
+                           substrings, vectors)
 
 QUERIES = {
     "op1_simhash_dedup": simhash.op1_simhash_dedup,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_embedding_dedup": vectors.op8_embedding_dedup,
     "op9_source_mix": mixing.op9_source_mix,
     "op10_quality_rules": quality.op10_quality_rules,
+    "op13_hard_negatives": negatives.op13_hard_negatives,
 }
 
 #: Where SQL can express the result; the others are held against brute force in tests/llm.
@@ -23,4 +24,5 @@ ORACLES: dict[str, str] = {
     "op2_substring_dedup": substrings.OP2_SQL,
     "op6_chat_format": chat.OP6_SQL,
     "op8_embedding_dedup": vectors.OP8_SQL,
+    "op13_hard_negatives": negatives.OP13_SQL,
 }
