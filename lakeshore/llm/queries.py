@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lakeshore.llm import (bpe, chat, dac, langid, licenses, mixing, negatives, quality, simhash,
+from lakeshore.llm import (bpe, chat, dac, langid, licenses, mixing, negatives, quality, search, simhash,
                            substrings, vectors)
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_embedding_dedup": vectors.op8_embedding_dedup,
     "op9_source_mix": mixing.op9_source_mix,
     "op10_quality_rules": quality.op10_quality_rules,
+    "op11_nearest_neighbours": search.op11_nearest_neighbours,
     "op13_hard_negatives": negatives.op13_hard_negatives,
 }
 
