@@ -118,11 +118,20 @@ def _cosine(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.einsum("ij,ij->i", x, y) / (lengths(x) * lengths(y))
 
 
+def by_hash(rows: DataFrame, n: int, most: int) -> list:
+    """(rid, x) of about ``most`` of the ``n`` rows, those of least hash, in its
+    order; what reaches the driver is no more than a few rows beyond that."""
+    at = F.pmod(F.xxhash64("rid"), F.lit(1 << 30))
+    below = (1 << 30) if n <= most else int((1 << 30) * (most + 3 * most ** 0.5) / n) + 1
+    found = rows.where(at < below).select(at.alias("at"), "rid", "x").collect()
+    return [(rid, x) for _, rid, x in sorted(found, key=lambda r: (r[0], r[1]))[:most]]
+
+
 def trained(rows: DataFrame, n: int, widest: int) -> Index:
     """An index fitted on a sample of ``rows`` (x, rid): the rows of least hash."""
     most = max(1, min(FIT_ROWS, FIT_BYTES // (8 * max(widest, 1))))
     by: dict[int, list] = {}
-    for (x,) in rows.orderBy(F.xxhash64("rid"), "rid").select("x").limit(most).collect():
+    for _, x in by_hash(rows, n, most):
         by.setdefault(len(x), []).append(x)
     total = sum(map(len, by.values()))
     centres = {}
@@ -220,11 +229,10 @@ def scan(queries: np.ndarray, t: _Tile, limit: np.ndarray, k: int) -> tuple[np.n
     return i, j
 
 
-def trial(table: DataFrame, queries: DataFrame, index: Index, k: int) -> float:
+def trial(table: DataFrame, queries: DataFrame, n: int, index: Index, k: int) -> float:
     """The least share of lists that holds ``TARGET`` of the true neighbours of
-    ``TRIAL_QUERIES`` queries, found by comparing them with every row."""
-    asked = [(r["rid"], np.array(r["x"], np.float64)) for r in
-             queries.orderBy(F.xxhash64("rid"), "rid").select("rid", "x").limit(TRIAL_QUERIES).collect()]
+    ``TRIAL_QUERIES`` of the ``n`` queries, found by comparing them with every row."""
+    asked = [(rid, np.array(x, np.float64)) for rid, x in by_hash(queries, n, TRIAL_QUERIES)]
     by: dict[int, list[int]] = {}
     for at, (_, x) in enumerate(asked):
         by.setdefault(len(x), []).append(at)
@@ -262,12 +270,13 @@ def nearest(rows: DataFrame, queries, k: int = 5, id_col: str = "vec_id", vector
     kept = written(src.select("x", F.monotonically_increasing_id().alias("rid"), "vec_id",
                               F.coalesce(queries, F.lit(False)).alias("query")), "rows")
     size = F.size("x").cast("long")
-    n, widest, row_bytes, query_bytes = (int(v or 0) for v in kept.agg(
-        F.count("*"), F.max(size), F.sum(8 * size), F.sum(F.when(F.col("query"), 8 * size))).first())
+    n, widest, row_bytes, query_bytes, query_count = (int(v or 0) for v in kept.agg(
+        F.count("*"), F.max(size), F.sum(8 * size), F.sum(F.when(F.col("query"), 8 * size)),
+        F.count_if("query")).first())
     index = trained(kept, n, widest)
     table = listed(kept, index, n)
     asked = kept.where("query").select("x", "rid", "vec_id")
-    index.share = trial(table, asked, index, k)
+    index.share = trial(table, asked, query_count, index, k)
     counts = table.where(F.col("dim").isin(list(index.centres))).groupBy("dim", "list").agg(F.sum("n"))
     for d, at, held in counts.collect():  # a row a list: at most MOST_LISTS of each fitted length
         index.sizes.setdefault(d, {})[at] = held
