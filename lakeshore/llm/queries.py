@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from lakeshore.llm import (bpe, chat, dac, langid, licenses, mixing, negatives, quality, search, simhash,
-                           substrings, vectors)
+from lakeshore.llm import (bpe, chat, collocations, dac, langid, licenses, mixing, negatives, quality,
+                           search, simhash, substrings, vectors)
 
 QUERIES = {
     "op1_simhash_dedup": simhash.op1_simhash_dedup,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_source_mix": mixing.op9_source_mix,
     "op10_quality_rules": quality.op10_quality_rules,
     "op11_nearest_neighbours": search.op11_nearest_neighbours,
+    "op12_collocations": collocations.op12_collocations,
     "op13_hard_negatives": negatives.op13_hard_negatives,
 }
 
@@ -25,5 +26,6 @@ ORACLES: dict[str, str] = {
     "op2_substring_dedup": substrings.OP2_SQL,
     "op6_chat_format": chat.OP6_SQL,
     "op8_embedding_dedup": vectors.OP8_SQL,
+    "op12_collocations": collocations.OP12_SQL,
     "op13_hard_negatives": negatives.OP13_SQL,
 }
