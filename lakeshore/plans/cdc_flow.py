@@ -6,8 +6,9 @@ Every step is a plain Spark job; a run takes what has landed and stops
 failure: the stream checkpoints skip work already committed, the silver merge
 is idempotent, and gold is written as a new version.
 
-* bronze: CSV files of change rows → parquet, incrementally, optionally
-  dropping rows that fail ``bronze_rules`` (counted per micro-batch);
+* bronze: CSV files of change rows → parquet, incrementally, read by their headers,
+  optionally dropping rows that fail ``bronze_rules`` (counted per micro-batch);
+  columns that files bring beside the schema are added to it and flow on;
 * silver: a stream over bronze applied as SCD 1 and as SCD 2 (state tables),
   materialized as table versions once per run;
 * clean: ``expect_or_drop(recent_record: __END_AT IS NULL)`` over the SCD 2
@@ -26,14 +27,13 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lakeshore.operators import eventlog, quality
 from lakeshore.sinks import versioned
 from lakeshore.sinks.catalog import Dataset
-from lakeshore.sources.files import stream_csv
+from lakeshore.streaming import ingest
 from lakeshore.streaming.cdc_stream import ChangeApply
-from lakeshore.streaming.ingest import start_append
 
 # The clean step's expectation (name, predicate).
 RECENT_RECORD = ("recent_record", "__END_AT IS NULL")
@@ -53,7 +53,7 @@ class CdcFlow:
         self.max_files = max_files
         self.bronze = Dataset(f"{prefix}_bronze", f"{self.root}/tables/bronze",
                               "incremental change data ingested from the landing folder",
-                              {"quality": "bronze"})
+                              {"quality": "bronze"}, partition_by=(ingest.BATCH,))
         feed = dict(keys=keys, sequence_by=sequence_by, apply_as_deletes=apply_as_deletes,
                     except_columns=except_columns, compact_every=compact_every)
         self.scd1 = ChangeApply(f"{self.root}/tables/silver_scd1", scd_type=1, **feed)
@@ -110,14 +110,22 @@ class CdcFlow:
         return path
 
     def _bronze(self, spark: SparkSession, landing: str) -> None:
-        stream = stream_csv(spark, landing, schema=self.schema, max_files=self.max_files)
-        metric = None
-        if self.bronze_rules:
-            stream, metric = quality.expect(stream, self.bronze_rules, dataset=self.bronze.name)
-        with quality.StreamCounts(spark, metric) as counts:
-            q = start_append(stream, self.bronze.path, self._ckpt("bronze"))
-            self._finished(q)
-            totals = counts.wait(q)
+        seen: dict[int, Observation] = {}  # a batch that runs again counts once
+
+        def counted(rows: DataFrame, batch_id: int) -> DataFrame:
+            if self.bronze_rules:
+                rows, seen[batch_id] = quality.expect(rows, self.bronze_rules, dataset=self.bronze.name)
+                return rows
+            seen[batch_id] = Observation(f"bronze_{uuid.uuid4().hex}")
+            return rows.observe(seen[batch_id], F.count(F.lit(1)).alias("rows"))
+
+        self._finished(ingest.HeaderIngest(
+            landing, self.bronze.path, self._ckpt("bronze"), self.schema, unknown="add",
+            max_files=self.max_files, transform=counted).start(spark))
+        totals: dict[str, int] = {}
+        for obs in seen.values():
+            for k, v in obs.get.items():
+                totals[k] = totals.get(k, 0) + int(v or 0)
         if self.bronze_rules:
             kept, read = totals.get("output_rows", 0), totals.get("input_rows", 0)
             self._event(spark, self.bronze.name, kept, read - kept, quality.stream_expectations(
@@ -129,7 +137,9 @@ class CdcFlow:
         """Apply what is new in bronze. The event's rows are those of the table
         that was written (of the feed, if none is), its dropped records the rows
         put into quarantine in this run."""
-        src = spark.readStream.schema(self.schema).parquet(self.bronze.path)
+        schema = ingest.ingested_schema(spark, self.bronze.path) or self.schema
+        src = (spark.readStream.schema(StructType([*schema.fields, StructField(ingest.BATCH, StringType())]))
+               .parquet(self.bronze.path).drop(ingest.BATCH))
         target.counts.clear()
         self._finished(target.start(src, self._ckpt(name)))
         read = sum(n for n, _ in target.counts.values())

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lakeshore.operators import cdc, eventlog, quality
 from lakeshore.plans import cdc_flow
+from lakeshore.sources import files
 from lakeshore.sources.tables import table
 
 # Fixed stand-in mapping of the change feeds.
@@ -70,6 +71,18 @@ def events_as_log(events: DataFrame) -> DataFrame:
         eventlog.details_json(status, k, k % 7, exp).alias("details"))
 
 
+def land_mixed_headers(spark: SparkSession, data_dir: str, path: str) -> None:
+    """Customers as CSV files of three kinds: as they are, with the columns in another
+    order and without the balance, and with one more column and nations that are no
+    numbers."""
+    cust = table(spark, data_dir, "customer")
+    kind = lambda n: cust.where(F.pmod("c_custkey", F.lit(3)) == n)
+    for part in (kind(0), kind(1).select("c_mktsegment", "c_name", "c_custkey", "c_nationkey"),
+                 kind(2).withColumn("c_nationkey", F.concat(F.lit("n"), "c_nationkey"))
+                 .withColumn("c_note", F.concat("c_name", F.lit("!")))):
+        files.write_csv_files(part, path, files=2, by="c_custkey")
+
+
 def clean_and_gold(history: DataFrame):
     """The clean view and gold table of the pipeline: expect_or_drop
     ``__END_AT IS NULL`` over the SCD 2 history (C4, Q1), with its counts."""

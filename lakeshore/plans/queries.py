@@ -18,7 +18,7 @@ from lakeshore.operators import eventlog, joins, partitioning, privacy, quality
 from lakeshore.plans import cdc_flow, derived, privacy_flow
 from lakeshore.session import scratch_path
 from lakeshore.sinks import catalog, overwrite, versioned
-from lakeshore.sources import files
+from lakeshore.sources import files, headers
 from lakeshore.sources.tables import table
 from lakeshore.streaming import cdc_stream, ingest
 
@@ -357,7 +357,55 @@ def q_stream_inferred(spark, d):
     path, _ = _customer_csv(spark, d)
     target = scratch_path(spark, "bronze-inferred")
     ingest.ingest_csv(spark, path, target, scratch_path(spark, "bronze-inferred-ckpt"), max_files=2)
-    return spark.read.parquet(target)
+    return ingest.ingested(spark, target)
+
+
+def _rescued(rows: DataFrame) -> DataFrame:
+    """The rescue column by its parts (the file's path differs from run to run), and
+    -1 for nations that are no numbers."""
+    part = lambda name: F.get_json_object(headers.RESCUED, f"$.{name}").alias(f"rescued_{name}")
+    rows = rows.withColumn("c_nationkey", F.coalesce("c_nationkey", F.lit(-1)))
+    return rows.select("*", part("c_nationkey"), part("c_note")).drop(headers.RESCUED)
+
+
+def q_csv_by_header(spark, d):
+    """Files with swapped, missing and extra columns in one folder, each read by its
+    own header; what does not fit the schema is rescued (S1, S2)."""
+    path = scratch_path(spark, "customer-mixed")
+    derived.land_mixed_headers(spark, d, path)
+    schema = table(spark, d, "customer").schema
+    return _rescued(headers.read_by_header(spark, path + "/*", schema, options=files.CSV_OPTIONS))
+
+
+def q_stream_rescue(spark, d):
+    """The same files as a stream of several micro-batches."""
+    path, target = scratch_path(spark, "landing-mixed"), scratch_path(spark, "bronze-mixed")
+    derived.land_mixed_headers(spark, d, path)
+    ingest.ingest_csv(spark, path, target, scratch_path(spark, "bronze-mixed-ckpt"),
+                      table(spark, d, "customer").schema, max_files=2, rescue=headers.RESCUED)
+    return _rescued(ingest.ingested(spark, target))
+
+
+def q_scd1_stream_new_column(spark, d):
+    """A change feed that gains a column with its second batch, then a batch without
+    it (T3)."""
+    ev = table(spark, d, "events")
+    target = cdc_stream.ChangeApply(scratch_path(spark, "scd1-grows"), scd_type=1, compact_every=2,
+                                    **derived.EVENTS_FEED)
+    part = lambda n: ev.where(F.pmod("event_id", F.lit(3)) == n)
+    for i, batch in enumerate((part(0).drop("props"), part(1), part(2).drop("props"))):
+        target.apply_batch(batch, i)
+    return target.table(spark)
+
+
+def q_replace_where_null_partition(spark, d):
+    """Predicate overwrite beside a partition of nulls, which stays (K3)."""
+    cust = table(spark, d, "customer").withColumn(
+        "c_mktsegment", F.expr("nullif(c_mktsegment, 'AUTOMOBILE')"))
+    path = scratch_path(spark, "customer-null-parts")
+    cust.write.partitionBy("c_mktsegment").parquet(path)
+    overwrite.replace_where_partitions(path, _incoming(cust), _REPLACE_PRED, "c_mktsegment")
+    return spark.read.parquet(path).select(*cust.columns)
 
 
 def q_stream_count(spark, d):
@@ -447,6 +495,10 @@ def q_bronze_quality_report(spark, d):
 
 
 QUERIES: dict[str, Query] = {
+    "csv_by_header": q_csv_by_header,
+    "stream_rescue": q_stream_rescue,
+    "scd1_stream_new_column": q_scd1_stream_new_column,
+    "replace_where_null_partition": q_replace_where_null_partition,
     "history_point_lookup": q_history_point_lookup,
     "current_key_range": q_current_key_range,
     "clean_view": q_clean_view,
@@ -595,12 +647,28 @@ _CUSTOMER_TEXT = """
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
        c_mktsegment FROM customer"""
 
+_BY_HEADER = """
+SELECT c_custkey, c_name, CASE WHEN c_custkey % 3 <> 2 THEN c_nationkey ELSE -1 END AS c_nationkey,
+       CASE WHEN c_custkey % 3 <> 1 THEN c_acctbal END AS c_acctbal, c_mktsegment,
+       CASE WHEN c_custkey % 3 = 2 THEN 'n' || c_nationkey END AS rescued_c_nationkey,
+       CASE WHEN c_custkey % 3 = 2 THEN c_name || '!' END AS rescued_c_note
+FROM customer"""
+
 _ORDERS_TEXT = """
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
        {priority} AS o_orderpriority, strftime(o_orderdate, '%Y') AS year
 FROM orders WHERE {where}"""
 
 ORACLES: dict[str, str] = {
+    "csv_by_header": _BY_HEADER,
+    "stream_rescue": _BY_HEADER,
+    "scd1_stream_new_column": f"""
+SELECT event_id, ts, user_id, value, CASE WHEN event_id % 3 = 1 THEN props END AS props
+FROM ({_SCD1_EVENTS})""",
+    "replace_where_null_partition": """
+SELECT c_custkey, c_name, c_nationkey,
+       c_acctbal + CASE WHEN c_mktsegment = 'BUILDING' THEN 100.0 ELSE 0.0 END AS c_acctbal,
+       nullif(c_mktsegment, 'AUTOMOBILE') AS c_mktsegment FROM customer""",
     "history_point_lookup": f"SELECT * FROM ({_SCD2_EVENTS}) WHERE user_id = {_KEY}",
     "current_key_range": (f"SELECT * FROM ({_SCD2_EVENTS}) WHERE __END_AT IS NULL "
                           f"AND user_id BETWEEN {_KEYS[0]} AND {_KEYS[1]}"),

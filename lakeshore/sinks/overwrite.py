@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from lakeshore.sinks import versioned
 
@@ -96,7 +97,11 @@ def replace_where_partitions(path: str, incoming: DataFrame, predicate,
     opened); the incoming rows are written with a dynamic partition overwrite,
     which replaces exactly the partitions they fall in; selected partitions
     whose files are still those of before are then removed. Cost: the incoming rows plus a
-    listing, whatever the table's size. Returns the emptied partitions."""
+    listing, whatever the table's size. Returns the emptied partitions.
+
+    Empty text in a partition column is refused before anything is replaced: Spark
+    writes it to the folder of null, whose rows would go (``replace_where_version``
+    takes it)."""
     spark = incoming.sparkSession
     partition_cols = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
     existing = spark.read.parquet(path)
@@ -117,7 +122,12 @@ def replace_where_partitions(path: str, incoming: DataFrame, predicate,
     before = {row["__dir"]: _file_names(spark, row["__dir"]) for row in selected}
     staged = incoming.select(*[F.col(c) if c in partition_cols else F.col(c).cast(types[c]).alias(c)
                                for c in existing.columns])
-    (checked_incoming(staged, pred).write.mode("overwrite")
+    checked = checked_incoming(staged, pred)
+    for c in partition_cols:
+        if isinstance(given[c], StringType):
+            checked = checked.withColumn(c, F.when(F.col(c) == "", F.raise_error(F.lit(
+                f"replace_where: empty text in the partition column {c}"))).otherwise(F.col(c)))
+    (checked.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(path))
     emptied = []

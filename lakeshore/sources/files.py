@@ -1,10 +1,12 @@
 """File sources: CSV batch and incremental stream, schema capture, and the
 synthetic people generator (S1, S2, S5, S6, S7, S10, X7).
 
-Without ``inferSchema`` a CSV read gives string columns; a stream needs a
-schema up front, so :func:`stream_csv` takes one, or captures it with one
-bounded batch read of the folder (S6/S7). The header option is always set on
-the stream too: without it header lines arrive as data rows.
+Without ``inferSchema`` a CSV read gives string columns. Files with a header are
+read by it, each by its own (``headers.py``): columns in another order, missing or
+added ones are never taken for each other. A streaming DataFrame has one schema,
+applied by position, so :func:`stream_csv` refuses files whose header differs from
+it; ``streaming.ingest`` takes those. The header option is always set on the stream
+too: without it header lines arrive as data rows.
 """
 
 from __future__ import annotations
@@ -13,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lakeshore.sources import headers
+
 # Text form of timestamps in CSV: full microseconds, so a round trip is exact
 # (Spark's default writes milliseconds only).
 CSV_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -20,10 +24,16 @@ CSV_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
 
 
 def read_csv(spark: SparkSession, path: str, header: bool = True,
-             schema: StructType | str | None = None) -> DataFrame:
+             schema: StructType | str | None = None, rescue: str | None = None,
+             unknown: str | None = None) -> DataFrame:
     """Batch CSV scan of a file, folder or glob; all strings unless a schema
-    is given (S1, S2)."""
-    reader = spark.read.option("header", header).options(**CSV_OPTIONS)
+    is given (S1, S2). With a header, columns are found by name in every file;
+    columns that a given schema does not have come after it as text, or go where
+    ``rescue`` and ``unknown`` say (:func:`headers.read_by_header`). Without a rescue
+    column a value that its type cannot hold is null, as in Spark's own reader."""
+    if header:
+        return headers.read_by_header(spark, path, schema, rescue, unknown, options=CSV_OPTIONS)
+    reader = spark.read.option("header", False).options(**CSV_OPTIONS)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)
@@ -31,17 +41,19 @@ def read_csv(spark: SparkSession, path: str, header: bool = True,
 
 def capture_schema(spark: SparkSession, path: str, header: bool = True,
                    sample_files: str | None = None) -> StructType:
-    """Schema of the CSV files under ``path`` as a batch read sees it.
-
-    Only the header is needed, so the read is planned but not run."""
-    return read_csv(spark, sample_files or path, header=header).schema
+    """Schema of the CSV files under ``path`` as a batch read sees it (S7): the
+    columns of all headers, in the order in which the files, by name, bring them."""
+    if header:
+        return headers.header_schema(headers.file_headers(spark, sample_files or path))
+    return read_csv(spark, sample_files or path, header=False).schema
 
 
 def stream_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
                header: bool = True, max_files: int | None = None,
                archive_dir: str | None = None) -> DataFrame:
     """Incremental CSV source over a folder (S5, S6, T1): each micro-batch
-    takes files not seen before; the checkpoint of the sink remembers them.
+    takes files not seen before; the checkpoint of the sink remembers them. A file
+    whose header differs from the schema ends the stream with an error.
 
     The source lists the folder every micro-batch, so a landing folder that
     only grows makes listing ever slower; ``archive_dir`` moves files out once
@@ -49,7 +61,8 @@ def stream_csv(spark: SparkSession, path: str, schema: StructType | str | None =
     listing to what has not been ingested yet."""
     if schema is None:
         schema = capture_schema(spark, path, header=header)
-    reader = spark.readStream.schema(schema).option("header", header).options(**CSV_OPTIONS)
+    reader = (spark.readStream.schema(schema).option("header", header).option("enforceSchema", not header)
+              .options(**CSV_OPTIONS))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", int(max_files))
     if archive_dir:

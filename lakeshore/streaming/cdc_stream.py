@@ -18,7 +18,10 @@ the state, and nothing is ever deleted before its replacement is committed:
   it folded; those are removed only after that commit. A compaction claims the
   number after the base it read before it reads it, so of two that started from
   one base only one can commit, and the other gives up;
-* ``columns.json`` — the column order of the feed, for readers in other sessions.
+* ``columns.json`` — the columns of the feed and their types, in order, for readers
+  in other sessions. A batch with new columns puts them after the others; older
+  rows have null there, and a batch without a column has null in it. A column that
+  comes back with another type is refused.
 
 The target is a view: base ∪ log partitions after the base's last batch,
 reduced exactly as the batch operator reduces a change feed (a max over a fixed
@@ -38,6 +41,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructField, StructType
 
 from lakeshore.operators import cdc
 from lakeshore.sinks import versioned
@@ -73,8 +77,7 @@ class ChangeApply:
         self.quarantine_path = quarantine_path or self.state_path + "_quarantine"
         self.log_path = self.state_path + "/log"
         self.base_path = self.state_path + "/base"
-        self.columns: list[str] | None = None
-        self.schema = None
+        self.schema: StructType | None = None
         self.writer = writer or uuid.uuid4().hex
         self._auto_batch = 0
         #: {batch id: (rows read, rows quarantined)} of this object's batches.
@@ -107,10 +110,7 @@ class ChangeApply:
         spark = batch.sparkSession
         if batch_id is None:
             batch_id, self._auto_batch = self._auto_batch, self._auto_batch + 1
-        if self.columns is None:
-            self.columns = list(batch.columns)
-            self.schema = batch.schema
-        self._store_columns(spark)
+        batch = self._known(spark, batch)
         batch, _ = cdc.with_sequence(batch, self.seq_spec)
         bad_flag = F.lit(False)
         for c in self.keys + self.seq:
@@ -148,19 +148,28 @@ class ChangeApply:
         return sorted(st.getPath().getName().split("=", 1)[1] for st in fs.listStatus(p)
                       if st.isDirectory() and st.getPath().getName().startswith(BATCH + "="))
 
-    def _store_columns(self, spark: SparkSession) -> None:
-        path = f"{self.state_path}/columns.json"
-        if not self._stored and versioned._read_text(spark, path) is None:
-            versioned._write_text(spark, path, json.dumps(self.columns))
-        self._stored = True
-
-    _stored = False
-
-    def _column_order(self, spark: SparkSession) -> list[str] | None:
-        """The feed's columns in order: as stored with the state, so that every
-        session shows the same."""
+    def _stored(self, spark: SparkSession) -> StructType | None:
+        """The feed's columns as kept with the state: every session shows the same."""
         text = versioned._read_text(spark, f"{self.state_path}/columns.json")
-        return json.loads(text) if text else self.columns
+        return StructType.fromJson(json.loads(text)) if text else None
+
+    def _known(self, spark: SparkSession, batch: DataFrame) -> DataFrame:
+        """``batch`` with all columns of the feed so far, which it may add to."""
+        stored = self._stored(spark)
+        fields = list(stored.fields) if stored is not None else []
+        types = {f.name.lower(): f.dataType for f in fields}
+        for f in batch.schema.fields:
+            known = types.get(f.name.lower())
+            if known is None:
+                fields.append(StructField(f.name, f.dataType))
+            elif known != f.dataType:
+                raise ValueError(f"column {f.name} was {known.simpleString()} and now is {f.dataType.simpleString()}")
+        self.schema = StructType(fields)
+        if stored is None or len(fields) > len(stored):
+            versioned._write_text(spark, f"{self.state_path}/columns.json", json.dumps(self.schema.jsonValue()))
+        have = {c.lower() for c in batch.columns}
+        return batch.select(*[(F.col(f"`{f.name}`") if f.name.lower() in have else F.lit(None).cast(f.dataType))
+                              .alias(f.name) for f in fields])
 
     def _folded(self, spark: SparkSession) -> set[str]:
         return set(versioned.read_meta(spark, self.base_path).get("folded", []))
@@ -174,19 +183,20 @@ class ChangeApply:
         frames = []
         has_base = versioned.current_path(spark, self.base_path) is not None
         if has_base:
-            frames.append(versioned.read_current(spark, self.base_path))
+            base = versioned.read_current(spark, self.base_path)
+            frames.append(base)
         if parts is None:
             folded = self._folded(spark) if has_base else set()
             parts = [n for n in self._log_parts(spark) if n not in folded]
         if parts:
             paths = [f"{self.log_path}/{BATCH}={n}" for n in parts]
-            frames.append(spark.read.option("basePath", self.log_path).parquet(*paths)
-                          .drop(BATCH))
+            # with the columns of today: a batch of before has null in newer ones
+            frames.append(spark.read.schema(self._state_schema(spark)).parquet(*paths))
         if not frames:
             return None
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionByName(f.select(*out.columns))
+        out = frames[-1]
+        for f in frames[:-1]:
+            out = out.unionByName(f, allowMissingColumns=True)
         return out
 
     def compact(self, spark: SparkSession) -> str | None:
@@ -244,11 +254,18 @@ class ChangeApply:
         if self.schema is None:
             raise FileNotFoundError(f"no state under {self.state_path}")
         # Nothing applied yet (or only quarantined rows): an empty state.
-        src, _ = cdc.with_sequence(spark.createDataFrame([], self.schema), self.seq_spec)
+        return self._empty(spark, self.schema)
+
+    def _empty(self, spark: SparkSession, schema: StructType) -> DataFrame:
+        src, _ = cdc.with_sequence(spark.createDataFrame([], schema), self.seq_spec)
         empty, _ = cdc.split_changes(src, self.keys, self.seq, self.apply_as_deletes)
         return empty.select(*self.keys, *self.seq, _DEL,
                             *cdc._payload(empty, self.keys, self.seq))
 
+    def _state_schema(self, spark: SparkSession) -> StructType:
+        """Columns of the log's files: the feed's, the hidden ones and the flag."""
+        return self._empty(spark, self._stored(spark) or self.schema).schema
+
     def state(self, spark: SparkSession) -> DataFrame:
         """The reduced state (one row per key, or per key and sequence)."""
         return self._reduced(self._rows(spark))
@@ -257,12 +274,11 @@ class ChangeApply:
         """The target as the batch form would give it: current rows for SCD 1,
         history with ``__START_AT`` / ``__END_AT`` for SCD 2."""
         rows = self._rows(spark)
-        cols = self._column_order(spark) or [c for c in rows.columns
-                                             if c not in [_DEL] + self.hidden]
+        stored = self._stored(spark) or self.schema
+        cols = stored.names if stored is not None else [c for c in rows.columns if c not in [_DEL] + self.hidden]
         if self.scd_type == "1":
             state = self._reduce_scd1(rows)
             return cdc._finish(state.where(~F.col(_DEL)), cols, self.except_columns)
-        # The window operator dedupes (K, S) in the same sort as the lead.
         return cdc.scd2(rows.select(*cols, *self.hidden, _DEL), self.keys, self.seq,
                         apply_as_deletes=F.col(_DEL),
                         except_columns=self.except_columns + (_DEL, *self.hidden), **kwargs)
@@ -276,7 +292,6 @@ class ChangeApply:
               name: str | None = None, processing_time: str | None = None) -> StreamingQuery:
         """Run the apply over ``stream``: ``availableNow`` (take what is there,
         then stop) by default, or continuously every ``processing_time``."""
-        self.columns = list(stream.columns)
         self.schema = stream.schema
         # Kept in the checkpoint: goes on with it, and goes with it.
         spark = stream.sparkSession
