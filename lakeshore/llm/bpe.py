@@ -31,8 +31,9 @@ from lakeshore.llm import textkit as tk
 VOCABULARY = "byte_bpe_50k.json"
 #: A cut every so many bytes, on average; the hash sees the last 8 bytes.
 CHUNK_BYTES = 1024
-#: Bounds of the worker's caches: pieces, and bytes of chunks.
-CACHE_PIECES, CACHE_BYTES = 400_000, 6 << 20
+#: Bounds of the worker's caches: pieces, and bytes of chunks (the chunks used least
+#: recently go first; each byte takes some four more for its ids).
+CACHE_PIECES, CACHE_BYTES = 400_000, 12 << 20
 LONG_PIECE = 128
 #: Bytes of new pieces that go to the library as one text.
 RUN_BYTES = 4096
@@ -225,12 +226,22 @@ class Chunks:
         ends = np.append(begins[1:], len(buf))
         data = buf.tobytes()
         texts = [data[s:e] for s, e in zip(begins.tolist(), ends.tolist())]
-        new = [t for t in dict.fromkeys(texts) if t not in self.known]
+        new = []
+        for t in dict.fromkeys(texts):
+            chunk = self.known.pop(t, None)
+            if chunk is None:
+                new.append(t)
+            else:
+                self.known[t] = chunk  # the last to go
         self.encoded += len(new)
         self.reused += len(texts) - len(new)
-        if self.held > CACHE_BYTES:
-            kept = {t: self.known[t] for t in set(texts) if t in self.known}
-            self.known, self.held = kept, sum(map(len, kept))
+        if self.held > CACHE_BYTES:  # those that were not used for longest go
+            use = set(texts)
+            for t in list(itertools.takewhile(lambda t: t not in use, self.known)):
+                if self.held <= CACHE_BYTES // 2:
+                    break
+                del self.known[t]
+                self.held -= len(t)
             tk.give_back_memory()
         if new:
             flat = np.frombuffer(b"".join(new), dtype=np.uint8)

@@ -14,7 +14,8 @@ be undone and no text looks like a mark.
 Rows of a conversation go by (turn, role, content), ties included; a null text or
 role is empty, a null content has no parts; rows without conv_id form one
 conversation of their own; an empty table gives an empty table. Extra columns are
-never read. An unknown part type counts as a document.
+never read. An unknown part type counts as a document, a null one as text if the
+part has a text.
 """
 
 from __future__ import annotations
@@ -49,13 +50,23 @@ def text_part(text: Column) -> Column:
 
 
 def _kind(part: Column) -> Column:
-    return F.when(part["type"].isin("text", *EXPANDS), part["type"]).otherwise("document")
+    bare = part["type"].isNull() & part["text"].isNotNull()
+    return (F.when(bare, F.lit("text")).when(part["type"].isin("text", *EXPANDS), part["type"])
+            .otherwise("document"))
 
 
-def _visit(part: Column) -> Column:
-    """What a part becomes in the formatted text."""
-    return (F.when(_kind(part) == "text", escape(F.coalesce(part["text"], F.lit(""))))
-            .otherwise(F.concat(F.lit("<|"), _kind(part), F.lit("|>"))))
+def _body(parts: Column) -> Column:
+    """The formatted content: runs of text parts are joined, then escaped; any other
+    part is a placeholder."""
+    state = F.struct(F.lit("").alias("done"), F.lit("").alias("run"))
+
+    def step(have: Column, part: Column) -> Column:
+        mark = F.concat(F.lit("<|"), _kind(part), F.lit("|>"))
+        return F.when(_kind(part) == "text", F.struct(
+            have["done"].alias("done"), F.concat(have["run"], F.coalesce(part["text"], F.lit(""))).alias("run"))
+        ).otherwise(F.struct(F.concat(have["done"], escape(have["run"]), mark).alias("done"), F.lit("").alias("run")))
+
+    return F.aggregate(parts, state, step, lambda have: F.concat(have["done"], escape(have["run"])))
 
 
 def _attachment(part: Column) -> Column:
@@ -63,7 +74,7 @@ def _attachment(part: Column) -> Column:
     for kind, tokens in EXPANDS.items():
         per = F.when(_kind(part) == kind, tokens).otherwise(per)
     return F.struct(_kind(part).alias("type"), part["ref"].alias("ref"),
-                    (F.greatest(F.coalesce(part["units"], F.lit(1)), F.lit(1)) * per).cast("long").alias("tokens"))
+                    (F.greatest(F.coalesce(part["units"], F.lit(1)), F.lit(1)).cast("long") * per).alias("tokens"))
 
 
 def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
@@ -78,7 +89,7 @@ def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
     rows = rows.select(
         "conv_id", "turn", "role",
         F.concat(F.lit(_OPEN), F.url_encode("role"), F.lit(_CLOSE)).alias("mark"),
-        F.array_join(F.transform("parts", _visit), "").alias("body"),
+        _body(F.col("parts")).alias("body"),
         F.transform(F.filter("parts", lambda p: _kind(p) != "text"), _attachment).alias("attached"))
     order = ["turn", "role", "body", "attached"]
     line = Window.partitionBy("conv_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)

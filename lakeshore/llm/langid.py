@@ -47,10 +47,32 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000)
 
 
-def _counts(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+def _counted(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """:func:`_counts`; one document that is longer than a pass is counted in slices,
+    each with a character before and after it, and added up as they come."""
+    if len(offsets) != 2 or len(buf) <= PASS_BYTES:
+        return _counts(buf, offsets)
+    heads = lambda a, b: np.flatnonzero((buf[a:b] & 0xC0) != 0x80)  # noqa: E731  where characters begin
+    key, count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    begin = 0
+    while begin < len(buf):
+        end = begin + PASS_BYTES
+        end = end + int(heads(end, end + 4)[0]) if end < len(buf) else len(buf)
+        before = max(0, begin - 4) + int(heads(max(0, begin - 4), begin)[-1]) if begin else 0
+        after = next((end + int(x) for x in heads(end, end + 5)[1:2]), len(buf))
+        part = buf[before:after]
+        size = int(np.count_nonzero((buf[begin:end] & 0xC0) != 0x80))
+        _, k, n = _counts(part, np.array([0, len(part)]), (int(begin > 0), int(begin > 0) + size))
+        key, at = np.unique(np.concatenate([key, k]), return_inverse=True)
+        count = np.bincount(at, weights=np.concatenate([count, n]), minlength=len(key)).astype(np.int64)
+        begin = end
+    return np.zeros(len(key), np.int64), key, count
+
+
+def _counts(buf: np.ndarray, offsets: np.ndarray, own: tuple[int, int] | None = None) -> tuple[np.ndarray, ...]:
     """(document, n-gram key, count) of all documents in a UTF-8 buffer, sorted by
     document and key; a key is three code points of 21 bits, shorter n-grams are
-    padded with zero."""
+    padded with zero. ``own``: only n-grams around these characters count."""
     # the text between two blanks, each document after one more
     points = np.frombuffer(buf.tobytes().decode("utf-8", "replace").encode("utf-32-le"), dtype="<u4")
     starts = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])[offsets]
@@ -65,7 +87,11 @@ def _counts(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     alphabet, code = np.unique(s, return_inverse=True)
     radix = len(alphabet) + 1
     code += 1
-    one = np.flatnonzero(letter)
+    if own is not None:
+        mine = np.zeros(len(cp), dtype=bool)
+        mine[own[0] + 1:own[1] + 1] = True
+        letter_own = letter & mine[keep]
+    one = np.flatnonzero(letter if own is None else letter_own)
     mid = one[(one > 0) & (one < len(s) - 1)]
     # a letter with each neighbour; with the blank before, and what follows
     pair_next = mid
@@ -96,10 +122,12 @@ def _ranked(of: np.ndarray, count: np.ndarray, size: int) -> tuple[np.ndarray, n
     begin = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])) if len(of) else of
     sizes = np.diff(np.append(begin, len(of)))
     local = np.arange(len(of)) - np.repeat(begin, sizes)
+    keep = local < size  # documents keep their bounds when sorted
     most = (1 << 22) - 1
-    order = (of << 44) | ((most - np.minimum(count, most)) << 22) | local
+    if len(of) and max(count.max(), sizes.max()) > most:
+        return np.lexsort((local, -count, of))[keep], local[keep]
+    order = (of << 44) | ((most - count) << 22) | local  # the same order, as one number
     order.sort()
-    keep = local < size  # documents keep their bounds when sorted
     return (np.repeat(begin, sizes) + (order & most))[keep], local[keep]
 
 
@@ -135,7 +163,7 @@ def learn(docs: DataFrame, size: int = SIZE, fit_docs: int = FIT_DOCS, id_col: s
         index = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         buf, offsets = _lowered(batch.column(1))
         for i, j, b, o in tk.passes(buf, offsets, PASS_BYTES):
-            of, key, count = _counts(b, o)
+            of, key, count = _counted(b, o)
             lang = index[i:j][of]
             order = np.lexsort((key, lang))
             lang, key, count = lang[order], key[order], count[order]
@@ -172,7 +200,7 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], size: int = SIZE,
     def nearest(buf, offsets):
         n = len(offsets) - 1
         best, score = np.full(n, len(langs)), np.zeros(n)
-        of, key, count = _counts(buf, offsets)
+        of, key, count = _counted(buf, offsets)
         if not len(of) or not langs:
             return best, score
         at, rank = _ranked(of, count, size)

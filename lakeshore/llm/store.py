@@ -19,13 +19,27 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
 def blocks(df: DataFrame) -> int:
     """Number of blocks that block-wise operators cut their key space into: the
     session's shuffle partitions, at least one a scan split, so that a block's
-    size stays that of a split whatever the input."""
+    share of the input stays that of a split whatever its size."""
     spark = df.sparkSession
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), splits(df))
 
 
+#: Bytes of a scan split.
+SPLIT = 16 << 20
+
+
 def splits(df: DataFrame) -> int:
-    """Scan splits of ``df`` by its planned size; runs no job."""
-    spark = df.sparkSession
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(1, min(size >> 24, 1 << 16)) if size < 1 << 50 else 1
+    """Scan splits of ``df`` by the size of what its plan reads (files have theirs on
+    record; estimates of joins above them do not count); runs no job. A source that
+    knows no size counts its partitions."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    unknown = int(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", str((1 << 63) - 1)))
+    total = 0
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        size = int(str(leaf.stats().sizeInBytes()))
+        if size < unknown:
+            total += -(-size // SPLIT)
+        elif leaf.nodeName().startswith("Scan ExistingRDD"):
+            total += int(leaf.rdd().getNumPartitions())
+    return max(1, total)
