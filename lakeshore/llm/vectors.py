@@ -3,11 +3,16 @@
 Distinct vectors are nodes. Directions are ordered by the second-moment matrix of
 all unit vectors (its eigenvectors, largest first; d x d numbers reach the
 driver, whatever the number of rows). Nodes are cut into tiles by ranges of the
-first direction; a pair of tiles whose ranges lie too far apart for the threshold
-is never formed. A pair that is formed accumulates the leading directions first:
-the rest of a product is at most the product of the two suffix norms, so cells
-whose bound stays below the threshold stop there, stage by stage. What is left is
-decided in double precision on the vectors as given.
+first direction. A pair of tiles that is compared accumulates the leading directions
+first: the rest of a product is at most the product of the two suffix norms, so cells
+whose bound stays below the threshold stop there, stage by stage; tiles whose ranges
+lie too far apart for the threshold are not compared. What is left is decided in
+double precision on the vectors as given.
+
+Tiles meet in a grid: neighbouring tiles form strips of bounded bytes, and a cell of
+the grid, one task, holds one strip while the tiles of another pass by. With s strips
+a tile is sent s + 1 times (not once for each tile that it meets), and s grows by one
+for every ``STRIP_BYTES`` of vectors.
 
 A pair of tiles returns link counts and a spanning forest of its links, never the
 pairs; components are found by Spark jobs.
@@ -16,7 +21,8 @@ A vector that is null, empty, zero or holds null or non-finite components links
 with nothing; vectors of different lengths do not link; equal vectors link with
 each other. Repeated vec_ids are rows of their own; a component of null ids has a
 null id and keeps nothing (``kept`` is null). An empty table gives an empty table.
-Extra columns are never read.
+Extra columns are never read. Vectors are scaled by powers of two, which changes no
+cosine, so any magnitude of finite components will do.
 """
 
 from __future__ import annotations
@@ -26,10 +32,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from lakeshore.llm.components import components, forest
+from lakeshore.llm.search import scaled
 from lakeshore.llm.store import written
+from lakeshore.llm.strips import records
+from lakeshore.llm.textkit import give_back_memory
 
 #: Nodes of a tile, on average; two tiles of d doubles a node are a task's input.
 TILE = 4096
+#: Bytes of vectors in a strip, which a task holds (three times), and the least number
+#: of strips, so that there are tasks enough.
+STRIP_BYTES, LEAST_STRIPS = 32 << 20, 5
 #: Rows of one tile that meet the other at once.
 STRIP = 512
 #: Directions accumulated before each look at the bound.
@@ -41,6 +53,7 @@ SLACK = 1e-9
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
+    x = scaled(x)
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
@@ -67,13 +80,29 @@ def directions(nodes: DataFrame) -> dict[int, np.ndarray]:
     return {d: np.linalg.eigh(m.reshape(d, d))[1][:, ::-1].copy() for d, m in moment.items()}
 
 
-def _compare(x, y, cx, cy, basis, threshold: float, same: bool):
+class _Tile:
+    """A tile read back; ``basis``: the directions of its vectors' length."""
+
+    def __init__(self, r: dict, basis: dict[int, np.ndarray]):
+        self.tile, self.dim = r["tile"], r["dim"]
+        self.angles = [float(np.arccos(min(1.0, max(-1.0, r[c])))) for c in ("high", "low")]
+        self.ids, self.rows = np.frombuffer(r["ids"], "i8"), np.frombuffer(r["rows"], "i8")
+        self.x = scaled(np.frombuffer(r["x"], "f8").reshape(-1, self.dim))
+        self.norm = np.sqrt(np.einsum("ij,ij->i", self.x, self.x))
+        self.unit = self.x / self.norm[:, None]
+        self.turned = self.unit @ basis[self.dim]
+
+    def near(self, other: _Tile, angle: float) -> bool:
+        """Angles to the first direction differ by no more than the angle of a link."""
+        return other.angles[0] <= self.angles[1] + angle and self.angles[0] <= other.angles[1] + angle
+
+
+def _compare(one: _Tile, two: _Tile, threshold: float, same: bool):
     """Links between two tiles: (forest i, forest j) with the second tile's
-    positions after the first's, and the link counts of both tiles; ``cx`` and
-    ``cy`` are the rows that each node stands for."""
-    ux, uy = _unit(x), _unit(y)
-    nx, ny = np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)
-    px, py = ux @ basis, uy @ basis
+    positions after the first's, and the link counts of both tiles (each node counts
+    as the rows that it stands for)."""
+    x, y, nx, ny, ux, uy, px, py = one.x, two.x, one.norm, two.norm, one.unit, two.unit, one.turned, two.turned
+    cx, cy, basis = one.rows, two.rows, px
     cuts = [c for c in STAGES if c < basis.shape[1]]
     tail = lambda p, c: np.sqrt(np.maximum(0, np.einsum("ij,ij->i", p[:, c:], p[:, c:])))
     low = threshold - SLACK
@@ -161,38 +190,43 @@ def vector_links(nodes: DataFrame, threshold: float) -> DataFrame:
     basis = directions(nodes)
     tiles = written(_tiles(nodes, basis, n), "vector-tiles", "uncompressed")
     angle = float(np.arccos(min(1.0, max(-1.0, threshold)))) + 1e-6
-    meta = tiles.select("dim", "tile", F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), "high"))).alias("from"),
-                        F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), "low"))).alias("to"))
-    # angles to the first direction differ by no more than the angle of a link;
-    # rows of narrow numbers, one a tile: the vectors follow by equi-joins
-    other = meta.select("dim", *[F.col(c).alias(f"{c}2") for c in ("tile", "from", "to")])
-    pairs = meta.join(other, "dim").where(
-        (F.col("tile2") >= F.col("tile")) & (F.col("from2") <= F.col("to") + angle)
-        & (F.col("from") <= F.col("to2") + angle)).select("dim", "tile", "tile2")
-    side = lambda k: tiles.select("dim", F.col("tile").alias(f"tile{k}"),
-                                  *[F.col(c).alias(f"{c}{k}") for c in ("ids", "rows", "x")])
-    both = pairs.join(side(""), ["dim", "tile"]).join(side("2"), ["dim", "tile2"])
+    count, size = (int(v or 0) for v in tiles.agg(F.max("tile") + 1, F.sum(F.length("x"))).first())
+    strips = max(LEAST_STRIPS, -(-size // STRIP_BYTES))
+    strip = F.expr(f"cast(tile * {strips} div {max(count, 1)} as int)")
+    lined = tiles.withColumn("s", strip)
+    # cell (a, b), a <= b: strip a is held, strip b passes by
+    held = lined.select(F.col("s").alias("a"), F.explode(F.sequence(F.col("s"), F.lit(strips - 1))).alias("b"),
+                        F.lit(0).alias("kind"), *tiles.columns)
+    passing = lined.select(F.explode(F.sequence(F.lit(0), F.col("s"))).alias("a"), F.col("s").alias("b"),
+                           F.lit(1).alias("kind"), *tiles.columns)
+    cell = F.expr("cast(b * (b + 1) div 2 + a as int)")
+    cells = (held.unionByName(passing).withColumn("cell", cell).drop("a", "b")
+             .repartitionById(strips * (strips + 1) // 2, F.col("cell")).sortWithinPartitions("cell", "kind", "tile"))
 
     def run(batches):
-        for batch in batches:
-            for r in range(batch.num_rows):
-                d, t2, t, i1, r1, x1, i2, r2, x2 = (c[r].as_py() for c in batch.columns)
-                load = lambda z, kind: np.frombuffer(z, dtype=kind)
-                same = t == t2
-                a, b, lx, ly = _compare(load(x1, "f8").reshape(-1, d), load(x2, "f8").reshape(-1, d),
-                                        load(r1, "i8"), load(r2, "i8"), basis[d], threshold, same)
-                ids = load(i1, "i8") if same else np.concatenate([load(i1, "i8"), load(i2, "i8")])
-                count = lx + ly if same else np.concatenate([lx, ly])
-                some = np.flatnonzero(count)
+        cell, mine = None, []
+        for r in records(batches):
+            if r["cell"] != cell:
+                cell, mine = r["cell"], []
+            t = _Tile(r, basis)
+            if r["kind"] == 0:
+                mine.append(t)
+                continue
+            for one in mine:
+                if one.dim != t.dim or one.tile > t.tile or not one.near(t, angle):
+                    continue
+                same = one.tile == t.tile
+                a, b, lx, ly = _compare(one, t, threshold, same)
+                ids = t.ids if same else np.concatenate([one.ids, t.ids])
+                links = lx + ly if same else np.concatenate([lx, ly])
+                some = np.flatnonzero(links)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat(np.array([0, 1], np.int32), [len(some), len(a)])),
                      pa.array(np.concatenate([ids[some], ids[a]])),
-                     pa.array(np.concatenate([count[some], ids[b]]))], ["kind", "u", "v"])
+                     pa.array(np.concatenate([links[some], ids[b]]))], ["kind", "u", "v"])
+        give_back_memory()
 
-    cols = ["dim", "tile2", "tile", "ids", "rows", "x", "ids2", "rows2", "x2"]
-    pair_count = max(1, -(-n // TILE)) * (max(1, -(-n // TILE)) + 1) // 2
-    spread = both.select(*cols).repartition(min(pair_count, 10000), F.xxhash64("dim", "tile", "tile2"))
-    return spread.mapInArrow(run, "kind int, u long, v long")
+    return cells.mapInArrow(run, "kind int, u long, v long")
 
 
 def vector_components(rows: DataFrame, threshold: float = 0.95, id_col: str = "vec_id",

@@ -554,3 +554,17 @@ def test_mixing_schedule_spreads(spark):
         assert all(s[3] == s[2] % blocks and s[4] == s[2] // blocks for s in own)
         seen = np.cumsum([s[1] == n for s in slots])
         assert np.abs(seen - np.arange(1, 1001) * quota / 1000).max() < 4
+
+
+def test_vectors_magnitudes(spark, monkeypatch):
+    """Cosines do not depend on lengths, however small or large; many strips."""
+    monkeypatch.setattr(vectors, "TILE", 4)
+    monkeypatch.setattr(vectors, "LEAST_STRIPS", 7)
+    rows = [(0, [1e-200, 1e-200, 0.0]), (1, [1e200, 1e200, 0.0]), (2, [2e200, 2e200, 0.0]), (3, [1.0, 1.0, 0.0]),
+            (4, [5e-324, 0.0, 0.0]), (5, [1.7e308, 0.0, 0.0]), (6, [0.0, 0.0, 3.0]), (7, [0.0, 0.0, -3.0])]
+    rows += [(10 + i, [float(i), float(i * i % 7), 1.0]) for i in range(40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = brute.rows_of(vectors.vector_components(df), "vec_id", "n_links", "component_id")
+    plain = [(i, (np.array(x) / max(map(abs, x))).tolist()) for i, x in rows]
+    assert got == none_first(brute_vectors(plain))
+    assert {r[0]: r[1] for r in got}[0] >= 3
