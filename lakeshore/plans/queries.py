@@ -14,13 +14,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshore.operators import eventlog, joins, partitioning, privacy, quality
+from lakeshore.operators import eventlog, joins, keyed, partitioning, privacy, quality
 from lakeshore.plans import cdc_flow, derived, privacy_flow
 from lakeshore.session import scratch_path
 from lakeshore.sinks import catalog, overwrite, versioned
 from lakeshore.sources import files, headers
 from lakeshore.sources.tables import table
-from lakeshore.streaming import cdc_stream, ingest
+from lakeshore.streaming import cdc_stream, ingest, state_apply
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -398,6 +398,50 @@ def q_scd1_stream_new_column(spark, d):
     return target.table(spark)
 
 
+def _events_in_files(spark, d) -> DataFrame:
+    """Events as a stream of several files, in an order that is not theirs."""
+    ev = table(spark, d, "events")
+    path = scratch_path(spark, "events-files")
+    ev.repartition(4, F.xxhash64("event_id")).write.parquet(path)
+    return spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 2).parquet(path)
+
+
+def _state_apply(spark, d, scd_type: int) -> DataFrame:
+    target = state_apply.StateApply(scratch_path(spark, "state-ckpt"), scd_type=scd_type, **derived.EVENTS_FEED)
+    target.start(_events_in_files(spark, d)).awaitTermination()
+    return target.table(spark)
+
+
+def q_scd2_state_stream(spark, d):
+    """History kept in Spark's state store and read back from it."""
+    return _state_apply(spark, d, 2)
+
+
+def q_scd1_state_stream(spark, d):
+    """Current rows kept in Spark's state store and read back from it."""
+    return _state_apply(spark, d, 1)
+
+
+def _keyed(spark, d) -> keyed.KeyedHistory:
+    """Three runs over the events; the last brings the changes of a few users only."""
+    ev = table(spark, d, "events")
+    target = keyed.KeyedHistory(scratch_path(spark, "keyed"), buckets=16, **derived.EVENTS_FEED)
+    few = F.col("user_id").between(*_KEYS) & (F.pmod("event_id", F.lit(2)) == 0)
+    for part in (~few & (F.pmod("event_id", F.lit(3)) == 0), ~few & (F.pmod("event_id", F.lit(3)) != 0), few):
+        target.apply(ev.where(part))
+    return target
+
+
+def q_gold_by_difference(spark, d):
+    """Gold rows after three runs that rewrote only the buckets of their keys (T5, C4)."""
+    return _keyed(spark, d).current(spark)
+
+
+def q_history_by_difference(spark, d):
+    """The history after the same runs."""
+    return _keyed(spark, d).history(spark)
+
+
 def q_replace_where_null_partition(spark, d):
     """Predicate overwrite beside a partition of nulls, which stays (K3)."""
     cust = table(spark, d, "customer").withColumn(
@@ -498,6 +542,10 @@ QUERIES: dict[str, Query] = {
     "csv_by_header": q_csv_by_header,
     "stream_rescue": q_stream_rescue,
     "scd1_stream_new_column": q_scd1_stream_new_column,
+    "scd2_state_stream": q_scd2_state_stream,
+    "scd1_state_stream": q_scd1_state_stream,
+    "gold_by_difference": q_gold_by_difference,
+    "history_by_difference": q_history_by_difference,
     "replace_where_null_partition": q_replace_where_null_partition,
     "history_point_lookup": q_history_point_lookup,
     "current_key_range": q_current_key_range,
@@ -660,6 +708,10 @@ SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS
 FROM orders WHERE {where}"""
 
 ORACLES: dict[str, str] = {
+    "scd2_state_stream": _SCD2_EVENTS,
+    "scd1_state_stream": _SCD1_EVENTS,
+    "gold_by_difference": f"SELECT * FROM ({_SCD2_EVENTS}) WHERE __END_AT IS NULL",
+    "history_by_difference": _SCD2_EVENTS,
     "csv_by_header": _BY_HEADER,
     "stream_rescue": _BY_HEADER,
     "scd1_stream_new_column": f"""
