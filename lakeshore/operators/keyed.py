@@ -8,6 +8,8 @@ reads only those of ``changes``, and rewrites only those of the three tables, by
 dynamic partition overwrite; buckets left without rows are removed. Applying a batch
 twice changes nothing, so a run that failed half-way is run again.
 
+A batch with new columns adds them; older rows have null there.
+
 The number of buckets is fixed when the table is made: about the table's size over
 128 MB, so that a bucket is a file or a few. A key with more rows than a task takes is
 split inside the SCD 2 operator, not by buckets.
@@ -69,7 +71,7 @@ class KeyedHistory:
         versioned._write_text(spark, f"{self.path(table)}/{_SCHEMA}", json.dumps(rows.schema.jsonValue()))
         rows = rows.repartition(F.col(BUCKET))
         if self._there(spark, table):
-            overwrite.replace_where_partitions(self.path(table), rows, F.col(BUCKET).isin(touched), BUCKET)
+            overwrite.replace_where_partitions(self.path(table), rows, F.col(BUCKET).isin(touched), BUCKET, rows.schema)
         else:
             rows.write.mode("append").partitionBy(BUCKET).parquet(self.path(table))
 

@@ -16,11 +16,14 @@ is idempotent, and gold is written as a new version.
 * gold: the clean rows, written as a version; counts come from the same pass;
 * every step appends a ``flow_progress`` event to the log, ``FAILED`` ones too.
 
-A silver table is rewritten only when a run brought changes for it.
+A silver table is rewritten only when a run brought changes for it. With ``buckets``
+the SCD 2 history and gold are keyed tables (``operators.keyed``): a run rewrites only
+the buckets of the keys that it brought changes for.
 """
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager
@@ -30,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from lakeshore.operators import eventlog, quality
+from lakeshore.operators.keyed import KeyedHistory
 from lakeshore.sinks import versioned
 from lakeshore.sinks.catalog import Dataset
 from lakeshore.streaming import ingest
@@ -46,7 +50,7 @@ class CdcFlow:
                  apply_as_deletes=None, except_columns: Sequence[str] = (),
                  compact_every: int = 10, prefix: str = "customer",
                  max_files: int | None = None, materialize: bool = True,
-                 log_compact_after: int = 100, bronze_rules=None):
+                 log_compact_after: int = 100, bronze_rules=None, buckets: int | None = None):
         self.root = root.rstrip("/")
         self.schema = schema
         self.prefix = prefix
@@ -58,6 +62,8 @@ class CdcFlow:
                     except_columns=except_columns, compact_every=compact_every)
         self.scd1 = ChangeApply(f"{self.root}/tables/silver_scd1", scd_type=1, **feed)
         self.scd2 = ChangeApply(f"{self.root}/tables/silver_scd2", scd_type=2, **feed)
+        self.keyed = KeyedHistory(f"{self.root}/tables/keyed_scd2", keys, sequence_by, apply_as_deletes,
+                                  except_columns, buckets) if buckets else None
         self.gold_base = f"{self.root}/tables/gold_scd2"
         # Silver targets are views over their state; with ``materialize`` each
         # run also writes them as table versions, so the window over the whole
@@ -101,7 +107,10 @@ class CdcFlow:
             self._bronze(spark, landing)
         for name, target in (("silver_scd1", self.scd1), ("silver_scd2", self.scd2)):
             with self._step(spark, f"{self.prefix}_{name}"):
-                self._silver(spark, name, target)
+                if self.keyed and target is self.scd2:
+                    self._silver_keyed(spark, name)
+                else:
+                    self._silver(spark, name, target)
         with self._step(spark, f"{self.prefix}_gold"):
             path = self._gold(spark)
         # Each event is one small folder; fold them once there are many.
@@ -137,9 +146,7 @@ class CdcFlow:
         """Apply what is new in bronze. The event's rows are those of the table
         that was written (of the feed, if none is), its dropped records the rows
         put into quarantine in this run."""
-        schema = ingest.ingested_schema(spark, self.bronze.path) or self.schema
-        src = (spark.readStream.schema(StructType([*schema.fields, StructField(ingest.BATCH, StringType())]))
-               .parquet(self.bronze.path).drop(ingest.BATCH))
+        src = self._bronze_stream(spark)
         target.counts.clear()
         self._finished(target.start(src, self._ckpt(name)))
         read = sum(n for n, _ in target.counts.values())
@@ -156,7 +163,32 @@ class CdcFlow:
             rows = versioned.read_current(spark, base).count()
         self._event(spark, f"{self.prefix}_{name}", rows, dropped)
 
+    def _bronze_stream(self, spark: SparkSession) -> DataFrame:
+        schema = ingest.ingested_schema(spark, self.bronze.path) or self.schema
+        return (spark.readStream.schema(StructType([*schema.fields, StructField(ingest.BATCH, StringType())]))
+                .parquet(self.bronze.path).drop(ingest.BATCH))
+
+    def _silver_keyed(self, spark: SparkSession, name: str) -> None:
+        """Apply what is new in bronze to the keyed history and gold; the event's rows
+        are those of the history."""
+        bad: dict[int, int] = {}
+        null = functools.reduce(lambda a, c: a | F.col(c).isNull(), self.keyed.keys + self.keyed.seq, F.lit(False))
+
+        def apply(batch: DataFrame, batch_id: int) -> None:
+            bad[batch_id] = batch.where(null).count()
+            self.keyed.apply(batch)
+
+        self._finished(self._bronze_stream(spark).writeStream.foreachBatch(apply)
+                       .option("checkpointLocation", self._ckpt(name)).trigger(availableNow=True).start())
+        self._event(spark, f"{self.prefix}_{name}", self.keyed.history(spark).count(), sum(bad.values()))
+
     def _gold(self, spark: SparkSession) -> str:
+        if self.keyed:  # written with the history; the counts come from the files' footers
+            kept, rows = self.keyed.current(spark).count(), self.keyed.history(spark).count()
+            rule = {"dataset": f"{self.prefix}_gold", "name": RECENT_RECORD[0], "passed_records": kept,
+                    "failed_records": rows - kept}
+            self._event(spark, f"{self.prefix}_gold", kept, rows - kept, [rule])
+            return self.keyed.path("current")
         gold, obs = self.clean(spark)
         path = versioned.write_version(gold, self.gold_base, meta={})
         versioned.remove_old_versions(spark, self.gold_base, keep=2)
@@ -175,6 +207,8 @@ class CdcFlow:
     def silver(self, spark: SparkSession, scd_type: int) -> DataFrame:
         """The silver SCD 1 table or SCD 2 history (materialized version when
         there is one, else the view over the state)."""
+        if self.keyed and scd_type == 2:
+            return self.keyed.history(spark)
         name, target = (("silver_scd1", self.scd1) if scd_type == 1
                         else ("silver_scd2", self.scd2))
         if self.materialize and versioned.current_path(spark, self.silver_bases[name]):
@@ -182,7 +216,7 @@ class CdcFlow:
         return target.table(spark)
 
     def gold(self, spark: SparkSession) -> DataFrame:
-        return versioned.read_current(spark, self.gold_base)
+        return self.keyed.current(spark) if self.keyed else versioned.read_current(spark, self.gold_base)
 
     def report(self, spark: SparkSession) -> DataFrame:
         return eventlog.expectation_report(eventlog.read_log(spark, self.log_path))
@@ -211,6 +245,12 @@ class CdcFlow:
             paths = {"silver_scd1": versioned.current_path(spark, self.silver_bases["silver_scd1"]),
                      "silver_scd2": versioned.current_path(spark, self.silver_bases["silver_scd2"]),
                      "gold": versioned.current_path(spark, self.gold_base)}
+            shown = dict.fromkeys(names, "*")
+            if self.keyed:
+                for key, kind, rows in (("silver_scd2", "history", self.silver(spark, 2)),
+                                        ("gold", "current", self.gold(spark))):
+                    paths[key] = self.keyed.path(kind)
+                    shown[key] = ", ".join(f"`{c}`" for c in rows.columns)
             comments = {"silver_scd1": "one row per customer, the latest change",
                         "silver_scd2": "every version of a customer with its validity",
                         "gold": "versions that are valid now, stored"}
@@ -219,7 +259,7 @@ class CdcFlow:
                 spark.sql(f"CREATE OR REPLACE VIEW {schema}.{view} "
                           f"COMMENT '{comments[key]}' "
                           f"TBLPROPERTIES ('quality' = '{quality_tag}') "
-                          f"AS SELECT * FROM parquet.`{paths[key]}`")
+                          f"AS SELECT {shown[key]} FROM parquet.`{paths[key]}`")
             spark.sql(f"CREATE OR REPLACE VIEW {schema}.{clean} "
                       "COMMENT 'versions that are valid now, over the silver history' "
                       f"AS SELECT * FROM {schema}.{names['silver_scd2']} WHERE {RECENT_RECORD[1]}")

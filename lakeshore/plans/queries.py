@@ -8,16 +8,15 @@ below the session's ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeshore.operators import eventlog, joins, keyed, partitioning, privacy, quality
+from lakeshore.operators import eventlog, joins, keyed, partitioning, privacy, quality, sketches
 from lakeshore.plans import cdc_flow, derived, privacy_flow
-from lakeshore.session import scratch_path
-from lakeshore.sinks import catalog, overwrite, versioned
+from lakeshore.session import scratch_name, scratch_path
+from lakeshore.sinks import catalog, layout, overwrite, versioned
 from lakeshore.sources import files, headers
 from lakeshore.sources.tables import table
 from lakeshore.streaming import cdc_stream, ingest, state_apply
@@ -248,7 +247,7 @@ def q_persistent_admin_view(spark, d):
     """The catalog route: a schema, external tables over the encrypted files and
     the keys, a stored function and a stored decrypting view (K6-K8, K10, G7, U4)."""
     cust = table(spark, d, "customer")
-    schema = f"lk_{uuid.uuid4().hex}"
+    schema = scratch_name(spark, "lk", "SCHEMA")
     catalog.create_schema(spark, schema)
     keys_path, data_path = scratch_path(spark, "keys"), scratch_path(spark, "customer-enc")
     keys = privacy.store_keys(cust, "c_custkey", keys_path)
@@ -432,6 +431,19 @@ def _keyed(spark, d) -> keyed.KeyedHistory:
     return target
 
 
+def q_cdc_flow_by_difference(spark, d):
+    """The flow in two runs, silver history and gold by the buckets of what each run
+    brought (T5, C4)."""
+    ev = table(spark, d, "events")
+    landing = scratch_path(spark, "landing-buckets")
+    p = cdc_flow.CdcFlow(scratch_path(spark, "cdc-buckets"), ev.schema, prefix="b", buckets=8, **derived.EVENTS_FEED)
+    few = F.col("user_id").between(*_KEYS)
+    for part in (~few, few):
+        files.write_csv_files(ev.where(part), landing, files=2, by="event_id")
+        p.run(spark, landing)
+    return p.gold(spark)
+
+
 def q_gold_by_difference(spark, d):
     """Gold rows after three runs that rewrote only the buckets of their keys (T5, C4)."""
     return _keyed(spark, d).current(spark)
@@ -515,7 +527,7 @@ def q_partitioned_table_flow(spark, d):
     orders = _orders_csv(spark, d)
     spread = partitioning.repartition_by_distinct(orders, "year", by_column=True)
     path = scratch_path(spark, "orders-flow")
-    dataset = catalog.Dataset(f"orders_{uuid.uuid4().hex}", path, "orders by year",
+    dataset = catalog.Dataset(scratch_name(spark, "orders"), path, "orders by year",
                               {"quality": "bronze"}, partition_by=("year",))
     dataset.write(spread)
     overwrite.replace_where_partitions(path, _late(orders, "1998"), "year = '1998'", "year")
@@ -525,6 +537,116 @@ def q_partitioned_table_flow(spark, d):
         "o_orderkey", "o_custkey", "o_orderpriority", F.col("year").cast("string").alias("year"))
 
 
+# -- layouts, sketches, replays ------------------------------------------------
+
+def bucketed_customers(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Customers and their keys as tables in buckets of the customer."""
+    cust = table(spark, d, "customer")
+    out = []
+    for kind, rows in (("customer", cust), ("keys", _keys(spark, d))):
+        t = layout.Bucketed(scratch_name(spark, f"{kind}_buckets"), scratch_path(spark, f"{kind}-buckets"),
+                            "c_custkey", 8, f"{kind} by customer", {"quality": "silver"})
+        t.write(rows)
+        out.append(t.read(spark))
+    return tuple(out)
+
+
+def q_bucketed_encrypt(spark, d):
+    """Encryption and decryption by joins of bucketed tables, no row moved (J1, K11,
+    G3-G5)."""
+    cust, keys = bucketed_customers(spark, d)
+    enc = layout.Bucketed(scratch_name(spark, "enc_buckets"), scratch_path(spark, "enc-buckets"), "c_custkey", 8)
+    enc.write(privacy.encrypt_columns(cust, keys, "c_custkey", ["c_name"]))
+    return privacy.decrypt_columns(enc.read(spark), keys, "c_custkey", ["c_name"])
+
+
+def clustered_history(spark, d, row_group: int = layout.ROW_GROUP) -> DataFrame:
+    path = scratch_path(spark, "history-clustered")
+    layout.write_clustered(derived.events_history(spark, d), path, "user_id", "ts", row_group=row_group)
+    return spark.read.parquet(path)
+
+
+def q_lookup_skipping(spark, d):
+    """One key's history and a range of keys, from a history clustered by key whose
+    row groups are skipped (C5, F1, F2)."""
+    history = clustered_history(spark, d)
+    return history.where((F.col("user_id") == _KEY) | F.col("user_id").between(*_KEYS))
+
+
+def q_rebalanced_write(spark, d):
+    """Orders by year, files by volume instead of a partition a value."""
+    path = scratch_path(spark, "orders-rebalanced")
+    layout.write_rebalanced(_orders_csv(spark, d), path, "year")
+    return spark.read.parquet(path).select(
+        "o_orderkey", "o_custkey", "o_orderpriority", F.col("year").cast("string").alias("year"))
+
+
+def q_distinct_sketch(spark, d):
+    """Stored sketches of a table, added to by an append, against exact counts: within
+    four standard errors (A3)."""
+    li = table(spark, d, "lineitem").select("l_returnflag", "l_partkey", "l_orderkey")
+    first = F.pmod("l_orderkey", F.lit(4)) > 0
+    path = scratch_path(spark, "sketches")
+    sketches.distinct_sketches(li.where(first), "l_partkey", "l_returnflag").write.parquet(path)
+    both = sketches.append_sketches(spark.read.parquet(path),
+                                    sketches.distinct_sketches(li.where(~first), "l_partkey", "l_returnflag"))
+    about = sketches.distinct_estimate(both, "l_returnflag")
+    exact = li.groupBy("l_returnflag").agg(F.count_distinct("l_partkey").alias("n_exact"))
+    return exact.join(about, "l_returnflag").select(
+        "l_returnflag", "n_exact",
+        (F.abs(F.col("n_distinct") - F.col("n_exact")) <= 4 * sketches.ERROR * F.col("n_exact") + 1).alias("near"))
+
+
+def q_stream_dedup(spark, d):
+    """Files landed twice, taken in once: ids seen within a week of landing are
+    dropped, with bounded state (T2)."""
+    ev = table(spark, d, "events")
+    landing, target = scratch_path(spark, "landing-twice"), scratch_path(spark, "bronze-once")
+    for _ in range(2):
+        files.write_csv_files(ev, landing, files=3, by="event_id")
+    once = ingest.once_within(files.stream_csv(spark, landing, schema=ev.schema, max_files=2), ["event_id"])
+    ingest.start_append(once, target, scratch_path(spark, "bronze-once-ckpt")).awaitTermination()
+    return spark.read.parquet(target)
+
+
+def q_partition_count(spark, d):
+    """Partitions of orders spread over as many as there are years (R2)."""
+    orders = table(spark, d, "orders").select(F.year("o_orderdate").alias("year"))
+    spread = partitioning.repartition_by_distinct(orders, "year")
+    return spark.range(1).select(F.lit(partitioning.num_partitions(spread)).cast("long").alias("n"))
+
+
+def q_new_keys(spark, d):
+    """Keys made in SQL, one a customer: all different, 32 bytes."""
+    table(spark, d, "customer").createOrReplaceTempView("customers_for_keys")
+    privacy.register_sql_functions(spark)
+    path = scratch_path(spark, "sql-keys")  # random: written before use
+    spark.sql("SELECT c_custkey, new_encryption_key(c_custkey) AS k FROM customers_for_keys").write.parquet(path)
+    return spark.read.parquet(path).agg(
+        F.count("*").alias("n"), F.count_distinct("k").alias("n_keys"),
+        F.min(F.length(F.unbase64("k"))).alias("least_bytes"))
+
+
+def q_drops(spark, d):
+    """Views, functions, tables and schemas that are dropped are gone; the files stay
+    (K8)."""
+    schema, path = scratch_name(spark, "lk", "SCHEMA"), scratch_path(spark, "customer-dropped")
+    catalog.create_schema(spark, schema)
+    table(spark, d, "customer").write.parquet(path)
+    catalog.Dataset(f"{schema}.t", path).register(spark)
+    spark.sql(f"CREATE VIEW {schema}.v AS SELECT * FROM {schema}.t")
+    spark.sql(f"CREATE FUNCTION {schema}.f(x STRING) RETURNS STRING RETURN upper(x)")
+    catalog.drop_view(spark, f"{schema}.v")
+    catalog.drop_function(spark, f"{schema}.f")
+    catalog.drop_table(spark, f"{schema}.t")
+    left = spark.sql(f"SHOW TABLES IN {schema}").where("not isTemporary").count() + spark.sql(f"SHOW USER FUNCTIONS IN {schema}").where(
+        F.col("function").contains(schema)).count()
+    catalog.drop_schema(spark, schema)
+    there = spark.sql(f"SHOW SCHEMAS LIKE '{schema}'").count()
+    return spark.read.parquet(path).agg(F.count("*").alias("n_rows")).select(
+        "n_rows", F.lit(left).cast("long").alias("n_left"), F.lit(there).cast("long").alias("n_schemas"))
+
+
 def q_bronze_quality_report(spark, d):
     """Expectations on a stream of six micro-batches, in the event log (Q2, Q5)."""
     ev = table(spark, d, "events")
@@ -542,8 +664,17 @@ QUERIES: dict[str, Query] = {
     "csv_by_header": q_csv_by_header,
     "stream_rescue": q_stream_rescue,
     "scd1_stream_new_column": q_scd1_stream_new_column,
+    "bucketed_encrypt": q_bucketed_encrypt,
+    "lookup_skipping": q_lookup_skipping,
+    "rebalanced_write": q_rebalanced_write,
+    "distinct_sketch": q_distinct_sketch,
+    "stream_dedup": q_stream_dedup,
+    "partition_count": q_partition_count,
+    "new_keys": q_new_keys,
+    "drops": q_drops,
     "scd2_state_stream": q_scd2_state_stream,
     "scd1_state_stream": q_scd1_state_stream,
+    "cdc_flow_by_difference": q_cdc_flow_by_difference,
     "gold_by_difference": q_gold_by_difference,
     "history_by_difference": q_history_by_difference,
     "replace_where_null_partition": q_replace_where_null_partition,
@@ -708,8 +839,19 @@ SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS
 FROM orders WHERE {where}"""
 
 ORACLES: dict[str, str] = {
+    "bucketed_encrypt": "SELECT * FROM customer",
+    "lookup_skipping": (f"SELECT * FROM ({_SCD2_EVENTS}) WHERE user_id = {_KEY} "
+                        f"OR user_id BETWEEN {_KEYS[0]} AND {_KEYS[1]}"),
+    "rebalanced_write": _ORDERS_TEXT.format(priority="o_orderpriority", where="true"),
+    "distinct_sketch": ("SELECT l_returnflag, count(DISTINCT l_partkey) AS n_exact, true AS near "
+                        "FROM lineitem GROUP BY l_returnflag"),
+    "stream_dedup": "SELECT * FROM events",
+    "partition_count": "SELECT count(DISTINCT year(o_orderdate)) AS n FROM orders",
+    "new_keys": "SELECT count(*) AS n, count(*) AS n_keys, 32 AS least_bytes FROM customer",
+    "drops": "SELECT count(*) AS n_rows, 0::BIGINT AS n_left, 0::BIGINT AS n_schemas FROM customer",
     "scd2_state_stream": _SCD2_EVENTS,
     "scd1_state_stream": _SCD1_EVENTS,
+    "cdc_flow_by_difference": f"SELECT * FROM ({_SCD2_EVENTS}) WHERE __END_AT IS NULL",
     "gold_by_difference": f"SELECT * FROM ({_SCD2_EVENTS}) WHERE __END_AT IS NULL",
     "history_by_difference": _SCD2_EVENTS,
     "csv_by_header": _BY_HEADER,

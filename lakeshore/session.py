@@ -61,10 +61,18 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 _scratch: list = []
+_names: list = []
 
 
 def _remove_scratch() -> None:
-    """At the driver's end: delete what :func:`scratch_path` named, if it is there."""
+    """At the driver's end: drop and delete what :func:`scratch_name` and
+    :func:`scratch_path` named, if it is there."""
+    while _names:
+        spark, kind, name = _names.pop()
+        try:
+            spark.sql(f"DROP {kind} IF EXISTS {name}{' CASCADE' if kind == 'SCHEMA' else ''}")
+        except Exception:  # the session has gone, and its own catalog with it
+            _names.clear()
     while _scratch:
         fs, path = _scratch.pop()
         try:
@@ -76,9 +84,18 @@ def _remove_scratch() -> None:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder, deleted when the
     driver's Python ends (results that read it are lazy, so not before)."""
-    if not _scratch:
+    if not _scratch and not _names:
         atexit.register(_remove_scratch)
     path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     _scratch.append((where.getFileSystem(spark._jsc.hadoopConfiguration()), where))
     return path
+
+
+def scratch_name(spark: SparkSession, prefix: str, kind: str = "TABLE") -> str:
+    """A fresh name for a table or schema, dropped when the driver's Python ends."""
+    if not _scratch and not _names:
+        atexit.register(_remove_scratch)
+    name = f"{prefix}_{uuid.uuid4().hex}"
+    _names.append((spark, kind, name))
+    return name

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructType
 
 from lakeshore.sinks import versioned
 
@@ -33,8 +33,10 @@ def _pred(predicate) -> Column:
 
 
 def checked_incoming(incoming: DataFrame, predicate) -> DataFrame:
-    """``incoming`` with a lazy check that each row satisfies ``predicate``."""
-    ok = F.coalesce(_pred(predicate), F.lit(False))
+    """``incoming`` with a lazy check that each row satisfies ``predicate``. The check
+    counts as not deterministic, so that it stays above the filters of ``incoming``:
+    below them it would see rows that they leave out."""
+    ok = F.coalesce(_pred(predicate), F.lit(False)) & (F.spark_partition_id() >= 0)
     return incoming.where(F.when(ok, F.lit(True)).otherwise(
         F.raise_error(F.lit("replace_where: an incoming row does not satisfy the predicate"))))
 
@@ -58,10 +60,19 @@ def replace_where_version(base: str, incoming: DataFrame, predicate,
         raise ValueError(f"columns {hidden} are encrypted: encrypt the incoming rows, "
                          "then pass encrypted=True")
     existing = versioned.read_current(spark, base)
+    _same_columns(existing, incoming)
     out = replace_where(existing, incoming.select(*existing.columns), predicate)
     return versioned.write_version(out, base, table=table, partition_by=partition_by)
 
 
+def _same_columns(existing: DataFrame, incoming: DataFrame) -> None:
+    """Columns that the table does not have would be lost: refuse them."""
+    known = {c.lower() for c in existing.columns}
+    extra = [c for c in incoming.columns if c.lower() not in known]
+    if extra:
+        raise ValueError(f"replace_where: the table has no columns {extra}")
+
+
 _NULL_DIR = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -87,8 +98,8 @@ def _partition_dirs(spark, path: str, partition_cols) -> list[tuple[list, str]]:
     return level
 
 
-def replace_where_partitions(path: str, incoming: DataFrame, predicate,
-                             partition_cols) -> list[dict]:
+def replace_where_partitions(path: str, incoming: DataFrame, predicate, partition_cols,
+                             existing: StructType | None = None) -> list[dict]:
     """In-place replacement of the partitions of a ``partitionBy`` table at
     ``path`` selected by a predicate on partition columns only.
 
@@ -101,10 +112,12 @@ def replace_where_partitions(path: str, incoming: DataFrame, predicate,
 
     Empty text in a partition column is refused before anything is replaced: Spark
     writes it to the folder of null, whose rows would go (``replace_where_version``
-    takes it)."""
+    takes it). Columns that the table does not have are refused, unless ``existing``
+    says what its columns are from now on (older files read as null there)."""
     spark = incoming.sparkSession
     partition_cols = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
-    existing = spark.read.parquet(path)
+    existing = spark.read.parquet(path) if existing is None else spark.createDataFrame([], existing)
+    _same_columns(existing, incoming)
     types = {f.name: f.dataType for f in existing.schema.fields}
     given = {f.name: f.dataType for f in incoming.schema.fields}
     pred = _pred(predicate)

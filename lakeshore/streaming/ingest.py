@@ -34,6 +34,21 @@ _LISTING = "path string, modificationTime timestamp, length long, content binary
 _SCHEMA_FILE = "_schema.json"
 
 
+#: How long an id is remembered after its file has landed.
+REMEMBER = "7 days"
+
+
+def once_within(stream: DataFrame, ids: list[str], remember: str = REMEMBER) -> DataFrame:
+    """``stream`` over files without rows whose ``ids`` came before (T2): a file that
+    lands again under another name adds nothing. Rows are dated by the time their file
+    landed, so state is bounded by what lands within ``remember``, and no row is late
+    by its own times. A file that shows up with a landing time more than that before
+    the newest one is taken for a replay."""
+    landed = stream.select("*", "_metadata.file_modification_time")
+    return (landed.withWatermark("file_modification_time", remember).dropDuplicatesWithinWatermark(ids)
+            .drop("file_modification_time"))
+
+
 class HeaderIngest:
     """CSV files with headers, incrementally, into a parquet table.
 

@@ -140,3 +140,22 @@ def test_replace_keeps_metadata_and_refuses_clear_rows(spark, existing, scratch)
         overwrite.replace_where_version(base, incoming, "p = 'a'")
     overwrite.replace_where_version(base, incoming, "p = 'a'", encrypted=True)
     assert versioned.read_meta(spark, base) == {"encrypted": ["v"]}
+
+
+def test_check_sees_only_rows_that_filters_leave(spark, scratch):
+    """A row that the incoming rows' own filter drops is not checked."""
+    path = scratch("in")
+    spark.createDataFrame([(1, 1, "a"), (2, None, "b"), (1, 3, "c")], "p int, s int, v string").coalesce(1).write.parquet(path)
+    incoming = spark.read.parquet(path).where("s is not null")
+    existing = spark.createDataFrame([(1, 0, "old"), (2, 0, "kept")], "p int, s int, v string")
+    out = overwrite.replace_where(existing, incoming, "p = 1")
+    assert sorted(r["v"] for r in out.collect()) == ["a", "c", "kept"]
+    with pytest.raises(Exception, match="does not satisfy"):
+        overwrite.replace_where(existing, spark.read.parquet(path), "p = 1").collect()
+
+
+def test_columns_that_the_table_lacks_are_refused(spark, scratch):
+    path = scratch("t")
+    spark.createDataFrame([(1, "A")], "id int, c string").write.partitionBy("c").parquet(path)
+    with pytest.raises(ValueError, match="no columns"):
+        overwrite.replace_where_partitions(path, spark.createDataFrame([(2, "x", "A")], "id int, w string, c string"), "c = 'A'", "c")

@@ -39,3 +39,18 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
     assert digest(got) == digest(want)
+
+
+def test_a_missing_optional_package_leaves_the_core(tmp_path):
+    """Without what the optional part imports, its queries are left out, no others."""
+    import subprocess
+    import sys
+
+    from lakeshore.plans.queries import QUERIES
+
+    code = ("import sys; sys.modules['xxhash'] = None; sys.modules['tokenizers'] = None; sys.modules['zstandard'] = None\n"
+            "import __spark_entry__ as e; print(len(e.queries()), any(n.startswith('op') and n[2].isdigit() for n in e.queries()))")
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120,
+                         cwd=__file__.rsplit("/", 2)[0])
+    n, optional = out.stdout.split()
+    assert int(n) >= len(QUERIES) and (optional == "False") == (int(n) == len(QUERIES)), out.stderr[-500:]

@@ -94,3 +94,35 @@ def test_keyed_history_empties_a_bucket_and_takes_late_rows(spark, scratch):
         ("a", 5, 6), ("late", 3, 5)]
     target.apply(spark.createDataFrame([(1, 9, "U", "back")], SCHEMA))
     assert [r["v"] for r in target.current(spark).where(F.col("k") == 1).collect()] == ["back"]
+
+
+def test_keyed_history_takes_new_columns(spark, scratch):
+    target = keyed.KeyedHistory(scratch("keyed"), buckets=3, **FEED)
+    target.apply(spark.createDataFrame([(k, 1, "U", "a") for k in range(9)], SCHEMA))
+    target.apply(spark.createDataFrame([(1, 2, "U", "b", "new")], SCHEMA + ", w string"))
+    target.apply(spark.createDataFrame([(k, 3, "U", "c") for k in range(3)], SCHEMA))
+    got = {(r["k"], r["s"], r["w"]) for r in target.history(spark).collect()}
+    assert got == {(k, 1, None) for k in range(9)} | {(1, 2, "new")} | {(k, 3, None) for k in range(3)}
+
+
+def test_flow_by_difference_takes_a_new_column(spark, scratch, tmp_path):
+    from lakeshore.plans.cdc_flow import CdcFlow
+
+    landing = tmp_path / "in"
+    landing.mkdir()
+    schema = spark.createDataFrame([], SCHEMA).schema
+    flow = CdcFlow(scratch("flow"), schema, prefix="t", buckets=8, **FEED)
+    (landing / "a.csv").write_text("k,s,op,v\n" + "".join(f"{k},1,U,a\n" for k in range(40)))
+    flow.run(spark, str(landing))
+    before = folders(flow.keyed.path("current"))
+    (landing / "b.csv").write_text("v,w,s,k,op\nb,new,2,7,U\n,,2,8,D\nx,,,9,U\n")
+    flow.run(spark, str(landing))
+    changed = {d for d in before if before[d] != folders(flow.keyed.path("current")).get(d)}
+    assert len(changed) <= 2
+    gold = {r["k"]: (r["v"], r["w"]) for r in flow.gold(spark).collect()}
+    assert gold == {k: ("a", None) for k in range(40) if k not in (7, 8)} | {7: ("b", "new")}
+    assert flow.silver(spark, 1).where("k = 7").first()["w"] == "new"
+    flow.register_views(spark)
+    assert spark.sql("SELECT count(*) FROM t_gold_scd_type_2").first()[0] == 39
+    report = flow.report(spark).collect()
+    assert {r["expectations"]["name"] for r in report} == {"recent_record"}
