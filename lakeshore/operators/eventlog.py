@@ -122,23 +122,25 @@ def read_log(spark: SparkSession, log_path: str) -> DataFrame:
 def compact_log(spark: SparkSession, log_path: str) -> str | None:
     """Fold all appends into a new base version (recording which), then
     remove the folded append folders. Safe to interrupt: readers skip appends
-    the current base already holds. The rewrite is rebalanced by adaptive
+    the current base already holds. Only one compaction runs at a time; another
+    leaves the work to it (None). The rewrite is rebalanced by adaptive
     execution into files of the advisory partition size, however large the
     log has grown (no single-task funnel)."""
     from lakeshore.sinks import versioned
 
     base = f"{log_path.rstrip('/')}/base"
-    parts = _tail_parts(spark, log_path)
-    if not parts:
-        return None
-    folded = read_log(spark, log_path)  # base + unfolded tails listed now
-    # those listed now, folded before or not; names of folders long gone are let go
-    path = versioned.write_version(folded.hint("rebalance"), base, meta={"appends": parts})
-    for name in parts:
-        fs, p = versioned._fs(spark, f"{log_path.rstrip('/')}/tail/{name}")
-        if fs.exists(p):
-            fs.delete(p, True)
-    versioned.remove_old_versions(spark, base, keep=2)
+    with versioned.next_version(spark, base) as (number, _):
+        parts = _tail_parts(spark, log_path) if number else []
+        if not parts:
+            return None
+        folded = read_log(spark, log_path)  # base + unfolded tails listed now
+        # those listed now, folded before or not; names of folders long gone are let go
+        path = versioned.write_version(folded.hint("rebalance"), base, meta={"appends": parts}, number=number)
+        for name in parts:
+            fs, p = versioned._fs(spark, f"{log_path.rstrip('/')}/tail/{name}")
+            if fs.exists(p):
+                fs.delete(p, True)
+        versioned.remove_old_versions(spark, base, keep=2)
     return path
 
 

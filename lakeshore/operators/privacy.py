@@ -87,8 +87,8 @@ def register_keys_view(spark: SparkSession, view: str, key_path: str, id_column:
               f"FROM parquet.`{key_path.rstrip('/')}/v????????`")
 
 
-#: Seconds to wait for another writer's part, and after which its claim is dead.
-KEY_WAIT, KEY_STALE = 600.0, 24 * 3600.0
+#: Seconds to wait for another writer's part.
+KEY_WAIT = 600.0
 
 
 def store_keys(df: DataFrame, id_column: str, key_path: str,
@@ -100,34 +100,23 @@ def store_keys(df: DataFrame, id_column: str, key_path: str,
     writer claims the next number and computes its subjects against *all* parts
     before it, which are committed by then; a part can so never repeat a subject
     of another, whoever started first. A writer that finds the number claimed
-    waits for that part. A claim that its writer left behind is removed, with what
-    it wrote, once it is ``KEY_STALE`` seconds old."""
+    waits for that part; a writer that died holds it up for ``versioned.STALE``
+    seconds."""
     import time
 
     spark = df.sparkSession
     deadline = time.time() + KEY_WAIT
     while True:
-        done = versioned.versions(spark, key_path)
-        number = (done[-1] if done else 0) + 1
-        if versioned.try_claim(spark, key_path, number):
-            break
-        age = versioned.claim_age(spark, key_path, number)
-        if age is not None and age > KEY_STALE:
-            versioned.give_up(spark, key_path, number)
-        elif time.time() > deadline:
-            raise TimeoutError(f"another writer holds part {number} of {key_path}")
-        else:
-            time.sleep(0.2)
-    try:
-        if versioned.versions(spark, key_path) != done:
-            raise RuntimeError(f"part {number} of {key_path} was committed twice")
-        existing = read_keys(spark, key_path, id_column, key_column) if done else None
-        fresh = subject_keys(df, id_column, existing, key_column)
-        versioned.write_version(fresh.withColumn("created_at", F.current_timestamp()),
-                                key_path, meta={}, number=number)
-    except Exception:
-        versioned.give_up(spark, key_path, number)
-        raise
+        with versioned.next_version(spark, key_path) as (number, current):
+            if number is not None:
+                existing = read_keys(spark, key_path, id_column, key_column) if current else None
+                fresh = subject_keys(df, id_column, existing, key_column)
+                versioned.write_version(fresh.withColumn("created_at", F.current_timestamp()),
+                                        key_path, meta={}, number=number)
+                break
+        if time.time() > deadline:
+            raise TimeoutError(f"another writer holds the next part of {key_path}")
+        time.sleep(0.2)
     return read_keys(spark, key_path, id_column, key_column)
 
 

@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import json
 import re
+import threading
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -146,6 +148,51 @@ def claim_age(spark: SparkSession, base: str, n: int) -> float | None:
     return time.time() - fs.getFileStatus(p).getModificationTime() / 1000
 
 
+#: Seconds between signs of life of a claim's writer, and without one after which the
+#: writer is taken for dead.
+BEAT, STALE = 20.0, 180.0
+
+
+@contextmanager
+def next_version(spark: SparkSession, base: str):
+    """Sole right to write the version after the current one: gives its number and
+    the current one's (0: none), or (None, current) when another writer has it. The
+    claim shows signs of life while it is held; one without any for ``STALE`` seconds
+    belongs to a writer that died and is removed with what it wrote. Nothing is left
+    if the block fails or does not commit."""
+    done = versions(spark, base)
+    current = done[-1] if done else 0
+    number = current + 1
+    if not try_claim(spark, base, number):
+        age = claim_age(spark, base, number)
+        if age is not None and age > STALE:
+            give_up(spark, base, number)
+        if age is None or age <= STALE or not try_claim(spark, base, number):
+            yield None, current
+            return
+    stop = threading.Event()
+
+    def beat() -> None:
+        fs, p = _fs(spark, f"{version_path(base, number)}.claim")
+        while not stop.wait(BEAT):
+            try:
+                fs.create(p, True).close()
+            except Exception:  # the store is away for a moment: the next beat counts
+                continue
+
+    thread = threading.Thread(target=beat, daemon=True)
+    thread.start()
+    try:
+        now = versions(spark, base)
+        # committed by another between our look and our claim: nothing to do here
+        yield (number if now == done else None), (now[-1] if now else 0)
+    finally:
+        stop.set()
+        thread.join()
+        if number not in versions(spark, base):
+            give_up(spark, base, number)
+
+
 def write_version(df: DataFrame, base: str, table: str | None = None,
                   partition_by=None, meta: dict | None = None, number: int | None = None) -> str:
     """Write ``df`` as the next version of ``base`` and re-point ``table``.

@@ -47,8 +47,6 @@ from lakeshore.operators import cdc
 from lakeshore.sinks import versioned
 
 BATCH = "__batch"
-#: Seconds after which a compaction that was claimed but not committed is dead.
-STALE_CLAIM = 24 * 3600
 _DEL = cdc._DEL
 
 
@@ -207,44 +205,26 @@ class ChangeApply:
 
         Several streams may compact: the number after the base is claimed before
         the base is read, so a base is the parent of one committed version only;
-        who finds it claimed leaves the work to the other (None). A claim older
-        than ``STALE_CLAIM`` seconds belongs to a writer that died and is stepped
-        over; should it live, its version is older than the current one, and it
-        removes nothing."""
-        done = versioned.versions(spark, self.base_path)
-        parent = done[-1] if done else 0
-        number = parent + 1
-        while not versioned.try_claim(spark, self.base_path, number):
-            age = versioned.claim_age(spark, self.base_path, number)
-            if age is None or age < STALE_CLAIM:
-                return None
-            number += 1
-        try:
-            now = versioned.versions(spark, self.base_path)
-            if (now[-1] if now else 0) != parent:  # committed before our claim
-                versioned.give_up(spark, self.base_path, number)
+        who finds it claimed leaves the work to the other (None)."""
+        with versioned.next_version(spark, self.base_path) as (number, parent):
+            if number is None:
                 return None
             parts = self._log_parts(spark)
             folded = self._folded(spark)
             fresh = [n for n in parts if n not in folded]
+            path = None
             if fresh:
                 path = versioned.write_version(
                     self._reduced(self._union(spark, fresh)), self.base_path,
                     meta={"folded": fresh, "parent": parent}, number=number)
-            else:
-                versioned.give_up(spark, self.base_path, number)
-                path = None
-        except Exception:
-            versioned.give_up(spark, self.base_path, number)
-            raise
-        if path and versioned.current_path(spark, self.base_path) != path:
-            return path  # a newer base holds all of it; the log is its owner's
-        for n in parts:
-            fs, p = versioned._fs(spark, f"{self.log_path}/{BATCH}={n}")
-            if fs.exists(p):
-                fs.delete(p, True)
-        if path:
-            versioned.remove_old_versions(spark, self.base_path, keep=2)
+            if path and versioned.current_path(spark, self.base_path) != path:
+                return path  # a newer base holds all of it; the log is its owner's
+            for n in parts:
+                fs, p = versioned._fs(spark, f"{self.log_path}/{BATCH}={n}")
+                if fs.exists(p):
+                    fs.delete(p, True)
+            if path:
+                versioned.remove_old_versions(spark, self.base_path, keep=2)
         return path
 
     def _rows(self, spark: SparkSession) -> DataFrame:

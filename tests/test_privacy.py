@@ -262,3 +262,23 @@ def test_masked_and_clear_views_persistent(spark, people, scratch):
     assert (masked, clear) == ("lk_mc.cust_masked", "lk_mc.cust_admin")
     assert {tuple(r) for r in spark.table(clear).collect()} == set(SUBJECTS)
     catalog.drop_schema(spark, "lk_mc", cascade=True)
+
+
+def test_a_dead_writers_claim_holds_nobody_up_for_long(spark, scratch, monkeypatch):
+    """A driver that died leaves its claim: the next writer removes it once it shows no
+    life; one that lives keeps its claim."""
+    base = scratch("keys")
+    df = spark.createDataFrame([(1,), (2,)], "id int")
+    assert versioned.try_claim(spark, base, 1)
+    monkeypatch.setattr(versioned, "STALE", -1)
+    assert privacy.store_keys(df, "id", base).count() == 2
+    monkeypatch.setattr(versioned, "STALE", 1.5)
+    monkeypatch.setattr(versioned, "BEAT", 0.2)
+    import time
+    with versioned.next_version(spark, base) as (mine, current):
+        assert (mine, current) == (2, 1)
+        time.sleep(3)  # longer than STALE, but it shows life
+        with versioned.next_version(spark, base) as (other, _):
+            assert other is None
+    with versioned.next_version(spark, base) as (again, _):  # given back, as nothing was written
+        assert again == 2
