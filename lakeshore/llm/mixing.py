@@ -131,7 +131,8 @@ def schedule(spark, table: DataFrame) -> DataFrame:
               .select("n", "blocks", (F.col("first") + F.col("i")).alias("place")))
     # the point of slot j is place j * a mod N, so the slot of a place is place / a mod N
     slots = places.select("n", "blocks", _product("place", str(back), str(max(total, 1)), rest=True).alias("slot"))
-    slots = slots.withColumn("chunk", F.expr(f"slot div {CHUNK}"))
+    # written: planned sizes of exploded rows are those of the sources, far too small
+    slots = written(slots.withColumn("chunk", F.expr(f"slot div {CHUNK}")), "slots")
     ranked = _running(slots, ["n"], "chunk", ["slot"], F.lit(1), "rank")
     return ranked.select("slot", "n", "rank", (F.col("rank") % F.col("blocks")).alias("block"),
                          F.expr("rank div blocks").alias("pass"))
