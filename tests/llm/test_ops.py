@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -110,10 +111,74 @@ def test_substrings_table(spark, table, k):
 
 def test_substrings_keep_the_layout():
     text = "  a b\n\nc  d e\tf "
-    factor = np.array([[1, 1]], dtype="u4").tobytes()  # one window of 3 words from word 1
-    assert substrings._cut(text.encode(), factor, 3) == (b"  a e\tf ", 6, 3, [[1, 4]])
-    assert substrings._cut(text.encode(), None, 3) == (text.encode(), 6, 0, [])
-    assert substrings._cut(b"x y z", np.array([[0, 1]], dtype="u4").tobytes(), 3)[0] == b""
+    factor = np.array([(1, 1, 9, 4)], dtype=substrings._COPY).tobytes()  # one window of 3 words from word 1
+    assert substrings._cut(text.encode(), factor, 3) == (b"  a e\tf ", 6, 3, [[1, 4]], [[1, 3, 9, 4]])
+    assert substrings._cut(text.encode(), None, 3) == (text.encode(), 6, 0, [], [])
+    assert substrings._cut(b"x y z", np.array([(0, 1, 9, 4)], dtype=substrings._COPY).tobytes(), 3)[0] == b""
+
+
+def longest_factors(runs):
+    """Greedy parse of runs (id, symbols) in order of ids: (place, symbols, source's place)."""
+    starts = np.concatenate([[0], np.cumsum([len(w) for _, w in runs])]).tolist()
+    out = []
+    for (doc, w), o in zip(runs, starts):
+        i = 0
+        while i < len(w):
+            best = (0, None)
+            for (other, v), o2 in zip(runs, starts):
+                for j in range(len(v) if other < doc else 0):
+                    n = 0
+                    while i + n < len(w) and j + n < len(v) and w[i + n] == v[j + n]:
+                        n += 1
+                    if n > best[0]:
+                        best = (n, o2 + j)
+            if best[0]:
+                out.append((o + i, *best))
+            i += max(best[0], 1)
+    return out
+
+
+@pytest.mark.parametrize("symbols", [1, 2, 4])
+def test_parse_takes_the_longest_factors(symbols):
+    rng = np.random.default_rng(symbols)
+    for _ in range(300):
+        runs = sorted(((int(rng.integers(0, 5)), rng.integers(0, symbols, rng.integers(1, 10)).tolist())
+                       for _ in range(rng.integers(1, 8))), key=lambda r: r[0])
+        ids = np.array([d for d, w in runs for _ in w], dtype=np.int64)
+        sym = np.array([x for _, w in runs for x in w], dtype=np.int64)
+        left = np.array([len(w) - i for _, w in runs for i in range(len(w))])
+        got = sorted(zip(*[x.tolist() for x in substrings.parse(ids, sym, left, 9)]))
+        assert got == longest_factors(runs)
+
+
+def test_parse_follows_a_source_beyond_the_horizon():
+    ids = np.repeat([1, 2, 3], [40, 50, 50])
+    sym = np.concatenate([np.arange(5, 45), np.arange(50), np.arange(50)])
+    left = np.concatenate([np.arange(40, 0, -1), np.arange(50, 0, -1), np.arange(50, 0, -1)])
+    got = sorted(zip(*[x.tolist() for x in substrings.parse(ids, sym, left, 4)]))
+    assert got == [(45, 40, 0), (90, 50, 40)]
+    assert [len(x) for x in substrings.parse(ids[:0], sym[:0], left[:0], 4)] == [0, 0, 0]
+
+
+@pytest.mark.parametrize("batch", [3, 2048])
+def test_substring_factors_are_copies_of_their_sources(spark, table, batch, monkeypatch):
+    monkeypatch.setattr(substrings, "BATCH", batch)
+    long = " ".join(f"w{i}" for i in range(3000))
+    extra = [(9_000_001, long), (9_000_002, "x " + long[2000:] + " y"), (9_000_003, "a " * 4000), (9_000_004, "a " * 5000)]
+    rows = [r for r in table if r[0] is not None] + extra
+    words = {i: re.findall(r"[^\x20\x09-\x0D]+", t or "") for i, t in rows}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    out = substrings.dedup_substrings(docs).collect()
+    for r in out:
+        mine, covered = words[r["doc_id"]], set()
+        for start, n, source, at in r["factors"]:
+            assert n >= 13 and source < r["doc_id"]
+            assert mine[start:start + n] == words[source][at:at + n]
+            covered |= set(range(start, start + n))
+        assert covered == {i for s, e in r["spans"] for i in range(s, e)}
+    found = {r["doc_id"]: r for r in out}
+    assert len(found[9_000_002]["factors"]) == 1, "one passage of one source is one factor"
+    assert found[9_000_004]["n_removed"] == 5000
 
 
 def test_substrings_of_a_repeated_id_in_another_batch(spark):
