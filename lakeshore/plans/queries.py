@@ -17,7 +17,7 @@ from lakeshore.operators import eventlog, joins, keyed, partitioning, privacy, q
 from lakeshore.plans import cdc_flow, derived, privacy_flow
 from lakeshore.session import scratch_name, scratch_path
 from lakeshore.sinks import catalog, layout, overwrite, versioned
-from lakeshore.sources import files, headers
+from lakeshore.sources import files, headers, idsource
 from lakeshore.sources.tables import table
 from lakeshore.streaming import cdc_stream, ingest, state_apply
 
@@ -305,6 +305,18 @@ def q_people(spark, d):
     return files.people_from_ids(table(spark, d, "customer"), "c_custkey")
 
 
+def q_people_stream(spark, d):
+    """People rows for the customers' ids from the id source, as a stream that is
+    stopped half-way through the ids and started again (S10, T1)."""
+    cust = table(spark, d, "customer")
+    first, last = idsource.bounds(cust, "c_custkey")
+    target, checkpoint = scratch_path(spark, "people-stream"), scratch_path(spark, "people-stream-ckpt")
+    for end in ((first + last) // 2, None):
+        stream = idsource.stream_people(cust, "c_custkey", end=end)
+        ingest.start_append(stream, target, checkpoint).awaitTermination()
+    return spark.read.parquet(target)
+
+
 # -- files, overwrite --------------------------------------------------------
 
 def q_csv_roundtrip(spark, d):
@@ -717,6 +729,7 @@ QUERIES: dict[str, Query] = {
     "join_sortmerge": q_join_sortmerge,
     "distinct_count": q_distinct_count,
     "people": q_people,
+    "people_stream": q_people_stream,
     "csv_roundtrip": q_csv_roundtrip,
     "stream_ingest": q_stream_ingest,
     "stream_count": q_stream_count,
@@ -838,6 +851,16 @@ SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS
        {priority} AS o_orderpriority, strftime(o_orderdate, '%Y') AS year
 FROM orders WHERE {where}"""
 
+_PEOPLE = (
+    "SELECT c_custkey AS id, (SELECT upper(n[1]) || n[2:] FROM (SELECT "
+    "list_extract(s, CAST(c_custkey % 10 AS INT) + 1) || "
+    "list_extract(s, CAST(c_custkey // 10 % 10 AS INT) + 1) || "
+    "list_extract(s, CAST(c_custkey // 100 % 10 AS INT) + 1) AS n FROM (SELECT "
+    "['an', 'bel', 'cor', 'da', 'el', 'fin', 'gus', 'ha', 'ir', 'jo'] AS s))) AS Name, "
+    "CAST(10 + ((c_custkey * 7919) % 51) AS INTEGER) AS Age, "
+    "list_extract(['USA', 'UK', 'Australia', 'Canada', 'India', 'dummy'], "
+    "CAST(((c_custkey * 31 + 7) % 6) + 1 AS INTEGER)) AS Country FROM customer")
+
 ORACLES: dict[str, str] = {
     "bucketed_encrypt": "SELECT * FROM customer",
     "lookup_skipping": (f"SELECT * FROM ({_SCD2_EVENTS}) WHERE user_id = {_KEY} "
@@ -919,14 +942,8 @@ FROM events""",
     "join_sortmerge": _JOIN_OC,
     "distinct_count": ("SELECT count(*) AS n_distinct FROM "
                        "(SELECT DISTINCT c_mktsegment FROM customer)"),
-    "people": ("SELECT c_custkey AS id, (SELECT upper(n[1]) || n[2:] FROM (SELECT "
-               "list_extract(s, CAST(c_custkey % 10 AS INT) + 1) || "
-               "list_extract(s, CAST(c_custkey // 10 % 10 AS INT) + 1) || "
-               "list_extract(s, CAST(c_custkey // 100 % 10 AS INT) + 1) AS n FROM (SELECT "
-               "['an', 'bel', 'cor', 'da', 'el', 'fin', 'gus', 'ha', 'ir', 'jo'] AS s))) AS Name, "
-               "CAST(10 + ((c_custkey * 7919) % 51) AS INTEGER) AS Age, "
-               "list_extract(['USA', 'UK', 'Australia', 'Canada', 'India', 'dummy'], "
-               "CAST(((c_custkey * 31 + 7) % 6) + 1 AS INTEGER)) AS Country FROM customer"),
+    "people": _PEOPLE,
+    "people_stream": _PEOPLE,
     "csv_roundtrip": "SELECT * FROM customer",
     "stream_ingest": "SELECT * FROM events",
     "stream_count": "SELECT count(*) AS n FROM events",
