@@ -453,6 +453,73 @@ def test_license_with_a_word_put_in(spark):
     assert [got[k] for k in range(len(rows))] == [{x} - {""} for x in want]
 
 
+def brute_license_labels(text):
+    """{(label, start, end, votes)} of the method's own labels, by plain loops."""
+    w = brute.ALNUM.findall((text or "").translate(brute.LOWER))
+    found = set()
+    for k, shift, need, templates in (
+            (licenses.GRAM, licenses.SHIFT, licenses.VOTES, licenses.TEMPLATES),
+            (licenses.TEXT_GRAM, licenses.TEXT_SHIFT, licenses.TEXT_VOTES, licenses.TEXTS)):
+        at = {}
+        for p in range(len(w) - k + 1):
+            at.setdefault(tuple(w[p:p + k]), []).append(p)
+        for label, template in templates.items():
+            t = brute.ALNUM.findall(template.translate(brute.LOWER))
+            hits = sorted((p - q, q) for q in range(len(t) - k + 1) for p in at.get(tuple(t[q:q + k]), []))
+            runs = []
+            for diag, q in hits:
+                if not runs or diag - runs[-1][-1][0] > shift:
+                    runs.append([])
+                runs[-1].append((diag, q))
+            name = licenses.NAMES.get(label, "").split()
+            named = {q for q in range(len(t)) if name and t[q:q + len(name)] == name}
+            named = {min(named) + j for j in range(len(name) - k + 1)} if named else set()
+            for run in runs:
+                first, last = min(q for _, q in run), max(q for _, q in run)
+                lines = {d for d, _ in run}
+                n = len(t) - k + 1
+                whole = len([1 for _, q in run if q in named]) == len(named) > 0 and first == 0 and last == n - 1
+                start = min(d + min(q for e, q in run if e == d) for d in lines)
+                end = max(d + max(q for e, q in run if e == d) for d in lines) + k
+                if (len(run) >= need * n or whole and len(run) >= n - len(lines) + 1) \
+                        and last - first + k >= licenses.LENGTH * len(t) and end - start <= licenses.STRETCH * len(t):
+                    found.add((label, start, end, len(run)))
+    return found
+
+
+def test_license_labels_by_brute_force(spark, pairs, table):
+    texts = [t for _, t in pairs + table]
+    wrap = lambda t: "\n".join(t.split(" ")[k] for k in range(len(t.split(" "))))
+    for text in licenses.TEXTS.values():
+        words = text.split()
+        texts += ["Copyright 2020 me\n" + text, wrap(text.upper()), text.lower() + " tail",
+                  " ".join(words[:len(words) // 2]), " ".join(words[len(words) // 2:]), f"{text} between {text}",
+                  " ".join([*words[:30], "the", "Example", "Corporation", "and", "others", *words[30:]]),
+                  " ".join(w if k % 20 else "changed" for k, w in enumerate(words)),
+                  " ".join(w if k % 4 else "changed" for k, w in enumerate(words))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    base = set(licenses.BASE.values())
+    got = {r["doc_id"]: {tuple(s) for s in r["spans"] if s["label"] not in base}
+           for r in licenses.license_scan(docs).collect()}
+    assert got == {k: brute_license_labels(t) for k, t in enumerate(texts)}
+
+
+def test_license_whole_texts(spark):
+    rows, want = [], []
+    for label, text in licenses.TEXTS.items():
+        words = text.split()
+        half = len(words) // 2
+        rows += [f"Copyright 2020 me. {text} Yours.", " ".join(words[:half]), " ".join(words[half:]),
+                 " ".join([*words[:half], "the", "Example", "Corporation", "and", "others", *words[half:]]),
+                 " ".join(w if k % 20 else "changed" for k, w in enumerate(words)),
+                 " ".join(w if k % 4 else "changed" for k, w in enumerate(words))]
+        want += [label, "", "", label, label, ""]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r["doc_id"]: [x for x in r["labels"].split(",") if x.endswith("-text")]
+           for r in licenses.license_scan(docs).collect()}
+    assert [got[k] for k in range(len(rows))] == [[x] if x else [] for x in want]
+
+
 # 10 ---------------------------------------------------------------------------
 
 @pytest.mark.parametrize("which", ["odd", "table"])
