@@ -33,6 +33,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
+from lakeshore.operators.joins import read_bytes
+
 # The validity columns of an SCD 2 history.
 START_AT = "__START_AT"
 END_AT = "__END_AT"
@@ -46,6 +48,8 @@ _FROM, _TO, _BASE = "__from", "__to", "__base"
 DEFAULT_ROWS_PER_TASK = 20_000_000
 # Sampled rows per chunk used to place the split points.
 _SAMPLES_PER_CHUNK = 64
+# Split points that are broadcast at most, a row being a byte of the sources or more.
+MAX_SPLIT_POINTS = 8_000_000
 
 
 def _names(cols) -> list[str]:
@@ -157,6 +161,14 @@ def _finish(df: DataFrame, source_cols, except_columns, extra=()) -> DataFrame:
     return df.select(*cols)
 
 
+def rows_a_task(valid: DataFrame, rows_per_task: int) -> int:
+    """``rows_per_task``, raised where the bytes that the plan reads would allow more
+    than ``MAX_SPLIT_POINTS`` split points (rows / rows_per_task), so that a small
+    value on a large feed does not let the broadcast grow with it. Runs no job. A
+    source of unknown size (an RDD, a micro-batch) is not counted."""
+    return max(rows_per_task, -(-read_bytes(valid) // MAX_SPLIT_POINTS))
+
+
 def _hot_key_splits(valid: DataFrame, keys, seq, rows_per_task: int) -> DataFrame:
     """Sampled split points for keys with more than about ``rows_per_task`` rows:
     (keys, ``__from``, ``__to``, ``__base``, ``__splits``), lazily, as part of the
@@ -167,7 +179,9 @@ def _hot_key_splits(valid: DataFrame, keys, seq, rows_per_task: int) -> DataFram
     about ``_SAMPLES_PER_CHUNK`` rows per ``rows_per_task`` rows; a key with at
     least that many sampled rows is hot and every ``_SAMPLES_PER_CHUNK``-th
     sampled sequence value of it becomes a split point. The result holds at most
-    ``total rows / rows_per_task`` points (50,000 for 10^12 rows)."""
+    ``total rows / rows_per_task`` points (50,000 for 10^12 rows), and
+    :func:`rows_a_task` bounds them whatever ``rows_per_task`` is."""
+    rows_per_task = rows_a_task(valid, rows_per_task)
     fraction = min(1.0, _SAMPLES_PER_CHUNK / float(rows_per_task))
     seq_struct = F.struct(*[F.col(c) for c in seq])
     sample = valid.select(*keys, seq_struct.alias("__s")).sample(fraction=fraction, seed=17)
@@ -244,8 +258,8 @@ def scd2(source: DataFrame, keys, sequence_by, apply_as_deletes=None,
     staged = valid if assume_unique else _first_per(
         valid, part + seq, _latest_first(valid, payload))
     if rows_per_task:
-        # At most total rows / rows_per_task points: bounded, so broadcast; other
-        # keys find no row and stay in chunk 0.
+        # At most MAX_SPLIT_POINTS points, so broadcast; other keys find no row and
+        # stay in chunk 0.
         splits = _hot_key_splits(valid, keys, seq, rows_per_task)
         at = F.struct(*[F.col(c) for c in seq])
         staged = _with_chunk(_with_page(staged, splits, keys, at), at, first)

@@ -25,6 +25,15 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(stats.sizeInBytes()))
 
 
+def read_bytes(df: DataFrame) -> int:
+    """Bytes that the plan of ``df`` reads: the sizes of its sources, where they are
+    known, whatever is estimated above them; plans only, runs no job."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    unknown = int(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", str((1 << 63) - 1)))
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(n for n in sizes if n < unknown)
+
+
 def fits_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
     """True when the plan of ``df`` is estimated at no more than ``max_bytes``."""
     return planned_bytes(df) <= max_bytes

@@ -177,6 +177,28 @@ def test_hot_key_split_under_sampling(spark):
     assert splits and max(len(r[cdc._SPLITS]) for r in splits) >= 5
 
 
+def test_split_points_are_bounded_by_the_source(spark, scratch, monkeypatch):
+    """A tiny rows_per_task on a feed of known size gives no more split points than
+    MAX_SPLIT_POINTS, and the same history; without known size it stays as given."""
+    monkeypatch.setattr(cdc, "MAX_SPLIT_POINTS", 10)
+    monkeypatch.setattr(cdc, "_SAMPLES_PER_CHUNK", 1)
+    path, n = scratch("feed"), 20_000
+    spark.range(n, numPartitions=4).selectExpr(
+        "if(id % 3 = 0, 1L, id) AS customer_id", "concat('c', id) AS city",
+        "if(id % 11 = 0, 'DELETE', 'UPDATE') AS operation", "id * 7 % 20000 AS seq").write.parquet(path)
+    feed = spark.read.parquet(path)
+    valid = cdc.split_changes(feed, ["customer_id"], ["seq"])[0]
+    assert cdc.rows_a_task(valid, 1) * 10 >= n and cdc.rows_a_task(valid, 10**9) == 10**9
+    points = cdc._hot_key_splits(valid, ["customer_id"], ["seq"], 1).select(F.sum(F.size(cdc._SPLITS))).first()[0]
+    assert (points or 0) <= 20  # a Bernoulli sample of 10 at most
+    cols = ["customer_id", "city", "__START_AT", "__END_AT"]
+    split = cdc.scd2(feed, rows_per_task=1, **FEED).select(*cols)
+    plain = cdc.scd2(feed, rows_per_task=None, **FEED).select(*cols)
+    assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
+    local = spark.createDataFrame([(1, "a", "UPDATE", 1)], SCHEMA)
+    assert cdc.rows_a_task(local, 64) == 64
+
+
 def test_building_runs_no_job_and_splits_stay_home(spark, changes):
     """No job before an action; no split list goes through the window's shuffle; a
     key filter reaches the source."""
