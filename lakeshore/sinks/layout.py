@@ -48,10 +48,13 @@ class Bucketed:
     properties: dict[str, str] = field(default_factory=dict)
 
     def write(self, df: DataFrame) -> None:
-        """Write and declare the table. Rows are dealt to the buckets first, so each
-        bucket is one file."""
+        """Write and declare the table. Rows are dealt to the buckets first, so a bucket
+        is one file; adaptive execution cuts one that is far larger than the advisory
+        partition size (a hot key) into several files by several tasks. A join without an
+        exchange still reads a bucket in one task: for keys too hot for that, read with
+        ``spark.sql.sources.bucketing.enabled`` off, and the join may split them."""
         spark = df.sparkSession
-        (df.repartition(self.buckets, self.key).write.mode("overwrite").bucketBy(self.buckets, self.key)
+        (df.hint("rebalance", self.buckets, self.key).write.mode("overwrite").bucketBy(self.buckets, self.key)
          .sortBy(self.key).option("path", self.path).saveAsTable(self.name))
         if self.comment:
             spark.sql(f"COMMENT ON TABLE {self.name} IS {_q(self.comment)}")

@@ -42,6 +42,24 @@ def test_one_giant_value_gives_several_files_and_small_ones_share_tasks(spark, s
     assert spark.read.parquet(path).count() == 60000
 
 
+def test_a_hot_key_is_written_by_several_tasks_into_its_bucket(spark, scratch):
+    hot = "if(id % 3 = 0, 7L, id) AS k"
+    rows = spark.range(60000, numPartitions=8).selectExpr(hot, "sha2(cast(id as string), 256) AS x")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    t = layout.Bucketed(f"hot_{os.getpid()}", scratch(), "k", 4)
+    try:
+        t.write(rows)
+        files = [f for f in os.listdir(t.path.removeprefix("file:")) if f.endswith(".parquet")]
+        assert len(files) > 4
+        got, one = t.read(spark), spark.range(60000).withColumnRenamed("id", "k")
+        assert got.count() == 60000 and got.exceptAll(rows).count() == 0
+        assert "Exchange" not in plan(got.groupBy("k").count())  # still by buckets
+        assert got.join(one, "k").count() == 60000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.sql(f"DROP TABLE IF EXISTS {t.name}")
+
+
 def test_bucketed_tables_join_without_an_exchange(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
