@@ -6,9 +6,10 @@ each profile by the out-of-place distance: the sum over its n-grams of how far
 they stand from their place in the profile, ``size`` for those that it lacks. The
 nearest profile wins, ties by name.
 
-Profiles are learned from at most ``fit_docs`` labelled documents per language,
-those with the smallest hash of their id; the driver holds ``size`` n-grams per
-language. Prediction is one narrow pass over whole texts.
+Profiles are learned from every labelled document that has an id, and so are the
+limits; the driver holds ``size`` n-grams and a limit per language. Only a caller
+who sets ``fit_docs`` learns from at most that many documents per language, those
+with the smallest hash of their id. Prediction is one narrow pass over whole texts.
 
 A null text, or one without a letter, is ``und`` with score 0, as is everything
 if there is nothing to learn from; every row is reported, repeated or null ids
@@ -25,16 +26,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lakeshore.llm import textkit as tk
+from lakeshore.llm.store import written
 
 UNKNOWN = "und"
 #: N-grams of a profile and of a document's list.
 SIZE = 400
-#: Labelled documents that a profile is learned from, at most, per language.
-FIT_DOCS = 1500
 #: A language's limit is this much of the score at this quantile of its own documents.
 #: On sf0.1 all documents are above the limits (0.37 to 0.42); two other languages and
 #: random letters score 0.15 to 0.34.
 LOW_SHARE, MARGIN = 0.01, 0.7
+#: Bins of the scores from 0 to 1; one of them is ranked score by score.
+BINS = 1000
 #: Bytes of text at once: three n-grams a letter, eight bytes each, several times.
 PASS_BYTES = 1 << 19
 _BITS = 21
@@ -135,10 +137,14 @@ def _lowered(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return tk.texts_of(pc.utf8_lower(column.cast(pa.large_string())))
 
 
-def _training(docs: DataFrame, fit_docs: int, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """(lang, text) of the labelled documents that are learned from."""
+def _training(docs: DataFrame, id_col: str, text_col: str, lang_col: str, fit_docs: int | None = None) -> DataFrame:
+    """(lang, text) of the labelled documents that are learned from: all that have an
+    id, without which none is known not to be held out."""
     named = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"),
-                        F.col(f"`{lang_col}`").alias("lang")).where("lang is not null and text is not null")
+                        F.col(f"`{lang_col}`").alias("lang")).where(
+                            "doc_id is not null and lang is not null and text is not null")
+    if fit_docs is None:
+        return named.select("lang", "text")
     least = Window.partitionBy("lang").orderBy("h", "doc_id")
     # a hash threshold leaves some four times fit_docs ids of each language, however
     # many there are; the least of them are taken
@@ -152,11 +158,11 @@ def _training(docs: DataFrame, fit_docs: int, id_col: str, text_col: str, lang_c
     return named.join(F.broadcast(chosen), ["doc_id", "lang"]).select("lang", "text")
 
 
-def learn(docs: DataFrame, size: int = SIZE, fit_docs: int = FIT_DOCS, id_col: str = "doc_id",
+def learn(docs: DataFrame, size: int = SIZE, fit_docs: int | None = None, id_col: str = "doc_id",
           text_col: str = "text", lang_col: str = "lang") -> dict[str, list[int]]:
-    """{language: its n-gram keys, most frequent first} from the rows of ``docs``
-    with a label; at most ``fit_docs`` of each language are read."""
-    texts = _training(docs, fit_docs, id_col, text_col, lang_col)
+    """{language: its n-gram keys, most frequent first} from all rows of ``docs``
+    with a label, or from ``fit_docs`` of each language if that is set."""
+    texts = _training(docs, id_col, text_col, lang_col, fit_docs)
 
     def run(batch: pa.RecordBatch):
         langs = batch.column(0).dictionary_encode()
@@ -235,12 +241,22 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], size: int = SIZE,
     return out.select(*[F.col(f"rest.`{c}`") for c in names_of], "lang_pred", "score")
 
 
-def limits(docs: DataFrame, profiles: dict[str, list[int]], size: int = SIZE, fit_docs: int = FIT_DOCS,
-           id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, float]:
+def limits(docs: DataFrame, profiles: dict[str, list[int]], size: int = SIZE, id_col: str = "doc_id",
+           text_col: str = "text", lang_col: str = "lang") -> dict[str, float]:
     """{language: the score below which a text is not taken to be in it}: ``MARGIN``
-    of the score that all but ``LOW_SHARE`` of the documents it was learned from reach."""
-    scored = predict(_training(docs, fit_docs, id_col, text_col, lang_col), profiles, size)
-    low = scored.where("lang = lang_pred").groupBy("lang").agg(F.percentile_approx("score", LOW_SHARE).alias("low"))
+    of the score that all but ``LOW_SHARE`` of its labelled documents that are
+    predicted as such reach, the exact quantile of all of them."""
+    scored = predict(_training(docs, id_col, text_col, lang_col), profiles, size, keep=["lang"])
+    counts = (written(scored.where("lang = lang_pred").groupBy("lang", "score").agg(F.count("*").alias("n")),
+                      "language-scores").withColumn("bin", F.floor(F.col("score") * BINS)))
+    # at most BINS + 1 rows a language, then the scores of the one bin with the place
+    every = Window.partitionBy("lang")
+    bins = counts.groupBy("lang", "bin").agg(F.sum("n").alias("n")).select(
+        "lang", "bin", F.sum("n").over(every.orderBy("bin")).alias("upto"),
+        F.ceil(LOW_SHARE * F.sum("n").over(every)).alias("place"), (F.col("upto") - F.col("n")).alias("below"))
+    within = counts.join(F.broadcast(bins.where("below < place and place <= upto").drop("upto")), ["lang", "bin"])
+    reach = within.withColumn("upto", F.col("below") + F.sum("n").over(every.orderBy("score")))
+    low = reach.where("upto >= place").groupBy("lang").agg(F.min("score").alias("low"))
     return {lang: MARGIN * score for lang, score in low.collect()}
 
 

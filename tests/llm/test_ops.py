@@ -223,6 +223,48 @@ def test_language_odd(odd, pairs):
     assert {r["lang_pred"] for r in langid.predict(odd, {}, keep=["doc_id"]).collect()} == {"und"}
 
 
+@pytest.fixture(scope="module")
+def many(spark):
+    """(rows, table) of 4,000 labelled documents in one language and 900 in another,
+    with letters whose counts differ by one, so that each document counts."""
+    rows, letters = [], [chr(c) for c in range(ord("a"), ord("z") + 1)]
+    for lang, first, least in (("aa", 0, 140), ("bb", 13, 60)):
+        for i, c in enumerate(letters[first:first + 13]):
+            rows += [(lang, " ".join([c] * (1 + j % 7) + [letters[j % 26]] * (j % 5))) for j in range(least + 7 * i)]
+    rows = [(i, text, lang) for i, (lang, text) in enumerate(2 * rows)]
+    rows += [(10**6, None, "aa"), (10**6 + 1, "q q q", None), (None, "z z z", "aa"), (10**6 + 2, "7", "bb")]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5).cache()
+
+
+def test_language_learns_from_every_labelled_document(many):
+    rows, docs = many
+    counts = defaultdict(lambda: defaultdict(int))
+    for i, text, lang in rows:
+        if i is not None and text is not None and lang is not None:
+            raw = np.frombuffer(text.encode(), dtype=np.uint8)
+            for k, n in zip(*(x.tolist() for x in langid._counts(raw, np.array([0, len(raw)]))[1:])):
+                counts[lang][k] += n
+    want = {lang: sorted(c, key=lambda k: (-c[k], k))[:30] for lang, c in counts.items()}
+    assert sum(r[2] == "aa" for r in rows) > 4000
+    assert langid.learn(docs, size=30) == want
+
+
+def test_language_limits_are_those_of_every_labelled_document(many):
+    rows, docs = many
+    profiles = langid.learn(docs, size=30)
+    scored = langid.predict(docs, profiles, size=30, keep=["doc_id", "lang"]).collect()
+    for share, bins in ((langid.LOW_SHARE, langid.BINS), (0.3333, 7), (1.0, 1)):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(langid, "LOW_SHARE", share)
+            m.setattr(langid, "BINS", bins)
+            want = {}
+            for lang in profiles:
+                own = sorted(r["score"] for r in scored if r["doc_id"] is not None and lang == r["lang"] == r["lang_pred"])
+                want[lang] = langid.MARGIN * own[math.ceil(share * len(own)) - 1]
+            assert langid.limits(docs, profiles, size=30) == want and len(want) == 2
+    assert langid.limits(docs.limit(0), profiles) == {} and langid.limits(docs, {}) == {}
+
+
 def test_language_counts_are_plain_counts():
     text = "Aé  b1cd"
     raw = np.frombuffer(text.lower().encode(), dtype=np.uint8)
